@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from touchline.session import cut_lineage
 
+SMALL_ROWS = 200_000  # rows a side may have to be broadcast
+
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row position in the lower 33 bits
 
 
@@ -25,6 +27,14 @@ def same_key(left: DataFrame, right: DataFrame, names: Sequence[str]):
     return condition
 
 
+def small_side(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
+    """``df`` marked for broadcast when it is counted to hold at most ``limit`` rows, else unchanged.
+
+    Meant for materialized frames, where counting is cheap.
+    """
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def number_within(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """Add ``name``: 0, 1, 2, … per group in the given order; ties are numbered arbitrarily.
 
@@ -42,9 +52,11 @@ def number_within(df: DataFrame, group: Sequence[str], order: Sequence[str], nam
     runs = placed.groupBy("_task", *group).agg(F.min("_at").alias("_from"), F.count(F.lit(1)).alias("_rows"))
     # A group has at most one run per range partition, so this window never sees more rows than tasks.
     earlier = Window.partitionBy(*group).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    shifts = runs.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).select(
+        *[F.col(key).alias(f"_run_{key}") for key in ("_task", *group)], "_from", "_before"
+    )
     joined = placed.join(
-        runs.select(*[F.col(key).alias(f"_run_{key}") for key in ("_task", *group)], "_from", "_before"),
+        small_side(cut_lineage(shifts)),
         on=[placed[key].eqNullSafe(F.col(f"_run_{key}")) for key in ("_task", *group)],
     )
     return joined.select(*df.columns, (F.col("_before") + F.col("_at") - F.col("_from")).alias(name))

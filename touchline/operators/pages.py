@@ -49,9 +49,7 @@ def _collect(
 ) -> DataFrame:
     entry = F.struct(*[F.col(column).alias(f"o{i}") for i, column in enumerate(order)], F.col(value).alias("v"))
     entries = F.sort_array(F.collect_list(F.when(F.col(value).isNotNull(), entry)))
-    return df.groupBy(*keys, part).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.transform(entries, lambda e: e["v"]).alias(name)
-    )
+    return df.groupBy(*keys, part).agg(F.count(F.lit(1)).alias("n_rows"), entries.getField("v").alias(name))
 
 
 def joined_text(values: Column, separator: str = ",") -> Column:

@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions import dates, text
-from touchline.operators.numbering import number_by_block, number_within
+from touchline.operators.numbering import number_by_block, number_within, small_side
 from touchline.operators.pages import PAGE
+from touchline.session import cut_lineage
 
 DOCUMENT = ("season", "competition")
 _NODE = (*DOCUMENT, "type", "key")
@@ -57,41 +58,46 @@ def number_games(games: DataFrame) -> DataFrame:
     return number_within(games, DOCUMENT, ["game_date", "match_id"], "ord")
 
 
-def _entity(slot: int, kind: str, key: str, city: str | None = None, image: str | None = None) -> Column:
-    nothing = F.lit(None).cast("string")
-    return F.struct(
-        F.lit(slot).alias("slot"),
-        F.lit(kind).alias("type"),
-        F.col(key).alias("key"),
-        (F.col(city) if city else nothing).alias("city"),
-        (F.col(image) if image else nothing).alias("image_path"),
-    )
+# (slot, type, key column) of the entities of a game, in slot order
+_ENTITIES = (
+    (0, "team", "home_team"),
+    (1, "team", "away_team"),
+    (2, "place", "stadium"),
+    (3, "stage", "stage"),
+    (4, "date", "game_date"),
+)
 
 
 def occurrences(numbered: DataFrame) -> DataFrame:
     """Five rows per game, one for each of its slices."""
-    entities = F.array(
-        _entity(0, "team", "home_team", image="image_path_home"),
-        _entity(1, "team", "away_team", image="image_path_away"),
-        _entity(2, "place", "stadium", city="city"),
-        _entity(3, "stage", "stage"),
-        _entity(4, "date", "game_date"),
-    )
-    return numbered.select(*DOCUMENT, "ord", "match_id", F.inline(entities))
+    entities = [
+        F.struct(F.lit(slot).alias("slot"), F.lit(kind).alias("type"), F.col(column).alias("key"))
+        for slot, kind, column in _ENTITIES
+    ]
+    return numbered.select(*DOCUMENT, "ord", "match_id", F.inline(F.array(*entities)))
 
 
 def nodes(numbered: DataFrame) -> DataFrame:
-    """(season, competition, index, type, key, city, image_path, n_matches), one row per slice."""
-    first = F.struct((F.col("ord") * _SLOTS + F.col("slot")).alias("first"), "city", "image_path")
+    """(season, competition, index, type, key, city, image_path, n_matches), one row per slice.
+
+    City and image are those of the game the slice first appears in; they are looked up afterwards, so
+    that the large aggregation only keeps numbers and stays a hash aggregation. The finished nodes are few
+    compared to the games and are written to the shared folder, because every list needs their indexes.
+    """
     found = (
         occurrences(numbered)
         .groupBy(*_NODE)
-        .agg(F.min(first).alias("seen"), F.count(F.lit(1)).alias("n_matches"))
-        .select(*_NODE, "n_matches", "seen.first", "seen.city", "seen.image_path")
+        .agg(F.min(F.col("ord") * _SLOTS + F.col("slot")).alias("first"), F.count(F.lit(1)).alias("n_matches"))
     )
-    return number_by_block(found, DOCUMENT, "first", "index").select(
-        *DOCUMENT, "index", "type", "key", "city", "image_path", "n_matches"
+    indexed = number_by_block(found, DOCUMENT, "first", "index").withColumn("ord", F.expr(f"first div {_SLOTS}"))
+    looks = numbered.select(*DOCUMENT, "ord", "city", "image_path_home", "image_path_away")
+    slot = F.col("first") % _SLOTS
+    image = F.when(slot == 0, F.col("image_path_home")).when(slot == 1, F.col("image_path_away"))
+    described = indexed.join(looks, [*DOCUMENT, "ord"]).select(
+        *DOCUMENT, "index", "type", "key", F.when(slot == 2, F.col("city")).alias("city"),
+        image.alias("image_path"), "n_matches",
     )
+    return cut_lineage(described)
 
 
 def _links(numbered: DataFrame) -> DataFrame:
@@ -130,14 +136,14 @@ def _with_target_index(links: DataFrame, graph_nodes: DataFrame) -> DataFrame:
     target = graph_nodes.select(
         *DOCUMENT, F.col("type").alias("to_type"), F.col("key").alias("to_key"), F.col("index").alias("dependency")
     )
-    return links.join(target, [*DOCUMENT, "to_type", "to_key"])
+    return links.join(small_side(target), [*DOCUMENT, "to_type", "to_key"])
 
 
 def edges(numbered: DataFrame, graph_nodes: DataFrame | None = None) -> DataFrame:
     """(season, competition, index, dependency): symmetric, distinct, never between equal types."""
     graph_nodes = nodes(numbered) if graph_nodes is None else graph_nodes
     own = graph_nodes.select(*_NODE, "index")
-    return _with_target_index(_links(numbered), graph_nodes).join(own, list(_NODE)).select(
+    return _with_target_index(_links(numbered), graph_nodes).join(small_side(own), list(_NODE)).select(
         *DOCUMENT, "index", "dependency"
     )
 
@@ -168,7 +174,7 @@ def slices(numbered: DataFrame, page: int = PAGE) -> DataFrame:
         )
         .select(*_NODE, "part", F.col("placed.match_id").alias("matches"), "dependencies")
     )
-    return parts.join(graph_nodes, list(_NODE)).select(
+    return parts.join(small_side(graph_nodes), list(_NODE)).select(
         *DOCUMENT, "index", "type", "key", "city", "image_path", "part", "n_matches", "matches", "dependencies"
     )
 

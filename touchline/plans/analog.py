@@ -164,7 +164,8 @@ def landed_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lake_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with the lake's partition columns; the day is the first of the order's month."""
+    """Orders with the lake's partition columns; the day is the first of the order's quarter."""
+    quarter = F.date_trunc("QUARTER", "o_orderdate").cast("date").cast("string")
     return orders(spark, sf_dir).select(
         "o_orderkey",
         "o_custkey",
@@ -172,11 +173,7 @@ def lake_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "tournament_id",
         F.col("season").alias("year"),
         F.concat(F.lit("Group/"), "o_orderstatus", F.lit(" +1")).alias("stage_name"),
-        F.concat(
-            F.substring(F.col("o_orderdate").cast("date").cast("string"), 1, 4),
-            F.substring(F.col("o_orderdate").cast("date").cast("string"), 6, 2),
-            F.lit("01"),
-        ).alias("date"),
+        dates.compact_day(quarter).alias("date"),
     )
 
 

@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from touchline.functions import dates
 from touchline.functions.cleaning import clean, reject_counts
@@ -45,7 +44,7 @@ def _text(values: str | Column) -> Column:
 
 # ---------------------------------------------------------------- lake scans and partition selection
 
-_LAKE_DATA = T.StructType.fromDDL("o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE")
+_LAKE_DATA = "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE"
 _LAKE_COLUMNS = ("o_orderkey", "o_custkey", "o_totalprice", "tournament_id", "year", "stage_name", "date")
 _landed_lakes: dict[tuple[str, str], str] = {}
 
@@ -60,14 +59,15 @@ def _lake(spark: SparkSession, sf_dir: str) -> str:
     return _landed_lakes[key]
 
 
-def _lake_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = lake.scan_glob(spark, _lake(spark, sf_dir), schema=lake.lake_schema(_LAKE_DATA))
+def _lake_scan(spark: SparkSession, sf_dir: str, *folders: int) -> DataFrame:
+    rows = lake.scan_lake(spark, _lake(spark, sf_dir), lake.lake_schema(_LAKE_DATA), *folders)
     return rows.select(*_LAKE_COLUMNS)
 
 
 @register
 def scan_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lake_scan(spark, sf_dir)
+    rows = lake.scan_glob(spark, _lake(spark, sf_dir), schema=lake.lake_schema(_LAKE_DATA))
+    return rows.select(*_LAKE_COLUMNS)
 
 
 @register
@@ -83,13 +83,13 @@ def select_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def select_tournament_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lake.select_partitions(_lake_scan(spark, sf_dir), lake.SearchOption.TOURNAMENT_YEAR, 1, 2000)
+    return lake.select_partitions(_lake_scan(spark, sf_dir, 1, 2000), lake.SearchOption.TOURNAMENT_YEAR, 1, 2000)
 
 
 @register
 def select_tournament_year_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.select_partitions(
-        _lake_scan(spark, sf_dir), lake.SearchOption.TOURNAMENT_YEAR_DATE, 1, 2000, "20000301"
+        _lake_scan(spark, sf_dir, 1, 2000), lake.SearchOption.TOURNAMENT_YEAR_DATE, 1, 2000, "20000401"
     )
 
 
@@ -226,20 +226,22 @@ def sink_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake_sink.write_partitioned(rows, path)
     again = lake.select_partitions(rows, lake.SearchOption.TOURNAMENT_YEAR, 1, 2000)
     lake_sink.write_partitioned(again.withColumn("o_totalprice", -F.col("o_totalprice")), path)
-    return lake.scan_glob(spark, path, schema=lake.lake_schema(_LAKE_DATA)).select(*_LAKE_COLUMNS)
+    return lake.scan_lake(spark, path, lake.lake_schema(_LAKE_DATA)).select(*_LAKE_COLUMNS)
 
 
 @register
 def sink_partitioned_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as the statistics of one match per nation."""
     path = scratch_path(spark, "by-match")
+    block = F.expr("s_nationkey div 5")
     rows = table(spark, sf_dir, "supplier").select(
         "s_name",
         "s_acctbal",
-        F.col("s_nationkey").cast("bigint").alias("tournament_id"),
-        (F.col("s_nationkey") + 2000).alias("year"),
+        block.cast("bigint").alias("tournament_id"),
+        (block + 2000).cast("int").alias("year"),
         F.concat(F.lit("Round "), F.col("s_nationkey").cast("string")).alias("stage_name"),
         F.lit("20200612").alias("date"),
-        F.col("s_suppkey").alias("match_id"),
+        F.col("s_nationkey").cast("bigint").alias("match_id"),
     )
     lake_sink.write_partitioned_by_match(rows, path)
     schema = lake.lake_schema(rows.schema, lake.MATCH_PARTITION_COLUMNS)
@@ -248,17 +250,21 @@ def sink_partitioned_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def sink_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two days of ratings, one write after the other."""
+    """Suppliers as the ratings of one club per nation, two days written one after the other."""
     path = scratch_path(spark, "ratings")
-    clubs = (
+    rated = (
         table(spark, sf_dir, "supplier")
         .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(F.col("n_name").alias("country"), F.col("s_name").alias("club"), F.col("s_acctbal").alias("elo"))
+        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .select(
+            F.col("r_name").alias("country"), F.col("n_name").alias("club"),
+            F.col("s_name").alias("name"), F.col("s_acctbal").alias("elo"),
+        )
     )
     for day in ("20230101", "20230102"):
-        rated = clubs.withColumns({"year": F.lit(2023), "date": F.lit(day), "entity": F.lit("rating")})
-        lake_sink.write_ratings(rated, path)
-    return spark.read.schema(rated.schema).parquet(path)
+        dated = rated.withColumns({"year": F.lit(2023), "date": F.lit(day), "entity": F.lit("rating")})
+        lake_sink.write_ratings(dated, path)
+    return spark.read.schema(dated.schema).parquet(path)
 
 
 # ---------------------------------------------------------------- warehouse

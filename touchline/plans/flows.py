@@ -15,9 +15,11 @@ from touchline.sinks import lake as lake_sink
 from touchline.sinks.tables import in_column_order, stamped
 from touchline.sources import lake, landed
 
+Schema = str | T.StructType
+
 
 def land_matches(
-    spark: SparkSession, feed: str, schema: T.StructType, target: str, tournament_id: int, year: int
+    spark: SparkSession, feed: str, schema: Schema, target: str, tournament_id: int, year: int
 ) -> None:
     """Match responses of one tournament and year into the lake by stage and day."""
     records = shaping.stage_and_day(landed.read_records(spark, feed, schema))
@@ -28,7 +30,7 @@ def land_matches(
 
 
 def land_calendar(
-    spark: SparkSession, feed: str, match: T.StructType, target: str, tournament_id: int, day: str | None = None
+    spark: SparkSession, feed: str, match: Schema, target: str, tournament_id: int, day: str | None = None
 ) -> None:
     """Calendar responses of one tournament into the lake, one folder per stage, day and match."""
     rows = shaping.explode_calendar(landed.read_calendar(spark, feed, match), day)
@@ -42,7 +44,7 @@ def land_calendar(
     lake_sink.write_partitioned_by_match(keyed, target)
 
 
-def land_ratings(spark: SparkSession, feed: str, schema: T.StructType, target: str, day: str) -> None:
+def land_ratings(spark: SparkSession, feed: str, schema: Schema, target: str, day: str) -> None:
     """The rating feed of one day into the rating lake."""
     lake_sink.write_ratings(landed.read_ratings(spark, feed, schema, day), target)
 

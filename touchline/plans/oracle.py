@@ -6,7 +6,8 @@ from touchline.operators.pages import PAGE
 
 _LAKE = """SELECT o_orderkey, o_custkey, o_totalprice,
   CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS tournament_id, CAST(year(o_orderdate) AS INT) AS year,
-  'Group/' || o_orderstatus || ' +1' AS stage_name, strftime(o_orderdate, '%Y%m') || '01' AS date FROM orders"""
+  'Group/' || o_orderstatus || ' +1' AS stage_name, strftime(date_trunc('quarter', o_orderdate), '%Y%m%d') AS date
+  FROM orders"""
 
 _LINES = """lines AS (SELECT l_orderkey, min(l_suppkey) AS suppkey, min(l_partkey) AS partkey,
     count(*) FILTER (l_returnflag = 'R') AS home, count(*) FILTER (l_returnflag = 'A') AS away,
@@ -127,7 +128,7 @@ def oracle_sql() -> dict[str, str]:
         "select_all": f"SELECT * FROM ({_LAKE}) WHERE tournament_id = 1 OR year = 2001",
         "select_tournament_year": f"SELECT * FROM ({_LAKE}) WHERE tournament_id = 1 AND year = 2000",
         "select_tournament_year_date": f"SELECT * FROM ({_LAKE}) "
-        "WHERE tournament_id = 1 AND year = 2000 AND date = '20000301'",
+        "WHERE tournament_id = 1 AND year = 2000 AND date = '20000401'",
         "scan_csv_ratings": """SELECT c_mktsegment AS country, c_name AS club, c_acctbal AS "Elo",
           CAST(2023 AS INT) AS year, '20230101' AS date, 'rating' AS entity FROM customer""",
         "scan_json_envelope": "SELECT c_custkey, c_name, c_nationkey FROM customer",
@@ -149,12 +150,12 @@ def oracle_sql() -> dict[str, str]:
         "sink_partitioned": f"""SELECT o_orderkey, o_custkey, CASE WHEN tournament_id = 1 AND year = 2000
           THEN -o_totalprice ELSE o_totalprice END AS o_totalprice, tournament_id, year, stage_name, date
           FROM ({_LAKE})""",
-        "sink_partitioned_match": """SELECT s_name, s_acctbal, CAST(s_nationkey AS BIGINT) AS tournament_id,
-          s_nationkey + 2000 AS year, 'Round ' || s_nationkey AS stage_name, '20200612' AS date,
-          s_suppkey AS match_id FROM supplier""",
-        "sink_ratings": """SELECT n_name AS country, s_name AS club, s_acctbal AS elo, 2023 AS year, day AS date,
-          'rating' AS entity FROM supplier JOIN nation ON n_nationkey = s_nationkey
-          CROSS JOIN (VALUES ('20230101'), ('20230102')) d(day)""",
+        "sink_partitioned_match": """SELECT s_name, s_acctbal, CAST(s_nationkey // 5 AS BIGINT) AS tournament_id,
+          2000 + s_nationkey // 5 AS year, 'Round ' || s_nationkey AS stage_name, '20200612' AS date,
+          CAST(s_nationkey AS BIGINT) AS match_id FROM supplier""",
+        "sink_ratings": """SELECT r_name AS country, n_name AS club, s_name AS name, s_acctbal AS elo, 2023 AS year,
+          day AS date, 'rating' AS entity FROM supplier JOIN nation ON n_nationkey = s_nationkey
+          JOIN region ON r_regionkey = n_regionkey CROSS JOIN (VALUES ('20230101'), ('20230102')) d(day)""",
         "stadium_dim": """SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS id, CAST(l_suppkey AS VARCHAR) AS city_id,
           'City ' || l_suppkey AS city_name, 'Arena ' || l_partkey AS name,
           CAST(l_partkey * 0.25 AS DOUBLE) AS lat, CAST(l_suppkey * -0.5 AS DOUBLE) AS lng,

@@ -5,27 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+# Schemas are DDL text, which needs no running session; as_struct() turns them into types.
+
+
+def as_struct(schema: str | T.StructType) -> T.StructType:
+    return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+
+
 # ---------------------------------------------------------------- star schema
 
-COMPETITIONS = T.StructType.fromDDL(
+COMPETITIONS = (
     "id BIGINT, number_of_games BIGINT, number_of_match_days BIGINT, number_of_teams BIGINT, "
     "last_updated STRING, caption STRING, year INT, league STRING, url STRING"
 )
-TEAMS = T.StructType.fromDDL("id BIGINT, short_name STRING, short_name2 STRING, name STRING")
-PLACES = T.StructType.fromDDL(
+TEAMS = "id BIGINT, short_name STRING, short_name2 STRING, name STRING"
+PLACES = (
     "id BIGINT, stadium STRING, city STRING, short_name STRING, capacity INT, competition_id BIGINT, "
     "lat DOUBLE, lng DOUBLE"
 )
-STAGES = T.StructType.fromDDL("id INT, title STRING")
-MATCH_STATUS = T.StructType.fromDDL("id INT, status STRING")
-PLAYERS = T.StructType.fromDDL(
+STAGES = "id INT, title STRING"
+MATCH_STATUS = "id INT, status STRING"
+PLAYERS = (
     "id INT, number INT, image STRING, first_name STRING, last_name STRING, position STRING, "
     "team_id INT, birthdate DATE"
 )
-GOALS = T.StructType.fromDDL(
+GOALS = (
     "id BIGINT, match_id BIGINT, player_id BIGINT, team_id BIGINT, minute INT, second INT, text STRING"
 )
-MATCHES = T.StructType.fromDDL(
+MATCHES = (
     "id INT, competition_id BIGINT, place_id BIGINT, stage_id INT, status_id INT, date STRING, "
     "local_date STRING, home_team_id BIGINT, away_team_id BIGINT, goals_home_team INT, goals_away_team INT, "
     "total_home_goals INT, total_away_goals INT, penalty_shootout_home_goals INT, "
@@ -68,44 +75,44 @@ FOREIGN_KEYS = (
     ("goals", "team_id", "teams", "id"),
 )
 
-LINK_MATCH_TO_FIFA = T.StructType.fromDDL("match_id BIGINT, match_id_fifa BIGINT")
-LINK_MATCH_TO_UEFA = T.StructType.fromDDL("match_id BIGINT, match_id_uefa BIGINT")
-LINK_MATCH_TO_SPORTS_RU = T.StructType.fromDDL("match_id BIGINT, match_id_sports_ru BIGINT")
-LINK_STADIUM_TO_UEFA = T.StructType.fromDDL("place_id BIGINT, stadium_id_uefa BIGINT")
+LINK_MATCH_TO_FIFA = "match_id BIGINT, match_id_fifa BIGINT"
+LINK_MATCH_TO_UEFA = "match_id BIGINT, match_id_uefa BIGINT"
+LINK_MATCH_TO_SPORTS_RU = "match_id BIGINT, match_id_sports_ru BIGINT"
+LINK_STADIUM_TO_UEFA = "place_id BIGINT, stadium_id_uefa BIGINT"
 
 # ---------------------------------------------------------------- staging
 
-TOURNAMENT_CALENDAR = T.StructType.fromDDL(
+TOURNAMENT_CALENDAR = (
     "id INT, attendance INT, time INT, year INT, date DATE, tournament_name STRING, tournament_id INT, "
     "stage_name STRING, only_date BOOLEAN, state_id INT, state STRING, status_id INT, status_name STRING, "
     "command1 STRING, command2 STRING, playoff_position INT, final_type INT, other_matches STRING, "
     "dt_updated TIMESTAMP"
 )
-TOURNAMENT_SEASONS = T.StructType.fromDDL("id INT, tournament_id INT, name STRING, dt_updated TIMESTAMP")
-TOURNAMENTS = T.StructType.fromDDL(
+TOURNAMENT_SEASONS = "id INT, tournament_id INT, name STRING, dt_updated TIMESTAMP"
+TOURNAMENTS = (
     "id BIGINT, name STRING, tag_id BIGINT, type STRING, countries STRING, priority STRING, flag STRING, "
     "big_logo STRING, dt_updated TIMESTAMP"
 )
-GOALS_INFO = T.StructType.fromDDL(
+GOALS_INFO = (
     "id INT, player STRING, countryCode STRING, minute INT, second INT, text STRING"
 )
 
 # ---------------------------------------------------------------- landed feeds
 
-LANDED_MATCH = T.StructType.fromDDL(
+LANDED_MATCH = (
     "id BIGINT, `group` STRUCT<metaData: STRUCT<groupName: STRING>>, "
     "round STRUCT<metaData: STRUCT<name: STRING>>, kickOffTime STRUCT<date: STRING>"
 )
-CALENDAR_MATCH = T.StructType.fromDDL("id BIGINT, time BIGINT")
-PLAYER_EVENTS = T.StructType.fromDDL(
+CALENDAR_MATCH = "id BIGINT, time BIGINT"
+PLAYER_EVENTS = (
     "scorers ARRAY<STRUCT<player: STRUCT<translations: STRUCT<name: STRUCT<EN: STRING>>, countryCode: STRING>, "
     "time: STRUCT<minute: INT, second: INT>>>"
 )
-STADIUM_DOCUMENT = T.StructType.fromDDL(
+STADIUM_DOCUMENT = (
     "id STRING, city STRUCT<id: STRING, translations: STRUCT<name: STRUCT<EN: STRING>>>, "
     "translations STRUCT<name: STRUCT<EN: STRING>>, geolocation STRUCT<latitude: DOUBLE, longitude: DOUBLE>"
 )
-GAME_MESSAGE = T.StructType.fromDDL("id BIGINT, team1 STRING, team2 STRING, score STRING")
+GAME_MESSAGE = "id BIGINT, team1 STRING, team2 STRING, score STRING"
 
 # ---------------------------------------------------------------- seeds (fixed values)
 
@@ -141,10 +148,10 @@ STAGE_ROWS = (
 )
 
 
-def _seed(spark: SparkSession, rows: tuple, schema: T.StructType) -> DataFrame:
+def _seed(spark: SparkSession, rows: tuple, schema: str) -> DataFrame:
     # VALUES gives a local relation of known size, so Catalyst broadcasts it on its own.
     values = ", ".join(f"({key}, '{text}')" for key, text in rows)
-    return spark.sql(f"VALUES {values}").toDF(*schema.names)
+    return spark.sql(f"VALUES {values}").toDF(*as_struct(schema).names)
 
 
 def match_status_seed(spark: SparkSession) -> DataFrame:

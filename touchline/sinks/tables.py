@@ -8,20 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from touchline.schemas import as_struct
+
 
 def stamped(df: DataFrame, column: str = "dt_updated") -> DataFrame:
     """Rows with the time of the load."""
     return df.withColumn(column, F.current_timestamp())
 
 
-def in_column_order(df: DataFrame, target: T.StructType | Sequence[str]) -> DataFrame:
+def in_column_order(df: DataFrame, target: str | T.StructType) -> DataFrame:
     """The target's columns in the target's order, cast to its types; columns ``df`` lacks are NULL."""
-    if not isinstance(target, T.StructType):
-        return df.select(*target)
     return df.select(
         *[
             (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in target.fields
+            for f in as_struct(target).fields
         ]
     )
 

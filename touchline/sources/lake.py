@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from enum import Enum
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from touchline.schemas import as_struct
+
 PARTITION_COLUMNS = ("tournament_id", "year", "stage_name", "date")
 MATCH_PARTITION_COLUMNS = (*PARTITION_COLUMNS, "match_id")
 _PARTITION_TYPES = {
@@ -17,6 +20,7 @@ _PARTITION_TYPES = {
     "date": T.StringType(),
     "match_id": T.LongType(),
 }
+Schema = str | T.StructType
 
 # Folder values in both layouts, k=v and bare: /52/2020/Final/2020-06-12/
 _PATH = (
@@ -31,9 +35,9 @@ class SearchOption(Enum):
     TOURNAMENT_YEAR_DATE = 3
 
 
-def lake_schema(data: T.StructType, partitions: tuple[str, ...] = PARTITION_COLUMNS) -> T.StructType:
+def lake_schema(data: Schema, partitions: tuple[str, ...] = PARTITION_COLUMNS) -> T.StructType:
     """File columns plus typed partition columns. A declared schema spares the footer reads."""
-    fields = [field for field in data.fields if field.name not in partitions]
+    fields = [field for field in as_struct(data).fields if field.name not in partitions]
     return T.StructType(fields + [T.StructField(name, _PARTITION_TYPES[name]) for name in partitions])
 
 
@@ -41,7 +45,7 @@ def scan_glob(
     spark: SparkSession,
     root: str,
     pattern: str = "*/*/*/*/*.parquet",
-    schema: T.StructType | None = None,
+    schema: Schema | None = None,
 ) -> DataFrame:
     """All partitions of the files below ``root`` that match ``pattern``; folder values become columns."""
     reader = spark.read.option("basePath", root)
@@ -53,14 +57,35 @@ def scan_glob(
     )
 
 
+def scan_lake(
+    spark: SparkSession,
+    root: str,
+    schema: Schema,
+    tournament_id: int | None = None,
+    year: int | None = None,
+) -> DataFrame:
+    """The k=v lake below ``root``. Giving the leading folders spares listing all the others."""
+    path = root
+    if tournament_id is not None:
+        path += f"/tournament_id={tournament_id}"
+        if year is not None:
+            path += f"/year={year}"
+    try:
+        return spark.read.schema(schema).option("basePath", root).parquet(path)
+    except AnalysisException as error:
+        if path != root and error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
+
+
 def scan_entity(
-    spark: SparkSession, root: str, entity: str, depth: int = 4, schema: T.StructType | None = None
+    spark: SparkSession, root: str, entity: str, depth: int = 4, schema: Schema | None = None
 ) -> DataFrame:
     """One entity of a lake that keeps ``<entity>.parquet`` at the end of every partition path."""
     return scan_glob(spark, root, "/".join(["*"] * depth + [f"{entity}.parquet"]), schema)
 
 
-def scan_files(spark: SparkSession, paths: list[str], schema: T.StructType | None = None) -> DataFrame:
+def scan_files(spark: SparkSession, paths: list[str], schema: Schema | None = None) -> DataFrame:
     """A list of files or folders as one frame; columns only some of them have are NULL elsewhere."""
     reader = spark.read.option("recursiveFileLookup", "true")
     reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")

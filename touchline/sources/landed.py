@@ -8,9 +8,12 @@ from pyspark.sql import types as T
 
 from touchline.functions.dates import compact_day, strict_day
 from touchline.operators.staging import named_like
+from touchline.schemas import as_struct
 
+Schema = str | T.StructType
 
-def read_records(spark: SparkSession, path: str, schema: T.StructType, json_lines: bool = False) -> DataFrame:
+
+def read_records(spark: SparkSession, path: str, schema: Schema, json_lines: bool = False) -> DataFrame:
     """Records of JSON responses: a bare array per file, or one record per line.
 
     Line files can be split between tasks; an array file is read by one task, so keep responses small.
@@ -19,29 +22,29 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType, json_line
 
 
 def read_envelopes(
-    spark: SparkSession, path: str, record: T.StructType, field: str = "Results", json_lines: bool = False
+    spark: SparkSession, path: str, record: Schema, field: str = "Results", json_lines: bool = False
 ) -> DataFrame:
     """Records listed below ``field`` of each response; an empty or missing list gives no rows."""
-    envelope = T.StructType([T.StructField(field, T.ArrayType(record))])
+    envelope = T.StructType([T.StructField(field, T.ArrayType(as_struct(record)))])
     return read_records(spark, path, envelope, json_lines).select(F.inline(field))
 
 
 def read_calendar(
-    spark: SparkSession, path: str, match: T.StructType, json_lines: bool = False, stage: str = "stage_name"
+    spark: SparkSession, path: str, match: Schema, json_lines: bool = False, stage: str = "stage_name"
 ) -> DataFrame:
     """Calendar stages, each with its ``matches`` array (see ``shaping.explode_calendar``)."""
-    schema = T.StructType([T.StructField(stage, T.StringType()), T.StructField("matches", T.ArrayType(match))])
+    schema = T.StructType([T.StructField(stage, T.StringType()), T.StructField("matches", T.ArrayType(as_struct(match)))])
     return read_records(spark, path, schema, json_lines)
 
 
 def read_tournaments(
-    spark: SparkSession, path: str, schema: T.StructType, name: str | None = None, json_lines: bool = False
+    spark: SparkSession, path: str, schema: Schema, name: str | None = None, json_lines: bool = False
 ) -> DataFrame:
     """Tournament or season records, optionally only those whose name contains the pattern."""
     return named_like(read_records(spark, path, schema, json_lines), "name", name)
 
 
-def read_ratings(spark: SparkSession, path: str, schema: T.StructType, day: str, entity: str = "rating") -> DataFrame:
+def read_ratings(spark: SparkSession, path: str, schema: Schema, day: str, entity: str = "rating") -> DataFrame:
     """A rating feed of one day with lower-case key columns and its year, date and entity."""
     rows = spark.read.schema(schema).option("header", "true").csv(path)
     return (

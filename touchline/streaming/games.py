@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from touchline.schemas import as_struct
+
 TOPIC = "sports_games"
 MESSAGE_FIELDS = ("id", "team1", "team2", "score")
 
@@ -28,7 +30,7 @@ def kafka_source(spark: SparkSession, servers: str, topic: str = TOPIC, **option
 def file_source(
     spark: SparkSession,
     path: str,
-    schema: T.StructType,
+    schema: str | T.StructType,
     file_format: str = "parquet",
     files_per_batch: int | None = None,
 ) -> DataFrame:
@@ -54,7 +56,7 @@ def envelopes(messages: DataFrame) -> DataFrame:
     return messages.select(F.col("value").cast("string").alias("value"))
 
 
-def read_messages(messages: DataFrame, schema: T.StructType) -> DataFrame:
+def read_messages(messages: DataFrame, schema: str | T.StructType) -> DataFrame:
     """Message text parsed back into game columns."""
     return envelopes(messages).select(F.from_json("value", schema).alias("g")).select("g.*")
 
@@ -94,9 +96,9 @@ def write_batches(
     )
 
 
-def read_batches(spark: SparkSession, target: str, schema: T.StructType, file_format: str = "parquet") -> DataFrame:
+def read_batches(spark: SparkSession, target: str, schema: str | T.StructType, file_format: str = "parquet") -> DataFrame:
     """All rows written so far, with their ``batch_id``."""
-    full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    full = T.StructType([*as_struct(schema).fields, T.StructField("batch_id", T.LongType())])
     return spark.read.schema(full).format(file_format).option("basePath", target).load(target)
 
 
