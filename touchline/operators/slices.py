@@ -11,6 +11,8 @@ entries numbered k*page … (k+1)*page-1. A slice of a real tournament has the s
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +26,8 @@ _NODE = (*DOCUMENT, "type", "key")
 _SLOTS = 8  # room for the five slots of a match in one whole number
 
 
-def slice_games(schedule: DataFrame, team_images: str = "flag") -> DataFrame:
-    """The columns of schedule rows that make up the graph.
+def slice_games(schedule: DataFrame, team_images: str = "flag", keep: Sequence[str] = ()) -> DataFrame:
+    """The columns of schedule rows that make up the graph, and those in ``keep``.
 
     ``team_images`` picks the code-based ``flag`` files or the name-based ``team`` pictures.
     """
@@ -44,6 +46,7 @@ def slice_games(schedule: DataFrame, team_images: str = "flag") -> DataFrame:
         "stage",
         home.alias("image_path_home"),
         away.alias("image_path_away"),
+        *keep,
     )
 
 
@@ -209,11 +212,11 @@ MATCH_FIELDS = (
 )
 
 
-def numbered_results(results: DataFrame, numbered: DataFrame) -> DataFrame:
-    """Result rows with their document and ``ord``, ready for :func:`documents`."""
-    order = numbered.select(*DOCUMENT, F.col("match_id").alias("_match"), "ord")
-    rows = results.select(*MATCH_FIELDS, "text_part")
-    return rows.join(order, rows["match_id"] == order["_match"]).select(*DOCUMENT, "ord", *rows.columns)
+# Schedule columns the result rows of a document need beyond those of the graph.
+RESULT_COLUMNS = (
+    "status_id", "date", "total_home_goals", "total_away_goals",
+    "penalty_shootout_home_goals", "penalty_shootout_away_goals",
+)
 
 
 def _slice_json() -> Column:
@@ -242,7 +245,8 @@ def _match_json() -> Column:
 def documents(graph: DataFrame, matches: DataFrame, numbered: DataFrame, page: int = PAGE) -> DataFrame:
     """(season, competition, page, document): the JSON documents.
 
-    ``graph`` are the rows of :func:`slices`, ``matches`` those of :func:`numbered_results`. A document is
+    ``graph`` are the rows of :func:`slices`, ``matches`` the result rows of the ``numbered`` games, keeping
+    ``season`` and ``ord``. A document is
     {season, competition, slices sorted by (type, index), matches}. With at most ``page`` entries, which
     six per match bound, it is the single page ``all``. A longer one comes as pages of the same shape,
     such as ``team-0`` or ``match-3``, whose slices and matches together make the whole.

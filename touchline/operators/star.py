@@ -70,30 +70,32 @@ def goals_per_match(goals: DataFrame, order: Sequence[str] = ("id",), page: int
     return ordered_text(goals, ["match_id"], order, "text", "text", part="text_part", page=page)
 
 
-def results(
-    star: Star,
-    season: int | None = None,
-    status_id: int | None = FINISHED,
+def results_of(
+    played: DataFrame,
+    match_status: DataFrame,
+    goals: DataFrame,
     goal_order: Sequence[str] = ("id",),
     how: str = "inner",
     strict: bool = False,
     page: int = PAGE,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Schedule rows with status, goal text and score. With the inner join matches without goals drop out.
+    """Schedule rows (:func:`schedule`) with status, goal text and score, plus the columns in ``keep``.
 
-    A match with more than ``page`` goals has one row per part of its goal text.
+    With the inner join matches without goals drop out. A match with more than ``page`` goals has one row
+    per part of its goal text.
     """
-    played = schedule(star, season, status_id).alias("m")
-    status = star.match_status.alias("ms")
-    lines = goals_per_match(star.goals, goal_order, page).withColumnRenamed("match_id", "_goal_match")
+    m, ms = played.alias("m"), match_status.alias("ms")
+    lines = goals_per_match(goals, goal_order, page).withColumnRenamed("match_id", "_goal_match")
     score = text.score_text(
         F.col("total_home_goals"), F.col("total_away_goals"),
         F.col("penalty_shootout_home_goals"), F.col("penalty_shootout_away_goals"), strict,
     )
     return (
-        played.join(status, F.col("m.status_id") == F.col("ms.id"))
+        m.join(ms, F.col("m.status_id") == F.col("ms.id"))
         .join(lines, F.col("m.match_id") == F.col("_goal_match"), how)
         .select(
+            *keep,
             "match_id",
             "competition",
             F.col("ms.status").alias("status"),
@@ -118,6 +120,21 @@ def results(
     )
 
 
+def results(
+    star: Star,
+    season: int | None = None,
+    status_id: int | None = FINISHED,
+    goal_order: Sequence[str] = ("id",),
+    how: str = "inner",
+    strict: bool = False,
+    page: int = PAGE,
+) -> DataFrame:
+    """The result list of the star tables, see :func:`results_of`."""
+    return results_of(
+        schedule(star, season, status_id), star.match_status, star.goals, goal_order, how, strict, page
+    )
+
+
 def goals_by_season(matches: DataFrame, goals_of_match: DataFrame, keys: Sequence[str] = ("competition", "season")) -> DataFrame:
     """Goals, matches and mean goals per match for each championship and season.
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from touchline.functions import dates
 from touchline.functions.cleaning import NO_BREAK_SPACE
@@ -18,8 +19,15 @@ from touchline.schemas import match_status_seed
 GOAL_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "text")
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the driver's tables. Its schema is read from the file once, then declared."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def unix_seconds(moment: Column) -> Column:

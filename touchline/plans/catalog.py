@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from touchline.functions import dates
 from touchline.functions.cleaning import clean, reject_counts
 from touchline.operators import quality, shaping, slices, staging, star
-from touchline.plans import analog
+from touchline.plans import analog, flows
 from touchline.plans.analog import table
 from touchline.plans.models import materialize
 from touchline.schemas import CALENDAR_MATCH, GAME_MESSAGE, match_status_seed
@@ -595,11 +595,9 @@ _SLICE_JSON = (
 
 def _landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document text after a round trip through JSON line files."""
-    tables = analog.star_tables(spark, sf_dir)
-    numbered = slices.number_games(_scored_games(spark, sf_dir))
-    results = slices.numbered_results(star.results(tables, goal_order=analog.GOAL_ORDER), numbered)
+    documents = flows.season_documents(analog.star_tables(spark, sf_dir), goal_order=analog.GOAL_ORDER)
     path = scratch_path(spark, "documents")
-    table_sink.write_documents(slices.documents(slices.slices(numbered), results, numbered), path)
+    table_sink.write_documents(documents, path)
     return spark.read.text(path)
 
 

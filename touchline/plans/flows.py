@@ -75,10 +75,15 @@ def fact_load(source_matches: DataFrame, tables: star.Star, links: DataFrame, se
 def season_documents(
     tables: star.Star, season: int | None = None, goal_order: Sequence[str] = ("id",), page: int = slices.PAGE
 ) -> DataFrame:
-    """The slice documents of one season, or of all seasons, over finished matches with goals."""
-    games = slices.games_with_goals(slices.slice_games(star.schedule(tables, season)), tables.goals)
-    numbered = slices.number_games(games)
-    matches = slices.numbered_results(star.results(tables, season, goal_order=goal_order, page=page), numbered)
+    """The slice documents of one season, or of all seasons, over finished matches with goals.
+
+    The schedule is joined once: the numbered games carry what their result rows need.
+    """
+    games = slices.slice_games(star.schedule(tables, season), keep=slices.RESULT_COLUMNS)
+    numbered = slices.number_games(slices.games_with_goals(games, tables.goals))
+    matches = star.results_of(
+        numbered, tables.match_status, tables.goals, goal_order, page=page, keep=("season", "ord")
+    )
     return slices.documents(slices.slices(numbered, page), matches, numbered, page)
 
 

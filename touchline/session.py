@@ -18,6 +18,8 @@ RUNTIME_CONF = {
     # Lake dates look like integers (date=20200612); keep partition values as the text they are.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Recording a stack trace for every Column call costs more than building the plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 STATIC_CONF = {
