@@ -1,0 +1,30 @@
+"""Every registered query against its SQL twin."""
+
+import pytest
+
+import __spark_entry__ as entry
+from compare import connect, difference
+
+SF = "/root/testdata/sf0.001"
+QUERIES = entry.queries()
+SQL = entry.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return connect(SF)
+
+
+def test_every_query_has_a_twin():
+    assert set(QUERIES) == set(SQL)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query(spark, duck, name):
+    assert difference(QUERIES[name](spark, SF), duck, SQL[name]) is None
+
+
+def test_entry(spark):
+    result = entry.entry(spark)
+    assert result.columns[:5] == ["season", "competition", "index", "type", "key"]
+    assert result.limit(1).count() == 1
