@@ -75,3 +75,9 @@ def test_ordered_text(spark, rows):
 def test_ordered_text_is_not_truncated(spark):
     goals = spark.range(2000).select(F.lit(1).alias("m"), "id", F.lit("0123456789").alias("text"))
     assert len(ordered_text(goals, ["m"], ["id"], "text", "text").first()["text"]) == 2000 * 11 - 1
+
+
+def test_unique_order_needs_no_tie(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
+    found = number_within(df, ["k"], ["id"], "n", unique=True).collect()
+    assert all(r.n == r.id // 3 for r in found)

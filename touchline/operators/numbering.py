@@ -35,17 +35,25 @@ def small_side(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
-def number_within(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+def number_within(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], name: str, unique: bool = False
+) -> DataFrame:
     """Add ``name``: 0, 1, 2, … per group in the given order; ties are numbered arbitrarily.
 
     The placed rows are written to the shared folder, so that the counts and the rows see the same
-    partition bounds however often a stage runs again.
+    partition bounds however often a stage runs again. Unless the order is known to be ``unique`` inside
+    a group, a row number breaks ties, which lets the ranges also cut through copies that agree in every
+    ordering column. A repeated task must give the same numbers again, so they are taken from rows that
+    have been written before.
     """
-    # "_tie" lets the ranges also cut through copies that agree in every ordering column.
+    ranges = [*group, *order]
+    rows = df
+    if not unique:
+        rows = cut_lineage(df).withColumn("_tie", F.monotonically_increasing_id())
+        ranges.append("_tie")
     placed = cut_lineage(
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(*group, *order, "_tie")
-        .sortWithinPartitions(*group, *order, "_tie")
+        rows.repartitionByRange(*ranges)
+        .sortWithinPartitions(*ranges)
         .withColumn("_at", F.monotonically_increasing_id())
         .withColumn("_task", F.shiftright("_at", _LOCAL_BITS))
     )

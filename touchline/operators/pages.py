@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.operators.numbering import number_within, same_key
+from touchline.operators.numbering import number_within, same_key, small_side
+from touchline.session import cut_lineage
 
 PAGE = 10_000
 
@@ -31,10 +32,11 @@ def paged_list(
     """
     columns = list(dict.fromkeys([*keys, *order, value]))
     rows = df.select(*columns)
-    large = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > page).select(*keys)
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    large = cut_lineage(counts.where(F.col("_rows") > page).select(*keys))
     if large.isEmpty():
         return _collect(rows.withColumn(part, F.lit(0).cast("bigint")), keys, order, value, name, part)
-    # Few keys can be this large (rows / page), so Spark normally broadcasts them once it knows the size.
+    large = small_side(large)
     small_rows = rows.join(large, same_key(rows, large, keys), "left_anti")
     large_rows = rows.join(large, same_key(rows, large, keys), "left_semi")
     numbered = number_within(large_rows, keys, order, "_position")

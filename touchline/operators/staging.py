@@ -55,7 +55,7 @@ def rank_seasons(seasons: DataFrame, name: str = "season_rank") -> DataFrame:
     Ranks come from the distinct names; these are numbered without putting a tournament into one task.
     """
     names = seasons.select("tournament_id", F.col("name").alias("season_name")).distinct()
-    numbered = number_within(names, ["tournament_id"], ["season_name"], "_up")
+    numbered = number_within(names, ["tournament_id"], ["season_name"], "_up", unique=True)
     totals = names.groupBy("tournament_id").agg(F.count(F.lit(1)).alias("_total"))
     ranks = numbered.join(totals, "tournament_id").select(
         F.col("tournament_id").alias("_tournament"), "season_name", (F.col("_total") - F.col("_up")).alias(name)

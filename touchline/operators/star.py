@@ -135,16 +135,23 @@ def results(
     )
 
 
-def goals_by_season(matches: DataFrame, goals_of_match: DataFrame, keys: Sequence[str] = ("competition", "season")) -> DataFrame:
+def goals_by_season(matches: DataFrame, competitions: DataFrame, goals_of_match: DataFrame) -> DataFrame:
     """Goals, matches and mean goals per match for each championship and season.
 
     ``goals_of_match`` is (match_id, n_goals): goals are summed per match before they meet the matches.
+    Sums per competition id come before its caption and year are looked up.
     """
-    joined = matches.join(goals_of_match, "match_id")
-    return joined.groupBy(*keys).agg(
-        F.sum("n_goals").alias("n_goals"),
-        F.count(F.lit(1)).alias("n_matches"),
-        F.avg("n_goals").alias("goals_per_match"),
+    m, g = matches.alias("m"), goals_of_match.alias("g")
+    sums = (
+        m.join(g, F.col("m.id") == F.col("g.match_id"))
+        .groupBy("m.competition_id")
+        .agg(F.sum("g.n_goals").alias("n_goals"), F.count(F.lit(1)).alias("n_matches"))
+    )
+    named = sums.join(competitions.alias("c"), F.col("competition_id") == F.col("c.id"))
+    return (
+        named.groupBy(F.col("c.caption").alias("competition"), F.col("c.year").alias("season"))
+        .agg(F.sum("n_goals").alias("n_goals"), F.sum("n_matches").alias("n_matches"))
+        .withColumn("goals_per_match", F.col("n_goals") / F.col("n_matches"))
     )
 
 

@@ -544,11 +544,10 @@ def ordered_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def goals_by_season(spark: SparkSession, sf_dir: str) -> DataFrame:
-    games = star.schedule(analog.star_tables(spark, sf_dir), status_id=None)
     goals = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("match_id")).agg(
         F.sum(F.floor("l_quantity")).alias("n_goals")
     )
-    return star.goals_by_season(games, goals)
+    return star.goals_by_season(analog.matches(spark, sf_dir), analog.competitions(spark, sf_dir), goals)
 
 
 # ---------------------------------------------------------------- slice graph
