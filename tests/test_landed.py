@@ -53,6 +53,16 @@ def test_envelopes(spark, tmp_path, rows):
     assert rows(found) == [(1, "x"), (2, "y")]
 
 
+def test_keyed_responses(spark, tmp_path, rows):
+    for match_id in (7, 8):
+        folder = tmp_path / f"match_id={match_id}"
+        folder.mkdir()
+        write(folder / "r.json", [{"attendance": match_id * 10}])
+    found = landed.read_keyed(spark, str(tmp_path), "attendance INT", "match_id BIGINT")
+    assert rows(found) == [(70, 7), (80, 8)]
+    assert rows(found.where("match_id = 8")) == [(80, 8)]
+
+
 def test_tournaments_by_name(spark, tmp_path, rows):
     feed = write(tmp_path / "t.json", [{"id": 1, "name": "World Cup"}, {"id": 2, "name": "League"}, {"id": 3}])
     schema = "id BIGINT, name STRING"

@@ -52,3 +52,10 @@ def test_created_table(spark, rows):
     sink.create_table(spark.range(2).withColumn("y", F.lit(1)), "made_table", ["y"])
     assert rows(spark.table("made_table"), "id") == [(0,), (1,)]
     spark.sql("DROP TABLE made_table")
+
+
+def test_insert_by_name(spark, rows):
+    sink.create_table(spark.sql("SELECT 1 AS id, 'a' AS t"), "insert_target")
+    sink.insert_rows(spark.sql("SELECT 'b' AS t, 2L AS id"), "insert_target")
+    assert rows(spark.table("insert_target")) == [(1, "a"), (2, "b")]
+    spark.sql("DROP TABLE insert_target")

@@ -138,6 +138,17 @@ def scan_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.read_records(spark, path, records.schema, json_lines=True)
 
 
+@register
+def scan_json_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as the records of one response folder per nation."""
+    rows = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_acctbal", F.col("c_nationkey").alias("tag")
+    )
+    path = scratch_path(spark, "keyed")
+    rows.write.partitionBy("tag").json(path)
+    return landed.read_keyed(spark, path, rows.drop("tag").schema, "tag INT", json_lines=True)
+
+
 def _calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as calendar stages of two matches, at noon and one minute after the next midnight."""
     seconds = analog.unix_seconds(F.col("o_orderdate"))
@@ -345,6 +356,17 @@ def stadium_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.link_stadiums(analog.stadiums(spark, sf_dir), analog.places(spark, sf_dir))
 
 
+@register
+def stadium_link_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The link as a table created from the query, plus one more inserted load of it."""
+    links = star.link_stadiums(analog.stadiums(spark, sf_dir), analog.places(spark, sf_dir))
+    path = scratch_path(spark, "link")
+    name = "link_" + path.rsplit("-", 1)[1]
+    table_sink.create_table(links, name, path=path)
+    table_sink.insert_rows(links.select("stadium_id_uefa", "place_id"), name)
+    return spark.table(name).groupBy("place_id", "stadium_id_uefa").agg(F.count(F.lit(1)).alias("n_loads"))
+
+
 @register
 def duplicate_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.duplicate_places(analog.places(spark, sf_dir))

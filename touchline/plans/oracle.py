@@ -133,6 +133,7 @@ def oracle_sql() -> dict[str, str]:
           CAST(2023 AS INT) AS year, '20230101' AS date, 'rating' AS entity FROM customer""",
         "scan_json_envelope": "SELECT c_custkey, c_name, c_nationkey FROM customer",
         "scan_json_array": "SELECT p_partkey, p_name, p_size, p_retailprice FROM part",
+        "scan_json_keyed": "SELECT c_custkey, c_name, c_acctbal, c_nationkey AS tag FROM customer",
         "calendar_explode": f"WITH {_CALENDAR} SELECT * FROM calendar",
         "calendar_one_day": f"WITH {_CALENDAR} SELECT * FROM calendar WHERE date = '1998-07-01'",
         "filter_contains": """SELECT p_partkey, p_name, p_brand FROM part
@@ -187,6 +188,9 @@ def oracle_sql() -> dict[str, str]:
         "stadium_link": """SELECT p.id AS place_id, s.p_partkey AS stadium_id_uefa FROM part s
           JOIN (SELECT p_retailprice, p_size, min(p_partkey) AS id FROM part GROUP BY p_retailprice, p_size) p
           ON p.p_retailprice = s.p_retailprice AND p.p_size = s.p_size WHERE s.p_size >= 10""",
+        "stadium_link_table": """SELECT p.id AS place_id, s.p_partkey AS stadium_id_uefa, 2 * count(*) AS n_loads
+          FROM part s JOIN (SELECT p_retailprice, p_size, min(p_partkey) AS id FROM part GROUP BY p_retailprice, p_size) p
+          ON p.p_retailprice = s.p_retailprice AND p.p_size = s.p_size WHERE s.p_size >= 10 GROUP BY ALL""",
         "duplicate_places": """SELECT p_partkey AS id, p_brand AS stadium, p_type AS city, p_size AS capacity,
           p_retailprice AS lat, CAST(p_size AS DOUBLE) AS lng, n_places FROM part JOIN
           (SELECT p_retailprice, p_size, count(*) AS n_places FROM part GROUP BY ALL HAVING count(*) > 1) d

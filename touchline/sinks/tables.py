@@ -43,14 +43,23 @@ def append_jdbc(df: DataFrame, table: str, options: Mapping[str, str], column_ty
     writer.save()
 
 
-def create_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), mode: str = "errorifexists") -> None:
-    """Create a catalog table from a query."""
+def create_table(
+    df: DataFrame, name: str, partition_by: Sequence[str] = (), mode: str = "errorifexists", path: str | None = None
+) -> None:
+    """Create a catalog table from a query, at ``path`` when given."""
     writer = df.write.mode(mode).format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if path:
+        writer = writer.option("path", path)
     writer.saveAsTable(name)
 
 
+def insert_rows(df: DataFrame, name: str) -> None:
+    """Append to a catalog table, with the columns put into the table's order and types."""
+    in_column_order(df, df.sparkSession.table(name).schema).write.insertInto(name)
+
+
 def write_documents(documents: DataFrame, path: str, column: str = "document", keys: Sequence[str] = ()) -> None:
     """One JSON document per line, optionally in folders by key."""
     writer = documents.select(*keys, F.col(column).alias("value")).write.mode("overwrite")

@@ -21,6 +21,17 @@ def read_records(spark: SparkSession, path: str, schema: Schema, json_lines: boo
     return spark.read.schema(schema).option("multiLine", not json_lines).json(path)
 
 
+def read_keyed(
+    spark: SparkSession, root: str, schema: Schema, keys: Schema, json_lines: bool = False
+) -> DataFrame:
+    """Responses landed in folders named by their request, such as ``match_id=7`` or ``tag=cup/date=20200612``.
+
+    ``keys`` declares the folder names and types; they become columns, and filters on them skip folders.
+    """
+    whole = T.StructType(as_struct(schema).fields + as_struct(keys).fields)
+    return read_records(spark, root, whole, json_lines)
+
+
 def read_envelopes(
     spark: SparkSession, path: str, record: Schema, field: str = "Results", json_lines: bool = False
 ) -> DataFrame:
