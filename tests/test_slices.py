@@ -148,3 +148,13 @@ def test_schedule_slices(tables, rows):
 def test_results_join_keeps_only_scored_games(tables):
     games = slices.slice_games(star.schedule(tables))
     assert sorted(r.match_id for r in slices.games_with_goals(games, tables.goals).collect()) == [1, 2, 5]
+
+
+def test_unknown_names_stay_in_the_graph(games):
+    """A stadium without a name is a slice like any other."""
+    unknown = games.withColumn("stadium", F.lit(None).cast("string"))
+    found = {r["index"]: r for r in slices.slices(slices.number_games(unknown)).collect()}
+    assert len(found) == 7
+    assert (found[2].type, found[2].key, found[2].city) == ("place", None, "Town")
+    assert found[2].dependencies == [0, 1, 3, 4, 5, 6] and found[2].matches == [1, 2]
+    assert 2 in found[0].dependencies

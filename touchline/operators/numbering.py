@@ -27,12 +27,23 @@ def same_key(left: DataFrame, right: DataFrame, names: Sequence[str]):
     return condition
 
 
-def small_side(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
-    """``df`` marked for broadcast when it is counted to hold at most ``limit`` rows, else unchanged.
+def join_same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Inner join on the named columns, in which NULL keys meet too."""
+    renamed = right.select(*[F.col(c).alias(f"_same_{c}") if c in names else F.col(c) for c in right.columns])
+    condition = F.lit(True)
+    for name in names:
+        condition = condition & left[name].eqNullSafe(F.col(f"_same_{name}"))
+    return left.join(renamed, condition).drop(*[f"_same_{name}" for name in names])
 
-    Meant for materialized frames, where counting is cheap.
-    """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+def is_small(df: DataFrame, limit: int = SMALL_ROWS) -> bool:
+    """Whether a written frame, which is cheap to count, is few enough rows to broadcast."""
+    return df.limit(limit + 1).count() <= limit
+
+
+def small_side(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
+    """``df`` marked for broadcast when it is counted to hold at most ``limit`` rows, else unchanged."""
+    return F.broadcast(df) if is_small(df, limit) else df
 
 
 def number_within(
@@ -60,13 +71,8 @@ def number_within(
     runs = placed.groupBy("_task", *group).agg(F.min("_at").alias("_from"), F.count(F.lit(1)).alias("_rows"))
     # A group has at most one run per range partition, so this window never sees more rows than tasks.
     earlier = Window.partitionBy(*group).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = runs.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).select(
-        *[F.col(key).alias(f"_run_{key}") for key in ("_task", *group)], "_from", "_before"
-    )
-    joined = placed.join(
-        small_side(cut_lineage(shifts)),
-        on=[placed[key].eqNullSafe(F.col(f"_run_{key}")) for key in ("_task", *group)],
-    )
+    shifts = runs.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
+    joined = join_same(placed, small_side(cut_lineage(shifts)), ["_task", *group])
     return joined.select(*df.columns, (F.col("_before") + F.col("_at") - F.col("_from")).alias(name))
 
 
@@ -81,12 +87,8 @@ def number_by_block(
     blocked = df.withColumn("_block", F.expr(f"{order} div {block}"))
     sizes = blocked.groupBy(*group, "_block").agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
     inside = Window.partitionBy(*group, "_block").orderBy(order)
     ranked = blocked.withColumn("_rank", F.row_number().over(inside))
-    keys = (*group, "_block")
-    joined = ranked.join(
-        sizes.select(*[F.col(key).alias(f"_size_{key}") for key in keys], "_before"),
-        on=[ranked[key].eqNullSafe(F.col(f"_size_{key}")) for key in keys],
-    )
+    joined = join_same(ranked, sizes, [*group, "_block"])
     return joined.select(*df.columns, (F.col("_before") + F.col("_rank") - 1).alias(name))

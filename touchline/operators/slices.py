@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions import dates, text
-from touchline.operators.numbering import number_by_block, number_within, small_side
+from touchline.operators.numbering import is_small, join_same, number_by_block, number_within, small_side
 from touchline.operators.pages import PAGE
 from touchline.session import cut_lineage
 
@@ -84,19 +84,20 @@ def nodes(numbered: DataFrame) -> DataFrame:
     """(season, competition, index, type, key, city, image_path, n_matches), one row per slice.
 
     City and image are those of the game the slice first appears in; they are looked up afterwards, so
-    that the large aggregation only keeps numbers and stays a hash aggregation. The finished nodes are few
-    compared to the games and are written to the shared folder, because every list needs their indexes.
+    that the large aggregation only keeps numbers and stays a hash aggregation. Nodes are few compared to
+    the games and are written to the shared folder, because every list needs their indexes.
     """
     found = (
         occurrences(numbered)
         .groupBy(*_NODE)
         .agg(F.min(F.col("ord") * _SLOTS + F.col("slot")).alias("first"), F.count(F.lit(1)).alias("n_matches"))
     )
-    indexed = number_by_block(found, DOCUMENT, "first", "index").withColumn("ord", F.expr(f"first div {_SLOTS}"))
+    indexed = cut_lineage(number_by_block(found, DOCUMENT, "first", "index"))
+    indexed = small_side(indexed.withColumn("ord", F.expr(f"first div {_SLOTS}")))
     looks = numbered.select(*DOCUMENT, "ord", "city", "image_path_home", "image_path_away")
     slot = F.col("first") % _SLOTS
     image = F.when(slot == 0, F.col("image_path_home")).when(slot == 1, F.col("image_path_away"))
-    described = indexed.join(looks, [*DOCUMENT, "ord"]).select(
+    described = join_same(looks, indexed, [*DOCUMENT, "ord"]).select(
         *DOCUMENT, "index", "type", "key", F.when(slot == 2, F.col("city")).alias("city"),
         image.alias("image_path"), "n_matches",
     )
@@ -135,20 +136,20 @@ def _links(numbered: DataFrame) -> DataFrame:
     return once.select(*DOCUMENT, F.inline(both))
 
 
-def _with_target_index(links: DataFrame, graph_nodes: DataFrame) -> DataFrame:
+def _with_target_index(links: DataFrame, graph_nodes: DataFrame, few: bool) -> DataFrame:
     target = graph_nodes.select(
         *DOCUMENT, F.col("type").alias("to_type"), F.col("key").alias("to_key"), F.col("index").alias("dependency")
     )
-    return links.join(small_side(target), [*DOCUMENT, "to_type", "to_key"])
+    return join_same(links, F.broadcast(target) if few else target, [*DOCUMENT, "to_type", "to_key"])
 
 
 def edges(numbered: DataFrame, graph_nodes: DataFrame | None = None) -> DataFrame:
     """(season, competition, index, dependency): symmetric, distinct, never between equal types."""
     graph_nodes = nodes(numbered) if graph_nodes is None else graph_nodes
+    few = is_small(graph_nodes)
     own = graph_nodes.select(*_NODE, "index")
-    return _with_target_index(_links(numbered), graph_nodes).join(small_side(own), list(_NODE)).select(
-        *DOCUMENT, "index", "dependency"
-    )
+    linked = _with_target_index(_links(numbered), graph_nodes, few)
+    return join_same(linked, F.broadcast(own) if few else own, _NODE).select(*DOCUMENT, "index", "dependency")
 
 
 def _sorted_list(condition: Column, entry: Column) -> Column:
@@ -158,10 +159,11 @@ def _sorted_list(condition: Column, entry: Column) -> Column:
 def slices(numbered: DataFrame, page: int = PAGE) -> DataFrame:
     """One row per slice and part, with the sorted ``matches`` and ``dependencies`` of that part."""
     graph_nodes = nodes(numbered)
+    few = is_small(graph_nodes)
     match_entries = occurrences(numbered).select(
         *_NODE, F.expr(f"ord div {page}").alias("part"), F.col("ord").alias("position"), "match_id"
     )
-    dependency_entries = _with_target_index(_links(numbered), graph_nodes).select(
+    dependency_entries = _with_target_index(_links(numbered), graph_nodes, few).select(
         *_NODE,
         F.expr(f"dependency div {page}").alias("part"),
         F.col("dependency").alias("position"),
@@ -177,7 +179,7 @@ def slices(numbered: DataFrame, page: int = PAGE) -> DataFrame:
         )
         .select(*_NODE, "part", F.col("placed.match_id").alias("matches"), "dependencies")
     )
-    return parts.join(small_side(graph_nodes), list(_NODE)).select(
+    return join_same(parts, F.broadcast(graph_nodes) if few else graph_nodes, _NODE).select(
         *DOCUMENT, "index", "type", "key", "city", "image_path", "part", "n_matches", "matches", "dependencies"
     )
 
@@ -271,7 +273,7 @@ def documents(graph: DataFrame, matches: DataFrame, numbered: DataFrame, page: i
         F.lit(None).cast("string").alias("slice"),
         _match_json().alias("match"),
     )
-    paged = slice_entries.unionByName(match_entries).join(sizes, list(DOCUMENT))
+    paged = join_same(slice_entries.unionByName(match_entries), sizes, DOCUMENT)
     paged = paged.withColumn("page", F.when(F.col("fits") & F.col("first_part"), "all").otherwise(F.col("label")))
     grouped = paged.groupBy(*DOCUMENT, "page").agg(
         _sorted_list(F.col("slice").isNotNull(), F.struct("place", F.col("slice").alias("entry"))).alias("slices"),
