@@ -112,6 +112,7 @@ def test_cleaner_on_typed_columns(spark):
     config = {"i": "int", "f": "float", "b0": "bool", "b1": "bool"}
     row = cleaning.clean(df, config).first()
     assert (row.i, row.f, row.b0, row.b1, row.s, row.a, row.n) == (12, 0.0, False, True, '{"id":1}', "[1,2]", "5")
+    assert row.j == '""'
 
 
 def test_split_rejects(spark, rows):

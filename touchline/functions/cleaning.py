@@ -73,6 +73,8 @@ def _json(source: Column, kind: T.DataType) -> tuple[Column, Column]:
     if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
         document = F.to_json(source)
     else:
+        if isinstance(kind, (T.DoubleType, T.FloatType)):
+            source = F.when(~F.isnan(source), source)
         # to_json takes no scalars: quote inside a one-element array and drop the brackets.
         listed = F.to_json(F.array(source))
         document = F.when(source.isNotNull(), F.substring(listed, F.lit(2), F.length(listed) - 2))

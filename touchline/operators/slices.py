@@ -253,7 +253,7 @@ def documents(graph: DataFrame, matches: DataFrame, numbered: DataFrame, page: i
     six per match bound, it is the single page ``all``. A longer one comes as pages of the same shape,
     such as ``team-0`` or ``match-3``, whose slices and matches together make the whole.
     """
-    block = max(1, page // 100)  # a slice of a long document may itself list up to 2 * page numbers
+    block = max(1, page // 20)  # entries of a long document may themselves be lists and texts of page length
     sizes = numbered.groupBy(*DOCUMENT).agg((F.count(F.lit(1)) * 6 <= page).alias("fits"))
     slice_entries = graph.select(
         *DOCUMENT,
@@ -266,7 +266,7 @@ def documents(graph: DataFrame, matches: DataFrame, numbered: DataFrame, page: i
     match_entries = matches.select(
         *DOCUMENT,
         (F.col("text_part") == 0).alias("first_part"),
-        F.concat_ws("-", F.lit("match"), F.expr(f"ord div {page}"), F.expr("nullif(text_part, 0)")).alias("label"),
+        F.concat_ws("-", F.lit("match"), F.expr(f"ord div {block}"), F.expr("nullif(text_part, 0)")).alias("label"),
         F.struct(F.lit("match").alias("type"), F.col("ord").alias("index"), F.col("text_part").alias("part")).alias(
             "place"
         ),

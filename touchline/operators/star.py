@@ -296,3 +296,9 @@ def with_status_id(matches: DataFrame, match_status: DataFrame, column: str = "s
     """Matches with the id of their status text; unknown texts keep the row with a NULL id."""
     seed = match_status.select(F.col("id").alias("status_id"), F.col("status").alias("_status"))
     return matches.join(seed, F.lower(F.col(column)) == F.col("_status"), "left").drop("_status")
+
+
+def with_stage_id(matches: DataFrame, stages: DataFrame, column: str = "stage") -> DataFrame:
+    """Matches with the id of their stage title; unknown titles keep the row with a NULL id."""
+    seed = stages.select(F.col("id").alias("stage_id"), F.col("title").alias("_title"))
+    return matches.join(seed, F.col(column) == F.col("_title"), "left").drop("_title")

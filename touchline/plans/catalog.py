@@ -13,7 +13,7 @@ from touchline.operators import quality, shaping, slices, staging, star
 from touchline.plans import analog, flows
 from touchline.plans.analog import table
 from touchline.plans.models import materialize
-from touchline.schemas import CALENDAR_MATCH, GAME_MESSAGE, match_status_seed
+from touchline.schemas import CALENDAR_MATCH, GAME_MESSAGE, match_status_seed, stage_seed
 from touchline.session import configure, scratch_path
 from touchline.sinks import lake as lake_sink
 from touchline.sinks import tables as table_sink
@@ -298,9 +298,11 @@ def model_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 def seed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.when(F.col("o_orderstatus") == "O", "Upcoming").when(F.col("o_orderstatus") == "F", "FINISHED")
     rows = table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.coalesce(status, F.lit("abandoned")).alias("status")
+        "o_orderkey",
+        F.coalesce(status, F.lit("abandoned")).alias("status"),
+        F.concat(F.lit("Group "), F.substring("o_orderpriority", 1, 1)).alias("stage"),
     )
-    return star.with_status_id(rows, match_status_seed(spark))
+    return star.with_stage_id(star.with_status_id(rows, match_status_seed(spark)), stage_seed(spark))
 
 
 @register

@@ -114,6 +114,9 @@ _GAME_EVENTS = """SELECT user_id AS id, event_type AS team1, 'v-' || event_type
 _NEW_STATUS = """CASE o_orderstatus WHEN 'O' THEN 'Upcoming' WHEN 'F' THEN 'FINISHED' ELSE 'abandoned' END"""
 _STATUS_SEED = "(VALUES (1, 'upcoming'), (2, 'finished'), (3, 'canceled')) ms(id, status)"
 
+_STAGE_SEED = """(VALUES (3, 'Group A'), (4, 'Group 1'), (5, 'Group B'), (6, 'Group 2'), (7, 'Group C'), (8, 'Group 3'),
+  (9, 'Group D'), (10, 'Group 4'), (11, 'Group E'), (12, 'Group 5'), (21, 'Final')) st(id, title)"""
+
 
 def _orphans(child: str, column: str, parent: str, parent_column: str, source: str | None = None) -> str:
     return f"""SELECT '{child}' AS child_table, '{column}' AS child_column, '{parent}' AS parent_table,
@@ -162,8 +165,10 @@ def oracle_sql() -> dict[str, str]:
           CAST(l_partkey * 0.25 AS DOUBLE) AS lat, CAST(l_suppkey * -0.5 AS DOUBLE) AS lng,
           CAST(year(l_shipdate) AS INT) AS "seasonYear" FROM lineitem""",
         "model_view": "SELECT DISTINCT event_id, user_id, event_type, value FROM events",
-        "seed_lookup": f"""SELECT o_orderkey, {_NEW_STATUS} AS status, ms.id AS status_id FROM orders
-          LEFT JOIN {_STATUS_SEED} ON ms.status = lower({_NEW_STATUS})""",
+        "seed_lookup": f"""SELECT o_orderkey, {_NEW_STATUS} AS status, ms.id AS status_id,
+          'Group ' || substr(o_orderpriority, 1, 1) AS stage, st.id AS stage_id FROM orders
+          LEFT JOIN {_STATUS_SEED} ON ms.status = lower({_NEW_STATUS})
+          LEFT JOIN {_STAGE_SEED} ON st.title = 'Group ' || substr(o_orderpriority, 1, 1)""",
         "star_schedule": f"WITH {_GAME} {_SCHEDULE}",
         "star_schedule_season": f"WITH {_GAME} {_SCHEDULE} AND season = 1998",
         "star_results": f"""WITH {_GAME}, {_GOALS} SELECT g.match_id, competition, 'finished' AS status,
