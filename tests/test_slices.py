@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brute import brute_force
-from touchline.operators import slices, star
+from touchline.operators import numbering, slices, star
 from touchline.plans import flows
 
 
@@ -69,6 +69,22 @@ def test_graph_matches_brute_force(skewed, page):
     assert dict(found) == expected
 
 
+def test_graph_without_any_broadcast(spark, skewed, monkeypatch):
+    """Nodes too many to broadcast: all joins shuffle, the result is the same."""
+    monkeypatch.setattr(numbering, "SMALL_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        parts = slices.slices(slices.number_games(skewed))
+        assert "Broadcast" not in parts._jdf.queryExecution().executedPlan().toString()
+        expected = brute_force(skewed.collect())
+        found = {(r.season, r.competition, r["index"]): (r.key, r.matches, r.dependencies) for r in parts.collect()}
+        assert found == {k: (v["key"], v["matches"], v["dependencies"]) for k, v in expected.items()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
 def test_edges_are_symmetric_between_types(skewed):
     numbered = slices.number_games(skewed)
     nodes = slices.nodes(numbered)

@@ -36,14 +36,14 @@ def join_same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> DataFr
     return left.join(renamed, condition).drop(*[f"_same_{name}" for name in names])
 
 
-def is_small(df: DataFrame, limit: int = SMALL_ROWS) -> bool:
+def is_small(df: DataFrame) -> bool:
     """Whether a written frame, which is cheap to count, is few enough rows to broadcast."""
-    return df.limit(limit + 1).count() <= limit
+    return df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
 
 
-def small_side(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
-    """``df`` marked for broadcast when it is counted to hold at most ``limit`` rows, else unchanged."""
-    return F.broadcast(df) if is_small(df, limit) else df
+def small_side(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast when it is counted to be small, else unchanged."""
+    return F.broadcast(df) if is_small(df) else df
 
 
 def number_within(

@@ -18,6 +18,9 @@ RUNTIME_CONF = {
     # Lake dates look like integers (date=20200612); keep partition values as the text they are.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Stream state with a row per game may outgrow executor memory; RocksDB keeps it on disk.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 STATIC_CONF = {
