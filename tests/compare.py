@@ -21,9 +21,8 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _plain(value):
-    if isinstance(value, (Decimal, float)):
-        return float(f"{float(value):.12g}")
-    return value
+    """Doubles have to agree to the last digit, and -0.0 is not 0.0."""
+    return repr(float(value)) if isinstance(value, (Decimal, float)) else value
 
 
 def difference(spark_frame, connection: duckdb.DuckDBPyConnection, sql: str) -> str | None:

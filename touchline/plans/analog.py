@@ -287,7 +287,7 @@ def stadium_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         english(F.concat(F.lit("Arena "), part)).alias("translations"),
         F.struct(
             (F.col("l_partkey") * 0.25).cast("double").alias("latitude"),
-            (F.col("l_suppkey") * -0.5).cast("double").alias("longitude"),
+            (F.col("l_suppkey") * 0.5 - 90).cast("double").alias("longitude"),
         ).alias("geolocation"),
     )
     return table(spark, sf_dir, "lineitem").select(

@@ -162,7 +162,7 @@ def oracle_sql() -> dict[str, str]:
           JOIN region ON r_regionkey = n_regionkey CROSS JOIN (VALUES ('20230101'), ('20230102')) d(day)""",
         "stadium_dim": """SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS id, CAST(l_suppkey AS VARCHAR) AS city_id,
           'City ' || l_suppkey AS city_name, 'Arena ' || l_partkey AS name,
-          CAST(l_partkey * 0.25 AS DOUBLE) AS lat, CAST(l_suppkey * -0.5 AS DOUBLE) AS lng,
+          CAST(l_partkey * 0.25 AS DOUBLE) AS lat, CAST(l_suppkey * 0.5 - 90 AS DOUBLE) AS lng,
           CAST(year(l_shipdate) AS INT) AS "seasonYear" FROM lineitem""",
         "model_view": "SELECT DISTINCT event_id, user_id, event_type, value FROM events",
         "seed_lookup": f"""SELECT o_orderkey, {_NEW_STATUS} AS status, ms.id AS status_id,
