@@ -42,6 +42,11 @@ def _text(values: str | Column) -> Column:
     return F.concat_ws(",", F.col(values).cast("array<string>"))
 
 
+def _as_text(df: DataFrame, *columns: str) -> DataFrame:
+    """Numbers that may be NULL as text, which every client compares the same way."""
+    return df.withColumns({column: F.col(column).cast("string") for column in columns})
+
+
 # ---------------------------------------------------------------- lake scans and partition selection
 
 _LAKE_DATA = "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE"
@@ -302,7 +307,7 @@ def seed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(status, F.lit("abandoned")).alias("status"),
         F.concat(F.lit("Group "), F.substring("o_orderpriority", 1, 1)).alias("stage"),
     )
-    return star.with_stage_id(star.with_status_id(rows, match_status_seed(spark)), stage_seed(spark))
+    return _as_text(star.with_stage_id(star.with_status_id(rows, match_status_seed(spark)), stage_seed(spark)), "status_id")
 
 
 @register
@@ -321,7 +326,8 @@ def star_schedule_season(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def star_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.results(analog.star_tables(spark, sf_dir), goal_order=analog.GOAL_ORDER)
+    rows = star.results(analog.star_tables(spark, sf_dir), goal_order=analog.GOAL_ORDER)
+    return _as_text(rows, "penalty_shootout_home_goals", "penalty_shootout_away_goals")
 
 
 @register
@@ -350,7 +356,7 @@ def local_time_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("id"), dates.kickoff_text(F.col("ts")).alias("dateTime"),
         offset.alias("utcOffsetInHours"),
     )
-    return star.with_local_date(rows)
+    return _as_text(star.with_local_date(rows), "utcOffsetInHours")
 
 
 @register
@@ -400,7 +406,8 @@ def fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         match_status=tables.match_status,
     )
     links = star.link_stadiums(analog.stadiums(spark, sf_dir), tables.places)
-    return star.fact_rows(analog.source_matches(spark, sf_dir), tables, links)
+    rows = star.fact_rows(analog.source_matches(spark, sf_dir), tables, links)
+    return _as_text(rows, "place_id", "status_id", "penalty_shootout_home_goals", "penalty_shootout_away_goals")
 
 
 @register
@@ -432,7 +439,7 @@ def retention_n_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def json_scorers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shaping.scorers(analog.player_events(spark, sf_dir))
+    return _as_text(shaping.scorers(analog.player_events(spark, sf_dir)), "minute", "second")
 
 
 @register
@@ -495,7 +502,7 @@ def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def clean_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = {"row_id": "int", **analog.RAW_TYPES}
-    return clean(analog.raw_orders(spark, sf_dir), config).withColumn("day", F.col("day").cast("string"))
+    return _as_text(clean(analog.raw_orders(spark, sf_dir), config), "day", "known")
 
 
 @register
@@ -607,7 +614,7 @@ def slice_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def slice_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return slices.linked_to(_scored_games(spark, sf_dir), "team", "NATION_1")
+    return _as_text(slices.linked_to(_scored_games(spark, sf_dir), "team", "NATION_1"), "match_id")
 
 
 _SLICE_JSON = (

@@ -165,7 +165,7 @@ def oracle_sql() -> dict[str, str]:
           CAST(l_partkey * 0.25 AS DOUBLE) AS lat, CAST(l_suppkey * 0.5 - 90 AS DOUBLE) AS lng,
           CAST(year(l_shipdate) AS INT) AS "seasonYear" FROM lineitem""",
         "model_view": "SELECT DISTINCT event_id, user_id, event_type, value FROM events",
-        "seed_lookup": f"""SELECT o_orderkey, {_NEW_STATUS} AS status, ms.id AS status_id,
+        "seed_lookup": f"""SELECT o_orderkey, {_NEW_STATUS} AS status, CAST(ms.id AS VARCHAR) AS status_id,
           'Group ' || substr(o_orderpriority, 1, 1) AS stage, st.id AS stage_id FROM orders
           LEFT JOIN {_STATUS_SEED} ON ms.status = lower({_NEW_STATUS})
           LEFT JOIN {_STAGE_SEED} ON st.title = 'Group ' || substr(o_orderpriority, 1, 1)""",
@@ -173,8 +173,9 @@ def oracle_sql() -> dict[str, str]:
         "star_schedule_season": f"WITH {_GAME} {_SCHEDULE} AND season = 1998",
         "star_results": f"""WITH {_GAME}, {_GOALS} SELECT g.match_id, competition, 'finished' AS status,
           season AS year, game_date AS date, substr(date, 12, 8) AS time, home_team, away_team, city, stadium, stage,
-          home AS total_home_goals, away AS total_away_goals, shootout_home AS penalty_shootout_home_goals,
-          shootout_away AS penalty_shootout_away_goals, text_part, text, image_path_home, image_path_away,
+          home AS total_home_goals, away AS total_away_goals,
+          CAST(shootout_home AS VARCHAR) AS penalty_shootout_home_goals,
+          CAST(shootout_away AS VARCHAR) AS penalty_shootout_away_goals, text_part, text, image_path_home, image_path_away,
           {_RESULT} AS result FROM game g JOIN goal_text t ON t.match_id = g.match_id WHERE g.status = 'F'""",
         "goal_text": """SELECT l_orderkey * 10 + l_linenumber AS id, o_orderkey + 1000000 AS match_id,
           l_suppkey AS player_id, l_linenumber || '` Supp O` ' || l_suppkey || ' (N' || l_partkey
@@ -187,7 +188,7 @@ def oracle_sql() -> dict[str, str]:
           FROM events JOIN orders ON o_orderkey = user_id AND o_orderstatus <> 'P'
           WHERE event_type IN ('click', 'view', 'error')""",
         "local_time_offset": """SELECT event_id AS id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS "dateTime",
-          CAST(CASE WHEN event_type <> 'view' THEN user_id - 75 END AS INT) AS "utcOffsetInHours",
+          CAST(CASE WHEN event_type <> 'view' THEN user_id - 75 END AS VARCHAR) AS "utcOffsetInHours",
           strftime(ts + to_hours(CAST(CASE WHEN event_type <> 'view' THEN user_id - 75 END AS BIGINT)),
             '%Y-%m-%dT%H:%M:%SZ') AS local_date FROM events""",
         "stadium_link": """SELECT p.id AS place_id, s.p_partkey AS stadium_id_uefa FROM part s
@@ -210,13 +211,14 @@ def oracle_sql() -> dict[str, str]:
             ON c.p_retailprice = s.p_retailprice AND c.p_size = s.p_size WHERE s.p_size >= 10),
           season AS (SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS year,
             CAST(year(o_orderdate) * 10 + CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS BIGINT) AS id FROM orders)
-          SELECT match_id AS id, c.id AS competition_id, link.place_id, stage_id,
-            CASE status WHEN 'O' THEN 1 WHEN 'F' THEN 2 END AS status_id, date,
+          SELECT match_id AS id, c.id AS competition_id, CAST(link.place_id AS VARCHAR) AS place_id, stage_id,
+            CASE status WHEN 'O' THEN '1' WHEN 'F' THEN '2' END AS status_id, date,
             strftime(strptime(date, '%Y-%m-%dT%H:%M:%SZ') + to_hours(home_id - 12), '%Y-%m-%dT%H:%M:%SZ') AS local_date,
             CAST(home_id AS BIGINT) AS home_team_id, CAST(away_id AS BIGINT) AS away_team_id,
             regular_home AS goals_home_team, regular_away AS goals_away_team,
-            home AS total_home_goals, away AS total_away_goals, shootout_home AS penalty_shootout_home_goals,
-            shootout_away AS penalty_shootout_away_goals, CAST(match_id AS INT) AS game_order
+            home AS total_home_goals, away AS total_away_goals,
+            CAST(shootout_home AS VARCHAR) AS penalty_shootout_home_goals,
+            CAST(shootout_away AS VARCHAR) AS penalty_shootout_away_goals, CAST(match_id AS INT) AS game_order
           FROM game JOIN season c ON c.year = game.season LEFT JOIN link ON link.stadium_id = game.place_id""",
         "fact_fanout": """SELECT CAST(year(o_orderdate) AS INT) AS year, count(DISTINCT o_orderpriority)
           AS n_competitions FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderpriority) > 1""",
@@ -228,7 +230,7 @@ def oracle_sql() -> dict[str, str]:
           UNION ALL SELECT l_orderkey, CASE WHEN l_linestatus = 'F' THEN 'Supp ' || l_suppkey END, l_returnflag,
             CASE WHEN l_linestatus = 'F' THEN l_linenumber + 45 END, CASE WHEN l_linestatus = 'F' THEN 30 END
             FROM lineitem WHERE l_returnflag <> 'N')
-          SELECT id, player, code AS "countryCode", minute, second,
+          SELECT id, player, code AS "countryCode", CAST(minute AS VARCHAR) AS minute, CAST(second AS VARCHAR) AS second,
             minute || '` ' || player || '(' || code || ')' AS text FROM scorer""",
         "dedup_staging": """SELECT DISTINCT event_id, strftime(ts, '%Y-%m-%d') AS ts, user_id, event_type, value, props
           FROM (SELECT * FROM events UNION ALL SELECT * FROM events)""",
@@ -249,7 +251,7 @@ def oracle_sql() -> dict[str, str]:
         "clean_types": """SELECT o_orderkey AS row_id, CASE WHEN o_orderstatus = 'P' THEN 0 ELSE o_orderkey END AS id,
           CASE WHEN o_orderstatus = 'P' THEN 0.0 ELSE CAST(CAST(o_totalprice AS DECIMAL(15, 2)) AS DOUBLE) END AS price,
           CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d') END AS day,
-          CASE o_orderstatus WHEN 'O' THEN false WHEN 'F' THEN true END AS known, o_orderpriority AS clerk,
+          CASE o_orderstatus WHEN 'O' THEN 'false' WHEN 'F' THEN 'true' END AS known, o_orderpriority AS clerk,
           CASE WHEN o_orderstatus = 'P' THEN '""' ELSE '"' || o_orderpriority || '"' END AS extra,
           '{"cust":' || o_custkey || ',"state":"' || o_orderstatus || '"}' AS detail FROM orders""",
         "clean_rejects": """SELECT 'id' AS column_name, count(*) AS n_rejected FROM orders
@@ -289,7 +291,7 @@ def oracle_sql() -> dict[str, str]:
         "slice_schedule": f"{_PICTURES} {_SLICES}",
         "slice_lookup": f"""WITH {_GAME}, hit AS (SELECT * FROM game WHERE status = 'F' AND scored
             AND (home_team = 'NATION_1' OR away_team = 'NATION_1'))
-          SELECT season, competition, 'match' AS type, NULL AS key, match_id FROM hit
+          SELECT season, competition, 'match' AS type, NULL AS key, CAST(match_id AS VARCHAR) AS match_id FROM hit
           UNION SELECT season, competition, 'place', stadium, NULL FROM hit
           UNION SELECT season, competition, 'stage', stage, NULL FROM hit
           UNION SELECT season, competition, 'date', game_date, NULL FROM hit""",
