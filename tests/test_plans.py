@@ -6,7 +6,7 @@ import pytest
 
 from touchline.operators import slices, star
 from touchline.plans import analog, catalog
-from touchline.session import configure, cut_lineage, scratch_path
+from touchline.session import configure, cut_lineage, shared_dir
 
 SF = "/root/testdata/sf0.001"
 LAZY = (
@@ -62,6 +62,13 @@ def test_cut_lineage_uses_the_shared_folder(spark):
     folder = spark.conf.get("spark.checkpoint.dir", None)
     cut = cut_lineage(spark.range(10))
     assert cut.count() == 10
-    assert spark.sparkContext.getCheckpointDir() is not None
-    if folder:
-        assert scratch_path(spark, "x").startswith(folder.rstrip("/"))
+    assert all(name.startswith("file:" + shared_dir(spark)) for name in (f.replace("file://", "file:") for f in cut.inputFiles()))
+    assert folder is None or shared_dir(spark) == folder.rstrip("/")
+    assert cut_lineage(spark.range(0)).isEmpty()
+
+
+def test_written_small_sides_are_broadcast_at_once(spark):
+    """The size of written nodes is known, so the large side is not shuffled for the join."""
+    numbered = slices.number_games(catalog._scored_games(configure(spark), SF))
+    plan = plan_of(numbered)
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brute import brute_force
-from touchline.operators import numbering, slices, star
+from touchline.operators import slices, star
 from touchline.plans import flows
 
 
@@ -69,9 +69,8 @@ def test_graph_matches_brute_force(skewed, page):
     assert dict(found) == expected
 
 
-def test_graph_without_any_broadcast(spark, skewed, monkeypatch):
-    """Nodes too many to broadcast: all joins shuffle, the result is the same."""
-    monkeypatch.setattr(numbering, "SMALL_ROWS", 0)
+def test_graph_without_any_broadcast(spark, skewed):
+    """Nodes too large to broadcast: all joins shuffle, the result is the same."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:

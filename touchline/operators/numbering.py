@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 from touchline.session import cut_lineage
 
-SMALL_ROWS = 200_000  # rows a side may have to be broadcast
-
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row position in the lower 33 bits
 
 
@@ -36,16 +34,6 @@ def join_same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> DataFr
     return left.join(renamed, condition).drop(*[f"_same_{name}" for name in names])
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether a written frame, which is cheap to count, is few enough rows to broadcast."""
-    return df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
-
-
-def small_side(df: DataFrame) -> DataFrame:
-    """``df`` marked for broadcast when it is counted to be small, else unchanged."""
-    return F.broadcast(df) if is_small(df) else df
-
-
 def number_within(
     df: DataFrame, group: Sequence[str], order: Sequence[str], name: str, unique: bool = False
 ) -> DataFrame:
@@ -72,7 +60,7 @@ def number_within(
     # A group has at most one run per range partition, so this window never sees more rows than tasks.
     earlier = Window.partitionBy(*group).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     shifts = runs.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
-    joined = join_same(placed, small_side(cut_lineage(shifts)), ["_task", *group])
+    joined = join_same(placed, cut_lineage(shifts), ["_task", *group])
     return joined.select(*df.columns, (F.col("_before") + F.col("_at") - F.col("_from")).alias(name))
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions import dates, text
-from touchline.operators.numbering import is_small, join_same, number_by_block, number_within, small_side
+from touchline.operators.numbering import join_same, number_by_block, number_within
 from touchline.operators.pages import PAGE
 from touchline.session import cut_lineage
 
@@ -92,8 +92,9 @@ def nodes(numbered: DataFrame) -> DataFrame:
         .groupBy(*_NODE)
         .agg(F.min(F.col("ord") * _SLOTS + F.col("slot")).alias("first"), F.count(F.lit(1)).alias("n_matches"))
     )
-    indexed = cut_lineage(number_by_block(found, DOCUMENT, "first", "index"))
-    indexed = small_side(indexed.withColumn("ord", F.expr(f"first div {_SLOTS}")))
+    indexed = cut_lineage(
+        number_by_block(found, DOCUMENT, "first", "index").withColumn("ord", F.expr(f"first div {_SLOTS}"))
+    )
     looks = numbered.select(*DOCUMENT, "ord", "city", "image_path_home", "image_path_away")
     slot = F.col("first") % _SLOTS
     image = F.when(slot == 0, F.col("image_path_home")).when(slot == 1, F.col("image_path_away"))
@@ -136,20 +137,18 @@ def _links(numbered: DataFrame) -> DataFrame:
     return once.select(*DOCUMENT, F.inline(both))
 
 
-def _with_target_index(links: DataFrame, graph_nodes: DataFrame, few: bool) -> DataFrame:
+def _with_target_index(links: DataFrame, graph_nodes: DataFrame) -> DataFrame:
     target = graph_nodes.select(
         *DOCUMENT, F.col("type").alias("to_type"), F.col("key").alias("to_key"), F.col("index").alias("dependency")
     )
-    return join_same(links, F.broadcast(target) if few else target, [*DOCUMENT, "to_type", "to_key"])
+    return join_same(links, target, [*DOCUMENT, "to_type", "to_key"])
 
 
 def edges(numbered: DataFrame, graph_nodes: DataFrame | None = None) -> DataFrame:
     """(season, competition, index, dependency): symmetric, distinct, never between equal types."""
     graph_nodes = nodes(numbered) if graph_nodes is None else graph_nodes
-    few = is_small(graph_nodes)
     own = graph_nodes.select(*_NODE, "index")
-    linked = _with_target_index(_links(numbered), graph_nodes, few)
-    return join_same(linked, F.broadcast(own) if few else own, _NODE).select(*DOCUMENT, "index", "dependency")
+    return join_same(_with_target_index(_links(numbered), graph_nodes), own, _NODE).select(*DOCUMENT, "index", "dependency")
 
 
 def _sorted_list(condition: Column, entry: Column) -> Column:
@@ -159,11 +158,10 @@ def _sorted_list(condition: Column, entry: Column) -> Column:
 def slices(numbered: DataFrame, page: int = PAGE) -> DataFrame:
     """One row per slice and part, with the sorted ``matches`` and ``dependencies`` of that part."""
     graph_nodes = nodes(numbered)
-    few = is_small(graph_nodes)
     match_entries = occurrences(numbered).select(
         *_NODE, F.expr(f"ord div {page}").alias("part"), F.col("ord").alias("position"), "match_id"
     )
-    dependency_entries = _with_target_index(_links(numbered), graph_nodes, few).select(
+    dependency_entries = _with_target_index(_links(numbered), graph_nodes).select(
         *_NODE,
         F.expr(f"dependency div {page}").alias("part"),
         F.col("dependency").alias("position"),
@@ -179,7 +177,7 @@ def slices(numbered: DataFrame, page: int = PAGE) -> DataFrame:
         )
         .select(*_NODE, "part", F.col("placed.match_id").alias("matches"), "dependencies")
     )
-    return join_same(parts, F.broadcast(graph_nodes) if few else graph_nodes, _NODE).select(
+    return join_same(parts, graph_nodes, _NODE).select(
         *DOCUMENT, "index", "type", "key", "city", "image_path", "part", "n_matches", "matches", "dependencies"
     )
 

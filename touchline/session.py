@@ -25,7 +25,6 @@ RUNTIME_CONF = {
 
 STATIC_CONF = {
     "spark.ui.enabled": "false",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Recording a stack trace for every Column call costs more than building the plans.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -58,16 +57,13 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local-mode session (tests) may fall back to a temporary folder.
     """
     global _local_scratch
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         if _local_scratch is None:
             _local_scratch = tempfile.mkdtemp(prefix="touchline-")
         named = _local_scratch
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(named)
     return named.rstrip("/")
 
 
@@ -77,6 +73,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Persist ``df`` in the shared folder so that later stages survive the loss of executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder and go on from the files.
+
+    Later stages then survive the loss of executors, read only the columns they need, and Spark knows
+    the size of what was written when it decides on a broadcast.
+    """
+    path = scratch_path(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
