@@ -87,7 +87,7 @@ def test_days(spark):
 CASES = [
     ("int", None, 0, False), ("int", "", 0, False), ("int", "12", 12, False), ("int", "12.5", 0, True),
     ("int", "-7", -7, False), ("float", None, 0.0, False), ("float", "", 0.0, False),
-    ("float", "1 234,5", 1234.5, False), ("float", "x", 0.0, True), ("float", "1d", 0.0, True),
+    ("float", "1\u00a0234,5", 1234.5, False), ("float", "x", 0.0, True), ("float", "1d", 0.0, True),
     ("float", "1e3", 1000.0, False), ("date", "2020-06-12", date(2020, 6, 12), False),
     ("date", "20200612", None, True), ("date", None, None, False), ("date", "2020-13-01", None, True),
     ("bool", "", False, False), ("bool", "x", True, False), ("bool", None, None, False),

@@ -98,3 +98,12 @@ def test_kafka_options():
 def test_missing_connector_is_reported(spark):
     with pytest.raises(Exception, match="kafka"):
         live.kafka_source(spark, "host:9092")
+
+
+def test_documents_as_json_lines(spark, feed, tmp_path, rows):
+    documents = live.envelopes(live.to_messages(source(spark, feed)))
+    live.write_batches(
+        documents, str(tmp_path / "docs"), str(tmp_path / "checkpoint"), file_format="json"
+    ).awaitTermination()
+    stored = live.read_batches(spark, str(tmp_path / "docs"), "value STRING", "json")
+    assert stored.count() == 3 and '"team1":"C"' in stored.orderBy("value").collect()[-1].value
