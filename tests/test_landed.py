@@ -138,6 +138,23 @@ def test_calendar_to_lake(spark, tmp_path, rows):
     ]
 
 
+def test_many_tournaments_in_one_job(spark, tmp_path, rows):
+    for tournament in (52, 53):
+        folder = tmp_path / "calendars" / f"tournament_id={tournament}"
+        folder.mkdir(parents=True)
+        write(folder / "c.json", CALENDAR)
+        folder = tmp_path / "matches" / f"tournament_id={tournament}" / "year=2020"
+        folder.mkdir(parents=True)
+        write(folder / "m.json", MATCHES)
+    flows.land_calendar(spark, str(tmp_path / "calendars"), CALENDAR_MATCH, str(tmp_path / "a"))
+    schema = lake.lake_schema("id BIGINT", lake.MATCH_PARTITION_COLUMNS)
+    found = lake.scan_glob(spark, str(tmp_path / "a"), "*/*/*/*/*/*.parquet", schema)
+    assert rows(found, "tournament_id", "match_id") == [(t, m) for t in (52, 53) for m in (1, 2, 3)]
+    flows.land_matches(spark, str(tmp_path / "matches"), LANDED_MATCH, str(tmp_path / "b"))
+    found = lake.scan_lake(spark, str(tmp_path / "b"), lake.lake_schema(LANDED_MATCH))
+    assert rows(found, "tournament_id", "year", "id") == [(t, 2020, m) for t in (52, 53) for m in (1, 2, 3, 4)]
+
+
 def test_seasons(spark, rows):
     seasons = spark.createDataFrame(
         [(1, 10, "2019/2020"), (2, 10, "2020/2021"), (3, 10, "2018/2019"), (4, 20, "2020"), (5, 20, None)],

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,25 +18,51 @@ from touchline.sources import lake, landed
 Schema = str | T.StructType
 
 
+def _request_columns(**values: tuple[object, str]) -> dict[str, Column]:
+    """Literal columns for the given values; those not given come from the feed's folders."""
+    return {name: F.lit(value).cast(kind) for name, (value, kind) in values.items() if value is not None}
+
+
 def land_matches(
-    spark: SparkSession, feed: str, schema: Schema, target: str, tournament_id: int, year: int
+    spark: SparkSession,
+    feed: str,
+    schema: Schema,
+    target: str,
+    tournament_id: int | None = None,
+    year: int | None = None,
 ) -> None:
-    """Match responses of one tournament and year into the lake by stage and day."""
-    records = shaping.stage_and_day(landed.read_records(spark, feed, schema))
-    keyed = records.withColumns(
-        {"tournament_id": F.lit(tournament_id).cast("bigint"), "year": F.lit(year).cast("int")}
+    """Match responses into the lake by tournament, year, stage and day.
+
+    Without tournament and year, ``feed`` holds folders ``tournament_id=…/year=…`` and the responses of all
+    of them are landed in one job.
+    """
+    if tournament_id is None:
+        records = landed.read_keyed(spark, feed, schema, "tournament_id BIGINT, year INT")
+    else:
+        records = landed.read_records(spark, feed, schema)
+    keyed = shaping.stage_and_day(records).withColumns(
+        _request_columns(tournament_id=(tournament_id, "bigint"), year=(year, "int"))
     )
     lake_sink.write_partitioned(keyed, target)
 
 
 def land_calendar(
-    spark: SparkSession, feed: str, match: Schema, target: str, tournament_id: int, day: str | None = None
+    spark: SparkSession,
+    feed: str,
+    match: Schema,
+    target: str,
+    tournament_id: int | None = None,
+    day: str | None = None,
 ) -> None:
-    """Calendar responses of one tournament into the lake, one folder per stage, day and match."""
-    rows = shaping.explode_calendar(landed.read_calendar(spark, feed, match), day)
+    """Calendar responses into the lake, one folder per tournament, year, stage, day and match.
+
+    Without a tournament, ``feed`` holds folders ``tournament_id=…``, all landed in one job.
+    """
+    keys = "tournament_id BIGINT" if tournament_id is None else None
+    rows = shaping.explode_calendar(landed.read_calendar(spark, feed, match, keys=keys), day)
     keyed = rows.withColumns(
         {
-            "tournament_id": F.lit(tournament_id).cast("bigint"),
+            **_request_columns(tournament_id=(tournament_id, "bigint")),
             "date": F.replace("date", F.lit("-"), F.lit("")),
             "match_id": F.col("id"),
         }

@@ -41,11 +41,19 @@ def read_envelopes(
 
 
 def read_calendar(
-    spark: SparkSession, path: str, match: Schema, json_lines: bool = False, stage: str = "stage_name"
+    spark: SparkSession,
+    path: str,
+    match: Schema,
+    json_lines: bool = False,
+    stage: str = "stage_name",
+    keys: Schema | None = None,
 ) -> DataFrame:
-    """Calendar stages, each with its ``matches`` array (see ``shaping.explode_calendar``)."""
+    """Calendar stages, each with its ``matches`` array (see ``shaping.explode_calendar``).
+
+    ``keys`` declares the folders of a feed that holds the calendars of many tournaments.
+    """
     schema = T.StructType([T.StructField(stage, T.StringType()), T.StructField("matches", T.ArrayType(as_struct(match)))])
-    return read_records(spark, path, schema, json_lines)
+    return read_keyed(spark, path, schema, keys or T.StructType(), json_lines)
 
 
 def read_tournaments(
