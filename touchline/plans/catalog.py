@@ -437,6 +437,25 @@ def retention_n_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.withColumn("ts", F.col("ts").cast("date").cast("string"))
 
 
+@register
+def staging_cleared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A staging table after its rows older than ten days were dropped in place."""
+    path = scratch_path(spark, "staging")
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    table_sink.append_table(events, path)
+    flows.clear_staging(spark, path, 10, "ts", "2024-01-31")
+    return spark.read.schema(events.schema).parquet(path).withColumn("ts", F.col("ts").cast("date").cast("string"))
+
+
+@register
+def results_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last thirty days of doubled staging rows, appended once each to the production table."""
+    path = scratch_path(spark, "results")
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    flows.update_game_results(events.union(events), path, "ts", as_of="2024-02-10")
+    return spark.read.schema(events.schema).parquet(path).withColumn("ts", F.col("ts").cast("date").cast("string"))
+
+
 @register
 def json_scorers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_text(shaping.scorers(analog.player_events(spark, sf_dir)), "minute", "second")

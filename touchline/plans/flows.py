@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.functions.cleaning import clean, split_rejects
-from touchline.operators import shaping, slices, star
+from touchline.operators import shaping, slices, staging, star
 from touchline.schemas import MATCHES
+from touchline.session import cut_lineage
 from touchline.sinks import lake as lake_sink
-from touchline.sinks.tables import in_column_order, stamped
+from touchline.sinks.tables import append_table, in_column_order, stamped
 from touchline.sources import lake, landed
 
 Schema = str | T.StructType
@@ -80,11 +82,11 @@ def staging_rows(
     config: Mapping[str, str],
     tournament_id: int | None = None,
     year: int | None = None,
-    date: str | None = None,
+    day: str | None = None,
     option: lake.SearchOption = lake.SearchOption.TOURNAMENT_YEAR,
 ) -> DataFrame:
     """Selected lake partitions, typed by the config and stamped, ready to append to a staging table."""
-    return stamped(clean(lake.select_partitions(lake_rows, option, tournament_id, year, date), config))
+    return stamped(clean(lake.select_partitions(lake_rows, option, tournament_id, year, day), config))
 
 
 def staging_rows_and_rejects(lake_rows: DataFrame, config: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
@@ -93,6 +95,24 @@ def staging_rows_and_rejects(lake_rows: DataFrame, config: Mapping[str, str]) ->
     return stamped(good), rejected
 
 
+def clear_staging(
+    spark: SparkSession, path: str, days: int, column: str = "dt_updated", as_of: date | str | None = None
+) -> None:
+    """Drop the rows of a Parquet staging table that are older than ``days`` days.
+
+    The kept rows are written to the shared folder before they replace the table.
+    """
+    kept = cut_lineage(staging.retained_rows(spark.read.parquet(path), days, column, as_of))
+    kept.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+
+def update_game_results(
+    results: DataFrame, path: str, column: str = "game_date", days: int = 30, as_of: date | str | None = None
+) -> None:
+    """Append the distinct staged results of the last ``days`` days to the production table."""
+    append_table(staging.drop_copies(staging.recent_rows(results, column, days, as_of)), path)
+
+
 def fact_load(source_matches: DataFrame, tables: star.Star, links: DataFrame, season: int | None = None) -> DataFrame:
     """Source matches in the column order and types of the fact table."""
     return in_column_order(star.fact_rows(source_matches, tables, links, season), MATCHES)

@@ -225,6 +225,8 @@ def oracle_sql() -> dict[str, str]:
         "stage_fallback": f"WITH {_LANDED} SELECT * FROM landed",
         "incremental_30d": f"SELECT {_EVENT_DAYS} FROM events WHERE ts > TIMESTAMP '2024-01-11'",
         "retention_n_days": f"SELECT {_EVENT_DAYS} FROM events WHERE ts >= TIMESTAMP '2024-01-21'",
+        "staging_cleared": f"SELECT {_EVENT_DAYS} FROM events WHERE ts >= TIMESTAMP '2024-01-21'",
+        "results_updated": f"SELECT {_EVENT_DAYS} FROM events WHERE ts > TIMESTAMP '2024-01-11'",
         "json_scorers": """WITH scorer AS (SELECT l_orderkey AS id, 'Part ' || l_partkey AS player,
             l_returnflag AS code, l_linenumber AS minute, 7 AS second FROM lineitem WHERE l_returnflag <> 'N'
           UNION ALL SELECT l_orderkey, CASE WHEN l_linestatus = 'F' THEN 'Supp ' || l_suppkey END, l_returnflag,
