@@ -15,8 +15,7 @@ from touchline.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[4]", spark__sql__shuffle__partitions="4", spark__driver__memory="6g",
-        spark__driver__bindAddress="127.0.0.1",
+        "tests", "local[4]", spark__sql__shuffle__partitions="4", spark__driver__memory="6g"
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from touchline.operators import slices, star
 from touchline.plans import analog, catalog
@@ -72,3 +73,62 @@ def test_written_small_sides_are_broadcast_at_once(spark):
     numbered = slices.number_games(catalog._scored_games(configure(spark), SF))
     plan = plan_of(numbered)
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+@pytest.fixture
+def hot_joins(spark):
+    """Thresholds small enough for test data: every join shuffles, and hot partitions count as skewed."""
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "5KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "5KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {key: spark.conf.get(key, None) for key in changed}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def hot_key(n):
+    return F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % n)
+
+
+def splits(df):
+    df.collect()
+    return "skew=true" in plan_of(df)
+
+
+def test_hot_match_is_split_in_goal_rows(spark, hot_joins):
+    timeline = spark.range(0, 30000, 1, 8).select(
+        F.col("id").alias("EventId"), hot_key(2000).alias("IdMatch"), F.col("id").alias("IdPlayer"),
+        F.sha2(F.col("id").cast("string"), 256).alias("MatchMinute"),
+        F.lit('[{"Description":"x"}]').alias("EventDescription"), F.lit("Goal!").alias("TypeLocalized"),
+    )
+    link = spark.range(2000).select(F.col("id").alias("match_id"), F.col("id").alias("match_id_fifa"))
+    found = star.goal_rows(timeline, link)
+    assert splits(found) and found.count() == 30000
+
+
+def test_hot_coordinates_are_split(spark, hot_joins):
+    places = spark.range(0, 30000, 1, 8).select(
+        "id", F.sha2(F.col("id").cast("string"), 256).alias("stadium"),
+        hot_key(2000).cast("double").alias("lat"), F.lit(1.0).alias("lng"),
+    )
+    found = star.duplicate_places(places, ordered=False)
+    assert splits(found) and found.count() == 30000
+
+
+def test_hot_source_match_is_split_in_the_local_dates(spark, hot_joins):
+    matches = spark.range(0, 30000, 1, 8).select("id", F.lit("+").alias("date"))
+    link = spark.range(0, 30000, 1, 8).select(F.col("id").alias("match_id"), hot_key(2000).alias("match_id_uefa"))
+    source = spark.range(2000).select(
+        "id", F.lit("2020-06-12T19:00:00Z").alias("dateTime"), F.lit(1).alias("utcOffsetInHours")
+    )
+    found = star.corrected_local_dates(matches, link, source)
+    assert splits(found) and found.count() == 30000
