@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,8 +28,6 @@ STATIC_CONF = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
-_local_scratch: str | None = None
-
 
 def build_session(app_name: str = "touchline", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the defaults above; keyword arguments use ``__`` for the dots of a setting."""
@@ -52,24 +49,31 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``.
+    """The folder for intermediate tables, which every executor can reach.
 
-    Only a local-mode session (tests) may fall back to a temporary folder.
+    ``spark.checkpoint.dir`` where it is set, else a folder below the session's warehouse; the same rule for every
+    master.
     """
-    global _local_scratch
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        if _local_scratch is None:
-            _local_scratch = tempfile.mkdtemp(prefix="touchline-")
-        named = _local_scratch
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return named.rstrip("/")
 
 
+def session_dir(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application."""
+    return f"{shared_dir(spark)}/touchline-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{session_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove this application's scratch tables; frames that still read them can no longer be used."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(session_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
