@@ -5,10 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import exact_dedup
-from touchline.llm.rows import read
+from touchline.llm import exact_dedup, token_files
+from touchline.llm.rows import read, with_place
+from touchline.session import scratch_path
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +18,13 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.ingest(read(spark, sf_dir, "documents"))
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    documents = with_place(read(spark, sf_dir, "documents"))
+    token_files.write(documents, path, public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.digests(spark, path)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_exact_dedup,)
+    found = (op1_exact_dedup, op9_token_files)
     return {query.__name__: query for query in found}
