@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import exact_dedup, token_files
+from touchline.llm import decontamination, exact_dedup, token_files
 from touchline.llm.rows import read, with_place
 from touchline.session import scratch_path
 
@@ -18,6 +18,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.ingest(read(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = with_place(read(spark, sf_dir, "documents"))
+    return decontamination.report(documents, read(spark, sf_dir, "benchmark")).drop("_file", "_at")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     documents = with_place(read(spark, sf_dir, "documents"))
@@ -26,5 +31,5 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_exact_dedup, op9_token_files)
+    found = (op1_exact_dedup, op8_decontamination, op9_token_files)
     return {query.__name__: query for query in found}
