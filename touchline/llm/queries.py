@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from fractions import Fraction
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import decontamination, exact_dedup, token_files
+from touchline.llm import decontamination, exact_dedup, ngram_join, token_files
 from touchline.llm.rows import read, with_place
 from touchline.session import scratch_path
 
@@ -18,6 +19,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.ingest(read(spark, sf_dir, "documents"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = with_place(read(spark, sf_dir, "documents"))
+    found = ngram_join.jaccard_components(documents, 3, Fraction(90, 100))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = with_place(read(spark, sf_dir, "documents"))
     return decontamination.report(documents, read(spark, sf_dir, "benchmark")).drop("_file", "_at")
@@ -31,5 +38,5 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_exact_dedup, op8_decontamination, op9_token_files)
+    found = (op1_exact_dedup, op2_ngram_join, op8_decontamination, op9_token_files)
     return {query.__name__: query for query in found}
