@@ -8,9 +8,10 @@ from fractions import Fraction
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from touchline.llm import decontamination, exact_dedup, ngram_join, token_files
-from touchline.llm.rows import read, with_place
+from touchline.llm import decontamination, exact_dedup, language_model, ngram_join, token_files
+from touchline.llm.rows import id_hash, read, with_place
 from touchline.session import scratch_path
 
 
@@ -37,6 +38,12 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(spark, path)
 
 
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = id_hash() % 10
+    role = F.when(rest == 0, language_model.UNSEEN).when(rest == 1, language_model.DELETED).otherwise(language_model.KEPT)
+    return language_model.score(read(spark, sf_dir, "documents"), role, order=2)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_exact_dedup, op2_ngram_join, op8_decontamination, op9_token_files)
+    found = (op1_exact_dedup, op2_ngram_join, op8_decontamination, op9_token_files, op10_language_model)
     return {query.__name__: query for query in found}
