@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import decontamination, exact_dedup, language_model, ngram_join, token_files
+from touchline.llm import decontamination, exact_dedup, html_text, language_model, ngram_join, token_files, toxicity
 from touchline.llm.rows import id_hash, read, with_place
 from touchline.session import scratch_path
 
@@ -26,6 +26,20 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.REJECT).cast("int").alias("predicted"),
+    )
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = with_place(read(spark, sf_dir, "documents"))
     return decontamination.report(documents, read(spark, sf_dir, "benchmark")).drop("_file", "_at")
@@ -45,5 +59,5 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_exact_dedup, op2_ngram_join, op8_decontamination, op9_token_files, op10_language_model)
+    found = (op1_exact_dedup, op2_ngram_join, op5_toxicity, op7_html_text, op8_decontamination, op9_token_files, op10_language_model)
     return {query.__name__: query for query in found}
