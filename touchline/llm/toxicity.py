@@ -183,12 +183,13 @@ def _rows(documents: DataFrame, classes: dict[str, str], columns: list[str], fun
         for batch in batches:
             for start in range(0, len(batch), 500):
                 some = batch.slice(start, 500)
-                added = function(matcher, [text or "" for text in some["text"].to_pylist()])
+                added = function(matcher, [text or "" for text in some["_text"].to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [*(some[name] for name in columns), *added.values()], names=[*columns, *added]
                 )
 
-    return documents.select(*columns, "text").mapInArrow(run, schema)
+    text = F.col("text").cast("string").alias("_text")
+    return documents.select(*(F.col(f"`{name}`") for name in columns), text).mapInArrow(run, schema)
 
 
 def fitted(matches: list[tuple[dict[int, int], int]], penalty: float = 0.05) -> np.ndarray:
