@@ -48,19 +48,22 @@ _BLOCKS = pa.schema(
 )
 
 
-def _pack(ids: np.ndarray) -> bytes:
-    """Little-endian ids with equal bytes together, which compress well."""
-    import zstandard
+class _Packer:
+    """Little-endian ids with equal bytes together, compressed."""
 
-    planes = np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    def __init__(self):
+        import zstandard
 
+        self.compress = zstandard.ZstdCompressor(level=1).compress
+        self.decompress = zstandard.ZstdDecompressor().decompress
 
-def _unpack(packed: bytes) -> np.ndarray:
-    import zstandard
+    def pack(self, ids: np.ndarray) -> bytes:
+        planes = np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+        return self.compress(planes.tobytes())
 
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
+    def unpack(self, packed: bytes) -> np.ndarray:
+        planes = np.frombuffer(self.decompress(packed), np.uint8).reshape(4, -1)
+        return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
 
 
 def token_rows(documents: DataFrame, tokenizer: str, end_id: int | None = END) -> DataFrame:
@@ -71,27 +74,27 @@ def token_rows(documents: DataFrame, tokenizer: str, end_id: int | None = END) -
     """
     tail = np.zeros(0, np.uint32) if end_id is None else np.array([end_id], np.uint32)
 
-    def pieces(words, texts, places):
+    def pieces(words, pack, texts, places):
         held, size, piece = [], 0, 0
         for number, ids, ends in words.encode_all(texts):
             held += [ids, tail] if ends else [ids]
             size += len(ids) + (len(tail) if ends else 0)
             while size > BLOCK:
                 joined = np.concatenate(held)
-                yield (*places[number], piece, False, _pack(joined[:BLOCK]))
+                yield (*places[number], piece, False, pack(joined[:BLOCK]))
                 held, size, piece = [joined[BLOCK:]], size - BLOCK, piece + 1
             if ends:
-                yield (*places[number], piece, True, _pack(np.concatenate(held)))
+                yield (*places[number], piece, True, pack(np.concatenate(held)))
                 held, size, piece = [], 0, 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(tokenizer)
+        words, pack = encoder(tokenizer), _Packer().pack
         for batch in batches:
             for start in range(0, len(batch), 500):
                 some = batch.slice(start, 500)
                 texts = [text or b"" for text in some["text"].to_pylist()]
                 places = list(zip(*(some[name].to_pylist() for name in ("doc_id", "_file", "_at"))))
-                columns = list(zip(*pieces(words, texts, places)))
+                columns = list(zip(*pieces(words, pack, texts, places)))
                 arrays = [pa.array(values, field.type) for values, field in zip(columns, _PIECES)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=_PIECES)
 
@@ -104,10 +107,10 @@ def token_counts(pieces: DataFrame) -> DataFrame:
     """(id, n) over all packed ids; every task counts its own rows first."""
 
     def run(batches):
-        counts = np.zeros(0, np.int64)
+        counts, unpack = np.zeros(0, np.int64), _Packer().unpack
         for batch in batches:
             for packed in batch["ids"].to_pylist():
-                more = np.bincount(_unpack(packed))
+                more = np.bincount(unpack(packed))
                 if len(more) > len(counts):
                     counts = np.concatenate([counts, np.zeros(len(more) - len(counts), np.int64)])
                 counts[: len(more)] += more
@@ -132,7 +135,7 @@ def _blocks(book: Book, placed: DataFrame) -> DataFrame:
     def run(batches):
         from pyspark import TaskContext
 
-        part, block = TaskContext.get().partitionId(), 0
+        part, block, unpack = TaskContext.get().partitionId(), 0, _Packer().unpack
 
         def coded(held, docs):
             ids = np.concatenate(held)
@@ -143,7 +146,7 @@ def _blocks(book: Book, placed: DataFrame) -> DataFrame:
         held, docs, size = [], [], 0
         for batch in batches:
             for row in batch.to_pylist():
-                ids = _unpack(row["ids"])
+                ids = unpack(row["ids"])
                 if docs and size + len(ids) > BLOCK:
                     yield coded(held, docs)
                     held, docs, size, block = [], [], 0, block + 1

@@ -13,18 +13,21 @@ import os
 import re
 import sys
 import types
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 
 # Texts are cut at blanks into segments of about this many bytes; words kept between texts.
 SEGMENT = 1 << 20
-WORDS = 400_000
+WORDS = 250_000
+PIECES = 350_000
 
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
-_PLAIN = re.compile(rb"[\x21-\x7e]+")
+_PLAIN = re.compile(r"[\x21-\x7e]+")
 # The split rule of the supported files for words of ASCII letters, digits and signs.
-_PIECES = re.compile(rb"'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^a-z0-9]+")
+_PIECES = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^a-z0-9]+")
+_SIGNS = ".,;:!?"
 
 
 def segments(text: bytes, size: int = SEGMENT) -> Iterator[bytes]:
@@ -56,39 +59,46 @@ def by_words(path: str) -> bool:
     )
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in byte-level vocabularies: printable ones for themselves, others from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = (byte for byte in range(256) if byte not in plain)
+    return {byte: chr(byte) for byte in plain} | {byte: chr(256 + i) for i, byte in enumerate(other)}
+
+
 class _Memo(dict):
-    """Words to numbers; a new word is encoded and its ids stored under the next number."""
+    """Folded words to numbers; a new word is encoded and its ids wait in ``flat`` under the next number."""
 
-    def __init__(self, tokenizer):
+    def __init__(self, tokenizer, pieces: dict[str, bytes]):
         super().__init__()
-        self.tokenizer, self.model, self.pieces = tokenizer, tokenizer.model, {}
-        self.special = tuple(
-            token.content.lower().encode() for token in tokenizer.get_added_tokens_decoder().values()
-        )
-        self.flat, self.lengths = [], []  # of the words that came since they were last taken over
+        self.tokenizer, self.model, self.pieces = tokenizer, tokenizer.model, pieces
+        self.letters = _byte_letters()
+        self.flat: list[bytes] = []
 
     def __missing__(self, word: bytes) -> int:
-        ids = self.encode(word)
-        self.flat.extend(ids)
-        self.lengths.append(len(ids))
+        self.flat.append(b"".join([self.pieces.get(piece) or self.piece(piece) for piece in self.split(word)]))
         number = self[word] = len(self)
         return number
 
-    def encode(self, word: bytes) -> list[int]:
-        if any(token in word for token in self.special):
-            # A special token is told from its look-alikes by case, which is folded here: look_up keeps such texts out.
-            raise ValueError("special token inside a folded word")
-        if _PLAIN.fullmatch(word):
-            pieces = [piece.decode() for piece in _PIECES.findall(word)]
-        else:
-            text = self.tokenizer.normalizer.normalize_str(word.decode())
-            pieces = [piece for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
-        ids = []
-        for piece in pieces:
-            known = self.pieces.get(piece)
-            if known is None:
-                known = self.pieces[piece] = [token.id for token in self.model.tokenize(piece)]
-            ids.extend(known)
+    def split(self, word: bytes) -> list[str]:
+        """The pieces that the model gets for a word, as letters for bytes."""
+        text = word.decode()
+        core = text.rstrip(_SIGNS)
+        if core.isalpha():
+            # Letters up to U+024F are composed already, and folding them leaves letters but for those told apart here.
+            if core.isascii():
+                return [core, text[len(core) :]] if len(core) < len(text) else [core]
+            if max(core) < "\u0250" and (core := core.lower()).isalpha():
+                mapped = core.encode().decode("latin-1").translate(self.letters)
+                rest = text.rstrip(_SIGNS)
+                return [mapped, text[len(rest) :]] if len(rest) < len(text) else [mapped]
+        elif _PLAIN.fullmatch(text):
+            return _PIECES.findall(text)
+        text = self.tokenizer.normalizer.normalize_str(text)
+        return [piece for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+
+    def piece(self, piece: str) -> bytes:
+        ids = self.pieces[piece] = array("I", [token.id for token in self.model.tokenize(piece)]).tobytes()
         return ids
 
 
@@ -98,7 +108,7 @@ class _Grown:
     def __init__(self, kind):
         self.values, self.size = np.zeros(1 << 12, kind), 0
 
-    def extend(self, more: list[int]) -> None:
+    def extend(self, more: np.ndarray) -> None:
         end = self.size + len(more)
         if end > len(self.values):
             values = np.zeros(max(end, 2 * len(self.values)), self.values.dtype)
@@ -117,20 +127,24 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.split = by_words(path)
+        tokens = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = tuple(token.content.lower().encode() for token in tokens)
+        self.memo = None
         self._new()
 
     def _new(self) -> None:
-        self.memo = _Memo(self.tokenizer)
-        self.ids, self.lengths, self.starts = _Grown(np.uint32), _Grown(np.int64), _Grown(np.int64)
+        pieces = self.memo.pieces if self.memo is not None and len(self.memo.pieces) < PIECES else {}
+        self.memo = _Memo(self.tokenizer, pieces)
+        self.ids, self.lengths, self.starts = _Grown(np.uint32), _Grown(np.int32), _Grown(np.int32)
 
     def _sync(self) -> None:
-        """Move the ids of new words from lists to arrays."""
-        lengths = np.array(self.memo.lengths, np.int64)
-        if len(lengths):
+        """Move the ids of new words from the list to arrays."""
+        flat, self.memo.flat = self.memo.flat, []
+        if flat:
+            lengths = np.fromiter(map(len, flat), np.int64, len(flat)) // 4
             self.starts.extend(self.ids.size + np.cumsum(lengths) - lengths)
             self.lengths.extend(lengths)
-            self.ids.extend(self.memo.flat)
-            self.memo.flat, self.memo.lengths = [], []
+            self.ids.extend(np.frombuffer(b"".join(flat), np.uint32))
 
     def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the words, and how many each has."""
@@ -138,7 +152,7 @@ class Encoder:
             self._new()
         numbers = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
         self._sync()
-        lengths = self.lengths.values[numbers]
+        lengths = self.lengths.values[numbers].astype(np.int64)
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
         places = np.arange(total) + np.repeat(self.starts.values[numbers] - (ends - lengths), lengths)
@@ -147,7 +161,7 @@ class Encoder:
     def _whole(self, text: bytes) -> bool:
         """Whether the text has to go through the tokenizer in one piece."""
         folded = text.lower()
-        return not self.split or any(token in folded for token in self.memo.special)
+        return not self.split or any(token in folded for token in self.special)
 
     def encode(self, text: bytes) -> Iterator[np.ndarray]:
         """The ids of one UTF-8 text of any length, as uint32 arrays one after the other."""
