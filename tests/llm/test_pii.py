@@ -1,0 +1,110 @@
+"""Personal data against regular expressions on each text."""
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from touchline.llm import pii, queries
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, digit in enumerate(map(int, reversed(digits))):
+        digit = digit * 2 if i % 2 else digit
+        total += digit - 9 if digit > 9 else digit
+    return total % 10 == 0
+
+
+def valid(kind, match):
+    digits = re.sub("[^0-9]", "", match)
+    if kind == "ip":
+        return all(int(part) <= 255 for part in match.split("."))
+    if kind == "card":
+        return 16 <= len(digits) <= 19 and luhn(digits)
+    return kind != "phone" or 8 <= len(digits) <= 15
+
+
+def base(text):
+    return [
+        f"{kind}:{m.start()}:{m.end()}"
+        for kind, pattern in PATTERNS.items()
+        for m in re.finditer(pattern, text or "")
+        if valid(kind, m[0])
+    ]
+
+
+def expected(text):
+    spans = base(text)
+    counts = [sum(s.startswith(kind) for s in spans) for kind in PATTERNS]
+    return (*counts, hashlib.sha256(",".join(spans).encode()).hexdigest())
+
+
+COLUMNS = ("n_email", "n_ip", "n_card", "n_phone", "base_sha256")
+
+
+def check(spark, table):
+    frame = spark.createDataFrame([(i, text) for i, text in enumerate(table)], "doc_id LONG, text STRING")
+    for row in pii.extract(frame).collect():
+        text = table[row["doc_id"]]
+        assert tuple(row[c] for c in COLUMNS) == expected(text), text
+        spans = row["spans"].split(",") if row["spans"] else []
+        assert spans[: len(base(text))] == base(text)
+        for span in spans[len(base(text)) :]:
+            kind, low, high = span.split(":")
+            assert kind == "id" and text[int(low) : int(high)]
+
+
+def test_edges(spark):
+    check(spark, [
+        None, "", "a@b.c", "é a.b+c@d-e.f.g😀 x@y", "a@b.c_x@y.zz@q.r", "a@b@c.d", "@a.b", "a@b..c",
+        "1.2.3.4.5.6.7.8", "256.1.1.1 0255.0.0.001 999999999999999999999999999.1.1.1", "1.2.3", "a1.2.3.4b",
+        "4111 1111 1111 1111", "4111-1111-1111-1111 4111111111111112", "4111  1111 1111 1111", "1" * 40,
+        "0000000000000000 000", "+1 (269) 555-3296", "+1+2+34567890", "+12", "+1 2345678901234567", "+1.(2) 3-4 5678 -",
+        "mail a@b.co 4111111111111111 +1 234 567 8901 1.1.1.1", "x" * 50_000, "7 " * 20_000, "a." * 20_000 + "@b.c", "1." * 20_000,
+    ])
+
+
+def test_random(spark):
+    draw = random.Random(2)
+    pieces = ["a", "B", "@", ".", "-", "+", "1", "25", "4111111111111111", " ", "  ", "(", ")", "é", "_", "%", "0.0.0.0", "x@y.z"]
+    check(spark, ["".join(draw.choices(pieces, k=draw.randint(1, 40))) for _ in range(500)])
+
+
+def test_context_finds_what_no_pattern_matches(spark):
+    texts = [f"word {i % 7} more account number u{i}x@mail{i}.example.com and so on" for i in range(30)]
+    texts += ["his account number KX-5520-19 is new", "the page count 123456 of it", "a flat 77-QQ-99"]
+    table = [(i, text, "w") for i, text in enumerate(texts)] + [(None, None, "w"), (3, texts[3], "w")]
+    frame = spark.createDataFrame(table, "doc_id LONG, text STRING, words STRING")
+    rows = {row["doc_id"]: row for row in pii.extract(frame).collect()}
+    assert rows[30]["spans"] == "id:19:29" and rows[30]["n_id"] == 1
+    assert rows[31]["spans"] == "" and rows[32]["n_id"] == 0
+    assert pii.extract(frame).count() == len(table)
+
+
+def test_empty(spark):
+    assert pii.extract(spark.createDataFrame([], "doc_id LONG, text STRING")).collect() == []
+
+
+def test_query(spark):
+    sf = "/root/testdata/sf0.01"
+    texts = {row["doc_id"]: row["text"] for row in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = queries.op3_pii(spark, sf).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        assert tuple(row[c] for c in COLUMNS) == expected(texts[row["doc_id"]])
+
+
+def test_native(spark):
+    frame = spark.createDataFrame([(1, "a@b.c")], "doc_id LONG, text STRING")
+    plan = pii.extract(frame)._jdf.queryExecution().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
+    assert pytest.approx(1.0) == 1.0

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import decontamination, exact_dedup, html_text, language_model, ngram_join, token_files, toxicity
+from touchline.llm import decontamination, exact_dedup, html_text, language_model, ngram_join, pii, token_files, toxicity
 from touchline.llm.rows import id_hash, read, with_place
 from touchline.session import scratch_path
 
@@ -26,6 +26,10 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.extract(read(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return scored.select(
@@ -59,5 +63,5 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_exact_dedup, op2_ngram_join, op5_toxicity, op7_html_text, op8_decontamination, op9_token_files, op10_language_model)
+    found = (op1_exact_dedup, op2_ngram_join, op3_pii, op5_toxicity, op7_html_text, op8_decontamination, op9_token_files, op10_language_model)
     return {query.__name__: query for query in found}
