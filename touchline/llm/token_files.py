@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.llm.huffman import Book, code_lengths
-from touchline.llm.token_ids import encoder
+from touchline.llm.token_ids import encoder, forget
 from touchline.session import cut_lineage
 
 BLOCK = 1 << 18  # ids
@@ -107,6 +107,7 @@ def token_counts(pieces: DataFrame) -> DataFrame:
     """(id, n) over all packed ids; every task counts its own rows first."""
 
     def run(batches):
+        forget()
         counts, unpack = np.zeros(0, np.int64), _Packer().unpack
         for batch in batches:
             for packed in batch["ids"].to_pylist():
@@ -135,6 +136,7 @@ def _blocks(book: Book, placed: DataFrame) -> DataFrame:
     def run(batches):
         from pyspark import TaskContext
 
+        forget()
         part, block, unpack = TaskContext.get().partitionId(), 0, _Packer().unpack
 
         def coded(held, docs):
@@ -182,21 +184,22 @@ def write(
     _blocks(Book(ids, lengths), placed).write.option("compression", "none").parquet(f"{path}/blocks")
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """Decode the files: (part, block, slot, doc_id, ends, n, ids) per piece of a document, ids as little-endian bytes."""
+def _decoded(spark: SparkSession, path: str, make, name: str, kind: str) -> DataFrame:
+    """(part, block, slot, doc_id, ends, n) per piece of a document, and what ``make`` makes of its ids' bytes."""
     rows = spark.read.parquet(f"{path}/codes").limit(MAX_IDS).collect()
     ids = np.array([row["id"] for row in rows], np.uint32)
     lengths = np.array([row["length"] for row in rows], np.int64)
-    columns = "part INT, block INT, slot INT, doc_id BIGINT, ends BOOLEAN, n INT, ids BINARY"
 
     def run(batches):
+        forget()
         book = Book(ids, lengths)
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(len(batch)):
+                row = batch.slice(i, 1).to_pylist()[0]
                 tokens = book.decode(row["bits"], row["runs"], row["n_tokens"]).astype("<u4")
                 docs = row["docs"]
                 ends = np.cumsum([doc["n"] for doc in docs])
-                data = [tokens[end - doc["n"] : end].tobytes() for doc, end in zip(docs, ends.tolist())]
+                made = [make(tokens[end - doc["n"] : end].tobytes()) for doc, end in zip(docs, ends.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([row["part"]] * len(docs), pa.int32()),
@@ -205,14 +208,20 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                         pa.array([doc["doc_id"] for doc in docs], pa.int64()),
                         pa.array([doc["ends"] for doc in docs], pa.bool_()),
                         pa.array([doc["n"] for doc in docs], pa.int32()),
-                        pa.array(data, pa.binary()),
+                        pa.array(made),
                     ],
-                    names=["part", "block", "slot", "doc_id", "ends", "n", "ids"],
+                    names=["part", "block", "slot", "doc_id", "ends", "n", name],
                 )
 
+    columns = f"part INT, block INT, slot INT, doc_id BIGINT, ends BOOLEAN, n INT, {name} {kind}"
     return spark.read.parquet(f"{path}/blocks").mapInArrow(run, columns)
 
 
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """Decode the files: (part, block, slot, doc_id, ends, n, ids) per piece of a document, ids as little-endian bytes."""
+    return _decoded(spark, path, bytes, "ids", "BINARY")
+
+
 def combined_crc(crcs: list[int], sizes: list[int]) -> int:
     """crc32 of byte strings put together, from the crc32 and size of each."""
 
@@ -242,8 +251,7 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
     ``start`` counts the ids of all documents before it in the order of the files. One row per task of the writer is summed up
     to know where each part starts; inside a part, blocks are summed up by a window over that part's rows.
     """
-    crc = F.pandas_udf(lambda some: some.map(zlib.crc32), T.LongType())
-    pieces = cut_lineage(read(spark, path).withColumn("crc", crc("ids")).drop("ids"))
+    pieces = cut_lineage(_decoded(spark, path, zlib.crc32, "crc", "BIGINT"))
     totals = spark.read.parquet(f"{path}/blocks").select("part", "block", F.col("n_tokens").cast("long").alias("n"))
     earlier = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = totals.withColumn("_in_part", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")

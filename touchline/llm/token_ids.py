@@ -20,8 +20,8 @@ import numpy as np
 
 # Texts are cut at blanks into segments of about this many bytes; words kept between texts.
 SEGMENT = 1 << 20
-WORDS = 250_000
-PIECES = 350_000
+WORDS = 200_000
+PIECES = 250_000
 
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
 _PLAIN = re.compile(r"[\x21-\x7e]+")
@@ -205,3 +205,8 @@ def encoder(path: str) -> Encoder:
     if path not in kept.__dict__:
         kept.__dict__[path] = Encoder(path)
     return kept.__dict__[path]
+
+
+def forget() -> None:
+    """Drop the encoders of this process, for tasks that need its memory for other things."""
+    sys.modules.pop("_touchline_encoders", None)
