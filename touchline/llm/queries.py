@@ -10,9 +10,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import decontamination, exact_dedup, html_text, language_model, ngram_join, pii, token_files, toxicity
+from touchline.llm import decontamination, exact_dedup, html_text, language_model, mixing, ngram_join, pii
+from touchline.llm import token_counts, token_files, toxicity
 from touchline.llm.rows import id_hash, read, with_place
-from touchline.session import scratch_path
+from touchline.session import cut_lineage, scratch_path
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +31,35 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.extract(read(spark, sf_dir, "documents"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after three batches: all documents come in, copies of a text go, and texts are counted without junk signs."""
+    documents = read(spark, sf_dir, "documents")
+    clean = F.regexp_replace("text", "[#$%&*]+", "")
+    rows = cut_lineage(
+        documents.select(
+            "doc_id",
+            "source",
+            "lang",
+            F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("digest"),
+            *(count(F.coalesce(text, F.lit(""))).alias(f"{name}{state}")
+              for name, count in token_counts.EXPRESSIONS.items() for state, text in (("", F.col("text")), ("+", clean))),
+        )
+    )
+    first = rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
+    kept, copies = rows.join(first, ["digest", "doc_id"], "left_semi"), rows.join(first, ["digest", "doc_id"], "left_anti")
+
+    def counts(some: DataFrame, state: str) -> DataFrame:
+        each = (F.struct(F.lit(name).alias("version"), F.col(f"`{name}{state}`").alias("n_tokens")) for name in token_counts.EXPRESSIONS)
+        return some.select("doc_id", "source", "lang", F.inline(F.array(*each)))
+
+    rollup = token_counts.TokenRollup(spark, scratch_path(spark, "rollup"))
+    for _ in range(2):  # the second turn is a replay and changes nothing
+        rollup.commit("load", token_counts.inserts(counts(rows, "")))
+        rollup.commit("dedup", token_counts.deletes(counts(copies, "")))
+        rollup.commit("recount", token_counts.revisions(counts(kept, ""), counts(kept, "+")))
+    return rollup.totals()
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return scored.select(
@@ -40,6 +70,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = with_place(read(spark, sf_dir, "documents"))
+    return mixing.mixed(documents, mixing.tempered(documents)).drop("_file", "_at")
+
+
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read(spark, sf_dir, "pages"))
 
@@ -63,5 +98,5 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_exact_dedup, op2_ngram_join, op3_pii, op5_toxicity, op7_html_text, op8_decontamination, op9_token_files, op10_language_model)
+    found = (op1_exact_dedup, op2_ngram_join, op3_pii, op4_token_counts, op5_toxicity, op6_mixing, op7_html_text, op8_decontamination, op9_token_files, op10_language_model)
     return {query.__name__: query for query in found}

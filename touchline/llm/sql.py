@@ -18,5 +18,20 @@ WINDOW best AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULLS LAST)
 """
 
 
+OP4 = r"""
+WITH kept AS (
+    SELECT source, lang, regexp_replace(coalesce(text, ''), '[#$%&*]+', '', 'g') AS text
+    FROM documents
+    QUALIFY row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id) = 1
+), counts AS (
+    SELECT source, lang, 'words-1' AS version, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS n FROM kept
+    UNION ALL
+    SELECT source, lang, 'bytes-1', strlen(text) FROM kept
+)
+SELECT source, lang, version, count(*) AS n_docs, sum(n)::BIGINT AS n_tokens
+FROM counts GROUP BY ALL
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1}
+    return {"op1_exact_dedup": OP1, "op4_token_counts": OP4}
