@@ -48,20 +48,20 @@ def number_within(
     ranges = [*group, *order]
     rows = df
     if not unique:
-        rows = cut_lineage(df).withColumn("_tie", F.monotonically_increasing_id())
-        ranges.append("_tie")
+        rows = cut_lineage(df).withColumn("_num_tie", F.monotonically_increasing_id())
+        ranges.append("_num_tie")
     placed = cut_lineage(
         rows.repartitionByRange(*ranges)
         .sortWithinPartitions(*ranges)
-        .withColumn("_at", F.monotonically_increasing_id())
-        .withColumn("_task", F.shiftright("_at", _LOCAL_BITS))
+        .withColumn("_num_at", F.monotonically_increasing_id())
+        .withColumn("_num_task", F.shiftright("_num_at", _LOCAL_BITS))
     )
-    runs = placed.groupBy("_task", *group).agg(F.min("_at").alias("_from"), F.count(F.lit(1)).alias("_rows"))
+    runs = placed.groupBy("_num_task", *group).agg(F.min("_num_at").alias("_num_from"), F.count(F.lit(1)).alias("_num_rows"))
     # A group has at most one run per range partition, so this window never sees more rows than tasks.
-    earlier = Window.partitionBy(*group).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = runs.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
-    joined = join_same(placed, cut_lineage(shifts), ["_task", *group])
-    return joined.select(*df.columns, (F.col("_before") + F.col("_at") - F.col("_from")).alias(name))
+    earlier = Window.partitionBy(*group).orderBy("_num_task").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = runs.withColumn("_num_before", F.coalesce(F.sum("_num_rows").over(earlier), F.lit(0))).drop("_num_rows")
+    joined = join_same(placed, cut_lineage(shifts), ["_num_task", *group])
+    return joined.select(*df.columns, (F.col("_num_before") + F.col("_num_at") - F.col("_num_from")).alias(name))
 
 
 def number_by_block(
@@ -72,11 +72,11 @@ def number_by_block(
     Unique whole numbers put at most ``block`` rows into one block, so blocks are ranked
     independently and shifted by the rows of the blocks before them.
     """
-    blocked = df.withColumn("_block", F.expr(f"{order} div {block}"))
-    sizes = blocked.groupBy(*group, "_block").agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
-    inside = Window.partitionBy(*group, "_block").orderBy(order)
-    ranked = blocked.withColumn("_rank", F.row_number().over(inside))
-    joined = join_same(ranked, sizes, [*group, "_block"])
-    return joined.select(*df.columns, (F.col("_before") + F.col("_rank") - 1).alias(name))
+    blocked = df.withColumn("_num_block", F.expr(f"{order} div {block}"))
+    sizes = blocked.groupBy(*group, "_num_block").agg(F.count(F.lit(1)).alias("_num_rows"))
+    earlier = Window.partitionBy(*group).orderBy("_num_block").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_num_before", F.coalesce(F.sum("_num_rows").over(earlier), F.lit(0))).drop("_num_rows")
+    inside = Window.partitionBy(*group, "_num_block").orderBy(order)
+    ranked = blocked.withColumn("_num_rank", F.row_number().over(inside))
+    joined = join_same(ranked, sizes, [*group, "_num_block"])
+    return joined.select(*df.columns, (F.col("_num_before") + F.col("_num_rank") - 1).alias(name))
