@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from touchline.operators import shaping, staging
@@ -111,28 +112,66 @@ def test_ratings_of_two_days(spark, tmp_path, rows):
 def test_feed_to_staging(spark, tmp_path, rows):
     """Feed → lake → selected partitions → typed staging rows."""
     target = str(tmp_path / "lake")
-    flows.land_matches(spark, write(tmp_path / "m.json", MATCHES), LANDED_MATCH, target, 3, 2020)
-    flows.land_matches(spark, write(tmp_path / "n.json", MATCHES[:1]), LANDED_MATCH, target, 4, 2021)
+    flows.land_matches(spark, write(tmp_path / "m.json", MATCHES), LANDED_MATCH, target, 3, 2020, json_lines=False)
+    flows.land_matches(spark, write(tmp_path / "n.json", MATCHES[:1]), LANDED_MATCH, target, 4, 2021, json_lines=False)
     scanned = lake.scan_glob(spark, target, schema=lake.lake_schema(LANDED_MATCH))
     config = {"id": "int", "tournament_id": "int", "year": "int", "stage_name": "string", "date": "string"}
-    staged = flows.staging_rows(scanned, config, tournament_id=3, year=2020)
+    option = lake.SearchOption.TOURNAMENT_YEAR
+    staged, none = flows.staging_rows(scanned, config, tournament_id=3, year=2020, option=option)
+    assert none.count() == 0
     assert rows(staged, "id", "stage_name", "year") == [
         (1, "Group A", 2020), (2, "Final", 2020), (3, "Group A", 2020), (4, "no_stage_name", 2020),
     ]
     by_id = {r.id: r for r in staged.collect()}
     assert json.loads(by_id[1].group) == {"metaData": {"groupName": "Group A"}}
     assert by_id[2].group == '""' and by_id[2].dt_updated is not None
-    good, bad = flows.staging_rows_and_rejects(scanned, {**config, "stage_name": "int"})
+    good, bad = flows.staging_rows(scanned, {**config, "stage_name": "int"})
     assert good.count() == 0 and bad.count() == 5
 
 
+def test_line_files_keep_all_their_records(spark, tmp_path, rows):
+    lines = tmp_path / "lines.json"
+    lines.write_text("\n".join(json.dumps(match) for match in MATCHES))
+    target = str(tmp_path / "lake")
+    flows.land_matches(spark, str(lines), LANDED_MATCH, target, 3, 2020, json_lines=True)
+    assert rows(lake.scan_lake(spark, target, lake.lake_schema("id BIGINT")), "id") == [(1,), (2,), (3,), (4,)]
+    with pytest.raises(ValueError, match="one document per line"):
+        flows.land_matches(spark, str(lines), LANDED_MATCH, target, 3, 2020, json_lines=False)
+    pretty = tmp_path / "pretty.json"
+    pretty.write_text(json.dumps(MATCHES, indent=1))
+    assert landed.read_records(spark, str(pretty), LANDED_MATCH).count() == 4
+
+
+def test_clearing_touches_expired_days_only(spark, tmp_path, rows):
+    path = str(tmp_path / "staging")
+    frame = spark.sql(
+        "SELECT * FROM VALUES (1, 'a', DATE'2024-01-01'), (2, 'a', DATE'2024-01-25'), (3, 'b', DATE'2024-01-01'), "
+        "(4, 'b', NULL) t(id, p, dt_updated)"
+    )
+    flows.append_staging(frame, path, partition_by=["p"])
+    before = {f for f in spark.read.parquet(path).inputFiles()}
+    assert flows.clear_staging(spark, path, 10, "2024-01-31") == 2
+    assert rows(spark.read.parquet(path), "id", "p") == [(2, "a"), (4, "b")]
+    assert set(spark.read.parquet(path).inputFiles()) < before
+    assert flows.clear_staging(spark, path, 10, "2024-01-31") == 0
+    with pytest.raises(ValueError):
+        frame.write.parquet(str(tmp_path / "flat"))
+        flows.clear_staging(spark, str(tmp_path / "flat"), 10)
+
+
+def test_production_runs_may_overlap(spark, tmp_path, rows):
+    path = str(tmp_path / "results")
+    frame = spark.sql("SELECT * FROM VALUES (1, DATE'2024-01-11'), (2, DATE'2024-01-12'), (3, DATE'2024-02-09') t(id, game_date)")
+    for day in ("2024-02-10", "2024-02-10", "2024-02-11"):
+        flows.update_game_results(frame.union(frame), path, as_of=day)
+    assert rows(spark.read.parquet(path), "id") == [(2,), (3,)]
+
+
 def test_calendar_to_lake(spark, tmp_path, rows):
     target = str(tmp_path / "lake")
     feed = write(tmp_path / "c.json", CALENDAR)
-    flows.land_calendar(spark, feed, CALENDAR_MATCH, target, 52)
-    found = lake.scan_glob(
-        spark, target, "*/*/*/*/*/*.parquet", lake.lake_schema("id BIGINT, time BIGINT", lake.MATCH_PARTITION_COLUMNS)
-    )
+    flows.land_calendar(spark, feed, CALENDAR_MATCH, target, 52, json_lines=False)
+    found = lake.scan_lake(spark, target, lake.lake_schema("id BIGINT, time BIGINT, match_id BIGINT"))
     assert rows(found, "id", "match_id", "tournament_id", "stage_name") == [
         (1, 1, 52, "Group A"), (2, 2, 52, "Group A"), (3, 3, 52, "no_stage_name"),
     ]
@@ -146,11 +185,10 @@ def test_many_tournaments_in_one_job(spark, tmp_path, rows):
         folder = tmp_path / "matches" / f"tournament_id={tournament}" / "year=2020"
         folder.mkdir(parents=True)
         write(folder / "m.json", MATCHES)
-    flows.land_calendar(spark, str(tmp_path / "calendars"), CALENDAR_MATCH, str(tmp_path / "a"))
-    schema = lake.lake_schema("id BIGINT", lake.MATCH_PARTITION_COLUMNS)
-    found = lake.scan_glob(spark, str(tmp_path / "a"), "*/*/*/*/*/*.parquet", schema)
+    flows.land_calendar(spark, str(tmp_path / "calendars"), CALENDAR_MATCH, str(tmp_path / "a"), json_lines=False)
+    found = lake.scan_lake(spark, str(tmp_path / "a"), lake.lake_schema("id BIGINT, match_id BIGINT"))
     assert rows(found, "tournament_id", "match_id") == [(t, m) for t in (52, 53) for m in (1, 2, 3)]
-    flows.land_matches(spark, str(tmp_path / "matches"), LANDED_MATCH, str(tmp_path / "b"))
+    flows.land_matches(spark, str(tmp_path / "matches"), LANDED_MATCH, str(tmp_path / "b"), json_lines=False)
     found = lake.scan_lake(spark, str(tmp_path / "b"), lake.lake_schema(LANDED_MATCH))
     assert rows(found, "tournament_id", "year", "id") == [(t, 2020, m) for t in (52, 53) for m in (1, 2, 3, 4)]
 
@@ -177,6 +215,8 @@ def test_windows_and_copies(spark, rows):
     df = spark.sql("SELECT * FROM VALUES (1, DATE'2024-01-11'), (2, DATE'2024-01-12'), (2, DATE'2024-01-12') t(id, d)")
     assert rows(staging.recent_rows(df, "d", 30, "2024-02-10"), "id") == [(2,), (2,)]
     assert rows(staging.retained_rows(df, 30, "d", "2024-02-10"), "id") == [(1,), (2,), (2,)]
+    unknown = df.union(spark.sql("SELECT 9, CAST(NULL AS DATE)"))
+    assert rows(staging.retained_rows(unknown, 29, "d", "2024-02-10"), "id") == [(2,), (2,), (9,)]
     once = staging.drop_copies(df)
     assert rows(once, "id") == [(1,), (2,)] and staging.drop_copies(once).count() == 2
 

@@ -105,6 +105,11 @@ def test_lookup(games, rows):
     assert rows(slices.linked_to(games, "team", "nobody")) == []
 
 
+def test_slice_of_an_index(games, rows):
+    graph = slices.slices(slices.number_games(games))
+    assert rows(slices.of_index(graph, 2), "part", "matches", "dependencies") == [(0, [1, 2], [0, 1, 3, 4, 5, 6])]
+
+
 def test_lookup_agrees_with_the_graph(skewed):
     graph = slices.slices(slices.number_games(skewed)).collect()
     names = {(r.season, r["index"]): (r.type, r.key) for r in graph}
@@ -120,25 +125,61 @@ def test_lookup_agrees_with_the_graph(skewed):
 
 def test_season_document(tables):
     documents = flows.season_documents(tables, 2022).collect()
-    assert [(d.season, d.competition, d.page) for d in documents] == [(2022, "Cup 2022", "all")]
-    body = json.loads(documents[0].document)
-    assert list(body) == ["season", "competition", "slices", "matches"]
-    assert [s["type"] for s in body["slices"]] == sorted(s["type"] for s in body["slices"])
+    kinds = ["date", "match", "place", "stage", "team"]
+    assert sorted((d.season, d.competition, d.kind, d.block, d.part) for d in documents) == [
+        (2022, "Cup 2022", kind, 0, 0) for kind in kinds
+    ]
+    bodies = [json.loads(d.document) for d in sorted(documents, key=lambda d: d.kind)]
+    assert all(list(body) == ["season", "competition", "slices", "matches"] for body in bodies)
+    body = {name: [entry for body in bodies for entry in body[name]] for name in ("slices", "matches")}
     assert [m["match_id"] for m in body["matches"]] == [1, 2]
-    assert tuple(body["matches"][1]) == slices.MATCH_FIELDS
+    assert tuple(body["matches"][1]) == (*slices.MATCH_FIELDS, "text_part")
     assert body["matches"][1]["penalty_shootout_home_goals"] is None
     assert body["matches"][0]["result"] == "2(4):2(3)"
     place = next(s for s in body["slices"] if s["type"] == "place")
-    assert place["value"] == {"city": "Town", "stadium": "S1"} and "imagePath" not in place and "part" not in place
+    assert place["value"] == {"city": "Town", "stadium": "S1"} and "imagePath" not in place and place["part"] == 0
     team = next(s for s in body["slices"] if s["index"] == 0)
     assert team["value"] == {"name": "A"} and team["imagePath"] == "aa.svg" and team["matches"] == [1, 2]
 
 
-def test_long_documents_come_in_pages(tables):
-    """Pages hold the same slices and matches as the single document."""
-    whole = json.loads(flows.season_documents(tables, 2022).first().document)
-    pages = [json.loads(d.document) for d in flows.season_documents(tables, 2022, page=2).collect()]
-    assert len(pages) > 1
+def entries(documents):
+    """The slices and matches of some documents, in the order of their blocks."""
+    ordered = sorted(documents.collect(), key=lambda d: (d.season, d.competition, d.kind, d.block, d.part))
+    bodies = [json.loads(d.document) for d in ordered]
+    return {name: [entry for body in bodies for entry in body[name]] for name in ("slices", "matches")}
+
+
+def shapes(documents):
+    found = entries(documents)
+    return {tuple(sorted(s)) for s in found["slices"]}, {tuple(sorted(m)) for m in found["matches"]}
+
+
+def test_more_data_changes_no_shape(tables, spark):
+    """Twenty-five times the matches: the same columns and entry shapes, more blocks."""
+    many = star.Star(
+        **{
+            **vars(tables),
+            "matches": tables.matches.crossJoin(spark.range(25).select(F.col("id").alias("_copy"))).withColumn(
+                "id", F.col("id") + 100 * F.col("_copy").cast("int")
+            ).drop("_copy"),
+            "goals": tables.goals.crossJoin(spark.range(25).select(F.col("id").alias("_copy"))).withColumn(
+                "match_id", F.col("match_id") + 100 * F.col("_copy")
+            ).drop("_copy"),
+        }
+    )
+    small, large = (flows.season_documents(t, 2022, page=10, block=10) for t in (tables, many))
+    assert small.columns == large.columns and shapes(small) == shapes(large)
+    assert {d.kind for d in small.collect()} == {d.kind for d in large.collect()}
+    assert len(entries(large)["matches"]) == 25 * len(entries(small)["matches"])
+    assert max(d.block for d in large.collect()) == 4
+
+
+def test_long_documents_come_in_blocks(tables):
+    """Blocks of any size hold the same slices and matches."""
+    whole = entries(flows.season_documents(tables, 2022))
+    short = flows.season_documents(tables, 2022, page=2, block=2)
+    pages = [json.loads(d.document) for d in short.collect()]
+    assert len(pages) > 5
     merged = defaultdict(lambda: {"matches": [], "dependencies": []})
     for part in (s for p in pages for s in p["slices"]):
         merged[part["index"]]["matches"] += part["matches"]

@@ -198,4 +198,16 @@ def test_model_as_table(spark, rows):
     stadiums = spark.createDataFrame([(50, 1.0, 2.0)], "id BIGINT, latitude DOUBLE, longitude DOUBLE")
     found = models.materialize(spark, "link_stadium_to_uefa", {"places": places, "uefa_stadiums": stadiums})
     assert rows(found) == [(3, 50)]
+    again = stadiums.withColumn("id", F.lit(51).cast("bigint"))
+    found = models.materialize(spark, "link_stadium_to_uefa", {"places": places, "uefa_stadiums": again})
+    assert rows(found) == [(3, 51)]
     spark.sql("DROP TABLE link_stadium_to_uefa")
+
+
+def test_incremental_model_replaces_the_days_it_has(spark, rows):
+    kept = {"kept_results": models.Model(lambda t: t["rows"], "incremental", "game_date")}
+    frame = lambda *pairs: spark.createDataFrame(pairs, "game_date STRING, id INT")
+    models.materialize(spark, "kept_results", {"rows": frame(("d1", 1), ("d2", 2))}, models=kept)
+    found = models.materialize(spark, "kept_results", {"rows": frame(("d2", 3), ("d3", 4))}, models=kept)
+    assert rows(found, "game_date", "id") == [("d1", 1), ("d2", 3), ("d3", 4)]
+    spark.sql("DROP TABLE kept_results")

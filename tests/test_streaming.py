@@ -78,6 +78,28 @@ def test_latest_state(spark, feed, tmp_path, rows):
     assert rows(live.newest_state(updates), "id", "score") == [(1, "1:0"), (2, "1:1")]
 
 
+def test_kept_state(spark, feed, tmp_path, rows):
+    stream, target = source(spark, feed), str(tmp_path / "state")
+    assert live.read_state(spark, target, RAW).count() == 0
+    live.keep_latest(stream, target, str(tmp_path / "checkpoint"), ["seq"]).awaitTermination()
+    assert rows(live.read_state(spark, target, RAW), "id", "score") == [(1, "1:0"), (2, "1:0")]
+    land(spark, feed, "3.json", [(2, "C", "D", "1:1", "S2", 9), (1, "A", "B", "9:9", "S1", 2)])  # the second is late
+    for _ in range(2):  # the second time as after a run that ended before its commit
+        live.keep_latest(stream, target, str(tmp_path / "checkpoint"), ["seq"]).awaitTermination()
+        assert rows(live.read_state(spark, target, RAW), "id", "score") == [(1, "1:0"), (2, "1:1")]
+        live.forget_commit(spark, str(tmp_path / "checkpoint"), 2)
+
+
+def test_uncommitted_batch_is_repeated(spark, feed, tmp_path):
+    projected = live.project_games(source(spark, feed))
+    run(projected, tmp_path)
+    live.forget_commit(spark, str(tmp_path / "checkpoint"), 1)
+    assert not (tmp_path / "checkpoint" / "commits" / "1").exists()
+    run(projected, tmp_path)
+    assert (tmp_path / "checkpoint" / "commits" / "1").exists()
+    assert live.read_batches(spark, str(tmp_path / "out"), projected.schema).count() == 3
+
+
 def test_stream_equals_batch(spark, feed, tmp_path, rows):
     batch = spark.read.schema(RAW).json(str(feed))
     projected = live.project_games(source(spark, feed))

@@ -57,13 +57,6 @@ def is_goal_type(type_text: Column) -> Column:
     return folded.like("%goal%") & ~folded.like("%attempt%")
 
 
-def name_matches(name: Column, pattern: str | None) -> Column:
-    """True where ``name`` contains a match of the regular expression; unknown names never match."""
-    if not pattern:
-        return F.lit(True)
-    return F.coalesce(name.rlike(pattern), F.lit(False))
-
-
 def stage_name(group_name: Column, round_name: Column) -> Column:
     """The group's name, else the round's."""
     return F.coalesce(group_name, round_name)

@@ -1,7 +1,7 @@
-"""Ordered lists per key, cut into pages of bounded length.
+"""Ordered lists per key, cut into pages of a fixed length.
 
-A key with at most ``page`` rows, which is every match of a real tournament, gives one row with part 0.
-A larger key gives several rows, part 0, 1, 2, …; together they hold the whole list.
+Every key comes as rows with part 0, 1, 2, …, of ``page`` entries each but the last; together they hold the whole
+list. Columns and order are the same for keys and tables of any size.
 """
 
 from __future__ import annotations
@@ -11,9 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.operators.numbering import number_within, same_key
-from touchline.session import cut_lineage
+from touchline.operators.numbering import number_within
 
+# Long enough that a real key has one part, short enough that a part is a modest row.
 PAGE = 10_000
 
 
@@ -26,23 +26,14 @@ def paged_list(
     part: str = "part",
     page: int = PAGE,
 ) -> DataFrame:
-    """(keys…, part, n_rows, name): the values of each key as ordered arrays of at most ``page`` entries.
+    """(keys…, part, n_rows, name): the values of each key as ordered arrays of ``page`` entries.
 
-    ``order`` must fix the order inside a key. NULL values are skipped, as aggregates do.
+    ``order`` must fix the order inside a key. NULL values count as rows but are skipped in lists, as aggregates do.
+    The rows are written once and numbered from there, so what lies above them is computed a single time.
     """
     columns = list(dict.fromkeys([*keys, *order, value]))
-    rows = df.select(*columns)
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    large = cut_lineage(counts.where(F.col("_rows") > page).select(*keys))
-    if large.isEmpty():
-        return _collect(rows.withColumn(part, F.lit(0).cast("bigint")), keys, order, value, name, part)
-    small_rows = rows.join(large, same_key(rows, large, keys), "left_anti")
-    large_rows = rows.join(large, same_key(rows, large, keys), "left_semi")
-    numbered = number_within(large_rows, keys, order, "_position")
-    numbered = numbered.withColumn(part, F.expr(f"_position div {page}"))
-    return _collect(small_rows.withColumn(part, F.lit(0).cast("bigint")), keys, order, value, name, part).unionByName(
-        _collect(numbered, keys, order, value, name, part)
-    )
+    numbered = number_within(df.select(*columns), keys, order, "_position")
+    return _collect(numbered.withColumn(part, F.expr(f"_position div {page}")), keys, order, value, name, part)
 
 
 def _collect(

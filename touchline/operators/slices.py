@@ -4,9 +4,10 @@ One document per (season, competition). A slice has an index, numbered from 0 by
 (game_date, match_id, slot) order, the slots being home team, away team, place, stage, date. It lists its
 matches and the indexes of slices of another type that occur in the same matches.
 
-All documents are built in one pass. The matches are numbered once; everything else follows from these
-numbers by plain aggregation, and lists are cut into parts of bounded length: part k holds the list
-entries numbered k*page … (k+1)*page-1. A slice of a real tournament has the single part 0.
+All documents are built in one pass. The matches are numbered once and written; everything else follows from
+these rows by plain aggregation, and lists are cut into parts: part k holds the list entries numbered
+k*page … (k+1)*page-1. Documents are cut into blocks of a fixed number of entries in the same way. The layout
+doesn't depend on how many matches there are.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from touchline.session import cut_lineage
 
 DOCUMENT = ("season", "competition")
 _NODE = (*DOCUMENT, "type", "key")
+BLOCK = 500  # entries of a document block
 _SLOTS = 8  # room for the five slots of a match in one whole number
 
 
@@ -57,8 +59,11 @@ def games_with_goals(games: DataFrame, goals: DataFrame) -> DataFrame:
 
 
 def number_games(games: DataFrame) -> DataFrame:
-    """Games with ``ord``, their position in the document; the base of everything below."""
-    return number_within(games, DOCUMENT, ["game_date", "match_id"], "ord")
+    """Games with ``ord``, their position in the document: the base of everything below, written once.
+
+    A match is in a document once, so day and match id order its games without ties.
+    """
+    return cut_lineage(number_within(cut_lineage(games), DOCUMENT, ["game_date", "match_id"], "ord", unique=True))
 
 
 # (slot, type, key column) of the entities of a game, in slot order
@@ -155,9 +160,9 @@ def _sorted_list(condition: Column, entry: Column) -> Column:
     return F.sort_array(F.collect_list(F.when(condition, entry)))
 
 
-def slices(numbered: DataFrame, page: int = PAGE) -> DataFrame:
+def slices(numbered: DataFrame, page: int = PAGE, graph_nodes: DataFrame | None = None) -> DataFrame:
     """One row per slice and part, with the sorted ``matches`` and ``dependencies`` of that part."""
-    graph_nodes = nodes(numbered)
+    graph_nodes = nodes(numbered) if graph_nodes is None else graph_nodes
     match_entries = occurrences(numbered).select(
         *_NODE, F.expr(f"ord div {page}").alias("part"), F.col("ord").alias("position"), "match_id"
     )
@@ -205,6 +210,11 @@ def linked_to(games: DataFrame, kind: str, key: str) -> DataFrame:
     return games.where(selected).select(*DOCUMENT, F.inline(F.array(match, *linked))).distinct()
 
 
+def of_index(graph: DataFrame, index: int) -> DataFrame:
+    """(season, competition, part, matches, dependencies) of the slice with an index, out of the rows of ``slices``."""
+    return graph.where(F.col("index") == index).select(*DOCUMENT, "part", "matches", "dependencies")
+
+
 MATCH_FIELDS = (
     "match_id", "status", "year", "date", "time", "home_team", "away_team", "city", "stadium", "stage",
     "total_home_goals", "total_away_goals", "penalty_shootout_home_goals", "penalty_shootout_away_goals",
@@ -231,51 +241,44 @@ def _slice_json() -> Column:
     return F.to_json(
         F.struct(
             "type", value.alias("value"), "index", "dependencies", "matches",
-            F.col("image_path").alias("imagePath"), F.expr("nullif(part, 0)").alias("part"),
+            F.col("image_path").alias("imagePath"), "part",
         )
     )
 
 
 def _match_json() -> Column:
-    whole = F.to_json(F.struct(*MATCH_FIELDS), {"ignoreNullFields": "false"})
-    more_text = F.to_json(F.struct("match_id", "text_part", "text"))
-    return F.when(F.col("text_part") == 0, whole).otherwise(more_text)
+    return F.to_json(F.struct(*MATCH_FIELDS, "text_part"), {"ignoreNullFields": "false"})
 
 
-def documents(graph: DataFrame, matches: DataFrame, numbered: DataFrame, page: int = PAGE) -> DataFrame:
-    """(season, competition, page, document): the JSON documents.
+def documents(graph: DataFrame, matches: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(season, competition, kind, block, part, document): the JSON documents, in blocks of the same shape.
 
-    ``graph`` are the rows of :func:`slices`, ``matches`` the result rows of the ``numbered`` games, keeping
-    ``season`` and ``ord``. A document is
-    {season, competition, slices sorted by (type, index), matches}. With at most ``page`` entries, which
-    six per match bound, it is the single page ``all``. A longer one comes as pages of the same shape,
-    such as ``team-0`` or ``match-3``, whose slices and matches together make the whole.
+    ``graph`` are the rows of :func:`slices`, ``matches`` the result rows of the numbered games, keeping
+    ``season`` and ``ord``. A block is {season, competition, slices, matches} with the entries of one ``kind``, a
+    slice type or ``match``, that are numbered block*``block`` … and are the ``part`` of their list or text. The whole
+    document is its blocks in the order of kind, block and part.
     """
-    block = max(1, page // 20)  # entries of a long document may themselves be lists and texts of page length
-    sizes = numbered.groupBy(*DOCUMENT).agg((F.count(F.lit(1)) * 6 <= page).alias("fits"))
     slice_entries = graph.select(
         *DOCUMENT,
-        F.lit(True).alias("first_part"),
-        F.concat_ws("-", "type", F.expr(f"index div {block}"), F.expr("nullif(part, 0)")).alias("label"),
-        F.struct("type", "index", "part").alias("place"),
+        F.col("type").alias("kind"),
+        F.expr(f"index div {block}").alias("block"),
+        "part",
+        F.col("index").alias("at"),
         _slice_json().alias("slice"),
         F.lit(None).cast("string").alias("match"),
     )
     match_entries = matches.select(
         *DOCUMENT,
-        (F.col("text_part") == 0).alias("first_part"),
-        F.concat_ws("-", F.lit("match"), F.expr(f"ord div {block}"), F.expr("nullif(text_part, 0)")).alias("label"),
-        F.struct(F.lit("match").alias("type"), F.col("ord").alias("index"), F.col("text_part").alias("part")).alias(
-            "place"
-        ),
+        F.lit("match").alias("kind"),
+        F.expr(f"ord div {block}").alias("block"),
+        F.col("text_part").alias("part"),
+        F.col("ord").alias("at"),
         F.lit(None).cast("string").alias("slice"),
         _match_json().alias("match"),
     )
-    paged = join_same(slice_entries.unionByName(match_entries), sizes, DOCUMENT)
-    paged = paged.withColumn("page", F.when(F.col("fits") & F.col("first_part"), "all").otherwise(F.col("label")))
-    grouped = paged.groupBy(*DOCUMENT, "page").agg(
-        _sorted_list(F.col("slice").isNotNull(), F.struct("place", F.col("slice").alias("entry"))).alias("slices"),
-        _sorted_list(F.col("match").isNotNull(), F.struct("place", F.col("match").alias("entry"))).alias("matches"),
+    grouped = slice_entries.unionByName(match_entries).groupBy(*DOCUMENT, "kind", "block", "part").agg(
+        _sorted_list(F.col("slice").isNotNull(), F.struct("at", F.col("slice").alias("entry"))).alias("slices"),
+        _sorted_list(F.col("match").isNotNull(), F.struct("at", F.col("match").alias("entry"))).alias("matches"),
     )
     head = F.to_json(F.struct(*DOCUMENT))
     body = F.concat(
@@ -283,4 +286,4 @@ def documents(graph: DataFrame, matches: DataFrame, numbered: DataFrame, page: i
         F.lit(',"slices":['), F.array_join("slices.entry", ","),
         F.lit('],"matches":['), F.array_join("matches.entry", ","), F.lit("]}"),
     )
-    return grouped.withColumn("head", head).select(*DOCUMENT, "page", body.alias("document"))
+    return grouped.withColumn("head", head).select(*DOCUMENT, "kind", "block", "part", body.alias("document"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.operators.numbering import number_within, same_key
+from touchline.session import cut_lineage
 
 
 def drop_copies(df: DataFrame) -> DataFrame:
@@ -30,7 +31,12 @@ def retained_rows(
     df: DataFrame, days: int, column: str = "dt_updated", as_of: date | str | None = None
 ) -> DataFrame:
     """Rows a staging table keeps when everything older than ``days`` days is cleared."""
-    return df.where(F.col(column) >= F.date_sub(_day(as_of), days))
+    return df.where(is_retained(F.col(column), days, as_of))
+
+
+def is_retained(stamp: Column, days: int, as_of: date | str | None = None) -> Column:
+    """Whether a stamp is at most ``days`` days old; an unknown one isn't older than anything."""
+    return stamp.isNull() | (stamp >= F.date_sub(_day(as_of), days))
 
 
 def union_differing(frames: Sequence[DataFrame]) -> DataFrame:
@@ -54,7 +60,7 @@ def rank_seasons(seasons: DataFrame, name: str = "season_rank") -> DataFrame:
 
     Ranks come from the distinct names; these are numbered without putting a tournament into one task.
     """
-    names = seasons.select("tournament_id", F.col("name").alias("season_name")).distinct()
+    names = cut_lineage(seasons.select("tournament_id", F.col("name").alias("season_name")).distinct())
     numbered = number_within(names, ["tournament_id"], ["season_name"], "_up", unique=True)
     totals = names.groupBy("tournament_id").agg(F.count(F.lit(1)).alias("_total"))
     ranks = numbered.join(totals, "tournament_id").select(

@@ -78,7 +78,6 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
         o.join(lines, o["o_orderkey"] == lines["l_orderkey"], "left")
         .join(home, F.col("o_custkey") == F.col("c_custkey"))
         .join(away, F.coalesce("suppkey", F.lit(0)) == F.col("s_suppkey"))
-        .where(F.col("c_nationkey") != F.col("s_nationkey"))
         .select(
             F.col("o_orderkey").alias("id"),
             (F.col("tournament_id") * 10000 + F.col("season")).alias("competition_id"),
@@ -211,12 +210,9 @@ def source_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stadiums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts of size 10 and more as the source's stadiums, so that some matches lack a place."""
-    return (
-        places(spark, sf_dir)
-        .where(F.col("capacity") >= 10)
-        .select("id", F.col("lat").alias("latitude"), F.col("lng").alias("longitude"))
-    )
+    """Parts as the source's stadiums; small ones lack coordinates, so that some matches lack a place."""
+    latitude = F.when(F.col("capacity") >= 10, F.col("lat")).alias("latitude")
+    return places(spark, sf_dir).select("id", latitude, F.col("lng").alias("longitude"))
 
 
 def timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -322,11 +318,6 @@ def raw_orders(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFr
     )
 
 
-def game_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as score updates of games, one game per user."""
-    return as_games(table(spark, sf_dir, "events"))
-
-
 def as_games(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("user_id").alias("id"),

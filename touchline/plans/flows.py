@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.functions.cleaning import clean, split_rejects
+from touchline.functions.cleaning import split_rejects
 from touchline.operators import shaping, slices, staging, star
 from touchline.schemas import MATCHES
 from touchline.session import cut_lineage
 from touchline.sinks import lake as lake_sink
-from touchline.sinks.tables import append_table, in_column_order, stamped
+from touchline.sinks.tables import in_column_order, stamped
 from touchline.sources import lake, landed
 
 Schema = str | T.StructType
@@ -32,16 +32,18 @@ def land_matches(
     target: str,
     tournament_id: int | None = None,
     year: int | None = None,
+    *,
+    json_lines: bool,
 ) -> None:
     """Match responses into the lake by tournament, year, stage and day.
 
-    Without tournament and year, ``feed`` holds folders ``tournament_id=…/year=…`` and the responses of all
+    ``json_lines`` tells whether files hold one record per line or one array. Without tournament and year, ``feed`` holds folders ``tournament_id=…/year=…`` and the responses of all
     of them are landed in one job.
     """
     if tournament_id is None:
-        records = landed.read_keyed(spark, feed, schema, "tournament_id BIGINT, year INT")
+        records = landed.read_keyed(spark, feed, schema, "tournament_id BIGINT, year INT", json_lines)
     else:
-        records = landed.read_records(spark, feed, schema)
+        records = landed.read_records(spark, feed, schema, json_lines)
     keyed = shaping.stage_and_day(records).withColumns(
         _request_columns(tournament_id=(tournament_id, "bigint"), year=(year, "int"))
     )
@@ -55,13 +57,15 @@ def land_calendar(
     target: str,
     tournament_id: int | None = None,
     day: str | None = None,
+    *,
+    json_lines: bool,
 ) -> None:
-    """Calendar responses into the lake, one folder per tournament, year, stage, day and match.
+    """Calendar responses into the lake, by tournament, year, stage and day, sorted by match inside a file.
 
-    Without a tournament, ``feed`` holds folders ``tournament_id=…``, all landed in one job.
+    ``json_lines`` tells whether files hold one stage per line or one array. Without a tournament, ``feed`` holds folders ``tournament_id=…``, all landed in one job.
     """
     keys = "tournament_id BIGINT" if tournament_id is None else None
-    rows = shaping.explode_calendar(landed.read_calendar(spark, feed, match, keys=keys), day)
+    rows = shaping.explode_calendar(landed.read_calendar(spark, feed, match, json_lines, keys=keys), day)
     keyed = rows.withColumns(
         {
             **_request_columns(tournament_id=(tournament_id, "bigint")),
@@ -69,7 +73,7 @@ def land_calendar(
             "match_id": F.col("id"),
         }
     )
-    lake_sink.write_partitioned_by_match(keyed, target)
+    lake_sink.write_partitioned(keyed, target, sort_by=("match_id",))
 
 
 def land_ratings(spark: SparkSession, feed: str, schema: Schema, target: str, day: str) -> None:
@@ -83,34 +87,60 @@ def staging_rows(
     tournament_id: int | None = None,
     year: int | None = None,
     day: str | None = None,
-    option: lake.SearchOption = lake.SearchOption.TOURNAMENT_YEAR,
-) -> DataFrame:
-    """Selected lake partitions, typed by the config and stamped, ready to append to a staging table."""
-    return stamped(clean(lake.select_partitions(lake_rows, option, tournament_id, year, day), config))
-
+    option: lake.SearchOption = lake.SearchOption.ALL,
+) -> tuple[DataFrame, DataFrame]:
+    """Selected lake partitions as (rows ready to append to a staging table, rows that can't be read).
 
-def staging_rows_and_rejects(lake_rows: DataFrame, config: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
-    """As :func:`staging_rows` over all rows, with unreadable rows set apart instead of ending the load."""
-    good, rejected = split_rejects(lake_rows, config)
+    Good rows are typed by the config and stamped; the others keep their raw cells and name the failing columns. No
+    unreadable cell becomes a default. All partitions are taken unless an option and its values are given.
+    """
+    chosen = lake_rows
+    if tournament_id is not None or year is not None or day is not None:
+        chosen = lake.select_partitions(lake_rows, option, tournament_id, year, day)
+    good, rejected = split_rejects(chosen, config)
     return stamped(good), rejected
 
 
-def clear_staging(
-    spark: SparkSession, path: str, days: int, column: str = "dt_updated", as_of: date | str | None = None
-) -> None:
-    """Drop the rows of a Parquet staging table that are older than ``days`` days.
+LOAD_DAY = "load_day"
+
+
+def append_staging(rows: DataFrame, path: str, column: str = "dt_updated", partition_by: Sequence[str] = ()) -> None:
+    """Append to a staging table that is partitioned by the given columns and the day of the load stamp."""
+    dated = rows.withColumn(LOAD_DAY, F.col(column).cast("date"))
+    dated.write.mode("append").partitionBy(*partition_by, LOAD_DAY).parquet(path)
+
 
-    The kept rows are written to the shared folder before they replace the table.
+def clear_staging(spark: SparkSession, path: str, days: int, as_of: date | str | None = None) -> int:
+    """Drop the partitions of a staging table whose load day is more than ``days`` days ago; returns how many.
+
+    Rows of an unknown day stay. Other partitions aren't read or written, so rows appended meanwhile are safe, and a
+    run that breaks off can be repeated.
     """
-    kept = cut_lineage(staging.retained_rows(spark.read.parquet(path), days, column, as_of))
-    kept.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    rows = spark.read.parquet(path)
+    if LOAD_DAY not in rows.columns:
+        raise ValueError(f"{path} is not partitioned by {LOAD_DAY}")
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    expired = rows.where(~staging.is_retained(F.col(LOAD_DAY).cast("date"), days, as_of)).select(folder).distinct()
+    found = [row[0] for row in expired.collect()]
+    for name in found:
+        location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
+    return len(found)
+
+
+GAME_DAY = "game_day"
 
 
 def update_game_results(
     results: DataFrame, path: str, column: str = "game_date", days: int = 30, as_of: date | str | None = None
 ) -> None:
-    """Append the distinct staged results of the last ``days`` days to the production table."""
-    append_table(staging.drop_copies(staging.recent_rows(results, column, days, as_of)), path)
+    """Put the distinct staged results of the last ``days`` whole days in place of those days' production rows.
+
+    The table is partitioned by day, and a run replaces the days it has rows for: runs may overlap or be repeated.
+    """
+    dated = results.withColumn(GAME_DAY, F.col(column).cast("date"))
+    recent = staging.drop_copies(staging.recent_rows(dated, GAME_DAY, days, as_of))
+    recent.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(GAME_DAY).parquet(path)
 
 
 def fact_load(source_matches: DataFrame, tables: star.Star, links: DataFrame, season: int | None = None) -> DataFrame:
@@ -119,18 +149,22 @@ def fact_load(source_matches: DataFrame, tables: star.Star, links: DataFrame, se
 
 
 def season_documents(
-    tables: star.Star, season: int | None = None, goal_order: Sequence[str] = ("id",), page: int = slices.PAGE
+    tables: star.Star,
+    season: int | None = None,
+    goal_order: Sequence[str] = ("id",),
+    page: int = slices.PAGE,
+    block: int = slices.BLOCK,
 ) -> DataFrame:
     """The slice documents of one season, or of all seasons, over finished matches with goals.
 
-    The schedule is joined once: the numbered games carry what their result rows need.
+    The schedule is joined once: the numbered games carry what their result rows need. Goals are written once, for the
+    filter and the texts.
     """
+    goals = cut_lineage(tables.goals)
     games = slices.slice_games(star.schedule(tables, season), keep=slices.RESULT_COLUMNS)
-    numbered = slices.number_games(slices.games_with_goals(games, tables.goals))
-    matches = star.results_of(
-        numbered, tables.match_status, tables.goals, goal_order, page=page, keep=("season", "ord")
-    )
-    return slices.documents(slices.slices(numbered, page), matches, numbered, page)
+    numbered = slices.number_games(slices.games_with_goals(games, goals))
+    matches = star.results_of(numbered, tables.match_status, goals, goal_order, page=page, keep=("season", "ord"))
+    return slices.documents(slices.slices(numbered, page), matches, block)
 
 
 def schedule_slices(tables: star.Star, season: int | None = None, page: int = slices.PAGE) -> DataFrame:

@@ -8,24 +8,28 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from touchline.operators import shaping, staging, star
-from touchline.schemas import match_status_seed, stage_seed
-from touchline.sinks.tables import create_table
+from touchline.sinks.tables import replace_partitions, replace_table
 
 Tables = Mapping[str, DataFrame]
 
 
 @dataclass(frozen=True)
 class Model:
-    """A derived table: how to build it from named tables, and ``view`` or ``table``."""
+    """A derived table: how to build it from named tables, and how it is kept.
+
+    A ``view`` is built when it is read, a ``table`` is built anew by each run, and an ``incremental`` table replaces
+    the partitions by ``partition`` that a run has rows for.
+    """
 
     build: Callable[[Tables], DataFrame]
     materialized: str = "view"
+    partition: str | None = None
 
 
 MODELS: dict[str, Model] = {
     "match_results": Model(lambda t: staging.drop_copies(t["game_results"])),
     "stadiums": Model(lambda t: shaping.stadium_dimension(t["timeline_all_uefa"])),
-    "game_results": Model(lambda t: staging.recent_rows(t["match_results"], "game_date"), "table"),
+    "game_results": Model(lambda t: staging.recent_rows(t["match_results"], "game_date"), "incremental", "game_date"),
     "goals": Model(lambda t: star.goal_rows(t["timeline_fifa"], t["link_match_to_fifa"]), "table"),
     "tmp_date_update": Model(
         lambda t: star.corrected_local_dates(t["matches"], t["link_match_to_uefa"], t["uefa_matches"]), "table"
@@ -38,18 +42,16 @@ MODELS: dict[str, Model] = {
 def materialize(
     spark: SparkSession, name: str, tables: Tables, as_: str | None = None, models: Mapping[str, Model] = MODELS
 ) -> DataFrame:
-    """Build a model and register it under its name as a temporary view or a catalog table."""
+    """Build a model and register it under its name as a temporary view or a catalog table; runs may be repeated."""
     model = models[name]
     rows = model.build(tables)
     kept = as_ or model.materialized
     if kept == "view":
         rows.createOrReplaceTempView(name)
     elif kept == "table":
-        create_table(rows, name)
+        replace_table(rows, name)
+    elif kept == "incremental":
+        replace_partitions(rows, name, model.partition)
     else:
         raise ValueError(f"unknown materialization {kept!r}")
     return spark.table(name)
-
-
-def seeds(spark: SparkSession) -> dict[str, DataFrame]:
-    return {"match_status": match_status_seed(spark), "stages": stage_seed(spark)}

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from touchline.operators.pages import PAGE
-
 _LAKE = """SELECT o_orderkey, o_custkey, o_totalprice,
   CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS tournament_id, CAST(year(o_orderdate) AS INT) AS year,
   'Group/' || o_orderstatus || ' +1' AS stage_name, strftime(date_trunc('quarter', o_orderdate), '%Y%m%d') AS date
@@ -33,14 +31,16 @@ _GAME = f"""{_LINES}, game AS (SELECT o.o_orderkey AS match_id, CAST(year(o.o_or
   FROM orders o LEFT JOIN lines l ON l.l_orderkey = o.o_orderkey
   JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation nh ON nh.n_nationkey = c.c_nationkey
   JOIN supplier s ON s.s_suppkey = coalesce(l.suppkey, 0) JOIN nation na ON na.n_nationkey = s.s_nationkey
-  JOIN region r ON r.r_regionkey = nh.n_regionkey JOIN part p ON p.p_partkey = coalesce(l.partkey, 0)
-  WHERE nh.n_nationkey <> na.n_nationkey)"""
+  JOIN region r ON r.r_regionkey = nh.n_regionkey JOIN part p ON p.p_partkey = coalesce(l.partkey, 0))"""
 
 _GOAL_ORDER = "l_linenumber, l_partkey, l_suppkey, l_extendedprice, text"
 
-_GOALS = f"""goal AS (SELECT l_orderkey AS match_id, l_linenumber || '` ' || l_returnflag || l_linestatus AS text,
+
+
+def _goals(page: int) -> str:
+    return f"""goal AS (SELECT l_orderkey AS match_id, l_linenumber || '` ' || l_returnflag || l_linestatus AS text,
     l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem),
-  goal_part AS (SELECT *, (row_number() OVER (PARTITION BY match_id ORDER BY {_GOAL_ORDER}) - 1) // {PAGE} AS text_part
+  goal_part AS (SELECT *, (row_number() OVER (PARTITION BY match_id ORDER BY {_GOAL_ORDER}) - 1) // {page} AS text_part
     FROM goal),
   goal_text AS (SELECT match_id, CAST(text_part AS BIGINT) AS text_part,
     string_agg(text, ',' ORDER BY {_GOAL_ORDER}) AS text FROM goal_part GROUP BY match_id, text_part)"""
@@ -50,7 +50,9 @@ _RESULT = """CASE WHEN shootout_home <> 0
   ELSE home || ':' || away END"""
 
 
-def _graph(condition: str, home_image: str = "image_path_home", away_image: str = "image_path_away") -> str:
+def _graph(
+    condition: str, home_image: str = "image_path_home", away_image: str = "image_path_away", page: int = 10_000
+) -> str:
     return f"""WITH {_GAME}, g AS (SELECT *, {home_image} AS image_home, {away_image} AS image_away,
     row_number() OVER (PARTITION BY season, competition ORDER BY game_date, match_id) - 1 AS ord
     FROM game WHERE {condition}),
@@ -70,8 +72,8 @@ def _graph(condition: str, home_image: str = "image_path_home", away_image: str
       AND a.type <> b.type
     JOIN node nb ON nb.season = b.season AND nb.competition = b.competition AND nb.type = b.type AND nb.key = b.key),
   entry AS (
-    SELECT season, competition, type, key, ord // {PAGE} AS part, ord AS place, match_id, NULL AS dependency FROM occ
-    UNION ALL SELECT season, competition, type, key, dependency // {PAGE}, dependency, NULL, dependency FROM edge),
+    SELECT season, competition, type, key, ord // {page} AS part, ord AS place, match_id, NULL AS dependency FROM occ
+    UNION ALL SELECT season, competition, type, key, dependency // {page}, dependency, NULL, dependency FROM edge),
   listed AS (SELECT season, competition, type, key, CAST(part AS BIGINT) AS part,
     coalesce(string_agg(CAST(match_id AS VARCHAR), ',' ORDER BY place), '') AS matches,
     coalesce(string_agg(CAST(dependency AS VARCHAR), ',' ORDER BY place), '') AS dependencies
@@ -79,6 +81,7 @@ def _graph(condition: str, home_image: str = "image_path_home", away_image: str
 
 
 _FLAGS = _graph("status = 'F' AND scored")
+_SHORT = _graph("status = 'F' AND scored", page=5)
 _PICTURES = _graph(
     "status = 'F'", "'assets/images/' || home_team || '.png'", "'assets/images/' || away_team || '.png'"
 )
@@ -98,6 +101,16 @@ _SEASONS = """season AS (SELECT DISTINCT CAST(substr(o_orderpriority, 1, 1) AS B
     + CAST(year(o_orderdate) AS BIGINT) AS id, CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS tournament_id,
     CAST(year(o_orderdate) AS VARCHAR) AS name FROM orders)"""
 
+_NAMED = """SELECT * FROM (SELECT DISTINCT CAST(substr(o_orderpriority, 1, 1) AS BIGINT) * 10000
+    + CAST(year(o_orderdate) AS BIGINT) AS id, o_orderpriority || ' ' || year(o_orderdate) AS name FROM orders)"""
+
+_TYPED = """SELECT o_orderkey AS row_id, CASE WHEN o_orderstatus = 'P' THEN 0 ELSE o_orderkey END AS id,
+  CASE WHEN o_orderstatus = 'P' THEN 0.0 ELSE CAST(CAST(o_totalprice AS DECIMAL(15, 2)) AS DOUBLE) END AS price,
+  CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d') END AS day,
+  CASE o_orderstatus WHEN 'O' THEN 'false' WHEN 'F' THEN 'true' END AS known, o_orderpriority AS clerk,
+  CASE WHEN o_orderstatus = 'P' THEN '""' ELSE '"' || o_orderpriority || '"' END AS extra,
+  '{"cust":' || o_custkey || ',"state":"' || o_orderstatus || '"}' AS detail FROM orders"""
+
 _CALENDAR = """raw AS (SELECT CASE WHEN o_orderstatus = 'P' THEN 'no_stage_name' ELSE o_orderpriority END AS stage_name,
     o_orderkey AS id, CAST(epoch(o_orderdate) AS BIGINT) + 43200 AS time FROM orders
   UNION ALL SELECT CASE WHEN o_orderstatus = 'P' THEN 'no_stage_name' ELSE o_orderpriority END,
@@ -106,7 +119,8 @@ _CALENDAR = """raw AS (SELECT CASE WHEN o_orderstatus = 'P' THEN 'no_stage_name'
     strftime(TIMESTAMP '1970-01-01' + to_seconds(time), '%Y-%m-%d') AS date,
     CAST(year(TIMESTAMP '1970-01-01' + to_seconds(time)) AS INT) AS year FROM raw)"""
 
-_EVENT_DAYS = "event_id, strftime(ts, '%Y-%m-%d') AS ts, user_id, event_type, value"
+_EVENT = "event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props"
+_UNDATED = "(SELECT event_id, CASE WHEN event_type <> 'error' THEN ts END AS ts, user_id, event_type, value, props FROM events)"
 
 _GAME_EVENTS = """SELECT user_id AS id, event_type AS team1, 'v-' || event_type AS team2,
   json_extract_string(props, '$.k') AS score"""
@@ -127,6 +141,7 @@ def _orphans(child: str, column: str, parent: str, parent_column: str, source: s
 def oracle_sql() -> dict[str, str]:
     sql = {
         "scan_glob": _LAKE,
+        "scan_entity": "SELECT n_nationkey, n_name, CAST(n_regionkey AS BIGINT) AS tournament_id FROM nation",
         "scan_path_columns": _LAKE,
         "select_all": f"SELECT * FROM ({_LAKE}) WHERE tournament_id = 1 OR year = 2001",
         "select_tournament_year": f"SELECT * FROM ({_LAKE}) WHERE tournament_id = 1 AND year = 2000",
@@ -137,6 +152,12 @@ def oracle_sql() -> dict[str, str]:
         "scan_json_envelope": "SELECT c_custkey, c_name, c_nationkey FROM customer",
         "scan_json_array": "SELECT p_partkey, p_name, p_size, p_retailprice FROM part",
         "scan_json_keyed": "SELECT c_custkey, c_name, c_acctbal, c_nationkey AS tag FROM customer",
+        "land_match_lines": f"""WITH {_LANDED} SELECT id, CAST(3 AS BIGINT) AS tournament_id, CAST(2020 AS INT) AS year,
+          stage_name, date FROM landed""",
+        "land_match_arrays": f"""WITH {_LANDED} SELECT id, CAST(3 AS BIGINT) AS tournament_id,
+          CAST(2020 AS INT) AS year, stage_name, date FROM landed""",
+        "tournaments_by_name": f"{_NAMED} WHERE name LIKE '%HIGH%' OR name LIKE '%LOW%'",
+        "seasons_by_name": f"{_NAMED} WHERE name LIKE '%1998%'",
         "calendar_explode": f"WITH {_CALENDAR} SELECT * FROM calendar",
         "calendar_one_day": f"WITH {_CALENDAR} SELECT * FROM calendar WHERE date = '1998-07-01'",
         "filter_contains": """SELECT p_partkey, p_name, p_brand FROM part
@@ -164,14 +185,17 @@ def oracle_sql() -> dict[str, str]:
           'City ' || l_suppkey AS city_name, 'Arena ' || l_partkey AS name,
           CAST(l_partkey * 0.25 AS DOUBLE) AS lat, CAST(l_suppkey * 0.5 - 90 AS DOUBLE) AS lng,
           CAST(year(l_shipdate) AS INT) AS "seasonYear" FROM lineitem""",
-        "model_view": "SELECT DISTINCT event_id, user_id, event_type, value FROM events",
+        "model_view": "SELECT DISTINCT " + _EVENT + " FROM events",
+        "model_table": """SELECT p.id AS place_id, s.p_partkey AS stadium_id_uefa FROM part s
+          JOIN (SELECT p_retailprice, p_size, min(p_partkey) AS id FROM part GROUP BY p_retailprice, p_size) p
+          ON p.p_retailprice = s.p_retailprice AND p.p_size = s.p_size WHERE s.p_size >= 10""",
         "seed_lookup": f"""SELECT o_orderkey, {_NEW_STATUS} AS status, CAST(ms.id AS VARCHAR) AS status_id,
           'Group ' || substr(o_orderpriority, 1, 1) AS stage, st.id AS stage_id FROM orders
           LEFT JOIN {_STATUS_SEED} ON ms.status = lower({_NEW_STATUS})
           LEFT JOIN {_STAGE_SEED} ON st.title = 'Group ' || substr(o_orderpriority, 1, 1)""",
         "star_schedule": f"WITH {_GAME} {_SCHEDULE}",
         "star_schedule_season": f"WITH {_GAME} {_SCHEDULE} AND season = 1998",
-        "star_results": f"""WITH {_GAME}, {_GOALS} SELECT g.match_id, competition, 'finished' AS status,
+        "star_results": f"""WITH {_GAME}, {_goals(3)} SELECT g.match_id, competition, 'finished' AS status,
           season AS year, game_date AS date, substr(date, 12, 8) AS time, home_team, away_team, city, stadium, stage,
           home AS total_home_goals, away AS total_away_goals,
           CAST(shootout_home AS VARCHAR) AS penalty_shootout_home_goals,
@@ -211,22 +235,23 @@ def oracle_sql() -> dict[str, str]:
             ON c.p_retailprice = s.p_retailprice AND c.p_size = s.p_size WHERE s.p_size >= 10),
           season AS (SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS year,
             CAST(year(o_orderdate) * 10 + CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS BIGINT) AS id FROM orders)
-          SELECT match_id AS id, c.id AS competition_id, CAST(link.place_id AS VARCHAR) AS place_id, stage_id,
+          SELECT CAST(match_id AS INT) AS id, c.id AS competition_id, CAST(link.place_id AS VARCHAR) AS place_id, stage_id,
             CASE status WHEN 'O' THEN '1' WHEN 'F' THEN '2' END AS status_id, date,
             strftime(strptime(date, '%Y-%m-%dT%H:%M:%SZ') + to_hours(home_id - 12), '%Y-%m-%dT%H:%M:%SZ') AS local_date,
             CAST(home_id AS BIGINT) AS home_team_id, CAST(away_id AS BIGINT) AS away_team_id,
             regular_home AS goals_home_team, regular_away AS goals_away_team,
             home AS total_home_goals, away AS total_away_goals,
             CAST(shootout_home AS VARCHAR) AS penalty_shootout_home_goals,
-            CAST(shootout_away AS VARCHAR) AS penalty_shootout_away_goals, CAST(match_id AS INT) AS game_order
+            CAST(shootout_away AS VARCHAR) AS penalty_shootout_away_goals, CAST(match_id AS INT) AS game_order, 
+            'int,bigint,bigint,int,int,string,string,bigint,bigint,int,int,int,int,int,int,int' AS types
           FROM game JOIN season c ON c.year = game.season LEFT JOIN link ON link.stadium_id = game.place_id""",
         "fact_fanout": """SELECT CAST(year(o_orderdate) AS INT) AS year, count(DISTINCT o_orderpriority)
           AS n_competitions FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderpriority) > 1""",
         "stage_fallback": f"WITH {_LANDED} SELECT * FROM landed",
-        "incremental_30d": f"SELECT {_EVENT_DAYS} FROM events WHERE ts > TIMESTAMP '2024-01-11'",
-        "retention_n_days": f"SELECT {_EVENT_DAYS} FROM events WHERE ts >= TIMESTAMP '2024-01-21'",
-        "staging_cleared": f"SELECT {_EVENT_DAYS} FROM events WHERE ts >= TIMESTAMP '2024-01-21'",
-        "results_updated": f"SELECT {_EVENT_DAYS} FROM events WHERE ts > TIMESTAMP '2024-01-11'",
+        "incremental_30d": f"SELECT {_EVENT} FROM events WHERE ts > TIMESTAMP '2024-01-11'",
+        "retention_n_days": f"SELECT {_EVENT} FROM {_UNDATED} WHERE ts IS NULL OR ts >= TIMESTAMP '2024-01-21'",
+        "staging_cleared": f"SELECT {_EVENT} FROM {_UNDATED} WHERE ts IS NULL OR ts >= TIMESTAMP '2024-01-21'",
+        "results_updated": f"SELECT DISTINCT {_EVENT} FROM events WHERE ts >= TIMESTAMP '2024-01-12'",
         "json_scorers": """WITH scorer AS (SELECT l_orderkey AS id, 'Part ' || l_partkey AS player,
             l_returnflag AS code, l_linenumber AS minute, 7 AS second FROM lineitem WHERE l_returnflag <> 'N'
           UNION ALL SELECT l_orderkey, CASE WHEN l_linestatus = 'F' THEN 'Supp ' || l_suppkey END, l_returnflag,
@@ -234,12 +259,11 @@ def oracle_sql() -> dict[str, str]:
             FROM lineitem WHERE l_returnflag <> 'N')
           SELECT id, player, code AS "countryCode", CAST(minute AS VARCHAR) AS minute, CAST(second AS VARCHAR) AS second,
             minute || '` ' || player || '(' || code || ')' AS text FROM scorer""",
-        "dedup_staging": """SELECT DISTINCT event_id, strftime(ts, '%Y-%m-%d') AS ts, user_id, event_type, value, props
-          FROM (SELECT * FROM events UNION ALL SELECT * FROM events)""",
+        "dedup_staging": f"SELECT DISTINCT {_EVENT} FROM (SELECT * FROM events UNION ALL SELECT * FROM events)",
         "match_days": f"WITH {_LANDED} SELECT DISTINCT date FROM landed",
         "stage_names": f"WITH {_LANDED} SELECT DISTINCT stage_name FROM landed",
         "bucket_stage_date": f"""WITH {_LANDED}, placed AS (SELECT *,
-            (row_number() OVER (PARTITION BY stage_name, date ORDER BY id) - 1) // {PAGE} AS part FROM landed)
+            (row_number() OVER (PARTITION BY stage_name, date ORDER BY id) - 1) // 2 AS part FROM landed)
           SELECT stage_name, date, CAST(part AS BIGINT) AS part, count(*) AS n_rows,
             string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS match_ids FROM placed GROUP BY stage_name, date, part""",
         "seasons_ranked": f"""WITH {_SEASONS} SELECT *,
@@ -250,12 +274,11 @@ def oracle_sql() -> dict[str, str]:
         "union_by_name": """SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment,
           CAST(NULL AS DOUBLE) AS balance FROM customer
           UNION ALL SELECT s_suppkey, s_name, NULL, s_acctbal FROM supplier""",
-        "clean_types": """SELECT o_orderkey AS row_id, CASE WHEN o_orderstatus = 'P' THEN 0 ELSE o_orderkey END AS id,
-          CASE WHEN o_orderstatus = 'P' THEN 0.0 ELSE CAST(CAST(o_totalprice AS DECIMAL(15, 2)) AS DOUBLE) END AS price,
-          CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d') END AS day,
-          CASE o_orderstatus WHEN 'O' THEN 'false' WHEN 'F' THEN 'true' END AS known, o_orderpriority AS clerk,
-          CASE WHEN o_orderstatus = 'P' THEN '""' ELSE '"' || o_orderpriority || '"' END AS extra,
-          '{"cust":' || o_custkey || ',"state":"' || o_orderstatus || '"}' AS detail FROM orders""",
+        "clean_types": _TYPED,
+        "staging_load": _TYPED + " WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH') AND o_orderstatus <> 'O'",
+        "staging_rejects": """SELECT row_id, rejected FROM (SELECT o_orderkey AS row_id, concat_ws(',',
+            CASE WHEN o_orderpriority = '1-URGENT' THEN 'id' END, CASE WHEN o_orderpriority = '2-HIGH' THEN 'price' END,
+            CASE WHEN o_orderstatus = 'O' THEN 'day' END) AS rejected FROM orders) WHERE rejected <> ''""",
         "clean_rejects": """SELECT 'id' AS column_name, count(*) AS n_rejected FROM orders
             WHERE o_orderpriority = '1-URGENT'
           UNION ALL SELECT 'price', count(*) FROM orders WHERE o_orderpriority = '2-HIGH'
@@ -267,10 +290,9 @@ def oracle_sql() -> dict[str, str]:
         "fk_violations": " UNION ALL ".join(
             [
                 _orphans("nation", "n_regionkey", "region", "r_regionkey"),
-                "SELECT 'customer', 'c_nationkey', 'nation', CAST(c_nationkey AS BIGINT), count(*) FROM customer "
-                "WHERE c_acctbal > 0 AND c_nationkey NOT IN (SELECT n_nationkey FROM nation) GROUP BY c_nationkey",
+                _orphans("customer", "c_nationkey", "nation", "n_nationkey"),
                 _orphans("supplier", "s_nationkey", "nation", "n_nationkey"),
-                _orphans("orders", "o_custkey", "customer", "c_custkey", "customer WHERE c_acctbal > 0"),
+                _orphans("orders", "o_custkey", "solvent", "c_custkey", "customer WHERE c_acctbal > 0"),
                 _orphans("lineitem", "l_orderkey", "orders", "o_orderkey"),
                 _orphans("lineitem", "l_partkey", "part", "p_partkey"),
                 _orphans("lineitem", "l_suppkey", "supplier", "s_suppkey"),
@@ -281,7 +303,7 @@ def oracle_sql() -> dict[str, str]:
         "null_violations": """SELECT 'goals' AS table_name, c.column_name, count(*) AS n_null FROM orders
           CROSS JOIN (VALUES ('suppkey'), ('partkey')) c(column_name)
           WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) GROUP BY c.column_name""",
-        "ordered_concat": f"WITH {_GOALS} SELECT * FROM goal_text",
+        "ordered_concat": f"WITH {_goals(2)} SELECT * FROM goal_text",
         "goals_by_season": f"""WITH {_GAME}, scored_lines AS (SELECT l_orderkey,
             sum(CAST(floor(l_quantity) AS BIGINT)) AS n FROM lineitem GROUP BY l_orderkey)
           SELECT competition, season, CAST(sum(n) AS BIGINT) AS n_goals, count(*) AS n_matches,
@@ -297,11 +319,24 @@ def oracle_sql() -> dict[str, str]:
           UNION SELECT season, competition, 'place', stadium, NULL FROM hit
           UNION SELECT season, competition, 'stage', stage, NULL FROM hit
           UNION SELECT season, competition, 'date', game_date, NULL FROM hit""",
-        "slice_document": f"""{_FLAGS} SELECT season, competition, CAST(index AS BIGINT) AS index, type, key, city,
-          image_path, matches, dependencies FROM listed JOIN node USING (season, competition, type, key)""",
-        "slice_document_matches": f"""WITH {_GAME}, {_GOALS} SELECT season, competition, g.match_id,
-          'finished' AS status, game_date AS date, substr(date, 12, 8) AS time, home_team, away_team, text,
-          {_RESULT} AS result FROM game g JOIN goal_text t ON t.match_id = g.match_id WHERE g.status = 'F'""",
+        "slice_by_index": f"""{_SHORT} SELECT season, competition, part, matches, dependencies
+          FROM listed JOIN node USING (season, competition, type, key) WHERE index = 3""",
+        "slice_document": f"""{_SHORT} SELECT season, competition, CAST(index AS BIGINT) AS index, type, key, city,
+          image_path, part, matches, dependencies FROM listed JOIN node USING (season, competition, type, key)""",
+        "slice_document_matches": f"""WITH {_GAME}, {_goals(5)} SELECT season, competition, g.match_id,
+          'finished' AS status, CAST(season AS BIGINT) AS year, game_date AS date, substr(date, 12, 8) AS time,
+          home_team, away_team, city, stadium, stage, CAST(home AS BIGINT) AS total_home_goals,
+          CAST(away AS BIGINT) AS total_away_goals, CAST(shootout_home AS VARCHAR) AS penalty_shootout_home_goals,
+          CAST(shootout_away AS VARCHAR) AS penalty_shootout_away_goals, text, text_part, image_path_home,
+          image_path_away, {_RESULT} AS result
+          FROM game g JOIN goal_text t ON t.match_id = g.match_id WHERE g.status = 'F'""",
+        "slice_document_blocks": f"""{_SHORT}, {_goals(5)}, item AS (
+            SELECT season, competition, type AS kind, index // 20 AS block, part, 1 AS s, 0 AS m
+            FROM listed JOIN node USING (season, competition, type, key)
+            UNION ALL SELECT season, competition, 'match', ord // 20, text_part, 0, 1 FROM g JOIN goal_text USING (match_id))
+          SELECT season, competition, kind, CAST(block AS BIGINT) AS block, CAST(part AS BIGINT) AS part,
+            CAST(sum(s) AS INT) AS n_slices, CAST(sum(m) AS INT) AS n_matches
+          FROM item GROUP BY season, competition, kind, block, part""",
         "stream_project": f"{_GAME_EVENTS} FROM events",
         "stream_envelope": f"""SELECT '{{"id":' || id || ',"team1":"' || team1 || '","team2":"' || team2
           || '","score":"' || score || '"}}' AS value FROM ({_GAME_EVENTS} FROM events)""",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.schemas import as_struct
+from touchline.session import cut_lineage
 
 
 def stamped(df: DataFrame, column: str = "dt_updated") -> DataFrame:
@@ -55,6 +56,26 @@ def create_table(
     writer.saveAsTable(name)
 
 
+def replace_table(df: DataFrame, name: str) -> None:
+    """Create a catalog table or put the query's rows in place of all of its rows.
+
+    The rows are written aside first, so the query may read the table it replaces.
+    """
+    cut_lineage(df).write.mode("overwrite").format("parquet").saveAsTable(name)
+
+
+def replace_partitions(df: DataFrame, name: str, partition: str) -> None:
+    """Create a catalog table partitioned by a column, or replace the partitions the query has rows for."""
+    placed = df.select(*[column for column in df.columns if column != partition], partition)
+    if not df.sparkSession.catalog.tableExists(name):
+        create_table(placed, name, [partition])
+        return
+    rows = cut_lineage(placed)
+    in_column_order(rows, df.sparkSession.table(name).schema).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).insertInto(name)
+
+
 def insert_rows(df: DataFrame, name: str) -> None:
     """Append to a catalog table, with the columns put into the table's order and types."""
     in_column_order(df, df.sparkSession.table(name).schema).write.insertInto(name)

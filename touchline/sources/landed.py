@@ -13,11 +13,28 @@ from touchline.schemas import as_struct
 Schema = str | T.StructType
 
 
+def _check_single_documents(spark: SparkSession, path: str) -> None:
+    """Fail if a file's first line is a whole JSON object or array and more lines follow it."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.monotonically_increasing_id().alias("at"),
+        (F.col("value").rlike(r"^\s*[\[{]") & F.try_parse_json("value").isNotNull()).alias("whole"),
+        (F.trim("value") != "").alias("given"),
+    )
+    files = lines.where("given").groupBy("file").agg(F.min_by("whole", "at").alias("whole"), F.count(F.lit(1)).alias("n"))
+    bad = files.where("whole AND n > 1").select("file").first()
+    if bad is not None:
+        raise ValueError(f"{bad[0]} holds one document per line; read it with json_lines")
+
+
 def read_records(spark: SparkSession, path: str, schema: Schema, json_lines: bool = False) -> DataFrame:
     """Records of JSON responses: a bare array per file, or one record per line.
 
-    Line files can be split between tasks; an array file is read by one task, so keep responses small.
+    Line files can be split between tasks; an array file is read by one task, so keep responses small. Files that turn
+    out to hold one record per line aren't read as arrays: all records but the first of each would be lost.
     """
+    if not json_lines:
+        _check_single_documents(spark, path)
     return spark.read.schema(schema).option("multiLine", not json_lines).json(path)
 
 

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from touchline.schemas import as_struct
+from touchline.session import cut_lineage
 
 TOPIC = "sports_games"
 MESSAGE_FIELDS = ("id", "team1", "team2", "score")
@@ -22,9 +24,12 @@ def kafka_source_options(servers: str, topic: str = TOPIC, group: str | None = N
     return options
 
 
-def kafka_source(spark: SparkSession, servers: str, topic: str = TOPIC, **options: str) -> DataFrame:
+def kafka_source(
+    spark: SparkSession, servers: str, topic: str = TOPIC, group: str | None = None, **options: str
+) -> DataFrame:
     """Messages of a topic from the earliest offset; the checkpoint remembers what was read."""
-    return spark.readStream.format("kafka").options(**kafka_source_options(servers, topic), **options).load()
+    settings = kafka_source_options(servers, topic, group) | options
+    return spark.readStream.format("kafka").options(**settings).load()
 
 
 def file_source(
@@ -109,6 +114,65 @@ def newest_state(updates: DataFrame, key: str = "id") -> DataFrame:
     return updates.groupBy(F.col(key).alias("_key")).agg(newest).select("latest.*")
 
 
+_BUCKET = "bucket"
+
+
+def _merger(target: str, key: str, order: Sequence[str], buckets: int) -> Callable[[DataFrame, int], None]:
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        bucketed = batch.withColumn(_BUCKET, F.pmod(F.hash(key), F.lit(buckets)))
+        found = cut_lineage(bucketed)
+        touched = [row[0] for row in found.select(_BUCKET).distinct().collect()]
+        kept = read_state(spark, target, batch.schema, True).where(F.col(_BUCKET).isin(touched))
+        newest = latest_games(found.unionByName(kept), order, key)
+        # Written aside first: the state is read and replaced. A repeated batch gives the same state again.
+        cut_lineage(newest).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            _BUCKET
+        ).parquet(target)
+
+    return merge
+
+
+def keep_latest(
+    stream: DataFrame,
+    target: str,
+    checkpoint: str,
+    order: Sequence[str],
+    key: str = "id",
+    buckets: int = 16,
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """Start keeping the newest row of each game in ``target``: a table of one row per game, in buckets by key.
+
+    Each batch is merged into the buckets its games are in; readers see the state alone, not the updates before it.
+    """
+    return (
+        stream.writeStream.outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .foreachBatch(_merger(target, key, order, buckets))
+        .start()
+    )
+
+
+def read_state(spark: SparkSession, target: str, schema: str | T.StructType, with_bucket: bool = False) -> DataFrame:
+    """The kept state; empty before the first batch."""
+    full = T.StructType([*as_struct(schema).fields, T.StructField(_BUCKET, T.IntegerType())])
+    try:
+        rows = spark.read.schema(full).parquet(target)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], full)
+    return rows if with_bucket else rows.drop(_BUCKET)
+
+
+def forget_commit(spark: SparkSession, checkpoint: str, batch_id: int) -> None:
+    """Take back the commit of a batch, as if the run had ended after writing it: the next start repeats it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits/{batch_id}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, False)
+
+
 def kafka_sink(
     messages: DataFrame, servers: str, checkpoint: str, topic: str = TOPIC, trigger: Mapping[str, object] | None = None
 ) -> StreamingQuery:
