@@ -1,0 +1,106 @@
+"""The pipeline against its stages written out by brute force, and on awkward tables."""
+
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from test_decontamination import expected as hits
+from test_ngram_join import expected as groups
+from tokenizers import Tokenizer
+
+import corpus_pipeline as pipeline
+from touchline.llm import mixing, toxicity
+from touchline.session import scratch_path
+
+SF = "/root/testdata/sf0.001"
+
+
+def table(spark, name, *columns):
+    return [tuple(row) for row in spark.read.parquet(f"{SF}/{name}.parquet").select(*columns).collect()]
+
+
+def test_run(spark):
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    classes, weights = toxicity.train(documents, spark.read.parquet(f"{SF}/labels.parquet"))
+    matcher = toxicity.Matcher(classes)
+    rows = table(spark, "documents", "doc_id", "text", "source")
+
+    def fine(text):
+        z = toxicity.features(matcher.counts(text or "")) @ weights[:-1] + weights[-1]
+        return 1 / (1 + np.exp(-z)) < 0.7
+
+    rows = [row for row in rows if fine(row[1])]
+    found, _ = groups([row[:2] for row in rows], pipeline.WORDS, pipeline.SIMILARITY)
+    firsts = {component for _, _, component in found}
+    rows = [row for row in rows if row[0] in firsts]
+    items = [(str(item), text) for item, text in table(spark, "benchmark", "item_id", "text")]
+    bad = {row[0] for row in hits([row[:2] for row in rows], items) if row[-1]}
+    rows = [row for row in rows if row[0] not in bad]
+    assert bad and len(rows) < len(firsts)
+
+    result = {row["doc_id"]: row for row in pipeline.run(spark, SF).collect()}
+    assert sorted(result) == sorted(row[0] for row in rows)
+    # The mix: positions by a schedule of the sources that are left.
+    sizes = {}
+    for row in rows:
+        sizes[row[2]] = sizes.get(row[2], 0) + 1
+    plan = mixing.schedule(mixing.shares({s: n**mixing.TEMPERATURE for s, n in sizes.items()}))
+    order = {row["doc_id"]: i for i, row in enumerate(sorted(result.values(), key=lambda row: row["start"]))}
+    keys = {row[0]: row[1] for row in documents.select("doc_id", F.xxhash64("doc_id", F.lit(11))).collect()}
+    places = []
+    for source in sizes:
+        own = sorted((row[0] for row in rows if row[2] == source), key=lambda d: (keys[d], d))
+        for i, doc_id in enumerate(own):
+            block, share = i // mixing.BLOCK, len(plan[source])
+            places.append((block // share * mixing.PERIOD + plan[source][block % share], i % mixing.BLOCK, doc_id))
+    assert [doc_id for _, _, doc_id in sorted(places)] == sorted(order, key=order.get)
+    tokenizer = Tokenizer.from_file(pipeline.TOKENIZER)
+    text, start = {row[0]: row[1] for row in rows}, 0
+    for doc_id in sorted(order, key=order.get):
+        ids = [*tokenizer.encode(text[doc_id] or "", add_special_tokens=False).ids, 1]
+        crc = zlib.crc32(np.array(ids, "<u4").tobytes())
+        assert tuple(result[doc_id][c] for c in ("start", "n_tokens", "ids_crc32")) == (start, len(ids), crc)
+        start += len(ids)
+
+
+@pytest.fixture
+def folder(spark):
+    """A dataset whose documents have NULLs, repeated rows and ids, blank and long texts, and odd extra columns."""
+    path = scratch_path(spark, "dataset")
+    texts = [f"some common words number {i} and a little more of them to read" for i in range(30)]
+    texts += ["you idiot", "You are an idiot, moron!", None, "", " \n", "word " * 5000, texts[0], texts[0]]
+    texts += ["alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi"] * 2
+    rows = [(i % 35 if i % 9 else None, text, None, f"s{i % 3}" if i % 4 else None, i, "x", 0.5, -1) for i, text in enumerate(texts)]
+    schema = "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG, class STRING, score DOUBLE, _position INT"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{path}/documents.parquet")
+    labels = [(i, int(i in (30, 31)), None) for i in range(35)] + [(None, 1, None), (3, None, 1)]
+    spark.createDataFrame(labels, "doc_id LONG, toxic INT, quality INT").write.parquet(f"{path}/labels.parquet")
+    items = [(1, "beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi"), (None, None), (2, "")]
+    spark.createDataFrame(items, "item_id LONG, text STRING").write.parquet(f"{path}/benchmark.parquet")
+    return path
+
+
+def test_stages_on_awkward_rows(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns = docs.columns
+    for name, stage in pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder)
+        assert docs.columns == columns, name
+        path = scratch_path(spark, "stage")
+        docs.write.parquet(path)
+        docs = spark.read.parquet(path)
+        left = [row["text"] for row in docs.collect()]
+        assert left.count(None) == 1 and left.count("") == 1 and left.count(" \n") == 1
+    # One of three copies, no contaminated text, all clean ones.
+    assert sum(bool(text) and text.startswith("some common") for text in left) == 30
+    assert not any(text and text.startswith("alpha") for text in left)
+    final = pipeline.STAGES[-1][1](spark, docs, folder).collect()
+    assert len(final) == len(left) and min(row["start"] for row in final) == 0
+    assert sum(row["n_tokens"] for row in final) == max(row["start"] + row["n_tokens"] for row in final)
+
+
+def test_stages_on_an_empty_table(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
+    for _, stage in pipeline.STAGES:
+        assert stage(spark, docs, folder).collect() == []

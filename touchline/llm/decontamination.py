@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm import positional_index as index
-from touchline.llm.rows import small_side, with_place
+from touchline.llm.rows import joined_by_place, places, stored
 from touchline.session import cut_lineage, scratch_path
 
 WINDOW = 13
@@ -42,6 +42,6 @@ def report(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
 
 def clean(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents that aren't contaminated, all their columns unchanged."""
-    placed = with_place(documents)
-    bad = cut_lineage(report(placed, benchmark, window).filter("contaminated").select("_file", "_at"))
-    return placed.join(small_side(bad), ["_file", "_at"], "left_anti").select(*documents.columns)
+    rows = stored(documents)
+    found = report(places(rows, "doc_id", "text"), benchmark, window)
+    return joined_by_place(rows, cut_lineage(found.filter("contaminated").select("_file", "_at")), "left_anti")

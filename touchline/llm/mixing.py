@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.llm.rows import small_side, with_place
+from touchline.llm.rows import joined_by_place, places, stored
 from touchline.operators.numbering import number_within
 from touchline.session import cut_lineage
 
@@ -107,13 +107,8 @@ def in_order(documents: DataFrame, weights: Mapping[str | None, float] | None =
 
     Files written from the result hold the mix in the order of their names.
     """
-    placed = with_place(documents)
-    positions = cut_lineage(
-        mixed(placed, tempered(documents) if weights is None else weights).select("_file", "_at", F.col("position").alias("_position"))
-    )
-    return (
-        placed.join(small_side(positions), ["_file", "_at"])
-        .repartitionByRange("_position")
-        .sortWithinPartitions("_position")
-        .select(*documents.columns)
-    )
+    rows = stored(documents)
+    order = "_position_in_the_mix"
+    found = mixed(places(rows, "doc_id", "source"), tempered(documents) if weights is None else weights)
+    positions = cut_lineage(found.select("_file", "_at", F.col("position").alias(order)))
+    return joined_by_place(rows, positions, "inner").repartitionByRange(order).sortWithinPartitions(order).drop(order)

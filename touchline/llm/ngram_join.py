@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.components import components
-from touchline.llm.rows import small_side, with_place
+from touchline.llm.rows import joined_by_place, places, small_side, stored
 from touchline.llm.token_ids import segments
 from touchline.session import cut_lineage
 
@@ -349,7 +349,7 @@ def jaccard_components(documents: DataFrame, n: int, threshold: Fraction) -> Dat
 
 def one_of_each(documents: DataFrame, n: int, threshold: Fraction) -> DataFrame:
     """The documents without those that are similar to another that stays: one per component, with all columns."""
-    placed = with_place(documents)
-    found = jaccard_components(placed.select("doc_id", "text", "_file", "_at"), n, threshold)
+    rows = stored(documents)
+    found = jaccard_components(places(rows, "doc_id", "text"), n, threshold)
     drop = cut_lineage(found.filter(~F.col("first")).select("_file", "_at"))
-    return placed.join(small_side(drop), ["_file", "_at"], "left_anti").select(*documents.columns)
+    return joined_by_place(rows, drop, "left_anti")

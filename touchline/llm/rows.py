@@ -15,17 +15,37 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` if its rows come straight from Parquet files, else its rows written to the shared folder."""
+    try:
+        df.select(*_PLACE)
+    except AnalysisException:
+        return cut_lineage(df)
+    return df
+
+
 def with_place(df: DataFrame) -> DataFrame:
     """Add ``_file`` and ``_at``: the file a row is stored in and its position there.
 
     The pair identifies a row whatever its values are and stays the same when the row is read again. Frames that
     don't come straight from Parquet files are written to the shared folder first.
     """
-    try:
-        return df.select("*", F.col(_PLACE[0]).alias("_file"), F.col(_PLACE[1]).alias("_at"))
-    except AnalysisException:
-        written = cut_lineage(df)
-        return written.select("*", F.col(_PLACE[0]).alias("_file"), F.col(_PLACE[1]).alias("_at"))
+    return stored(df).select("*", F.col(_PLACE[0]).alias("_file"), F.col(_PLACE[1]).alias("_at"))
+
+
+def places(df: DataFrame, *columns: str) -> DataFrame:
+    """Only the named columns of stored rows, and their place."""
+    return df.select(*columns, F.col(_PLACE[0]).alias("_file"), F.col(_PLACE[1]).alias("_at"))
+
+
+def joined_by_place(df: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """Stored rows joined with rows of (_file, _at, …); a bounded number of these is broadcast."""
+    # Names that no table has, next to any columns of the stored rows.
+    mine, its = ["_place_of_row_file", "_place_of_row_at"], ["_found_place_file", "_found_place_at"]
+    keyed = df.select("*", *(F.col(place).alias(name) for place, name in zip(_PLACE, mine)))
+    side = found.withColumnsRenamed(dict(zip(("_file", "_at"), its)))
+    condition = (F.col(mine[0]) == F.col(its[0])) & (F.col(mine[1]) == F.col(its[1]))
+    return keyed.join(small_side(side), condition, how).drop(*mine, *its)
 
 
 def id_hash(column: str = "doc_id") -> Column:

@@ -110,12 +110,12 @@ class TokenRollup:
 
         NULL sources and languages are keys of their own.
         """
+        fields = "source STRING, lang STRING, version STRING, n_docs BIGINT, n_tokens BIGINT, folder STRING"
         try:
-            deltas = self.spark.read.parquet(f"{self.path}/deltas")
+            deltas = self.spark.read.schema(fields).parquet(f"{self.path}/deltas")
         except AnalysisException as error:
-            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            fields = "source STRING, lang STRING, version STRING, n_docs BIGINT, n_tokens BIGINT, folder STRING"
             deltas = self.spark.createDataFrame([], fields)
         kept = deltas.join(self.commits().select("folder"), "folder", "left_semi")
         sums = kept.groupBy(*KEYS).agg(*(F.sum(name).alias(name) for name in TOTALS))

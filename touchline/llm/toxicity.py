@@ -183,12 +183,12 @@ def _rows(documents: DataFrame, classes: dict[str, str], columns: list[str], fun
         for batch in batches:
             for start in range(0, len(batch), 500):
                 some = batch.slice(start, 500)
-                added = function(matcher, [text or "" for text in some["_text"].to_pylist()])
+                added = function(matcher, [text or "" for text in some["_text_to_match"].to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [*(some[name] for name in columns), *added.values()], names=[*columns, *added]
                 )
 
-    text = F.col("text").cast("string").alias("_text")
+    text = F.col("text").cast("string").alias("_text_to_match")
     return documents.select(*(F.col(f"`{name}`") for name in columns), text).mapInArrow(run, schema)
 
 
@@ -244,8 +244,10 @@ def train(documents: DataFrame, labels: DataFrame) -> tuple[dict[str, str], np.n
     return classes, fitted(matches)
 
 
-def score(documents: DataFrame, labels: DataFrame, columns: Iterable[str] = ("doc_id",)) -> DataFrame:
-    """The columns named and ``score``, the probability of being toxic, for every row of ``documents`` (doc_id, text).
+def score(
+    documents: DataFrame, labels: DataFrame, columns: Iterable[str] = ("doc_id",), name: str = "score"
+) -> DataFrame:
+    """The columns named and ``name``, the probability of being toxic, for every row of ``documents`` (doc_id, text).
 
     NULL and empty texts match nothing and get the score of a text without matches. Labels that are NULL, have no
     document or are held out aren't used; repeated rows of either table count as they come.
@@ -256,12 +258,13 @@ def score(documents: DataFrame, labels: DataFrame, columns: Iterable[str] = ("do
 
     def scored(matcher, texts):
         rows = np.array([features(matcher.counts(text)) for text in texts]).reshape(len(texts), -1)
-        return {"score": pa.array(1 / (1 + np.exp(-np.clip(rows @ weights[:-1] + weights[-1], -30, 30))))}
+        return {name: pa.array(1 / (1 + np.exp(-np.clip(rows @ weights[:-1] + weights[-1], -30, 30))))}
 
-    schema = ", ".join([*(f"`{name}` {fields[name]}" for name in columns), "score DOUBLE"])
+    schema = ", ".join([*(f"`{column}` {fields[column]}" for column in columns), f"`{name}` DOUBLE"])
     return _rows(documents, classes, columns, scored, schema)
 
 
 def clean(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents whose score is below REJECT, with their columns unchanged."""
-    return score(documents, labels, documents.columns).filter(F.col("score") < REJECT).drop("score")
+    name = "_toxicity_of_the_text"
+    return score(documents, labels, documents.columns, name).filter(F.col(name) < REJECT).drop(name)
