@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from touchline.llm import decontamination, mixing, ngram_join, token_files, toxicity
-from touchline.llm.rows import read, with_place
+from touchline.llm.rows import places, read, stored
 from touchline.session import scratch_path
 
 WORDS, SIMILARITY = 5, Fraction(8, 10)
@@ -47,7 +47,7 @@ def in_mix_order(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def as_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) per document, from token files written in the order of the stored mix."""
     path = scratch_path(spark, "tokens")
-    token_files.write(with_place(docs), path, TOKENIZER, order=("_file", "_at"))
+    token_files.write(places(stored(docs), "doc_id", "text"), path, TOKENIZER, order=("_file", "_at"))
     return token_files.digests(spark, path)
 
 

@@ -59,7 +59,7 @@ _LAKE_COLUMNS = ("o_orderkey", "o_custkey", "o_totalprice", "tournament_id", "ye
 _landed_lakes: dict[tuple[str, str], str] = {}
 
 
-def _lake(spark: SparkSession, sf_dir: str) -> str:
+def land_lake(spark: SparkSession, sf_dir: str) -> str:
     """The lake of this session's orders, landed by the first query that reads it."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _landed_lakes:
@@ -70,13 +70,13 @@ def _lake(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _lake_scan(spark: SparkSession, sf_dir: str, *folders: int) -> DataFrame:
-    rows = lake.scan_lake(spark, _lake(spark, sf_dir), lake.lake_schema(_LAKE_DATA), *folders)
+    rows = lake.scan_lake(spark, land_lake(spark, sf_dir), lake.lake_schema(_LAKE_DATA), *folders)
     return rows.select(*_LAKE_COLUMNS)
 
 
 @register
 def scan_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = lake.scan_glob(spark, _lake(spark, sf_dir), schema=lake.lake_schema(_LAKE_DATA))
+    rows = lake.scan_glob(spark, land_lake(spark, sf_dir), schema=lake.lake_schema(_LAKE_DATA))
     return rows.select(*_LAKE_COLUMNS)
 
 
@@ -94,7 +94,7 @@ def scan_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def scan_path_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = lake.scan_files(spark, [_lake(spark, sf_dir)], _LAKE_DATA)
+    files = lake.scan_files(spark, [land_lake(spark, sf_dir)], _LAKE_DATA)
     return lake.path_columns(files).select(*_LAKE_COLUMNS)
 
 
