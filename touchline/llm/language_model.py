@@ -26,7 +26,7 @@ from touchline.llm.token_ids import segments
 from touchline.session import cut_lineage
 
 UNIT = 1 << 21
-RANGE = 5  # units per hash range: about as many n-grams as five units have
+RANGE = 2  # units per hash range: about as many n-grams as two units have
 ADDED = 0.1
 ROUNDS = 12
 KEPT, DELETED, UNSEEN = 0, 1, 2
@@ -233,23 +233,25 @@ def _summed(named: DataFrame) -> DataFrame:
         number = table["range"][0].as_py()
         units, roles = table["unit"].to_pylist(), table["role"].to_pylist()
         names = [np.cumsum(_unpacked(packed), dtype=np.uint64) for packed in table["names"].to_pylist()]
-        counts = [_unpacked(packed).astype(np.int64) for packed in table["counts"].to_pylist()]
         sizes = [len(one) for one in names]
-        owner = np.repeat(np.arange(len(units)), sizes)
-        role = np.array(roles)[owner]
-        every, count = np.concatenate(names), np.concatenate(counts)
+        every = np.concatenate(names)
+        del names
         order = np.argsort(every, kind="stable")
         every = every[order]
         new = np.concatenate([[True], every[1:] != every[:-1]])
         starts = np.flatnonzero(new)
-        total = np.add.reduceat(np.where(role != UNSEEN, count, 0)[order], starts)
-        kept = np.add.reduceat(np.where(role == KEPT, count, 0)[order], starts)
-        group = np.cumsum(new) - 1
-        shared = np.diff(np.append(starts, len(every)))[group] > 1
-        # Back in the order of the units, and of the names in each.
-        back = np.empty(len(order), np.int64)
-        back[order] = np.arange(len(order))
-        total_of, kept_of, shared_of = total[group][back], kept[group][back], shared[back]
+        every = every[starts]
+        # The number of its n-gram for every row, in the order of the units and of the names in each.
+        group = np.empty(len(order), np.int32)
+        group[order] = np.cumsum(new) - 1
+        shared_of = (np.diff(np.append(starts, len(order))) > 1)[group]
+        role = np.repeat(np.array(roles, np.int8), sizes)
+        count = np.concatenate([_unpacked(packed) for packed in table["counts"].to_pylist()]).astype(np.float64)
+        # Sums of whole numbers below 2^53 are exact.
+        total = np.bincount(group, count * (role != UNSEEN), len(every)).astype(np.int64)
+        kept = np.bincount(group, count * (role == KEPT), len(every)).astype(np.int64)
+        total_of, kept_of = total[group], kept[group]
+        del order, new, role, count, group
         rows, end = [], 0
         for unit, kind, size in zip(units, roles, sizes):
             here = slice(end, end + size)
@@ -265,7 +267,7 @@ def _summed(named: DataFrame) -> DataFrame:
                         "kept": _packed(kept_of[here][at]) if kind == DELETED else None,
                     }
                 )
-        single = (every[starts] & _ORDER == 0) & (every[starts] != _keys(np.array([_START] * 2), np.array([1]), 1)[0][0])
+        single = (every & _ORDER == 0) & (every != _keys(np.array([_START] * 2), np.array([1]), 1)[0][0])
         distinct = [int((single & (some > 0)).sum()) for some in (total, kept)]
         tokens = [int(some[single].sum()) for some in (total, kept)]
         rows.append({"unit": -1, "range": number, "steps": _packed(np.array(distinct)), "totals": _packed(np.array(tokens))})
