@@ -5,8 +5,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from touchline.operators import slices, star
-from touchline.plans import analog, catalog
+from touchline.operators import numbering, slices, star
+from touchline.plans import analog, catalog, flows
 from touchline.session import configure, cut_lineage, shared_dir
 
 SF = "/root/testdata/sf0.001"
@@ -71,8 +71,9 @@ def test_cut_lineage_uses_the_shared_folder(spark):
 def test_written_small_sides_are_broadcast_at_once(spark):
     """The size of written nodes is known, so the large side is not shuffled for the join."""
     numbered = slices.number_games(catalog._scored_games(configure(spark), SF))
-    plan = plan_of(numbered)
-    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    nodes = slices.nodes(numbered)
+    plan = plan_of(slices._with_target_index(slices._links(numbered), nodes))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
 @pytest.fixture
@@ -132,3 +133,23 @@ def test_hot_source_match_is_split_in_the_local_dates(spark, hot_joins):
     )
     found = star.corrected_local_dates(matches, link, source)
     assert splits(found) and found.count() == 30000
+
+
+def test_documents_read_their_sources_once(spark, monkeypatch):
+    """Goals and scores are the only two things that documents take from the lines."""
+    plans = []
+    for module in (numbering, slices, flows):
+        original = module.cut_lineage
+        monkeypatch.setattr(module, "cut_lineage", lambda df, original=original: plans.append(plan_of(df)) or original(df))
+    tables = analog.star_tables(configure(spark), SF)
+    plans.append(plan_of(flows.season_documents(tables, goal_order=analog.GOAL_ORDER)))
+    assert sum(len(re.findall(r"Location[^\n]*lineitem", plan)) for plan in plans) == 2
+    assert sum(len(re.findall(r"Location[^\n]*orders", plan)) for plan in plans) <= 2
+
+
+def test_lists_read_their_rows_once(spark, monkeypatch):
+    plans = []
+    original = numbering.cut_lineage
+    monkeypatch.setattr(numbering, "cut_lineage", lambda df: plans.append(plan_of(df)) or original(df))
+    plans.append(plan_of(star.goals_per_match(analog.goals(configure(spark), SF), analog.GOAL_ORDER)))
+    assert sum(len(re.findall(r"Location[^\n]*lineitem", plan)) for plan in plans) == 1
