@@ -59,3 +59,14 @@ def test_insert_by_name(spark, rows):
     sink.insert_rows(spark.sql("SELECT 'b' AS t, 2L AS id"), "insert_target")
     assert rows(spark.table("insert_target")) == [(1, "a"), (2, "b")]
     spark.sql("DROP TABLE insert_target")
+
+
+def test_query_scans_can_be_split():
+    from touchline.sources.relational import query_options
+
+    assert query_options("SELECT 1 AS a") == {"query": "SELECT 1 AS a"}
+    assert query_options("SELECT a FROM t", "a", (0, 9), 3) == {
+        "dbtable": "(SELECT a FROM t) q", "partitionColumn": "a", "lowerBound": "0", "upperBound": "9", "numPartitions": "3",
+    }
+    with pytest.raises(ValueError):
+        query_options("SELECT a FROM t", "a")

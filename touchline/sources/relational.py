@@ -54,9 +54,25 @@ def partition_options(
     }
 
 
-def jdbc_query(spark: SparkSession, query: str, options: Mapping[str, str]) -> DataFrame:
-    """The rows of a query the database runs."""
-    return spark.read.format("jdbc").options(**options).option("query", query).load()
+def query_options(
+    query: str, column: str | None = None, bounds: tuple[Any, Any] | None = None, partitions: int | None = None
+) -> dict[str, str]:
+    """Options of a query scan: as it is in one task, or as a derived table that is read in ranges of a column."""
+    ranges = partition_options(column, bounds, partitions)
+    return {"dbtable": f"({query}) q", **ranges} if ranges else {"query": query}
+
+
+def jdbc_query(
+    spark: SparkSession,
+    query: str,
+    options: Mapping[str, str],
+    partition_column: str | None = None,
+    bounds: tuple[Any, Any] | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """The rows of a query the database runs; with a column of the result, in parallel range reads."""
+    settings = {**options, **query_options(query, partition_column, bounds, partitions)}
+    return spark.read.format("jdbc").options(**settings).load()
 
 
 def query_tables(spark: SparkSession, query: str, **tables: DataFrame) -> DataFrame:
