@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,6 +77,15 @@ def clear_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Have the shuffle files of finished jobs removed now, not when the driver's memory happens to be collected.
+
+    For flows whose steps each move much data and are cut by written tables.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the files.
 
