@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.token_ids import segments
-from touchline.session import cut_lineage
+from touchline.session import cut_lineage, release
 
 UNIT = 1 << 21
 RANGE = 2  # units per hash range: about as many n-grams as two units have
@@ -416,6 +416,7 @@ def score(documents: DataFrame, role: Column, order: int = 2) -> DataFrame:
     units = lay_out(documents, role, order)
     ranges = max(8, units.count() // RANGE)
     summed = cut_lineage(_summed(_named(units, order, ranges)))
+    release(documents.sparkSession)
     (tokens, kept_tokens), (distinct, kept_distinct) = _sizes(summed)
     events = cut_lineage(_events(units, summed, Model(order, kept_tokens, kept_distinct), ranges))
     model = Model(order, tokens, distinct, learned_weights(events, order))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from touchline.llm.components import components
 from touchline.llm.rows import joined_by_place, places, small_side, stored
 from touchline.llm.token_ids import segments
-from touchline.session import cut_lineage
+from touchline.session import cut_lineage, release
 
 SLOT_BITS = 18
 SUFFIX_BITS = 6
@@ -174,6 +174,8 @@ def _related(signed: DataFrame) -> DataFrame:
         .filter("v < _last")
         .select(F.col("key").alias("_key"), "v")
     )
+    shared = cut_lineage(shared)
+    release(signed.sparkSession)
     links = keyed.join(shared.hint("merge"), F.col("key") == F.col("_key")).select("u", "v").filter("u <> v")
     return components(links)
 
@@ -307,6 +309,7 @@ def jaccard_components(documents: DataFrame, n: int, threshold: Fraction) -> Dat
     signed = cut_lineage(signatures(documents, n, threshold, counts))
     worded = signed.filter("class IS NOT NULL")
     related = cut_lineage(_related(worded))
+    release(documents.sparkSession)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_file", "_at")
     classes = cut_lineage(
         worded.groupBy("class").agg(F.min(place).alias("best"), F.first("n_shingles").alias("n"))
