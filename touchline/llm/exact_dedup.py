@@ -56,10 +56,11 @@ def winners(rows: DataFrame) -> DataFrame:
 class DigestIndex:
     """A table of the digests seen so far, with the id of the row that stays for each."""
 
-    def __init__(self, spark: SparkSession, table: str, buckets: int = BUCKETS):
+    def __init__(self, spark: SparkSession, table: str, buckets: int = BUCKETS, path: str | None = None):
+        """``table`` in the session's catalog, at ``path`` if given, else below the warehouse."""
         if not re.fullmatch(r"[A-Za-z_]\w*(\.[A-Za-z_]\w*)?", table):
             raise ValueError(f"not a table name: {table}")
-        self.spark, self.table, self.buckets = spark, table, buckets
+        self.spark, self.table, self.buckets, self.path = spark, table, buckets, path
 
     def rows(self) -> DataFrame | None:
         return self.spark.table(self.table) if self.spark.catalog.tableExists(self.table) else None
@@ -75,7 +76,7 @@ class DigestIndex:
         """Add rows of (digest, keep_id), one file per bucket."""
         placed = new.select("digest", "keep_id").repartition(self.buckets, "digest")
         writer = placed.write.format("parquet").bucketBy(self.buckets, "digest").sortBy("digest").mode("append")
-        writer.saveAsTable(self.table)
+        (writer.option("path", self.path) if self.path else writer).saveAsTable(self.table)
 
     def ingest(self, documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
         """Dedup a batch within itself and against the index, append what is new and return the decisions.

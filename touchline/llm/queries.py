@@ -17,7 +17,8 @@ from touchline.session import cut_lineage, scratch_path
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = exact_dedup.DigestIndex(spark, f"digests_{uuid.uuid4().hex}")
+    path = scratch_path(spark, "digests")
+    index = exact_dedup.DigestIndex(spark, f"digests_{uuid.uuid4().hex}", path=path)
     return index.ingest(read(spark, sf_dir, "documents"))
 
 
