@@ -56,7 +56,9 @@ def number_within(
         .withColumn("_num_at", F.monotonically_increasing_id())
         .withColumn("_num_task", F.shiftright("_num_at", _LOCAL_BITS))
     )
-    runs = placed.groupBy("_num_task", *group).agg(F.min("_num_at").alias("_num_from"), F.count(F.lit(1)).alias("_num_rows"))
+    runs = placed.groupBy("_num_task", *group).agg(
+        F.min("_num_at").alias("_num_from"), F.count(F.lit(1)).alias("_num_rows")
+    )
     # A group has at most one run per range partition, so this window never sees more rows than tasks.
     earlier = Window.partitionBy(*group).orderBy("_num_task").rowsBetween(Window.unboundedPreceding, -1)
     shifts = runs.withColumn("_num_before", F.coalesce(F.sum("_num_rows").over(earlier), F.lit(0))).drop("_num_rows")

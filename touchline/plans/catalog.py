@@ -179,7 +179,8 @@ def _match_columns(rows: DataFrame) -> DataFrame:
 def land_match_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses with one match per line, through the landing flow into the lake."""
     records = analog.landed_matches(spark, sf_dir)
-    feed, target = _land_text(records, F.to_json(F.struct(*records.columns)), "match-lines"), scratch_path(spark, "landed")
+    feed = _land_text(records, F.to_json(F.struct(*records.columns)), "match-lines")
+    target = scratch_path(spark, "landed")
     flows.land_matches(spark, feed, records.schema, target, 3, 2020, json_lines=True)
     return _match_columns(lake.scan_lake(spark, target, lake.lake_schema("id BIGINT")))
 
@@ -476,7 +477,8 @@ def fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = star.link_stadiums(analog.stadiums(spark, sf_dir), tables.places)
     rows = flows.fact_load(analog.source_matches(spark, sf_dir), tables, links)
     types = F.concat_ws(",", *[F.typeof(column) for column in rows.columns])
-    return _as_text(rows.withColumn("types", types), "place_id", "status_id", "penalty_shootout_home_goals", "penalty_shootout_away_goals")
+    nullable = ("place_id", "status_id", "penalty_shootout_home_goals", "penalty_shootout_away_goals")
+    return _as_text(rows.withColumn("types", types), *nullable)
 
 
 @register
@@ -780,8 +782,11 @@ def slice_document_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = flows.season_documents(
         analog.star_tables(spark, sf_dir), goal_order=analog.GOAL_ORDER, page=_LIST, block=_BLOCK
     )
-    entries = [F.size(F.from_json(F.get_json_object("document", f"$.{name}"), "array<string>")) for name in ("slices", "matches")]
-    return documents.select("season", "competition", "kind", "block", "part", entries[0].alias("n_slices"), entries[1].alias("n_matches"))
+    entries = [
+        F.size(F.from_json(F.get_json_object("document", f"$.{name}"), "array<string>")).alias(f"n_{name}")
+        for name in ("slices", "matches")
+    ]
+    return documents.select("season", "competition", "kind", "block", "part", *entries)
 
 
 # ---------------------------------------------------------------- streams

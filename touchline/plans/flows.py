@@ -37,8 +37,8 @@ def land_matches(
 ) -> None:
     """Match responses into the lake by tournament, year, stage and day.
 
-    ``json_lines`` tells whether files hold one record per line or one array. Without tournament and year, ``feed`` holds folders ``tournament_id=…/year=…`` and the responses of all
-    of them are landed in one job.
+    ``json_lines`` tells whether files hold one record per line or one array. Without tournament and year, ``feed``
+    holds folders ``tournament_id=…/year=…`` and the responses of all of them are landed in one job.
     """
     if tournament_id is None:
         records = landed.read_keyed(spark, feed, schema, "tournament_id BIGINT, year INT", json_lines)
@@ -62,7 +62,8 @@ def land_calendar(
 ) -> None:
     """Calendar responses into the lake, by tournament, year, stage and day, sorted by match inside a file.
 
-    ``json_lines`` tells whether files hold one stage per line or one array. Without a tournament, ``feed`` holds folders ``tournament_id=…``, all landed in one job.
+    ``json_lines`` tells whether files hold one stage per line or one array. Without a tournament, ``feed`` holds
+    folders ``tournament_id=…``, all landed in one job.
     """
     keys = "tournament_id BIGINT" if tournament_id is None else None
     rows = shaping.explode_calendar(landed.read_calendar(spark, feed, match, json_lines, keys=keys), day)

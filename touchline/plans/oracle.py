@@ -120,7 +120,8 @@ _CALENDAR = """raw AS (SELECT CASE WHEN o_orderstatus = 'P' THEN 'no_stage_name'
     CAST(year(TIMESTAMP '1970-01-01' + to_seconds(time)) AS INT) AS year FROM raw)"""
 
 _EVENT = "event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props"
-_UNDATED = "(SELECT event_id, CASE WHEN event_type <> 'error' THEN ts END AS ts, user_id, event_type, value, props FROM events)"
+_UNDATED = """(SELECT event_id, CASE WHEN event_type <> 'error' THEN ts END AS ts, user_id, event_type, value, props
+  FROM events)"""
 
 _GAME_EVENTS = """SELECT user_id AS id, event_type AS team1, 'v-' || event_type AS team2,
   json_extract_string(props, '$.k') AS score"""

@@ -21,7 +21,9 @@ def _check_single_documents(spark: SparkSession, path: str) -> None:
         (F.col("value").rlike(r"^\s*[\[{]") & F.try_parse_json("value").isNotNull()).alias("whole"),
         (F.trim("value") != "").alias("given"),
     )
-    files = lines.where("given").groupBy("file").agg(F.min_by("whole", "at").alias("whole"), F.count(F.lit(1)).alias("n"))
+    files = lines.where("given").groupBy("file").agg(
+        F.min_by("whole", "at").alias("whole"), F.count(F.lit(1)).alias("n")
+    )
     bad = files.where("whole AND n > 1").select("file").first()
     if bad is not None:
         raise ValueError(f"{bad[0]} holds one document per line; read it with json_lines")
