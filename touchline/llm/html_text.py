@@ -95,7 +95,8 @@ class _Lines(HTMLParser):
         if tag in ("article", "main") and self.dropping:
             # A part that was never closed doesn't swallow the article.
             at = next(i for i, (_, drops, _) in enumerate(self.open) if drops)
-            if not any(self.open[i][0] in ("article", "main") for i in range(at, len(self.open))) and not self._drops(tag, attrs):
+            inner = any(name in ("article", "main") for name, _, _ in self.open[at:])
+            if not inner and not self._drops(tag, attrs):
                 while len(self.open) > at:
                     self._pop()
         elif tag not in INLINE and self.open and self.open[-1][0] == "p":

@@ -49,7 +49,7 @@ _UNIT = pa.schema([("unit", pa.int64()), ("role", pa.int32()), ("pieces", pa.lis
 
 
 def lay_out(documents: DataFrame, role: Column, order: int) -> DataFrame:
-    """Units of texts of one role, written to the shared folder. Long texts are cut at blanks; NULL is the empty text."""
+    """Units of texts of one role, written to the shared folder; long texts are cut at blanks, NULL is the empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -194,7 +194,13 @@ def _cuts(ranges: int) -> np.ndarray:
 def _named(units: DataFrame, order: int, ranges: int) -> DataFrame:
     """(range, unit, role, names, counts): the n-grams each unit names, by hash range."""
     schema = pa.schema(
-        [("range", pa.int32()), ("unit", pa.int64()), ("role", pa.int32()), ("names", pa.binary()), ("counts", pa.binary())]
+        [
+            ("range", pa.int32()),
+            ("unit", pa.int64()),
+            ("role", pa.int32()),
+            ("names", pa.binary()),
+            ("counts", pa.binary()),
+        ]
     )
 
     def run(batches):
@@ -205,6 +211,7 @@ def _named(units: DataFrame, order: int, ranges: int) -> DataFrame:
                     known = _Hashes()
                 tokens = Tokens(row["pieces"], row["text"], order, known)
                 ends = np.searchsorted(tokens.names, cuts)
+                parts = zip(np.split(tokens.names, ends), np.split(tokens.counts, ends))
                 rows = [
                     {
                         "range": i,
@@ -213,7 +220,7 @@ def _named(units: DataFrame, order: int, ranges: int) -> DataFrame:
                         "names": _packed(np.diff(names, prepend=np.uint64(0))),
                         "counts": _packed(counts),
                     }
-                    for i, (names, counts) in enumerate(zip(np.split(tokens.names, ends), np.split(tokens.counts, ends)))
+                    for i, (names, counts) in enumerate(parts)
                     if len(names)
                 ]
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
@@ -226,7 +233,13 @@ def _summed(named: DataFrame) -> DataFrame:
     their training counts; ``kept`` without the deleted texts, for deleted units only. Unit -1 has the numbers of
     training tokens (totals) and of distinct ones (steps), of all training texts and of the kept ones."""
     schema = pa.schema(
-        [("unit", pa.int64()), ("range", pa.int32()), ("steps", pa.binary()), ("totals", pa.binary()), ("kept", pa.binary())]
+        [
+            ("unit", pa.int64()),
+            ("range", pa.int32()),
+            ("steps", pa.binary()),
+            ("totals", pa.binary()),
+            ("kept", pa.binary()),
+        ]
     )
 
     def run(table: pa.Table) -> pa.Table:
@@ -270,7 +283,8 @@ def _summed(named: DataFrame) -> DataFrame:
         single = (every & _ORDER == 0) & (every != _keys(np.array([_START] * 2), np.array([1]), 1)[0][0])
         distinct = [int((single & (some > 0)).sum()) for some in (total, kept)]
         tokens = [int(some[single].sum()) for some in (total, kept)]
-        rows.append({"unit": -1, "range": number, "steps": _packed(np.array(distinct)), "totals": _packed(np.array(tokens))})
+        steps, totals = _packed(np.array(distinct)), _packed(np.array(tokens))
+        rows.append({"unit": -1, "range": number, "steps": steps, "totals": totals})
         return pa.Table.from_pylist(rows, schema=schema)
 
     return named.groupBy("range").applyInArrow(run, "unit BIGINT, range INT, steps BINARY, totals BINARY, kept BINARY")
@@ -286,7 +300,8 @@ def _sizes(summed: DataFrame) -> tuple[list[int], list[int]]:
                 sums += np.concatenate([_unpacked(row["totals"]), _unpacked(row["steps"])]).astype(np.int64)
         yield pa.RecordBatch.from_pydict({name: [value] for name, value in zip("abcd", sums.tolist())})
 
-    parts = summed.filter("unit = -1").select("totals", "steps").mapInArrow(run, "a BIGINT, b BIGINT, c BIGINT, d BIGINT")
+    columns = "a BIGINT, b BIGINT, c BIGINT, d BIGINT"
+    parts = summed.filter("unit = -1").select("totals", "steps").mapInArrow(run, columns)
     row = parts.agg(*(F.coalesce(F.sum(name), F.lit(0)) for name in "abcd")).first()
     return [row[0], row[1]], [row[2], row[3]]
 
@@ -328,7 +343,7 @@ def _joined(units: DataFrame, summed: DataFrame, function, schema: str) -> DataF
 
 
 def _events(units: DataFrame, summed: DataFrame, model: Model, ranges: int) -> DataFrame:
-    """(bucket, p0, p1, …, n): the estimates of the deleted tokens from the kept texts, equal ones counted together."""
+    """(bucket, p0, p1, …, n): estimates of the deleted tokens from the kept texts, equal ones counted together."""
     names = [f"p{i}" for i in range(model.order + 1)]
 
     def run(unit: pa.Table, found: pa.Table) -> pa.Table:
@@ -338,7 +353,8 @@ def _events(units: DataFrame, summed: DataFrame, model: Model, ranges: int) -> D
             tokens = Tokens(row["pieces"], row["text"], model.order, _Hashes())
             _, bucket, estimates = model.parts(tokens, _counted(tokens, False, found, "kept", ranges))
             keyed = np.concatenate([bucket[None, :].astype(np.float64), estimates[1:]]).T.copy()
-            _, first, n = np.unique(keyed.view([("", np.float64)] * keyed.shape[1]), return_index=True, return_counts=True)
+            rows = keyed.view([("", np.float64)] * keyed.shape[1])
+            _, first, n = np.unique(rows, return_index=True, return_counts=True)
             parts.append(estimates.T[first])
             buckets.append(bucket[first])
             sizes.append(n)
@@ -370,7 +386,8 @@ def learned_weights(events: DataFrame, order: int, rounds: int = ROUNDS) -> np.n
             for i, name in enumerate(names)
         ]
         mixed = sum(shares[1:], shares[0])
-        sums = events.groupBy("bucket").agg(*(F.sum(F.col("n") * share / mixed).alias(f"s{i}") for i, share in enumerate(shares)))
+        expected = [F.sum(F.col("n") * share / mixed).alias(f"s{i}") for i, share in enumerate(shares)]
+        sums = events.groupBy("bucket").agg(*expected)
         for row in sums.collect():
             total = np.array([row[f"s{i}"] for i in range(order + 1)]) + (start[row["bucket"]] > 0) * 0.5
             weights[row["bucket"]] = total / total.sum()
@@ -378,7 +395,9 @@ def learned_weights(events: DataFrame, order: int, rounds: int = ROUNDS) -> np.n
 
 
 def _scores(units: DataFrame, summed: DataFrame, model: Model, ranges: int) -> DataFrame:
-    schema = "row BIGINT, doc_id BIGINT, unseen BOOLEAN, n_tokens BIGINT, n_known BIGINT, base_score DOUBLE, score DOUBLE"
+    schema = (
+        "row BIGINT, doc_id BIGINT, unseen BOOLEAN, n_tokens BIGINT, n_known BIGINT, base_score DOUBLE, score DOUBLE"
+    )
 
     def run(unit: pa.Table, found: pa.Table) -> pa.Table:
         rows = []
@@ -391,7 +410,8 @@ def _scores(units: DataFrame, summed: DataFrame, model: Model, ranges: int) -> D
                 np.bincount(tokens.piece, values, len(tokens.sizes))
                 for values in ((single > 0).astype(np.float64), np.log10(estimates[0]), np.log10(mixed))
             ]
-            for piece, size, known, base, score in zip(row["pieces"], tokens.sizes.tolist(), *(some.tolist() for some in sums)):
+            columns = (some.tolist() for some in (tokens.sizes, *sums))
+            for piece, size, known, base, score in zip(row["pieces"], *columns):
                 rows.append({"row": piece["row"], "doc_id": piece["doc_id"], "unseen": row["role"] == UNSEEN,
                              "n_tokens": size, "n_known": int(known), "base_score": base, "score": score})
         return pa.Table.from_pylist(rows, schema=output)

@@ -15,7 +15,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from touchline.llm.rows import joined_by_place, places, stored
 from touchline.operators.numbering import number_within
@@ -70,7 +69,9 @@ def tempered(documents: DataFrame, temperature: float = TEMPERATURE) -> dict[str
     return {row["source"]: row["count"] ** temperature for row in rows}
 
 
-def mixed(documents: DataFrame, weights: Mapping[str | None, float], block: int = BLOCK, period: int = PERIOD) -> DataFrame:
+def mixed(
+    documents: DataFrame, weights: Mapping[str | None, float], block: int = BLOCK, period: int = PERIOD
+) -> DataFrame:
     """Where each row of ``documents`` (doc_id, source, place) comes in the mix.
 
     Returns _file, _at, doc_id, source, block, slot, position. Inside a source, documents come in the order of a hash
@@ -81,25 +82,25 @@ def mixed(documents: DataFrame, weights: Mapping[str | None, float], block: int
     spark = documents.sparkSession
     slots = shares(weights, period) if weights else {}
     length = sum(slots.values())
-    rows = documents.select("_file", "_at", F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"))
-    missing = [row["source"] for row in rows.select("source").distinct().limit(MAX_SOURCES + 1).collect() if row["source"] not in slots]
+    casts = [F.col(name).cast(kind).alias(name) for name, kind in (("doc_id", "long"), ("source", "string"))]
+    rows = documents.select("_file", "_at", *casts)
+    found = [row["source"] for row in rows.select("source").distinct().limit(MAX_SOURCES + 1).collect()]
+    missing = [source for source in found if source not in slots]
     if missing:
         raise ValueError(f"no weight for {missing[:3]}")
     keyed = rows.withColumn("_key", F.xxhash64("doc_id", F.lit(11)))
     numbered = number_within(keyed, ["source"], ["_key", "doc_id", "_file", "_at"], "_n", unique=True)
     plan = [(name, slots[name], at) for name, at in schedule(slots).items()] if slots else []
-    plan_type = T.StructType(
-        [T.StructField("_source", T.StringType()), T.StructField("_share", T.IntegerType()), T.StructField("_slots", T.ArrayType(T.LongType()))]
-    )
+    plan_type = "_source STRING, _share INT, _slots ARRAY<BIGINT>"
     # One row per source and one number per slot of a period: a bounded table.
-    placed = numbered.join(F.broadcast(spark.createDataFrame(plan, plan_type)), F.col("source").eqNullSafe(F.col("_source")))
+    side = F.broadcast(spark.createDataFrame(plan, plan_type))
+    placed = numbered.join(side, F.col("source").eqNullSafe(F.col("_source")))
     number = F.expr(f"_n div {block}")
-    slot = F.expr("block div _share") * length + F.element_at("_slots", (F.col("block") % F.col("_share") + 1).cast("int"))
+    at = (F.col("block") % F.col("_share") + 1).cast("int")
+    slot = F.expr("block div _share") * length + F.element_at("_slots", at)
     located = placed.withColumn("block", number).withColumn("slot", slot).withColumn("_in", F.col("_n") % block)
-    ordered = number_within(
-        located.select("_file", "_at", "doc_id", "source", "block", "slot", "_in"), [], ["slot", "_in"], "position", unique=True
-    )
-    return ordered.drop("_in")
+    kept = located.select("_file", "_at", "doc_id", "source", "block", "slot", "_in")
+    return number_within(kept, [], ["slot", "_in"], "position", unique=True).drop("_in")
 
 
 def in_order(documents: DataFrame, weights: Mapping[str | None, float] | None = None) -> DataFrame:

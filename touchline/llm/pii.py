@@ -61,7 +61,8 @@ def _spans(text: Column, pattern: str, keep, make) -> Column:
     What lies between the matches tells where they are, in code points.
     """
     between, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    start = F.struct(F.lit(0).alias("at"), F.filter(F.array(make(F.lit(""), F.lit(""), F.lit(0), F.lit(0))), lambda _: F.lit(False)).alias("found"))
+    none = F.filter(F.array(make(F.lit(""), F.lit(""), F.lit(0), F.lit(0))), lambda _: F.lit(False))
+    start = F.struct(F.lit(0).alias("at"), none.alias("found"))
 
     def step(state, pair):
         low = state["at"] + F.length(pair["gap"])
@@ -162,7 +163,8 @@ def extract(documents: DataFrame) -> DataFrame:
         "w.*",
         F.exists("base", lambda b: (b["low"] < F.col("w.high")) & (b["high"] > F.col("w.low"))).alias("seed"),
     )
-    words = cut_lineage(words.withColumn("pattern", F.explode(F.array_distinct(F.array("one", "two")))).filter("pattern <> ''"))
+    contexts = F.explode(F.array_distinct(F.array("one", "two")))
+    words = cut_lineage(words.withColumn("pattern", contexts).filter("pattern <> ''"))
     # A value that is a seed somewhere counts as one everywhere.
     edges = cut_lineage(words.groupBy("pattern", "value").agg(F.max("seed").alias("seed")))
     trusted = _trusted(edges)

@@ -274,7 +274,8 @@ def search(
 
 def windows(items: DataFrame, size: int) -> Iterator[tuple[str, tuple[bytes, ...]]]:
     """The windows of ``size`` words of each item, one partition of items after the other; shorter items are one."""
-    for row in items.select(F.col("item_id").cast("string"), F.col("text").cast("binary").alias("text")).toLocalIterator():
+    texts = items.select(F.col("item_id").cast("string"), F.col("text").cast("binary").alias("text"))
+    for row in texts.toLocalIterator():
         words = words_of(bytes(row["text"] or b""))
         seen = {tuple(words[i : i + size]): None for i in range(max(1, len(words) - size + 1)) if words}
         for window in seen:

@@ -33,7 +33,7 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals after three batches: all documents come in, copies of a text go, and texts are counted without junk signs."""
+    """Totals after three batches: all documents come in, copies of a text go, the rest is counted without junk signs."""
     documents = read(spark, sf_dir, "documents")
     clean = F.regexp_replace("text", "[#$%&*]+", "")
     rows = cut_lineage(
@@ -42,15 +42,21 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             "source",
             "lang",
             F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("digest"),
-            *(count(F.coalesce(text, F.lit(""))).alias(f"{name}{state}")
-              for name, count in token_counts.EXPRESSIONS.items() for state, text in (("", F.col("text")), ("+", clean))),
+            *(
+                count(F.coalesce(text, F.lit(""))).alias(f"{name}{state}")
+                for name, count in token_counts.EXPRESSIONS.items()
+                for state, text in (("", F.col("text")), ("+", clean))
+            ),
         )
     )
     first = rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-    kept, copies = rows.join(first, ["digest", "doc_id"], "left_semi"), rows.join(first, ["digest", "doc_id"], "left_anti")
+    kept, copies = (rows.join(first, ["digest", "doc_id"], how) for how in ("left_semi", "left_anti"))
 
     def counts(some: DataFrame, state: str) -> DataFrame:
-        each = (F.struct(F.lit(name).alias("version"), F.col(f"`{name}{state}`").alias("n_tokens")) for name in token_counts.EXPRESSIONS)
+        each = [
+            F.struct(F.lit(name).alias("version"), F.col(f"`{name}{state}`").alias("n_tokens"))
+            for name in token_counts.EXPRESSIONS
+        ]
         return some.select("doc_id", "source", "lang", F.inline(F.array(*each)))
 
     rollup = token_counts.TokenRollup(spark, scratch_path(spark, "rollup"))
@@ -94,10 +100,22 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = id_hash() % 10
-    role = F.when(rest == 0, language_model.UNSEEN).when(rest == 1, language_model.DELETED).otherwise(language_model.KEPT)
+    role = F.when(rest == 0, language_model.UNSEEN).when(rest == 1, language_model.DELETED)
+    role = role.otherwise(language_model.KEPT)
     return language_model.score(read(spark, sf_dir, "documents"), role, order=2)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_exact_dedup, op2_ngram_join, op3_pii, op4_token_counts, op5_toxicity, op6_mixing, op7_html_text, op8_decontamination, op9_token_files, op10_language_model)
+    found = (
+        op1_exact_dedup,
+        op2_ngram_join,
+        op3_pii,
+        op4_token_counts,
+        op5_toxicity,
+        op6_mixing,
+        op7_html_text,
+        op8_decontamination,
+        op9_token_files,
+        op10_language_model,
+    )
     return {query.__name__: query for query in found}

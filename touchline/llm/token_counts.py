@@ -39,8 +39,10 @@ EXPRESSIONS = {"words-1": n_words, "bytes-1": n_bytes}
 def counted(documents: DataFrame, versions: Mapping[str, object] = EXPRESSIONS) -> DataFrame:
     """(doc_id, source, lang, version, n_tokens): the tokens of each document under each version; NULL text has none."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    each = F.array(*(F.struct(F.lit(name).alias("version"), count(text).alias("n_tokens")) for name, count in versions.items()))
-    return documents.select("doc_id", "source", "lang", F.inline(each))
+    each = [
+        F.struct(F.lit(name).alias("version"), count(text).alias("n_tokens")) for name, count in versions.items()
+    ]
+    return documents.select("doc_id", "source", "lang", F.inline(F.array(*each)))
 
 
 def counted_by_file(documents: DataFrame, version: str, path: str) -> DataFrame:
@@ -100,7 +102,8 @@ class TokenRollup:
             return False
         folder = uuid.uuid4().hex
         sums = changes.groupBy(*KEYS).agg(*(F.sum(F.col(name).cast("long")).alias(name) for name in TOTALS))
-        sums.withColumn("folder", F.lit(folder)).write.partitionBy("folder").mode("append").parquet(f"{self.path}/deltas")
+        placed = sums.withColumn("folder", F.lit(folder))
+        placed.write.partitionBy("folder").mode("append").parquet(f"{self.path}/deltas")
         row = self.spark.createDataFrame([(batch, folder)], _COMMIT)
         row.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
         return True

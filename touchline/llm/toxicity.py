@@ -33,10 +33,20 @@ lunatic moron moronic morons nitwit pathetic pig prick repulsive scum scumbag sl
 vermin vile weirdo whore wimp worthless abschaum arschloch dummkopf idiotin trottel versager connard crétin imbécile
 salaud cabrón escoria estúpida estúpido gilipollas idiota imbécil
 """.split()
-THREATS = "kill kills murder strangle stab slaughter lynch behead exterminate hurt punch smash töten umbringen tuer matar".split()
-TARGETS = "you your you're youre u yourself he she they him her them his their this that these those du sie tu vous usted".split()
-NEGATIONS = "not no never nor neither without isn't aren't wasn't weren't don't doesn't didn't can't nicht kein nie pas jamais nunca".split()
-REPORTS = "said says say called calls wrote writes claimed claims quoted quotes alleged reported according tweeted sagte schrieb dit dijo".split()
+THREATS = """
+kill kills murder strangle stab slaughter lynch behead exterminate hurt punch smash töten umbringen tuer matar
+""".split()
+TARGETS = """
+you your you're youre u yourself he she they him her them his their this that these those du sie tu vous usted
+""".split()
+NEGATIONS = """
+not no never nor neither without isn't aren't wasn't weren't don't doesn't didn't can't nicht kein nie pas jamais
+nunca
+""".split()
+REPORTS = """
+said says say called calls wrote writes claimed claims quoted quotes alleged reported according tweeted sagte
+schrieb dit dijo
+""".split()
 
 KINDS = "ILT"  # insult, learned insult, threat
 FLAGS = ("neg", "rep", "dir")
@@ -193,7 +203,7 @@ def _rows(documents: DataFrame, classes: dict[str, str], columns: list[str], fun
 
 
 def fitted(matches: list[tuple[dict[int, int], int]], penalty: float = 0.05) -> np.ndarray:
-    """Weights of the patterns, the constant last: logistic regression by Newton's method, no weight but the constant free."""
+    """Weights of the patterns, the constant last: logistic regression with a ridge, by Newton's method."""
     groups: dict[tuple, list[int]] = defaultdict(lambda: [0, 0])
     for counts, toxic in matches:
         groups[tuple(sorted(counts.items()))][toxic] += 1
