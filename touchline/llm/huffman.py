@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 
 LIMIT = 18  # longest code in bits
-RUN = 128
+RUN = 32
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:

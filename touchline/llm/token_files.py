@@ -20,7 +20,7 @@ from touchline.llm.huffman import Book, code_lengths
 from touchline.llm.token_ids import encoder, forget
 from touchline.session import cut_lineage
 
-BLOCK = 1 << 18  # ids
+BLOCK = 1 << 15  # ids
 END = 1
 # A code book of more ids than this would no longer be a small thing to send to every task.
 MAX_IDS = 1 << 18
@@ -70,14 +70,15 @@ def token_rows(documents: DataFrame, tokenizer: str, end_id: int | None = END) -
     """(doc_id, _file, _at, piece, last, ids) per document: its packed ids, in pieces of at most a block if it is long.
 
     ``documents`` has doc_id, text and the place columns; ``end_id`` is appended to each document. NULL text has no
-    ids but the end.
+    ids but the end. Every task adds a row with piece -1: the ids it has seen, then how often.
     """
     tail = np.zeros(0, np.uint32) if end_id is None else np.array([end_id], np.uint32)
 
-    def pieces(words, pack, texts, places):
+    def pieces(words, pack, texts, places, seen):
         held, size, piece = [], 0, 0
         for number, ids, ends in words.encode_all(texts):
             held += [ids, tail] if ends else [ids]
+            seen += [ids, tail] if ends else [ids]
             size += len(ids) + (len(tail) if ends else 0)
             while size > BLOCK:
                 joined = np.concatenate(held)
@@ -88,15 +89,22 @@ def token_rows(documents: DataFrame, tokenizer: str, end_id: int | None = END) -
                 held, size, piece = [], 0, 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, pack = encoder(tokenizer), _Packer().pack
+        words, pack, counts = encoder(tokenizer), _Packer().pack, np.zeros(0, np.int64)
         for batch in batches:
             for start in range(0, len(batch), 500):
                 some = batch.slice(start, 500)
                 texts = [text or b"" for text in some["text"].to_pylist()]
                 places = list(zip(*(some[name].to_pylist() for name in ("doc_id", "_file", "_at"))))
-                columns = list(zip(*pieces(words, pack, texts, places)))
+                seen: list[np.ndarray] = []
+                columns = list(zip(*pieces(words, pack, texts, places, seen)))
+                more = np.bincount(np.concatenate(seen), minlength=len(counts))
+                more[: len(counts)] += counts
+                counts = more
                 arrays = [pa.array(values, field.type) for values, field in zip(columns, _PIECES)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=_PIECES)
+        found = np.flatnonzero(counts)
+        row = {"piece": -1, "ids": found.astype("<i8").tobytes() + counts[found].astype("<i8").tobytes()}
+        yield pa.RecordBatch.from_pylist([row], schema=_PIECES)
 
     return documents.select(
         F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"), "_file", "_at"
@@ -104,21 +112,16 @@ def token_rows(documents: DataFrame, tokenizer: str, end_id: int | None = END) -
 
 
 def token_counts(pieces: DataFrame) -> DataFrame:
-    """(id, n) over all packed ids; every task counts its own rows first."""
+    """(id, n) over all documents, from what each task has counted."""
 
     def run(batches):
-        forget()
-        counts, unpack = np.zeros(0, np.int64), _Packer().unpack
         for batch in batches:
             for packed in batch["ids"].to_pylist():
-                more = np.bincount(unpack(packed))
-                if len(more) > len(counts):
-                    counts = np.concatenate([counts, np.zeros(len(more) - len(counts), np.int64)])
-                counts[: len(more)] += more
-        found = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], names=["id", "n"])
+                found, counts = np.frombuffer(packed, "<i8").reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts)], names=["id", "n"])
 
-    return pieces.select("ids").mapInArrow(run, "id BIGINT, n BIGINT").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = pieces.filter("piece < 0").select("ids").mapInArrow(run, "id BIGINT, n BIGINT")
+    return counts.groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def code_book(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -180,7 +183,7 @@ def write(
     codes = spark.createDataFrame(list(zip(ids.tolist(), lengths.tolist())), "id BIGINT, length INT")
     codes.coalesce(1).write.parquet(f"{path}/codes")
     keys = list(dict.fromkeys([*order, "_file", "_at", "piece"]))
-    placed = pieces.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = pieces.filter("piece >= 0").repartitionByRange(*keys).sortWithinPartitions(*keys)
     _blocks(Book(ids, lengths), placed).write.option("compression", "none").parquet(f"{path}/blocks")
 
 
@@ -218,7 +221,7 @@ def _decoded(spark: SparkSession, path: str, make, name: str, kind: str) -> Data
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """Decode the files: (part, block, slot, doc_id, ends, n, ids) per piece of a document, ids as little-endian bytes."""
+    """Decode the files: (part, block, slot, doc_id, ends, n, ids) per piece of a document, ids as bytes."""
     return _decoded(spark, path, bytes, "ids", "BINARY")
 
 
@@ -248,8 +251,8 @@ def combined_crc(crcs: list[int], sizes: list[int]) -> int:
 def digests(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) per document, from the files alone.
 
-    ``start`` counts the ids of all documents before it in the order of the files. One row per task of the writer is summed up
-    to know where each part starts; inside a part, blocks are summed up by a window over that part's rows.
+    ``start`` counts the ids of all documents before it in the order of the files. One row per task of the writer is
+    summed up to know where each part starts; inside a part, blocks are summed up by a window over that part's rows.
     """
     pieces = cut_lineage(_decoded(spark, path, zlib.crc32, "crc", "BIGINT"))
     totals = spark.read.parquet(f"{path}/blocks").select("part", "block", F.col("n_tokens").cast("long").alias("n"))
