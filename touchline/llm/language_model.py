@@ -26,6 +26,7 @@ from touchline.llm.token_ids import segments
 from touchline.session import cut_lineage, release
 
 UNIT = 1 << 21
+WORDS = 150_000  # word hashes kept by a task
 RANGE = 2  # units per hash range: about as many n-grams as two units have
 ADDED = 0.1
 ROUNDS = 12
@@ -207,7 +208,7 @@ def _named(units: DataFrame, order: int, ranges: int) -> DataFrame:
         known, cuts = _Hashes(), _cuts(ranges)
         for batch in batches:
             for row in batch.to_pylist():
-                if len(known) > 300_000:
+                if len(known) > WORDS:
                     known = _Hashes()
                 tokens = Tokens(row["pieces"], row["text"], order, known)
                 ends = np.searchsorted(tokens.names, cuts)

@@ -34,7 +34,7 @@ SLOT_BITS = 18
 SUFFIX_BITS = 6
 PART_ROWS = 512
 PART_GRAMS = 1 << 20
-WORDS = 300_000  # word hashes kept by a task
+WORDS = 150_000  # word hashes kept by a task
 
 
 class _Hashes(dict):

@@ -11,12 +11,23 @@ from touchline.session import cut_lineage
 _PLACE = ("_metadata.file_path", "_metadata.row_index")
 
 
+# Rows of an Arrow batch between Spark and Python. Texts, sets and blocks are large rows: ten thousand of them, the
+# usual number, would be held several times on both sides.
+BATCH_ROWS = 256
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` if its rows come straight from Parquet files, else its rows written to the shared folder."""
+    small_batches(df.sparkSession)
     try:
         df.select(*_PLACE)
     except AnalysisException:

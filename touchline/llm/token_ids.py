@@ -20,8 +20,8 @@ import numpy as np
 
 # Texts are cut at blanks into segments of about this many bytes; words kept between texts.
 SEGMENT = 1 << 20
-WORDS = 200_000
-PIECES = 250_000
+WORDS = 150_000
+PIECES = 180_000
 
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
 _PLAIN = re.compile(r"[\x21-\x7e]+")
@@ -60,7 +60,7 @@ def by_words(path: str) -> bool:
 
 
 def _byte_letters() -> dict[int, str]:
-    """The letters that stand for bytes in byte-level vocabularies: printable ones for themselves, others from 256 on."""
+    """The letters that stand for bytes in byte-level vocabularies: printable bytes as they are, others from 256 on."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     other = (byte for byte in range(256) if byte not in plain)
     return {byte: chr(byte) for byte in plain} | {byte: chr(256 + i) for i, byte in enumerate(other)}
