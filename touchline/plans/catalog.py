@@ -14,7 +14,7 @@ from touchline.plans import analog, flows
 from touchline.plans.analog import table
 from touchline.plans.models import MODELS, materialize
 from touchline.schemas import CALENDAR_MATCH, GAME_MESSAGE, match_status_seed, stage_seed
-from touchline.session import configure, scratch_path
+from touchline.session import configure, exists, scratch_path
 from touchline.sinks import lake as lake_sink
 from touchline.sinks import tables as table_sink
 from touchline.sources import lake, landed, relational
@@ -62,7 +62,7 @@ _landed_lakes: dict[tuple[str, str], str] = {}
 def land_lake(spark: SparkSession, sf_dir: str) -> str:
     """The lake of this session's orders, landed by the first query that reads it."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _landed_lakes:
+    if key not in _landed_lakes or not exists(spark, _landed_lakes[key]):
         path = scratch_path(spark, "lake")
         lake_sink.write_partitioned(analog.lake_rows(spark, sf_dir), path)
         _landed_lakes[key] = path
