@@ -118,6 +118,23 @@ def test_files(spark, tokenizer, monkeypatch, rows):
     assert spark.read.parquet(f"{path}/blocks").count() > 5
 
 
+def test_long_documents_stay_in_one_part(spark, tokenizer, monkeypatch, rows):
+    monkeypatch.setattr(token_files, "BLOCK", 16)
+    table = [(i, f"word {i} and thing " * 30) for i in range(60)]
+    held = {"spark.sql.shuffle.partitions": "13", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    usual = {key: spark.conf.get(key) for key in held}
+    try:
+        for key, value in held.items():
+            spark.conf.set(key, value)
+        path = scratch_path(spark, "tokens")
+        token_files.write(with_place(spark.createDataFrame(table, "doc_id LONG, text STRING")), path, PATH)
+        assert token_files.read(spark, path).select("part").distinct().count() > 5
+        assert rows(token_files.digests(spark, path)) == expected(table, tokenizer)
+    finally:
+        for key, value in usual.items():
+            spark.conf.set(key, value)
+
+
 def test_empty(spark):
     path = scratch_path(spark, "tokens")
     token_files.write(with_place(spark.createDataFrame([], "doc_id LONG, text STRING")), path, PATH)

@@ -182,8 +182,9 @@ def write(
     ids, lengths = code_book(token_counts(pieces))
     codes = spark.createDataFrame(list(zip(ids.tolist(), lengths.tolist())), "id BIGINT, length INT")
     codes.coalesce(1).write.parquet(f"{path}/codes")
-    keys = list(dict.fromkeys([*order, "_file", "_at", "piece"]))
-    placed = pieces.filter("piece >= 0").repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # A document's pieces share these keys, so no part ends inside a document.
+    keys = list(dict.fromkeys([*order, "_file", "_at"]))
+    placed = pieces.filter("piece >= 0").repartitionByRange(*keys).sortWithinPartitions(*keys, "piece")
     _blocks(Book(ids, lengths), placed).write.option("compression", "none").parquet(f"{path}/blocks")
 
 
