@@ -34,6 +34,22 @@ def test_clauses(matcher, text, patterns):
     assert {toxicity.PATTERNS[k]: n for k, n in matcher.counts(text).items()} == patterns
 
 
+@pytest.mark.parametrize(
+    "text, patterns",
+    [
+        ("idiot/loser", {("I", False, False, False): 2}),
+        ("a moron-like man", {("I", False, False, False): 1}),
+        ("you idiot's friend", {("I", False, False, True): 1}),
+        ("some_zorp-word", {("L", False, False, False): 1}),
+        ("you don't idiot", {("I", True, False, True): 1}),
+        ("'you're' an idiot", {("I", False, False, True): 1}),
+        ("don'ts idiot", {("I", False, False, False): 1}),
+    ],
+)
+def test_words_inside_words(matcher, text, patterns):
+    assert {toxicity.PATTERNS[k]: n for k, n in matcher.counts(text).items()} == patterns
+
+
 def test_composition_equals_one_after_the_other():
     symbols = [(kind, False, False, False) for kind in "ILTYNRO"]
     draw = np.random.default_rng(1)

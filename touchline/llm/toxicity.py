@@ -55,8 +55,7 @@ PATTERNS = [(kind, *flags) for kind in KINDS for flags in product((False, True),
 Symbol = tuple  # (class, negated, reported, aimed)
 
 _SPLIT = re.compile(r"[.,;:!?()\[\]{}\"“”„«»|\n\r]+")
-_TRIM = "'`*_-~#<>/\\&%$+=…’‘"
-# Clause signs and trimmed characters as blanks, for a first look at the words of a text.
+# Clause signs and other signs between words as blanks, for a first look at the words of a text.
 _LOOSE = str.maketrans(dict.fromkeys(".,;:!?()[]{}\"“”„«»|'`*_-~#<>/\\&%$+=…’‘", " "))
 
 
@@ -129,12 +128,17 @@ class Matcher:
         self.marked = frozenset(word for word, kind in classes.items() if kind in KINDS)
         self.table = GRAMMAR.table((kind, False, False, False) for kind in (*KINDS, *"YNRO"))
         self.number = {pattern: i for i, pattern in enumerate(PATTERNS)}
+        # Words end at the signs that end them in learning, but listed words with an apostrophe are whole.
+        sign = rf"[^\s{re.escape(''.join(map(chr, _LOOSE)))}]"
+        listed = sorted((word for word in classes if "'" in word), key=len, reverse=True)
+        inner = "".join(rf"{re.escape(word)}(?!{sign})|" for word in listed)
+        self.words = re.compile(rf"{inner}{sign}+").findall
 
     def clause(self, words: list[str]) -> list[int]:
         """The patterns a clause matches, in order."""
         state, found = GRAMMAR.start, []
         for word in words:
-            kind = self.classes.get(word) or self.classes.get(word.strip(_TRIM), "O")
+            kind = self.classes.get(word, "O")
             state, out = self.table[state, (kind, False, False, False)]
             if kind in KINDS:
                 found.append(self.number[out])
@@ -146,9 +150,8 @@ class Matcher:
             return {}
         found: Counter[int] = Counter()
         for clause in _SPLIT.split(folded):
-            words = clause.split()
-            if not self.marked.isdisjoint(words) or not self.marked.isdisjoint(word.strip(_TRIM) for word in words):
-                found.update(self.clause(words))
+            if not self.marked.isdisjoint(clause.translate(_LOOSE).split()):
+                found.update(self.clause(self.words(clause)))
         return dict(found)
 
 
