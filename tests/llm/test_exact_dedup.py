@@ -3,10 +3,14 @@
 import hashlib
 import random
 import re
+import subprocess
+import sys
 import uuid
+from pathlib import Path
 
 import pytest
 
+from touchline.llm import queries
 from touchline.llm.exact_dedup import DigestIndex
 from touchline.session import scratch_path
 
@@ -75,6 +79,41 @@ def test_a_repeated_batch_keeps_nothing(spark, index, rows):
     assert [row[:2] for row in again] == [(1, 1), (2, 1), (3, 3)] and not any(row[3] for row in again)
 
 
+OTHER = """
+import sys
+from touchline.llm.exact_dedup import DigestIndex
+from touchline.session import build_session
+spark = build_session("other", "local[2]", spark__sql__warehouse__dir=sys.argv[2], spark__sql__shuffle__partitions="2")
+frame = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "doc_id LONG, text STRING")
+assert DigestIndex(spark, "mine", buckets=4, path=sys.argv[1]).ingest(frame).filter("kept").count() == 3
+"""
+
+
+def test_another_session_finds_the_index(spark, index, rows, tmp_path):
+    root = Path(__file__).resolve().parents[2]
+    subprocess.run([sys.executable, "-c", OTHER, index.path, str(tmp_path)], cwd=root, check=True, timeout=120)
+    with pytest.raises(ValueError):
+        DigestIndex(spark, f"digests_{uuid.uuid4().hex}", buckets=3, path=index.path).rows()
+    found = rows(index.ingest(frame(spark, [(7, "a"), (8, "d"), (9, " b")])), "doc_id", "keep_id", "kept")
+    assert found == [(7, 1, False), (8, 8, True), (9, 2, False)]
+    assert index.rows().count() == 4
+
+
+def test_query_decides_rows_by_the_index(spark, rows, tmp_path, monkeypatch):
+    batch = [(5, "a b"), (2, "ab"), (1, "ab"), (4, "a  b"), (3, "a  b"), (6, None), (7, "longer text"), (8, "long text")]
+    frame(spark, batch).write.parquet(f"{tmp_path}/documents.parquet")
+    unseen, left = DigestIndex.unseen, []
+
+    def counted(self, found):
+        out = unseen(self, found)
+        left.append((found.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(DigestIndex, "unseen", counted)
+    assert rows(queries.op1_exact_dedup(spark, str(tmp_path)), *COLUMNS) == expected(batch, {})[0]
+    assert left and left[0][0] > left[0][1] > 0
+
+
 def test_names(spark):
     with pytest.raises(ValueError):
         DigestIndex(spark, "x; DROP TABLE y")

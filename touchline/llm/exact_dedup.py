@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.session import cut_lineage
+from touchline.session import cut_lineage, exists
 
 BUCKETS = 32
 
@@ -57,13 +58,50 @@ class DigestIndex:
     """A table of the digests seen so far, with the id of the row that stays for each."""
 
     def __init__(self, spark: SparkSession, table: str, buckets: int = BUCKETS, path: str | None = None):
-        """``table`` in the session's catalog, at ``path`` if given, else below the warehouse."""
+        """``table`` in the session's catalog, at ``path`` if given, else below the warehouse.
+
+        Files that are there already are the index, also if this session's catalog doesn't know them.
+        """
         if not re.fullmatch(r"[A-Za-z_]\w*(\.[A-Za-z_]\w*)?", table):
             raise ValueError(f"not a table name: {table}")
         self.spark, self.table, self.buckets, self.path = spark, table, buckets, path
 
+    def location(self) -> str:
+        """Where the files are, or will be."""
+        if self.path:
+            return self.path
+        state = self.spark._jsparkSession.sessionState()
+        return state.catalog().defaultTablePath(state.sqlParser().parseTableIdentifier(self.table)).toString()
+
+    def register(self) -> bool:
+        """Whether there is an index. Files that another session has left at the path are entered in the catalog.
+
+        A file that isn't of the bucket its name says would be missed by joins, so the rows are read once to check it.
+        """
+        if self.spark.catalog.tableExists(self.table):
+            return True
+        path = self.location()
+        if not exists(self.spark, path):
+            return False
+        try:
+            found = self.spark.read.parquet(path)
+        except AnalysisException as error:
+            if "UNABLE_TO_INFER_SCHEMA" in str(error):  # a folder without rows
+                return False
+            raise
+        bucket = F.regexp_extract("_metadata.file_name", r"_(\d+)(?:\..*)?$", 1).try_cast("int")
+        if found.filter(~bucket.eqNullSafe(F.expr(f"pmod(hash(digest), {self.buckets})"))).take(1):
+            raise ValueError(f"the files at {path} are not in {self.buckets} buckets by digest")
+        columns = ", ".join(f"{name} {found.schema[name].dataType.simpleString()}" for name in ("digest", "keep_id"))
+        quoted = path.replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(
+            f"CREATE TABLE {self.table} ({columns}) USING parquet "
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{quoted}'"
+        )
+        return True
+
     def rows(self) -> DataFrame | None:
-        return self.spark.table(self.table) if self.spark.catalog.tableExists(self.table) else None
+        return self.spark.table(self.table) if self.register() else None
 
     def unseen(self, found: DataFrame) -> DataFrame:
         """The rows of ``found`` whose digest is not in the index: a sort-merge anti-join, the index side unshuffled."""
@@ -74,6 +112,7 @@ class DigestIndex:
 
     def append(self, new: DataFrame) -> None:
         """Add rows of (digest, keep_id), one file per bucket."""
+        self.register()
         placed = new.select("digest", "keep_id").repartition(self.buckets, "digest")
         writer = placed.write.format("parquet").bucketBy(self.buckets, "digest").sortBy("digest").mode("append")
         (writer.option("path", self.path) if self.path else writer).saveAsTable(self.table)

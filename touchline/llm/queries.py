@@ -12,14 +12,25 @@ from pyspark.sql import functions as F
 
 from touchline.llm import decontamination, exact_dedup, html_text, language_model, mixing, ngram_join, pii
 from touchline.llm import token_counts, token_files, toxicity
-from touchline.llm.rows import id_hash, read, with_place
+from touchline.llm.rows import id_hash, read, whole, with_place
 from touchline.session import cut_lineage, scratch_path
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions after two batches, the longer half of the texts first: then what the index keeps is the best row of all.
+
+    Copies that differ in blanks may be in both batches, so group sizes are counted over both.
+    """
     path = scratch_path(spark, "digests")
     index = exact_dedup.DigestIndex(spark, f"digests_{uuid.uuid4().hex}", path=path)
-    return index.ingest(read(spark, sf_dir, "documents"))
+    documents = read(spark, sf_dir, "documents")
+    length = F.char_length(whole())
+    middle = documents.agg(F.percentile_approx(length, 0.5)).first()[0] or 0
+    batches = [index.ingest(documents.filter(some)) for some in (length >= middle, length < middle)]
+    decided = cut_lineage(batches[0].unionByName(batches[1]))
+    sizes = cut_lineage(decided.groupBy("text_sha256").agg(F.count(F.lit(1)).alias("group_size")))
+    columns = decided.columns
+    return decided.drop("group_size").join(sizes, "text_sha256").select(*columns)
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
