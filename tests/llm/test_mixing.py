@@ -63,6 +63,41 @@ def test_mixed(spark):
             assert abs(got[source] - (slot + 1) * len(plan[source]) / 20) < 1
 
 
+@settings(max_examples=60, deadline=None)
+@given(weights=st.lists(st.floats(0.001, 1e6), min_size=1, max_size=40))
+def test_every_prefix_is_within_one_block_of_the_exact_weights(weights):
+    exact = [Fraction(weight) for weight in weights]
+    shares = [weight / sum(exact) for weight in exact]
+    got = [0] * len(weights)
+    for i, (source, block, slot) in enumerate(mixing.exact_schedule(weights, [600] * len(weights))):
+        assert slot == i and block == got[source]
+        got[source] += 1
+        assert all(abs(n - share * (i + 1)) < 1 for n, share in zip(got, shares))
+        if max(got) == 600 or i == 800:
+            break
+
+
+def test_all_blocks_are_placed_after_sources_run_out():
+    found = list(mixing.exact_schedule([1e9, 1.0, 3.0], [2, 3, 0]))
+    assert sorted(row[:2] for row in found) == [(0, 0), (0, 1), (1, 0), (1, 1), (1, 2)]
+    assert [row[2] for row in found] == sorted({row[2] for row in found})
+
+
+def test_mixed_follows_the_target_weights(spark):
+    """Many sources beside a hot one: no least share and no rounding to whole slots of a period."""
+    sizes = {"hot": 1500, **{f"s{i}": 4 for i in range(1200)}}
+    table = [(i, source) for i, source in enumerate(name for name, n in sizes.items() for _ in range(n))]
+    frame = with_place(spark.createDataFrame(table, "doc_id LONG, source STRING").repartition(3))
+    weights = {name: n**0.5 for name, n in sizes.items()}
+    rows = mixing.mixed(frame, weights, block=1).orderBy("position").collect()
+    assert sorted(row["doc_id"] for row in rows) == list(range(len(table)))
+    share, got = Fraction(weights["hot"]) / sum(map(Fraction, weights.values())), 0
+    until = min(max(row["slot"] for row in rows if row["source"] == name) for name in ("hot", "s0", "s1"))
+    for i, row in enumerate(rows[: until + 1]):
+        got += row["source"] == "hot"
+        assert row["slot"] == i and abs(got - share * (i + 1)) < 1
+
+
 def test_missing_weight_and_empty(spark):
     frame = with_place(spark.createDataFrame([(1, "a", "t")], "doc_id LONG, source STRING, text STRING"))
     with pytest.raises(ValueError):
