@@ -90,6 +90,47 @@ def test_context_finds_what_no_pattern_matches(spark):
     assert pii.extract(frame).count() == len(table)
 
 
+def ids(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    found = {}
+    for row in pii.extract(frame).collect():
+        spans = [span.split(":") for span in row["spans"].split(",") if span.startswith("id:")]
+        found[row["doc_id"]] = [texts[row["doc_id"]][int(low) : int(high)] for _, low, high in spans]
+    return found
+
+
+def test_contexts_hold_words_with_digits_and_wide_gaps(spark):
+    texts = [f"in room {i % 90 + 10} u{i}x@mail{i}.example.com" for i in range(30)]
+    texts += [f"wide gap{' ' * 300}v{i}x@mail{i}.example.com" for i in range(30)]
+    texts += ["in room 12 AB-123456", f"wide gap{' ' * 300}CD-234567", "ids EF-345678, GH-456789, IJ-567890"]
+    found = ids(spark, texts)
+    assert found[60] == ["AB-123456"] and found[61] == ["CD-234567"] and found[62] == ["GH-456789", "IJ-567890"]
+
+
+def test_lists_are_found_behind_their_first(spark):
+    texts = [f"ids a{i}x@m.example.com, b{i}x@m.example.com, c{i}x@m.example.com" for i in range(30)]
+    texts += [f"code u{i}x@m.example.com; ids" for i in range(30)]
+    found = ids(spark, [*texts, "ids d1@m.example.com, AB-123456 and", "ids e1@m.example.com, f1@m.example.com, CD-234567"])
+    assert found[60] == ["AB-123456"] and found[61] == ["CD-234567"]
+
+
+def test_rounds_go_on_until_nothing_is_new(spark):
+    def chain(word, values):
+        return [f"x{i} {word} {value}" for i, value in enumerate(values)]
+
+    seeds = [f"s{i}@m.example.com" for i in range(30)]
+    one, two, three = ([f"{kind}-{i}00000" for i in range(40)] for kind in ("AA", "BB", "CC"))
+    # Each word is trusted by what the word before it has found, and seeds of its own.
+    def mixed(own, values):
+        return [f"{own}{i}@m.example.com" for i in range(30)] + values
+
+    texts = chain("first", [*mixed("p", []), *one[:2]]) + chain("second", [*mixed("q", [])[:8], *one[:2], *two[:1]])
+    texts += chain("third", [*mixed("r", [])[:9], *two[:1], *three[:1]])
+    found = ids(spark, [*texts, *chain("first", seeds)])
+    values = {value for some in found.values() for value in some}
+    assert {*one[:2], *two[:1], *three[:1]} <= values
+
+
 def test_empty(spark):
     assert pii.extract(spark.createDataFrame([], "doc_id LONG, text STRING")).collect() == []
 

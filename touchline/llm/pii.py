@@ -3,7 +3,7 @@
 The matches of the exact patterns are seeds. Every word that looks like an identifier is an instance, and the one and
 two words before it are lexical patterns. The graph of patterns and instances is scored in rounds: a pattern by the
 mean score of its distinct instances, an instance that is no seed by its best trusted pattern. Identifiers after
-patterns that are trusted in the end are found as well, with kind ``id``. Scores move as sums per pattern and value,
+patterns that are trusted in the end, when a round adds none, are found as well, with kind ``id``. Scores move as sums per pattern and value,
 which are built before the shuffle, so frequent contexts and values are no hot spots.
 """
 
@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from touchline.session import cut_lineage
 
-ROUNDS = 2
 TRUST = 0.8  # least score of a trusted pattern
 SUPPORT = 5  # least sum of the instance scores behind it
 DECAY = 0.9  # what an instance keeps of its pattern's score
@@ -95,47 +94,84 @@ def base_spans(text: Column) -> Column:
 
 
 def _candidates(text: Column) -> Column:
-    """Array of (low, high, value, one, two) of words with a digit or an at sign: the words before as contexts."""
+    """Array of (low, high, value, one, two) of words with a digit or an at sign: the words before as contexts.
 
-    def make(match, gap, low, high):
+    Among the words before, one with an at sign counts as ``@`` and one with a digit as ``0``.
+    """
+    between, matches = F.split(text, _WORD, -1), F.regexp_extract_all(text, F.lit(_WORD), F.lit(0))
+    # The last word of a text without digits and at signs, and the one before it, found from the end.
+    last, two = r"(?s)\A.*(?<!\S)(\S++)\s*+\z", r"(?s)\A.*(?<!\S)(\S++)\s++\S++\s*+\z"
+    gaps = F.transform(
+        F.slice(between, 1, F.size(matches)),
+        lambda gap: F.struct(
+            F.length(gap).alias("size"),
+            F.lower(F.regexp_extract(gap, last, 1)).alias("one"),
+            F.lower(F.regexp_extract(gap, two, 1)).alias("before"),
+        ),
+    )
+
+    def make(match, low, one, before):
         # Signs around the word are no part of the identifier.
         lead = F.length(F.regexp_extract(match, r"\A[^A-Za-z0-9]*", 0))
         core = F.regexp_replace(match, r"\A[^A-Za-z0-9]+|[^A-Za-z0-9]+\z", "")
-        before = F.lower(F.substring(gap, -200, 200))
         return F.struct(
             (low + lead).alias("low"),
             (low + lead + F.length(core)).alias("high"),
             F.xxhash64(core).alias("value"),
-            F.regexp_extract(before, r"(?<!\S)([^\s]+)\s*\z", 1).alias("one"),
-            F.regexp_extract(before, r"(?<!\S)([^\s]+\s+[^\s]+)\s*\z", 1).alias("two"),
+            one.alias("one"),
+            F.when(before != "", F.concat(before, F.lit(" "), one)).otherwise("").alias("two"),
+        )
+
+    def step(state, pair):
+        gap, match = pair["gap"], pair["match"]
+        low = state["at"] + gap["size"]
+        none = gap["one"] == ""
+        one = F.when(none, state["one"]).otherwise(gap["one"])
+        before = F.when(none, state["before"]).when(gap["before"] == "", state["one"]).otherwise(gap["before"])
+        found = F.when(
+            F.length(match) >= LEAST, F.concat(state["found"], F.array(make(match, low, one, before)))
+        ).otherwise(state["found"])
+        return F.struct(
+            (low + F.length(match)).alias("at"),
+            found.alias("found"),
+            F.when(match.contains("@"), "@").otherwise("0").alias("one"),
+            one.alias("before"),
         )
 
-    found = _spans(text, _WORD, lambda match: F.length(match) >= LEAST, make)
-    none = F.array().cast("array<struct<low: int, high: int, value: bigint, one: string, two: string>>")
+    none = F.filter(F.array(make(F.lit(""), F.lit(0), F.lit(""), F.lit(""))), lambda _: F.lit(False))
+    start = F.struct(F.lit(0).alias("at"), none.alias("found"), F.lit("").alias("one"), F.lit("").alias("before"))
+    pairs = F.arrays_zip(gaps.alias("gap"), matches.alias("match"))
+    found = F.aggregate(pairs, start, step, lambda state: state["found"])
+    empty = F.array().cast("array<struct<low: int, high: int, value: bigint, one: string, two: string>>")
     usable = F.filter(found, lambda c: (c["high"] - c["low"] >= LEAST) & (c["one"] != ""))
-    return F.when(text.rlike("[0-9@]"), usable).otherwise(none)
+    return F.when(text.rlike("[0-9@]"), usable).otherwise(empty)
 
 
 def _trusted(edges: DataFrame) -> DataFrame:
-    """Patterns that are trusted after all rounds. ``edges`` has pattern, value and whether the value is a seed."""
-    scored = edges.withColumn("score", F.col("seed").cast("double"))
-    trusted = None
-    for turn in range(ROUNDS):
-        sums = scored.groupBy("pattern").agg(F.sum("score").alias("sum"), F.count(F.lit(1)).alias("n"))
-        trusted = cut_lineage(
-            sums.withColumn("trust", F.col("sum") / (F.col("n") + 1))
-            .filter((F.col("trust") >= TRUST) & (F.col("sum") >= SUPPORT))
-            .select("pattern", "trust")
+    """Patterns that are trusted once a round adds none. ``edges`` has pattern, value and whether the value is a seed.
+
+    Scores only rise, so a pattern stays trusted, and the rounds end.
+    """
+    unseen = edges.filter(~F.col("seed")).select("pattern", "value")
+    sums = edges.groupBy("pattern").agg(F.sum(F.col("seed").cast("double")).alias("seeds"), F.count(F.lit(1)).alias("n"))
+    # A pattern with too few instances can't be trusted whatever their scores are.
+    sums = cut_lineage(sums.filter((F.col("n") >= SUPPORT) & (F.col("n") / (F.col("n") + 1) >= TRUST)))
+
+    def trusted(scored: DataFrame) -> DataFrame:
+        found = scored.withColumn("trust", F.col("sum") / (F.col("n") + 1))
+        return cut_lineage(
+            found.filter((F.col("trust") >= TRUST) & (F.col("sum") >= SUPPORT)).select("pattern", "trust")
         )
-        if turn < ROUNDS - 1:
-            unseen = edges.filter(~F.col("seed"))
-            best = unseen.join(trusted, "pattern").groupBy("value").agg((DECAY * F.max("trust")).alias("best"))
-            scored = cut_lineage(
-                unseen.join(best, "value", "left")
-                .select("pattern", "value", "seed", F.coalesce("best", F.lit(0.0)).alias("score"))
-                .unionByName(edges.filter("seed").withColumn("score", F.lit(1.0)))
-            )
-    return trusted.select("pattern")
+
+    now = trusted(sums.withColumnRenamed("seeds", "sum"))
+    size, before = now.count(), 0
+    while size > before:
+        best = unseen.join(now, "pattern").groupBy("value").agg((DECAY * F.max("trust")).alias("best"))
+        more = unseen.join(cut_lineage(best), "value").groupBy("pattern").agg(F.sum("best").alias("more"))
+        rise = F.col("seeds") + F.coalesce("more", F.lit(0.0))
+        now = trusted(sums.join(cut_lineage(more), "pattern", "left").withColumn("sum", rise))
+        size, before = now.count(), size
+    return now.select("pattern")
 
 
 def _text(spans: Column) -> Column:
