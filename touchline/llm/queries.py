@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm import decontamination, exact_dedup, html_text, language_model, mixing, ngram_join, pii
-from touchline.llm import token_counts, token_files, toxicity
+from touchline.llm import ranked_search, token_counts, token_files, toxicity
 from touchline.llm.rows import id_hash, read, whole, with_place
 from touchline.session import cut_lineage, scratch_path
 
@@ -116,6 +116,10 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score(read(spark, sf_dir, "documents"), role, order=2)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_exact_dedup,
@@ -128,5 +132,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_decontamination,
         op9_token_files,
         op10_language_model,
+        op11_ranked_search,
     )
     return {query.__name__: query for query in found}
