@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm import decontamination, exact_dedup, html_text, language_model, mixing, ngram_join, pii
-from touchline.llm import ranked_search, token_counts, token_files, toxicity
+from touchline.llm import ranked_search, token_counts, token_files, toxicity, vantage_search
 from touchline.llm.rows import id_hash, read, whole, with_place
 from touchline.session import cut_lineage, scratch_path
 
@@ -120,6 +120,10 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.rank(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op12_vantage_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vantage_search.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_exact_dedup,
@@ -133,5 +137,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_token_files,
         op10_language_model,
         op11_ranked_search,
+        op12_vantage_search,
     )
     return {query.__name__: query for query in found}
