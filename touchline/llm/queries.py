@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import decontamination, exact_dedup, html_text, language_model, mixing, ngram_join, pii
-from touchline.llm import ranked_search, token_counts, token_files, toxicity, vantage_search
+from touchline.llm import conversation_repair, decontamination, exact_dedup, html_text, language_model, mixing
+from touchline.llm import ngram_join, pii, ranked_search, token_counts, token_files, toxicity, vantage_search
 from touchline.llm.rows import id_hash, read, whole, with_place
 from touchline.session import cut_lineage, scratch_path
 
@@ -124,6 +124,25 @@ def op12_vantage_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vantage_search.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with faults by the checksum of their id and turn; dropped rows have ``present`` false."""
+    key = [F.coalesce(F.col(column).cast("string"), F.lit(" ")) for column in ("conv_id", "turn")]
+    damage = F.crc32(F.concat_ws(":", *key).cast("binary")) % 20
+    text, role = (F.coalesce(F.col(column), F.lit(" ")) for column in ("text", "role"))
+    return conversations.select(
+        "conv_id",
+        "turn",
+        F.when(damage == 4, "user").otherwise(role).alias("role"),
+        F.when(damage == 1, "").when(damage == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        (damage != 0).alias("present"),
+        F.explode(F.when(damage == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    )
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.report(damaged(read(spark, sf_dir, "conversations")), F.col("present"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_exact_dedup,
@@ -138,5 +157,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op10_language_model,
         op11_ranked_search,
         op12_vantage_search,
+        op13_conversation_repair,
     )
     return {query.__name__: query for query in found}
