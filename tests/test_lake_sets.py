@@ -1,0 +1,159 @@
+"""Sets of lake files: what readers see while a writer is at work, dies, or has died; folders as a relation."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from touchline.plans import flows
+from touchline.sinks import lake as lake_sink
+from touchline.sinks.commits import CommitLog
+from touchline.sources import lake
+
+SCHEMA = "id BIGINT, tournament_id BIGINT, year INT, stage_name STRING, date STRING"
+BEFORE = [(1, 3, 2020, "Q/F: +1", "20200701"), (2, 3, 2020, None, "20200702"), (3, 3, 2021, "A=%b{}", "20210612"), (4, 5, 2021, "Ü", "20210612")]
+AGAIN = [(10, 3, 2020, "Q/F: +1", "20200701"), (11, 3, 2020, None, "20200702"), (12, 3, 2020, "New", "20200703")]
+AFTER = [BEFORE[2], BEFORE[3], *AGAIN]
+
+
+class Killed(Exception):
+    pass
+
+
+@pytest.fixture
+def root(spark, tmp_path):
+    path = str(tmp_path / "the lake")
+    lake_sink.write_partitioned(spark.createDataFrame(BEFORE, SCHEMA), path)
+    return path
+
+
+def seen(spark, root, rows):
+    whole = rows(lake.scan_lake(spark, root, lake.lake_schema("id BIGINT")), *[f.split()[0] for f in SCHEMA.split(", ")])
+    globbed = lake.scan_glob(spark, root, schema=lake.lake_schema("id BIGINT"))
+    assert rows(globbed, "id") == sorted([(row[0],) for row in whole], key=repr)
+    assert rows(lake.scan_lake(spark, root, lake.lake_schema("id BIGINT"), 3, 2020), "id") == sorted(
+        [(row[0],) for row in whole if row[1:3] == (3, 2020)], key=repr
+    )
+    return whole
+
+
+def ordered(rows_):
+    return sorted(rows_, key=repr)
+
+
+def die(monkeypatch, state):
+    """Let the writer die where it would enter a state, before anything is written of it."""
+    publish = CommitLog.publish
+
+    def dying(self, content):
+        if content["state"] == state:
+            raise Killed
+        return publish(self, content)
+
+    monkeypatch.setattr(CommitLog, "publish", dying)
+
+
+def files(tmp_path):
+    return {path for path in tmp_path.rglob("*.parquet")}
+
+
+def test_replaced_partitions_leave_no_files(spark, root, rows, tmp_path):
+    lake_sink.write_partitioned(spark.createDataFrame(AGAIN, SCHEMA), root)
+    assert seen(spark, root, rows) == ordered(AFTER)
+    assert len(files(tmp_path)) == 5
+    assert CommitLog(spark, root).newest()["state"] == "clean"
+
+
+def test_writer_that_dies_before_publishing_changes_nothing(spark, root, rows, tmp_path, monkeypatch):
+    with monkeypatch.context() as patch:
+        die(patch, "published")
+        with pytest.raises(Killed):
+            lake_sink.write_partitioned(spark.createDataFrame(AGAIN, SCHEMA), root)
+    assert len(files(tmp_path)) == 7  # its files are there, and hidden
+    assert seen(spark, root, rows) == ordered(BEFORE)
+    lake_sink.settle(spark, root)
+    assert len(files(tmp_path)) == 4 and seen(spark, root, rows) == ordered(BEFORE)
+
+
+def test_writer_that_dies_in_its_tasks_changes_nothing(spark, root, rows):
+    broken = spark.createDataFrame(AGAIN, SCHEMA).withColumn("id", F.when(F.col("id") == 12, F.raise_error(F.lit("x"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="x"):
+        lake_sink.write_partitioned(broken, root)
+    assert CommitLog(spark, root).newest()["state"] == "open"
+    assert seen(spark, root, rows) == ordered(BEFORE)
+    lake_sink.write_partitioned(spark.createDataFrame(AGAIN, SCHEMA), root)
+    assert seen(spark, root, rows) == ordered(AFTER)
+
+
+@pytest.mark.parametrize("removed", [0, 1])
+def test_writer_that_dies_while_removing_is_finished_by_the_next(spark, root, rows, tmp_path, monkeypatch, removed):
+    with monkeypatch.context() as patch:
+        delete = lake_sink.CommitLog
+
+        class Log(delete):
+            def __init__(self, *args):
+                super().__init__(*args)
+                remove = self.files.delete
+
+                def some(names):
+                    names = list(names)
+                    remove(names[:removed])
+                    if any(name.endswith(".parquet") for name in names):
+                        raise Killed
+
+                self.files.delete = some
+
+        patch.setattr(lake_sink, "CommitLog", Log)
+        with pytest.raises(Killed):
+            lake_sink.write_partitioned(spark.createDataFrame(AGAIN, SCHEMA), root)
+    assert CommitLog(spark, root).newest()["state"] == "published"
+    assert len(files(tmp_path)) == 7 - removed
+    assert seen(spark, root, rows) == ordered(AFTER)
+    lake_sink.write_partitioned(spark.createDataFrame([(13, 7, 2020, "S", "20200101")], SCHEMA), root)
+    assert len(files(tmp_path)) == 6 and seen(spark, root, rows) == ordered([*AFTER, (13, 7, 2020, "S", "20200101")])
+
+
+def test_covered_partitions_without_rows_become_empty(spark, root, rows, tmp_path):
+    rows_ = spark.createDataFrame([(9, 3, 2021, "Z", "20210613")], SCHEMA)
+    lake_sink.write_partitioned(rows_, root, covers="tournament_id = '3' AND date > '20200701'")
+    assert seen(spark, root, rows) == ordered([BEFORE[0], BEFORE[3], (9, 3, 2021, "Z", "20210613")])
+    lake_sink.write_partitioned(rows_.limit(0), root, covers="year = '2021'")
+    assert seen(spark, root, rows) == [BEFORE[0]] and len(files(tmp_path)) == 1
+
+
+def test_listing_reads_folders_only(spark, root, rows):
+    found = lake.listing(spark, root, lake.PARTITION_COLUMNS)
+    assert rows(found, *lake.PARTITION_COLUMNS) == ordered([(str(t), str(y), s, d) for _, t, y, s, d in BEFORE])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan binaryFile" in plan and "FileScan parquet" not in plan and "content" not in plan
+    assert rows(lake.partitions(spark, root, ["year"]), "year", "n_files") == [("2020", 2), ("2021", 2)]
+    assert lake.listing(spark, root + "/none", ["year"]).columns == ["file", "length", "year"]
+    below = lake.listing(spark, root, ["year"], ["tournament_id=3/year=2020", "tournament_id=99"])
+    assert rows(below, "year") == [("2020",), ("2020",)]
+
+
+def test_folders_answer_what_is_pending(spark, root, rows):
+    seasons = spark.createDataFrame([(1, 3, 2020, 0), (2, 3, 2022, 0), (3, 5, 2021, 0), (4, 9, 2020, 1)], "id INT, t BIGINT, y INT, is_on_s3 INT")
+    pending = flows.pending_seasons(seasons, root, {"tournament_id": "t", "year": "y"})
+    assert rows(pending, "id") == [(2,)]
+    plan = pending._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" not in plan and "FileScan binaryFile" in plan
+
+
+def test_retention_opens_no_file(spark, tmp_path, monkeypatch):
+    """Files that can't be read as data are no obstacle: load days come from the folders."""
+    for day in ("2024-01-01", "2024-01-25", "__HIVE_DEFAULT_PARTITION__"):
+        folder = tmp_path / "staging" / "p=a" / f"load_day={day}"
+        folder.mkdir(parents=True)
+        (folder / "part-0.parquet").write_text("not parquet")
+    assert flows.clear_staging(spark, str(tmp_path / "staging"), 10, "2024-01-31") == 1
+    assert sorted(path.name for path in (tmp_path / "staging" / "p=a").iterdir()) == ["load_day=2024-01-25", "load_day=__HIVE_DEFAULT_PARTITION__"]
+
+
+def test_an_emptied_day_is_empty_after_the_next_run(spark, tmp_path, rows):
+    path = str(tmp_path / "results")
+    frame = spark.sql("SELECT * FROM VALUES (1, DATE'2024-01-12'), (2, DATE'2024-01-13'), (3, DATE'2024-02-09') t(id, game_date)")
+    flows.update_game_results(frame, path, as_of="2024-02-10")
+    flows.update_game_results(frame.where("id = 3"), path, as_of="2024-02-11")
+    # Day 2024-01-12 is no longer covered by the second run, 2024-01-13 is.
+    assert rows(flows.game_results(spark, path, "id INT, game_date DATE"), "id") == [(1,), (3,)]
+    flows.update_game_results(frame.limit(0), path, as_of="2024-02-11")
+    assert rows(flows.game_results(spark, path, "id INT, game_date DATE"), "id") == [(1,)]

@@ -1,11 +1,13 @@
 """Numbering and paged lists against brute force, with one key holding most rows."""
 
+import random
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
-from touchline.operators.numbering import number_by_block, number_within
-from touchline.operators.pages import ordered_text, paged_list
+from touchline.operators.numbering import LOCAL_BITS, number_by_block, number_within
+from touchline.operators.pages import _runs, ordered_text, paged_list
 
 
 def skewed(spark, n=3000):
@@ -67,6 +69,45 @@ def test_paged_list_is_whole_and_bounded(spark):
     assert max(r.part for r in pages if r.k == 0) >= 20
 
 
+@pytest.mark.parametrize("page", [1, 7, 10_000])
+@pytest.mark.parametrize("unique", [True, False])
+def test_pages_against_brute_force(spark, page, unique):
+    """NULL keys, orders and values, keys of one and of many rows; copies unless rows are said to be unique."""
+    draw = random.Random(page)
+    data = [
+        (draw.choice([None, 1, 2, 3, *range(10, 60)]), draw.choice([None, *range(5)]), draw.choice([None, "a", "b", "c"]))
+        for _ in range(800)
+    ]
+    data = list(set(data)) if unique else data + [(1, 2, "x")] * 300 + [(70, None, None)] * 20
+    df = spark.createDataFrame(data, "k INT, o INT, v STRING").repartition(6)
+    groups = defaultdict(list)
+    for k, o, v in data:
+        groups[k].append((o is not None, o, v is not None, v))
+    expected = {}
+    for k, entries in groups.items():
+        entries.sort(key=lambda e: (e[0], e[1] or 0, e[2], e[3] or ""))
+        for at in range(0, len(entries), page):
+            some = entries[at : at + page]
+            expected[k, at // page] = len(some), [v for *_, v in some if v is not None]
+    found = paged_list(df, ["k"], ["o"], "v", "values", page=page, unique=unique).collect()
+    assert len(found) == len(expected)
+    assert {(row.k, row.part): (row.n_rows, row["values"]) for row in found} == expected
+
+
+def test_hot_key_and_copies_are_spread_over_runs(spark):
+    """One key, and copies of one row, fill several tasks; no run is longer than a page."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # a few rows are one task otherwise
+    for column in (F.col("id"), F.lit(1)):
+        df = spark.range(0, 40_000, 1, 8).select(F.lit(1).alias("k"), column.alias("v"))
+        runs = _runs(df, ["k"], ["v"], "v", 1000, False).collect()
+        tasks = defaultdict(int)
+        for row in runs:
+            assert row["_n"] <= 1000 and len(row["_values"]) == row["_n"]
+            tasks[row["_from"] >> LOCAL_BITS] += row["_n"]
+        assert sum(tasks.values()) == 40_000 and len(tasks) > 1 and max(tasks.values()) < 30_000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_ordered_text(spark, rows):
     goals = spark.createDataFrame([(1, 2, "b"), (1, 1, "a"), (1, 3, None), (2, 9, None)], "m int, id int, text string")
     assert rows(ordered_text(goals, ["m"], ["id"], "text", "text")) == [(1, 0, "a,b"), (2, 0, None)]

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from touchline.operators import numbering, slices, star
+from touchline.operators import numbering, pages, slices, star
 from touchline.plans import analog, catalog, flows
 from touchline.session import configure, cut_lineage, shared_dir
 
@@ -138,7 +138,7 @@ def test_hot_source_match_is_split_in_the_local_dates(spark, hot_joins):
 def test_documents_read_their_sources_once(spark, monkeypatch):
     """Goals and scores are the only two things that documents take from the lines."""
     plans = []
-    for module in (numbering, slices, flows):
+    for module in (numbering, slices, flows, pages):
         original = module.cut_lineage
         monkeypatch.setattr(module, "cut_lineage", lambda df, original=original: plans.append(plan_of(df)) or original(df))
     tables = analog.star_tables(configure(spark), SF)
@@ -149,7 +149,45 @@ def test_documents_read_their_sources_once(spark, monkeypatch):
 
 def test_lists_read_their_rows_once(spark, monkeypatch):
     plans = []
-    original = numbering.cut_lineage
-    monkeypatch.setattr(numbering, "cut_lineage", lambda df: plans.append(plan_of(df)) or original(df))
+    original = pages.cut_lineage
+    monkeypatch.setattr(pages, "cut_lineage", lambda df: plans.append(plan_of(df)) or original(df))
     plans.append(plan_of(star.goals_per_match(analog.goals(configure(spark), SF), analog.GOAL_ORDER)))
     assert sum(len(re.findall(r"Location[^\n]*lineitem", plan)) for plan in plans) == 1
+
+
+def test_children_and_parents_are_scanned_once_for_all_keys(spark):
+    plan = plan_of(catalog.queries()["fk_violations"](spark, SF))
+    scans = re.findall(r"Location[^\n]*/(\w+)\.parquet", plan)
+    assert scans.count("lineitem") == 1 and scans.count("supplier") == 2  # as a child and as a parent
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+@pytest.fixture
+def writes(spark, monkeypatch):
+    """The plans of all frames that are written aside."""
+    plans = []
+    for module in (numbering, slices, flows, pages):
+        original = module.cut_lineage
+        monkeypatch.setattr(module, "cut_lineage", lambda df, original=original: plans.append(plan_of(df)) or original(df))
+    configure(spark)
+    return plans
+
+
+def test_numbered_games_are_written_once(spark, writes):
+    slices.number_games(catalog._scored_games(spark, SF))
+    assert sum("home_team" in plan and "orders" in plan for plan in writes) == 1
+    assert len(writes) == 2 and "orders" not in writes[1]  # the other one is the shifts
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_lists_write_their_rows_once_as_runs(spark, writes, unique):
+    """Rows are folded into runs before the shuffle; the second write has a row per run of a key with several."""
+    goals = analog.goals(spark, SF)
+    found = pages_of(goals, unique)
+    assert len(writes) == 2 and "lineitem" in writes[0] and "lineitem" not in writes[1]
+    assert "partial_collect_list" in writes[0] and "partial_collect_list" not in writes[1]
+    assert found.count() > 0
+
+
+def pages_of(goals, unique):
+    return pages.paged_list(goals, ["match_id"], analog.GOAL_ORDER, "text", "texts", page=3, unique=unique)

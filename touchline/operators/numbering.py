@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from touchline.session import cut_lineage
 
-_LOCAL_BITS = 33  # monotonically_increasing_id keeps the row position in the lower 33 bits
+LOCAL_BITS = 33  # monotonically_increasing_id keeps the row position in the lower 33 bits
 
 
 def same_key(left: DataFrame, right: DataFrame, names: Sequence[str]):
@@ -54,7 +54,7 @@ def number_within(
         rows.repartitionByRange(*ranges)
         .sortWithinPartitions(*ranges)
         .withColumn("_num_at", F.monotonically_increasing_id())
-        .withColumn("_num_task", F.shiftright("_num_at", _LOCAL_BITS))
+        .withColumn("_num_task", F.shiftright("_num_at", LOCAL_BITS))
     )
     runs = placed.groupBy("_num_task", *group).agg(
         F.min("_num_at").alias("_num_from"), F.count(F.lit(1)).alias("_num_rows")

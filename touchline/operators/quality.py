@@ -26,21 +26,38 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
 def foreign_key_violations(
     tables: Mapping[str, DataFrame], keys: Sequence[tuple[str, str, str, str]] = FOREIGN_KEYS
 ) -> DataFrame:
-    """(child_table, child_column, parent_table, key_value, n_rows) over all keys whose tables are given."""
-    reports = []
-    for child, column, parent, parent_column in keys:
-        if child in tables and parent in tables:
-            missing = orphans(tables[child], column, tables[parent], parent_column)
-            reports.append(
-                missing.select(
-                    F.lit(child).alias("child_table"),
-                    F.lit(column).alias("child_column"),
-                    F.lit(parent).alias("parent_table"),
-                    F.col("key_value").cast("bigint").alias("key_value"),
-                    "n_rows",
-                )
-            )
-    return reduce(DataFrame.unionByName, reports)
+    """(child_table, child_column, parent_table, key_value, n_rows) over all keys whose tables are given.
+
+    Each child is scanned once for all of its keys and each parent once for all keys that refer to it. Their values are
+    tagged with the number of the key and meet in one aggregation, in which hot values have been counted before the
+    shuffle: those no parent has are left. Values are whole numbers.
+    """
+    checked = [key for key in keys if key[0] in tables and key[2] in tables]
+    number = {key: i for i, key in enumerate(checked)}
+
+    def tagged(df: DataFrame, entries: Sequence[tuple[int, str]], known: bool) -> DataFrame:
+        pairs = [F.struct(F.lit(tag).alias("_tag"), F.col(c).cast("bigint").alias("key_value")) for tag, c in entries]
+        values = df.select(F.inline(F.array(*pairs))).where(F.col("key_value").isNotNull())
+        return values.select("*", F.lit(known).alias("_known"))
+
+    sides = [
+        tagged(tables[name], [(number[key], key[at + 1]) for key in checked if key[at] == name], known)
+        for at, known in ((0, False), (2, True))
+        for name in dict.fromkeys(key[at] for key in checked)
+    ]
+    missing = (
+        reduce(DataFrame.union, sides)
+        .groupBy("_tag", "key_value")
+        .agg(F.count_if(~F.col("_known")).alias("n_rows"), F.bool_or("_known").alias("_known"))
+        .where(~F.col("_known"))
+    )
+    names = F.array(
+        *[
+            F.struct(F.lit(key[0]).alias("child_table"), F.lit(key[1]).alias("child_column"), F.lit(key[2]).alias("parent_table"))
+            for key in checked
+        ]
+    )
+    return missing.select(F.get(names, F.col("_tag")).alias("k"), "key_value", "n_rows").select("k.*", "key_value", "n_rows")
 
 
 def unique_violations(df: DataFrame, columns: Sequence[str] = ("id",)) -> DataFrame:

@@ -14,8 +14,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchline.functions import dates, text
 from touchline.operators.numbering import join_same, number_by_block, number_within
@@ -59,11 +60,12 @@ def games_with_goals(games: DataFrame, goals: DataFrame) -> DataFrame:
 
 
 def number_games(games: DataFrame) -> DataFrame:
-    """Games with ``ord``, their position in the document: the base of everything below, written once.
+    """Games with ``ord``, their position in the document: the base of everything below.
 
-    A match is in a document once, so day and match id order its games without ties.
+    A match is in a document once, so day and match id order its games without ties. The sorted games are the one
+    full write; what turns places into positions is a side table of a row per task and document, read along with them.
     """
-    return cut_lineage(number_within(cut_lineage(games), DOCUMENT, ["game_date", "match_id"], "ord", unique=True))
+    return number_within(games, DOCUMENT, ["game_date", "match_id"], "ord", unique=True)
 
 
 # (slot, type, key column) of the entities of a game, in slot order
@@ -211,10 +213,42 @@ def linked_to(games: DataFrame, kind: str, key: str) -> DataFrame:
 
 
 def of_index(graph: DataFrame, index: int) -> DataFrame:
-    """(season, competition, part, matches, dependencies) of the slice with an index, out of the rows of ``slices``."""
+    """(season, competition, part, matches, dependencies) of the slice with an index, out of the rows of ``slices``.
+
+    Out of a stored graph (:func:`store_graph`), one bucket is read.
+    """
     return graph.where(F.col("index") == index).select(*DOCUMENT, "part", "matches", "dependencies")
 
 
+def store_graph(graph: DataFrame, name: str, path: str, buckets: int = 64) -> None:
+    """Keep the rows of :func:`slices` as a table in buckets by index, sorted by document inside a bucket.
+
+    Spark prunes buckets of one column only. Every document numbers its slices from 0, so the index spreads them evenly,
+    and a document is found in its bucket by the statistics of the sorted row groups. The table stays at ``path`` for
+    other sessions, which open it with :func:`open_graph`.
+    """
+    graph.repartition(buckets, "index").write.bucketBy(buckets, "index").sortBy(*DOCUMENT, "index").option(
+        "path", path
+    ).mode("overwrite").saveAsTable(name)
+
+
+def open_graph(spark: SparkSession, name: str, path: str, schema: T.StructType, buckets: int = 64) -> DataFrame:
+    """The stored graph, entered in the catalog if this session doesn't know it."""
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema.fields)
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (index) "
+            f"SORTED BY ({', '.join(DOCUMENT)}, index) INTO {buckets} BUCKETS LOCATION '{path}'"
+        )
+    return spark.table(name)
+
+
+def of_slice(graph: DataFrame, season: int, competition: str, index: int) -> DataFrame:
+    """The rows of one slice of one document; out of a stored graph, one bucket is read."""
+    wanted = (F.col("season") == season) & (F.col("competition") == competition)
+    return of_index(graph.where(wanted), index)
+
+
 MATCH_FIELDS = (
     "match_id", "status", "year", "date", "time", "home_team", "away_team", "city", "stadium", "stage",
     "total_home_goals", "total_away_goals", "penalty_shootout_home_goals", "penalty_shootout_away_goals",
@@ -251,7 +285,7 @@ def _match_json() -> Column:
 
 
 def documents(graph: DataFrame, matches: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(season, competition, kind, block, part, document): the JSON documents, in blocks of the same shape.
+    """(season, competition, kind, block, part, n_entries, document): the JSON documents, in blocks of the same shape.
 
     ``graph`` are the rows of :func:`slices`, ``matches`` the result rows of the numbered games, keeping
     ``season`` and ``ord``. A block is {season, competition, slices, matches} with the entries of one ``kind``, a
@@ -286,4 +320,5 @@ def documents(graph: DataFrame, matches: DataFrame, block: int = BLOCK) -> DataF
         F.lit(',"slices":['), F.array_join("slices.entry", ","),
         F.lit('],"matches":['), F.array_join("matches.entry", ","), F.lit("]}"),
     )
-    return grouped.withColumn("head", head).select(*DOCUMENT, "kind", "block", "part", body.alias("document"))
+    n_entries = (F.size("slices") + F.size("matches")).cast("bigint").alias("n_entries")
+    return grouped.withColumn("head", head).select(*DOCUMENT, "kind", "block", "part", n_entries, body.alias("document"))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.operators.numbering import number_within, same_key
@@ -27,6 +27,12 @@ def recent_rows(df: DataFrame, column: str, days: int = 30, as_of: date | str |
     return df.where(F.col(column) > F.date_sub(_day(as_of), days))
 
 
+def recent_days(spark: SparkSession, column: str, days: int = 30, as_of: date | str | None = None) -> str:
+    """The days :func:`recent_rows` takes, as an SQL condition on a column of days as text."""
+    start = spark.range(1).select(F.date_sub(_day(as_of), days).cast("string")).first()[0]
+    return f"{column} > '{start}'"
+
+
 def retained_rows(
     df: DataFrame, days: int, column: str = "dt_updated", as_of: date | str | None = None
 ) -> DataFrame:
@@ -78,7 +84,10 @@ def latest_season(seasons: DataFrame) -> DataFrame:
 
 
 def pending(seasons: DataFrame, landed: DataFrame | None = None, keys: Sequence[str] = ("id",)) -> DataFrame:
-    """Seasons still to be landed: flag ``is_on_s3`` is 0 and, if given, no landed row has the key."""
+    """Seasons still to be landed: flag ``is_on_s3`` is 0 and, if given, none of ``landed`` has the key.
+
+    ``landed`` may be rows or the folders of a lake (``touchline.sources.lake.partitions``), which needs no data read.
+    """
     todo = seasons.where(F.col("is_on_s3") == 0) if "is_on_s3" in seasons.columns else seasons
     if landed is None:
         return todo

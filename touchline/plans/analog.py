@@ -36,13 +36,13 @@ def unix_seconds(moment: Column) -> Column:
     return F.timestamp_diff("SECOND", epoch, moment)
 
 
-def _tournament(priority: Column) -> Column:
+def tournament(priority: Column) -> Column:
     return F.substring(priority, 1, 1).cast("bigint")
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").withColumns(
-        {"tournament_id": _tournament(F.col("o_orderpriority")), "season": F.year("o_orderdate")}
+        {"tournament_id": tournament(F.col("o_orderpriority")), "season": F.year("o_orderdate")}
     )
 
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchline.functions import dates
 from touchline.functions.cleaning import clean, reject_counts
@@ -17,6 +18,7 @@ from touchline.schemas import CALENDAR_MATCH, GAME_MESSAGE, match_status_seed, s
 from touchline.session import configure, exists, scratch_path
 from touchline.sinks import lake as lake_sink
 from touchline.sinks import tables as table_sink
+from touchline.sinks.documents import DocumentSets
 from touchline.sources import lake, landed, relational
 from touchline.streaming import games as live
 
@@ -195,6 +197,36 @@ def land_match_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _match_columns(lake.scan_lake(spark, target, lake.lake_schema("id BIGINT")))
 
 
+@register
+def land_calendars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calendar responses of all tournaments, one match a line of their stages, through the landing flow."""
+    stages = _calendar_stages(spark, sf_dir).withColumn("tournament_id", analog.tournament(F.col("o_orderpriority")))
+    feed, target = scratch_path(spark, "calendars"), scratch_path(spark, "landed")
+    text = F.to_json(F.struct("stage_name", "matches")).alias("value")
+    stages.select("tournament_id", text).write.partitionBy("tournament_id").text(feed)
+    flows.land_calendar(spark, feed, CALENDAR_MATCH, target, json_lines=True)
+    return _match_columns(lake.scan_lake(spark, target, lake.lake_schema("id BIGINT")))
+
+
+@register
+def land_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rating feeds of two days, the first landed once more, with other ratings, through the landing flow."""
+    target = scratch_path(spark, "landed")
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_mktsegment").alias("Country"),
+        F.concat(F.lit("Club "), F.col("c_nationkey").cast("string")).alias("Club"),
+        F.col("c_custkey").alias("Rank"),
+        F.col("c_acctbal").alias("Elo"),
+    )
+    for day, factor in (("2023-01-01", 1), ("2023-01-02", 1), ("2023-01-01", -1)):
+        feed = scratch_path(spark, "ratings-feed")
+        customers.withColumn("Elo", factor * F.col("Elo")).write.option("header", "true").csv(feed)
+        flows.land_ratings(spark, feed, customers.schema, target, day)
+    schema = lake.lake_schema("Rank BIGINT, Elo DOUBLE", ())
+    kinds = [T.StructField(name, T.StringType()) for name in lake_sink.RATING_PARTITION_COLUMNS]
+    return lake.scan_lake(spark, target, T.StructType([*schema.fields, *kinds]))
+
+
 def _named_records(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Records of a JSON feed of competitions, which are tournaments in a season, whose name contains a pattern."""
     records = analog.competitions(spark, sf_dir).select("id", F.concat_ws(" ", "caption", "year").alias("name"))
@@ -212,13 +244,19 @@ def seasons_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _named_records(spark, sf_dir, "1998")
 
 
-def _calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _calendar_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as calendar stages of two matches, at noon and one minute after the next midnight."""
     seconds = analog.unix_seconds(F.col("o_orderdate"))
     noon = F.struct(F.col("o_orderkey").alias("id"), (seconds + 43200).alias("time"))
     late = F.struct((-F.col("o_orderkey") - 1).alias("id"), (seconds + 86460).alias("time"))
     stage = F.when(F.col("o_orderstatus") == "P", "").otherwise(F.col("o_orderpriority"))
-    stages = table(spark, sf_dir, "orders").select(stage.alias("stage_name"), F.array(noon, late).alias("matches"))
+    return table(spark, sf_dir, "orders").select(
+        stage.alias("stage_name"), F.array(noon, late).alias("matches"), "o_orderpriority"
+    )
+
+
+def _calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stages = _calendar_stages(spark, sf_dir)
     path = _land_text(stages, F.to_json(F.struct("stage_name", "matches")), "calendar")
     return landed.read_calendar(spark, path, CALENDAR_MATCH, json_lines=True)
 
@@ -268,6 +306,18 @@ def pending_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.pending(seasons, landed_rows).select("id")
 
 
+@register
+def pending_from_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seasons of which the lake has no folder; only two of three have been landed, and no landed row is read."""
+    path = scratch_path(spark, "seasons")
+    rows = analog.lake_rows(spark, sf_dir).where("(tournament_id + year) % 3 <> 0")
+    lake_sink.write_partitioned(rows, path)
+    seasons = analog.competitions(spark, sf_dir).select(
+        "id", F.expr("id div 10000").alias("tournament_id"), "year", F.lit(0).alias("is_on_s3")
+    )
+    return flows.pending_seasons(seasons, path, {"tournament_id": "tournament_id", "year": "year"}).drop("is_on_s3")
+
+
 @register
 def relational_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "append")
@@ -526,7 +576,30 @@ def results_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     for day in ("2024-02-10", "2024-02-11"):
         flows.update_game_results(events.union(events), path, "ts", as_of=day)
-    return _moment(spark.read.parquet(path).drop(flows.GAME_DAY))
+    return _moment(flows.game_results(spark, path, events.schema).drop(flows.GAME_DAY))
+
+
+@register
+def results_emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Production results after two runs; a day that lies in the window of both has no staged rows in the second."""
+    path = scratch_path(spark, "results")
+    events = table(spark, sf_dir, "events")
+    flows.update_game_results(events, path, "ts", as_of="2024-02-10")
+    left = events.where(F.col("ts").cast("date") != F.lit("2024-01-20").cast("date"))
+    flows.update_game_results(left, path, "ts", as_of="2024-02-11")
+    return _moment(flows.game_results(spark, path, events.schema).drop(flows.GAME_DAY))
+
+
+@register
+def model_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incremental model of game results after two runs, the second one without a day of the first."""
+    name = "results_" + scratch_path(spark, "model").rsplit("-", 1)[1]
+    models = {name: MODELS["game_results"]}
+    events = table(spark, sf_dir, "events").withColumn("game_date", F.col("ts").cast("date"))
+    left = events.where("game_date <> DATE'2024-01-25'")
+    materialize(spark, name, {"match_results": events}, models=models, as_of="2024-02-05")
+    rows = materialize(spark, name, {"match_results": left}, models=models, as_of="2024-02-10")
+    return _moment(rows.drop("game_date"))
 
 
 @register
@@ -690,6 +763,10 @@ def goals_by_season(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- slice graph
 
 
+# Short lists and blocks, so that the documents of the smallest tables have several of each.
+_LIST, _BLOCK = 5, 20
+
+
 def _games(spark: SparkSession, sf_dir: str, images: str = "flag") -> DataFrame:
     return slices.slice_games(star.schedule(analog.star_tables(spark, sf_dir)), images)
 
@@ -723,15 +800,31 @@ def slice_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_text(slices.linked_to(_scored_games(spark, sf_dir), "team", "NATION_1"), "match_id")
 
 
+_stored_graphs: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def _stored_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The graph of this session's games, stored by the first query that looks something up in it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored_graphs or not exists(spark, _stored_graphs[key][1]):
+        path = scratch_path(spark, "graph")
+        _stored_graphs[key] = "graph_" + path.rsplit("-", 1)[1], path
+        graph = slices.slices(slices.number_games(_scored_games(spark, sf_dir)), _LIST)
+        slices.store_graph(graph, *_stored_graphs[key])
+    return spark.table(_stored_graphs[key][0])
+
+
 @register
 def slice_by_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Matches and linked slices of the slice with index 3 of every document."""
-    found = slices.of_index(slices.slices(slices.number_games(_scored_games(spark, sf_dir)), 5), 3)
-    return _listed(found)
+    """Matches and linked slices of the slice with index 3 of every document, out of one bucket of the stored graph."""
+    return _listed(slices.of_index(_stored_graph(spark, sf_dir), 3))
 
 
-# Short lists and blocks, so that the documents of the smallest tables have several of each.
-_LIST, _BLOCK = 5, 20
+@register
+def slice_of_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One slice of one document out of the stored graph."""
+    return _listed(slices.of_slice(_stored_graph(spark, sf_dir), 1995, "3-MEDIUM", 7))
+
 
 _SLICE_JSON = (
     "slices ARRAY<STRUCT<type: STRING, value: STRUCT<name: STRING, city: STRING, stadium: STRING, date: STRING>, "
@@ -789,6 +882,23 @@ def slice_document_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("season", "competition", "kind", "block", "part", *entries)
 
 
+@register
+def slice_document_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published documents of all seasons, one of them published again: how many entries the blocks read back have."""
+    sets = DocumentSets(spark, scratch_path(spark, "sets"))
+    tables = analog.star_tables(spark, sf_dir)
+    for season in (None, 1998):
+        documents = flows.season_documents(tables, season, goal_order=analog.GOAL_ORDER, page=_LIST, block=_BLOCK)
+        sets.publish(documents, "season")
+    schema = "season INT, competition STRING, slices ARRAY<STRUCT<type: STRING>>, matches ARRAY<STRUCT<match_id: BIGINT>>"
+    read = sets.read().select(F.from_json("value", schema).alias("d")).select("d.*")
+    return read.groupBy("season", "competition").agg(
+        F.count(F.lit(1)).alias("n_blocks"),
+        F.sum(F.size("slices")).alias("n_slices"),
+        F.sum(F.size("matches")).alias("n_matches"),
+    )
+
+
 # ---------------------------------------------------------------- streams
 
 
@@ -820,14 +930,34 @@ def stream_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.read_batches(spark, target, documents.schema).select("value")
 
 
+def _event_batches(spark: SparkSession, sf_dir: str, batches: int) -> DataFrame:
+    """The events as a stream of so many batches, in the order of their time: one landed file each."""
+    events = table(spark, sf_dir, "events")
+    path = scratch_path(spark, "event-files")
+    events.repartitionByRange(batches, "ts", "event_id").write.parquet(path)
+    return analog.as_games(live.file_source(spark, path, events.schema, files_per_batch=1))
+
+
 @register
 def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state after six batches, most of whose games are known from batches before."""
     target, checkpoint = scratch_path(spark, "latest"), scratch_path(spark, "checkpoint")
-    stream = _event_stream(spark, sf_dir)
+    stream = _event_batches(spark, sf_dir, 6)
     live.keep_latest(stream, target, checkpoint, ["ts", "event_id"]).awaitTermination()
     return live.read_state(spark, target, stream.schema).select("id", "team1", "team2", "score", "event_id")
 
 
+@register
+def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of ten batches out of the few pieces they were merged into; the last batch is repeated."""
+    target, checkpoint = scratch_path(spark, "compacted"), scratch_path(spark, "checkpoint")
+    stream = _event_batches(spark, sf_dir, 10)
+    _run(stream, target, checkpoint)
+    live.forget_commit(spark, checkpoint, 9)
+    _run(stream, target, checkpoint)
+    return live.read_batches(spark, target, stream.schema).select("id", "team1", "team2", "score", "event_id")
+
+
 @register
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream that ended after writing a batch but before committing it: the batch is repeated, not added."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date
+from itertools import batched
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +12,10 @@ from pyspark.sql import types as T
 
 from touchline.functions.cleaning import split_rejects
 from touchline.operators import shaping, slices, staging, star
-from touchline.schemas import MATCHES
+from touchline.schemas import MATCHES, as_struct
 from touchline.session import cut_lineage
 from touchline.sinks import lake as lake_sink
+from touchline.sinks.commits import Files
 from touchline.sinks.tables import in_column_order, stamped
 from touchline.sources import lake, landed
 
@@ -114,19 +116,27 @@ def append_staging(rows: DataFrame, path: str, column: str = "dt_updated", parti
 def clear_staging(spark: SparkSession, path: str, days: int, as_of: date | str | None = None) -> int:
     """Drop the partitions of a staging table whose load day is more than ``days`` days ago; returns how many.
 
-    Rows of an unknown day stay. Other partitions aren't read or written, so rows appended meanwhile are safe, and a
-    run that breaks off can be repeated.
+    Load days are read off the folders, no file is opened. Rows of an unknown day stay. Other partitions aren't read or
+    written, so rows appended meanwhile are safe, and a run that breaks off can be repeated.
     """
-    rows = spark.read.parquet(path)
-    if LOAD_DAY not in rows.columns:
+    found = lake.listing(spark, path, [LOAD_DAY])
+    if not found.where(F.col(LOAD_DAY) == "").isEmpty():
         raise ValueError(f"{path} is not partitioned by {LOAD_DAY}")
-    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
-    expired = rows.where(~staging.is_retained(F.col(LOAD_DAY).cast("date"), days, as_of)).select(folder).distinct()
-    found = [row[0] for row in expired.collect()]
-    for name in found:
-        location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
-        location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
-    return len(found)
+    folder = F.regexp_replace("file", "/[^/]*$", "")
+    expired = found.where(~staging.is_retained(F.col(LOAD_DAY).cast("date"), days, as_of)).select(folder).distinct()
+    gone = 0
+    for some in batched((row[0] for row in expired.toLocalIterator()), 10_000):
+        Files(spark, path).delete(some)
+        gone += len(some)
+    return gone
+
+
+def pending_seasons(seasons: DataFrame, root: str, keys: Mapping[str, str]) -> DataFrame:
+    """Seasons of which the lake at ``root`` has no folder; ``keys`` maps partition columns to columns of the seasons."""
+    folders = lake.partitions(seasons.sparkSession, root, list(keys))
+    kinds = dict(seasons.dtypes)
+    landed = folders.select(*[F.col(folder).cast(kinds[column]).alias(column) for folder, column in keys.items()])
+    return staging.pending(seasons, landed, list(keys.values()))
 
 
 GAME_DAY = "game_day"
@@ -137,11 +147,19 @@ def update_game_results(
 ) -> None:
     """Put the distinct staged results of the last ``days`` whole days in place of those days' production rows.
 
-    The table is partitioned by day, and a run replaces the days it has rows for: runs may overlap or be repeated.
+    The table is partitioned by day. A run replaces all days it covers, those without staged results by nothing; runs
+    may overlap or be repeated, and readers of :func:`game_results` see a run wholly or not at all.
     """
     dated = results.withColumn(GAME_DAY, F.col(column).cast("date"))
     recent = staging.drop_copies(staging.recent_rows(dated, GAME_DAY, days, as_of))
-    recent.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(GAME_DAY).parquet(path)
+    covers = staging.recent_days(results.sparkSession, GAME_DAY, days, as_of)
+    lake_sink.write_partitioned(recent, path, [GAME_DAY], covers=covers)
+
+
+def game_results(spark: SparkSession, path: str, schema: Schema) -> DataFrame:
+    """The production rows, with their ``game_day``."""
+    full = T.StructType([*as_struct(schema).fields, T.StructField(GAME_DAY, T.DateType())])
+    return lake.scan_lake(spark, path, full)
 
 
 def fact_load(source_matches: DataFrame, tables: star.Star, links: DataFrame, season: int | None = None) -> DataFrame:

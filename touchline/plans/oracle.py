@@ -139,6 +139,15 @@ def _orphans(child: str, column: str, parent: str, parent_column: str, source: s
   WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {parent_column} FROM {source or parent}) GROUP BY {column}"""
 
 
+_DOCUMENT_BLOCKS = f"""{_SHORT}, {_goals(5)}, item AS (
+    SELECT season, competition, type AS kind, index // 20 AS block, part, 1 AS s, 0 AS m
+    FROM listed JOIN node USING (season, competition, type, key)
+    UNION ALL SELECT season, competition, 'match', ord // 20, text_part, 0, 1 FROM g JOIN goal_text USING (match_id))
+  SELECT season, competition, kind, CAST(block AS BIGINT) AS block, CAST(part AS BIGINT) AS part,
+    CAST(sum(s) AS INT) AS n_slices, CAST(sum(m) AS INT) AS n_matches
+  FROM item GROUP BY season, competition, kind, block, part"""
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {
         "scan_glob": _LAKE,
@@ -157,6 +166,12 @@ def oracle_sql() -> dict[str, str]:
           stage_name, date FROM landed""",
         "land_match_arrays": f"""WITH {_LANDED} SELECT id, CAST(3 AS BIGINT) AS tournament_id,
           CAST(2020 AS INT) AS year, stage_name, date FROM landed""",
+        "land_calendars": f"""WITH {_CALENDAR} SELECT id, CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS tournament_id,
+          calendar.year, stage_name, replace(date, '-', '') AS date
+          FROM calendar JOIN orders ON o_orderkey = CASE WHEN id < 0 THEN -id - 1 ELSE id END""",
+        "land_ratings": """SELECT c_custkey AS "Rank", CASE day WHEN '20230101' THEN -c_acctbal ELSE c_acctbal END AS "Elo",
+          '2023' AS year, c_mktsegment AS country, 'Club ' || c_nationkey AS club, day AS date, 'rating' AS entity
+          FROM customer CROSS JOIN (VALUES ('20230101'), ('20230102')) d(day)""",
         "tournaments_by_name": f"{_NAMED} WHERE name LIKE '%HIGH%' OR name LIKE '%LOW%'",
         "seasons_by_name": f"{_NAMED} WHERE name LIKE '%1998%'",
         "calendar_explode": f"WITH {_CALENDAR} SELECT * FROM calendar",
@@ -170,6 +185,8 @@ def oracle_sql() -> dict[str, str]:
           GROUP BY n.n_name, r.r_name""",
         "pending_seasons": """SELECT o_orderkey AS id FROM orders
           WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""",
+        "pending_from_folders": f"""SELECT DISTINCT tournament_id * 10000 + year AS id, tournament_id, year
+          FROM ({_LAKE}) WHERE (tournament_id + year) % 3 = 0""",
         "relational_append": """SELECT c_custkey, c_name, 2 * count(*) AS n_rows, 2 * count(*) AS n_stamped
           FROM customer GROUP BY c_custkey, c_name""",
         "sink_roundtrip": "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer",
@@ -253,6 +270,10 @@ def oracle_sql() -> dict[str, str]:
         "retention_n_days": f"SELECT {_EVENT} FROM {_UNDATED} WHERE ts IS NULL OR ts >= TIMESTAMP '2024-01-21'",
         "staging_cleared": f"SELECT {_EVENT} FROM {_UNDATED} WHERE ts IS NULL OR ts >= TIMESTAMP '2024-01-21'",
         "results_updated": f"SELECT DISTINCT {_EVENT} FROM events WHERE ts >= TIMESTAMP '2024-01-12'",
+        "results_emptied": f"""SELECT DISTINCT {_EVENT} FROM events
+          WHERE ts >= TIMESTAMP '2024-01-12' AND CAST(ts AS DATE) <> DATE '2024-01-20'""",
+        "model_incremental": f"""SELECT {_EVENT} FROM events
+          WHERE ts >= TIMESTAMP '2024-01-07' AND CAST(ts AS DATE) <> DATE '2024-01-25'""",
         "json_scorers": """WITH scorer AS (SELECT l_orderkey AS id, 'Part ' || l_partkey AS player,
             l_returnflag AS code, l_linenumber AS minute, 7 AS second FROM lineitem WHERE l_returnflag <> 'N'
           UNION ALL SELECT l_orderkey, CASE WHEN l_linestatus = 'F' THEN 'Supp ' || l_suppkey END, l_returnflag,
@@ -322,6 +343,9 @@ def oracle_sql() -> dict[str, str]:
           UNION SELECT season, competition, 'date', game_date, NULL FROM hit""",
         "slice_by_index": f"""{_SHORT} SELECT season, competition, part, matches, dependencies
           FROM listed JOIN node USING (season, competition, type, key) WHERE index = 3""",
+        "slice_of_document": f"""{_SHORT} SELECT season, competition, part, matches, dependencies
+          FROM listed JOIN node USING (season, competition, type, key)
+          WHERE index = 7 AND season = 1995 AND competition = '3-MEDIUM'""",
         "slice_document": f"""{_SHORT} SELECT season, competition, CAST(index AS BIGINT) AS index, type, key, city,
           image_path, part, matches, dependencies FROM listed JOIN node USING (season, competition, type, key)""",
         "slice_document_matches": f"""WITH {_GAME}, {_goals(5)} SELECT season, competition, g.match_id,
@@ -331,18 +355,16 @@ def oracle_sql() -> dict[str, str]:
           CAST(shootout_away AS VARCHAR) AS penalty_shootout_away_goals, text, text_part, image_path_home,
           image_path_away, {_RESULT} AS result
           FROM game g JOIN goal_text t ON t.match_id = g.match_id WHERE g.status = 'F'""",
-        "slice_document_blocks": f"""{_SHORT}, {_goals(5)}, item AS (
-            SELECT season, competition, type AS kind, index // 20 AS block, part, 1 AS s, 0 AS m
-            FROM listed JOIN node USING (season, competition, type, key)
-            UNION ALL SELECT season, competition, 'match', ord // 20, text_part, 0, 1 FROM g JOIN goal_text USING (match_id))
-          SELECT season, competition, kind, CAST(block AS BIGINT) AS block, CAST(part AS BIGINT) AS part,
-            CAST(sum(s) AS INT) AS n_slices, CAST(sum(m) AS INT) AS n_matches
-          FROM item GROUP BY season, competition, kind, block, part""",
+        "slice_document_blocks": _DOCUMENT_BLOCKS,
+        "slice_document_sets": f"""SELECT season, competition, count(*) AS n_blocks,
+          CAST(sum(n_slices) AS BIGINT) AS n_slices, CAST(sum(n_matches) AS BIGINT) AS n_matches
+          FROM ({_DOCUMENT_BLOCKS}) GROUP BY season, competition""",
         "stream_project": f"{_GAME_EVENTS} FROM events",
         "stream_envelope": f"""SELECT '{{"id":' || id || ',"team1":"' || team1 || '","team2":"' || team2
           || '","score":"' || score || '"}}' AS value FROM ({_GAME_EVENTS} FROM events)""",
         "stream_latest": f"""{_GAME_EVENTS}, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id
           ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""",
+        "stream_compacted": f"{_GAME_EVENTS}, event_id FROM events",
         "stream_restart": f"{_GAME_EVENTS} FROM events",
     }
     return sql

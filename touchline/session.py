@@ -46,6 +46,10 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime defaults to a session somebody else created."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    # Folders are listed side by side, by a job per parent folder; a task per folder, as is usual, costs far more than
+    # the listing itself.
+    lists = max(32, 2 * spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(lists))
     return spark
 
 

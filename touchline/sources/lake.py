@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable, Mapping, Sequence
 from enum import Enum
 
 from pyspark.errors import AnalysisException
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.schemas import as_struct
+from touchline.sinks.commits import CommitLog, Files
 
 PARTITION_COLUMNS = ("tournament_id", "year", "stage_name", "date")
 MATCH_PARTITION_COLUMNS = (*PARTITION_COLUMNS, "match_id")
@@ -50,8 +53,8 @@ def scan_glob(
     """All partitions of the files below ``root`` that match ``pattern``; folder values become columns."""
     reader = spark.read.option("basePath", root)
     if schema is not None:
-        return reader.schema(schema).parquet(f"{root}/{pattern}")
-    found = reader.parquet(f"{root}/{pattern}")
+        return in_force(reader.schema(schema).parquet(f"{root}/{pattern}"), root)
+    found = in_force(reader.parquet(f"{root}/{pattern}"), root)
     return found.withColumns(
         {name: F.col(name).cast(kind) for name, kind in _PARTITION_TYPES.items() if name in found.columns}
     )
@@ -71,7 +74,7 @@ def scan_lake(
         if year is not None:
             path += f"/year={year}"
     try:
-        return spark.read.schema(schema).option("basePath", root).parquet(path)
+        return in_force(spark.read.schema(schema).option("basePath", root).parquet(path), root)
     except AnalysisException as error:
         if path != root and error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema)
@@ -92,11 +95,104 @@ def scan_files(spark: SparkSession, paths: list[str], schema: Schema | None = No
     return reader.parquet(*paths)
 
 
+def _plain(value: Column) -> Column:
+    """A URL-escaped text decoded once; a plus stays one."""
+    return F.try_url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))
+
+
+# Characters Spark escapes in folder names, besides control characters.
+_ESCAPED = set("\"#%'*/:=?\\\x7f{[]^")
+
+
+def partition_folder(values: Iterable[tuple[str, str | None]]) -> str:
+    """The k=v path of some partition values, as Spark writes it."""
+
+    def escaped(text: str) -> str:
+        return "".join(f"%{ord(c):02X}" if c in _ESCAPED or c < " " else c for c in text)
+
+    return "/".join(f"{escaped(k)}={escaped(v) if v else '__HIVE_DEFAULT_PARTITION__'}" for k, v in values)
+
+
+def _below(path: Column, root: str) -> Column:
+    """A file's path from ``root`` on."""
+    return F.ltrim(F.substring_index(path, re.sub("^[a-z0-9]+:/+", "/", root.rstrip("/")), -1), F.lit("/"))
+
+
+def listing(
+    spark: SparkSession, root: str, columns: Sequence[str] = (), below: Sequence[str] | None = None
+) -> DataFrame:
+    """(file, length, partition columns…): the files of a lake and the values of their folders, as text.
+
+    Only folders are read, no file is opened. ``file`` starts below ``root``. ``below`` names folders to look at instead
+    of all; those that don't exist are skipped.
+    """
+    files = Files(spark, root)
+    paths = [""] if below is None else below
+    found = [f"{files.root}/{name}".rstrip("/") for name in paths if files.exists(name)]
+    if not found:
+        kinds = ", ".join(f"`{column}` STRING" for column in columns)
+        return spark.createDataFrame([], f"file STRING, length BIGINT{', ' * bool(kinds)}{kinds}")
+    rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(found)
+    file = _below(F.col("path"), root)
+    values = {column: F.regexp_extract(F.concat(F.lit("/"), file), f"/{column}=([^/]*)/", 1) for column in columns}
+    return rows.select(
+        file.alias("file"),
+        "length",
+        *[F.when(v != "__HIVE_DEFAULT_PARTITION__", _plain(v)).alias(column) for column, v in values.items()],
+    )
+
+
+def partitions(spark: SparkSession, root: str, columns: Sequence[str] = PARTITION_COLUMNS) -> DataFrame:
+    """(partition columns…, n_files, n_bytes) of the folders below ``root``, from their names alone."""
+    return (
+        listing(spark, root, columns)
+        .groupBy(*columns)
+        .agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"))
+    )
+
+
+def _folder(file: Column) -> Column:
+    return F.regexp_replace(file, "/[^/]*$", "")
+
+
+def _is_of(file: Column, name: str) -> Column:
+    return F.substring_index(file, "/", -1).startswith(name)
+
+
+def files_of_set(spark: SparkSession, root: str, commit: Mapping) -> DataFrame:
+    """(file) of a written set; see ``touchline.sinks.lake``."""
+    return listing(spark, root).where(_is_of(F.col("file"), commit["set"])).select("file")
+
+
+def replaced_files(spark: SparkSession, root: str, commit: Mapping) -> DataFrame:
+    """(file) of all files a published set has replaced: the others in its folders, and those it covers."""
+    covers = commit["covers"]
+    found = listing(spark, root, commit["columns"], commit["below"])
+    mine = _is_of(F.col("file"), commit["set"])
+    folders = found.where(mine).select(_folder(F.col("file")).alias("_folder")).distinct()
+    others = found.where(~mine)
+    replaced = others.join(folders, _folder(F.col("file")) == F.col("_folder"), "left_semi").select("file")
+    if covers:
+        replaced = replaced.unionByName(others.where(covers).select("file")).distinct()
+    return replaced
+
+
+def in_force(rows: DataFrame, root: str) -> DataFrame:
+    """Rows of a lake's files without those of a set that isn't published or of files one has replaced."""
+    spark = rows.sparkSession
+    newest = CommitLog(spark, root).newest()
+    if newest is None or newest["state"] == "clean":
+        return rows
+    if newest["state"] == "open":
+        return rows.where(~F.col("_metadata.file_name").startswith(newest["set"]))
+    gone = replaced_files(spark, root, newest).withColumnRenamed("file", "_replaced")
+    placed = rows.withColumn("_lake_file", _below(_plain(F.col("_metadata.file_path")), root))
+    return placed.join(gone, F.col("_lake_file") == F.col("_replaced"), "left_anti").drop("_lake_file")
+
+
 def _decoded(value: Column) -> Column:
-    # The URI keeps a literal plus, and a folder name Spark escaped is escaped once more by the URI.
-    plus_safe = F.replace(value, F.lit("+"), F.lit("%2B"))
-    once = F.replace(F.try_url_decode(plus_safe), F.lit("+"), F.lit("%2B"))
-    return F.try_url_decode(once)
+    # A folder name Spark escaped is escaped once more by the URI.
+    return _plain(_plain(value))
 
 
 def path_columns(df: DataFrame, path: Column | None = None) -> DataFrame:

@@ -14,17 +14,19 @@ Schema = str | T.StructType
 
 
 def _check_single_documents(spark: SparkSession, path: str) -> None:
-    """Fail if a file's first line is a whole JSON object or array and more lines follow it."""
+    """Fail if a file's first line is a whole JSON object or array and more lines follow it.
+
+    Only first lines of files with several lines are parsed.
+    """
     lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.monotonically_increasing_id().alias("at"),
-        (F.col("value").rlike(r"^\s*[\[{]") & F.try_parse_json("value").isNotNull()).alias("whole"),
-        (F.trim("value") != "").alias("given"),
-    )
-    files = lines.where("given").groupBy("file").agg(
-        F.min_by("whole", "at").alias("whole"), F.count(F.lit(1)).alias("n")
-    )
-    bad = files.where("whole AND n > 1").select("file").first()
+        F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"), "value"
+    ).where(F.trim("value") != "")
+    first = lines.groupBy("file").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    if first.isEmpty():
+        return
+    starts = lines.join(first.withColumnRenamed("file", "_file"), (F.col("file") == F.col("_file")) & (F.col("at") == F.col("first")))
+    whole = F.col("value").rlike(r"^\s*[\[{]") & F.try_parse_json("value").isNotNull()
+    bad = starts.where(whole).select("file").first()
     if bad is not None:
         raise ValueError(f"{bad[0]} holds one document per line; read it with json_lines")
 

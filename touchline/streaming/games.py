@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from touchline.schemas import as_struct
-from touchline.session import cut_lineage
+from touchline.streaming.stores import BatchStore, StateStore
 
 TOPIC = "sports_games"
 MESSAGE_FIELDS = ("id", "team1", "team2", "score")
@@ -74,8 +72,7 @@ def latest_games(games: DataFrame, order: Sequence[str], key: str = "id") -> Dat
 
 def _batch_writer(target: str, file_format: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        # A repeated batch replaces its own folder, so a restart adds nothing twice.
-        batch.write.mode("overwrite").format(file_format).save(f"{target}/batch_id={batch_id}")
+        BatchStore(batch.sparkSession, target, batch.schema, file_format).add(batch, batch_id)
 
     return write
 
@@ -88,7 +85,7 @@ def write_batches(
     output_mode: str = "append",
     trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
-    """Start writing each batch into its own folder of ``target``.
+    """Start adding each batch to the batch store at ``target``; a repeated batch adds nothing.
 
     ``target`` and ``checkpoint`` belong together: batch numbers restart with a new checkpoint.
     """
@@ -102,9 +99,8 @@ def write_batches(
 
 
 def read_batches(spark: SparkSession, target: str, schema: str | T.StructType, file_format: str = "parquet") -> DataFrame:
-    """All rows written so far, with their ``batch_id``."""
-    full = T.StructType([*as_struct(schema).fields, T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(full).format(file_format).option("basePath", target).load(target)
+    """All rows committed so far, with their ``batch_id``; empty before the first batch."""
+    return BatchStore(spark, target, schema, file_format).read()
 
 
 def newest_state(updates: DataFrame, key: str = "id") -> DataFrame:
@@ -114,21 +110,10 @@ def newest_state(updates: DataFrame, key: str = "id") -> DataFrame:
     return updates.groupBy(F.col(key).alias("_key")).agg(newest).select("latest.*")
 
 
-_BUCKET = "bucket"
-
-
 def _merger(target: str, key: str, order: Sequence[str], buckets: int) -> Callable[[DataFrame, int], None]:
     def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        bucketed = batch.withColumn(_BUCKET, F.pmod(F.hash(key), F.lit(buckets)))
-        found = cut_lineage(bucketed)
-        touched = [row[0] for row in found.select(_BUCKET).distinct().collect()]
-        kept = read_state(spark, target, batch.schema, True).where(F.col(_BUCKET).isin(touched))
-        newest = latest_games(found.unionByName(kept), order, key)
-        # Written aside first: the state is read and replaced. A repeated batch gives the same state again.
-        cut_lineage(newest).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            _BUCKET
-        ).parquet(target)
+        store = StateStore(batch.sparkSession, target, batch.schema, key, buckets)
+        store.merge(batch, batch_id, lambda rows: latest_games(rows, order, key))
 
     return merge
 
@@ -142,9 +127,10 @@ def keep_latest(
     buckets: int = 16,
     trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
-    """Start keeping the newest row of each game in ``target``: a table of one row per game, in buckets by key.
+    """Start keeping the newest row of each game in the state store at ``target``: one row per game, in buckets by key.
 
-    Each batch is merged into the buckets its games are in; readers see the state alone, not the updates before it.
+    Each batch is merged into the buckets its games are in and committed as a new version; readers see the newest
+    version alone, not the updates before it. ``target`` and ``checkpoint`` belong together.
     """
     return (
         stream.writeStream.outputMode("append")
@@ -155,16 +141,9 @@ def keep_latest(
     )
 
 
-def read_state(spark: SparkSession, target: str, schema: str | T.StructType, with_bucket: bool = False) -> DataFrame:
-    """The kept state; empty before the first batch."""
-    full = T.StructType([*as_struct(schema).fields, T.StructField(_BUCKET, T.IntegerType())])
-    try:
-        rows = spark.read.schema(full).parquet(target)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        rows = spark.createDataFrame([], full)
-    return rows if with_bucket else rows.drop(_BUCKET)
+def read_state(spark: SparkSession, target: str, schema: str | T.StructType) -> DataFrame:
+    """The newest committed state; empty before the first batch."""
+    return StateStore(spark, target, schema).read()
 
 
 def forget_commit(spark: SparkSession, checkpoint: str, batch_id: int) -> None:
