@@ -199,8 +199,9 @@ def land_match_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def land_calendars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calendar responses of all tournaments, one match a line of their stages, through the landing flow."""
-    stages = _calendar_stages(spark, sf_dir).withColumn("tournament_id", analog.tournament(F.col("o_orderpriority")))
+    """Calendar responses of all tournaments, whose matches are on the first two days of a quarter, through the flow."""
+    stages = _calendar_stages(spark, sf_dir, F.date_trunc("QUARTER", "o_orderdate").cast("timestamp_ntz"))
+    stages = stages.withColumn("tournament_id", analog.tournament(F.col("o_orderpriority")))
     feed, target = scratch_path(spark, "calendars"), scratch_path(spark, "landed")
     text = F.to_json(F.struct("stage_name", "matches")).alias("value")
     stages.select("tournament_id", text).write.partitionBy("tournament_id").text(feed)
@@ -244,9 +245,9 @@ def seasons_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _named_records(spark, sf_dir, "1998")
 
 
-def _calendar_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _calendar_stages(spark: SparkSession, sf_dir: str, day: Column | None = None) -> DataFrame:
     """Orders as calendar stages of two matches, at noon and one minute after the next midnight."""
-    seconds = analog.unix_seconds(F.col("o_orderdate"))
+    seconds = analog.unix_seconds(F.col("o_orderdate") if day is None else day)
     noon = F.struct(F.col("o_orderkey").alias("id"), (seconds + 43200).alias("time"))
     late = F.struct((-F.col("o_orderkey") - 1).alias("id"), (seconds + 86460).alias("time"))
     stage = F.when(F.col("o_orderstatus") == "P", "").otherwise(F.col("o_orderpriority"))

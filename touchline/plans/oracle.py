@@ -166,9 +166,12 @@ def oracle_sql() -> dict[str, str]:
           stage_name, date FROM landed""",
         "land_match_arrays": f"""WITH {_LANDED} SELECT id, CAST(3 AS BIGINT) AS tournament_id,
           CAST(2020 AS INT) AS year, stage_name, date FROM landed""",
-        "land_calendars": f"""WITH {_CALENDAR} SELECT id, CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS tournament_id,
-          calendar.year, stage_name, replace(date, '-', '') AS date
-          FROM calendar JOIN orders ON o_orderkey = CASE WHEN id < 0 THEN -id - 1 ELSE id END""",
+        "land_calendars": """WITH stage AS (SELECT o_orderkey, CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS tournament_id,
+            CASE WHEN o_orderstatus = 'P' THEN 'no_stage_name' ELSE o_orderpriority END AS stage_name,
+            date_trunc('quarter', o_orderdate) AS day FROM orders)
+          SELECT CASE late WHEN 0 THEN o_orderkey ELSE -o_orderkey - 1 END AS id, tournament_id,
+            CAST(year(day) AS INT) AS year, stage_name, strftime(day + to_days(late), '%Y%m%d') AS date
+          FROM stage CROSS JOIN (VALUES (0), (1)) l(late)""",
         "land_ratings": """SELECT c_custkey AS "Rank", CASE day WHEN '20230101' THEN -c_acctbal ELSE c_acctbal END AS "Elo",
           '2023' AS year, c_mktsegment AS country, 'Club ' || c_nationkey AS club, day AS date, 'rating' AS entity
           FROM customer CROSS JOIN (VALUES ('20230101'), ('20230102')) d(day)""",
