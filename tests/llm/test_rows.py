@@ -1,0 +1,44 @@
+"""Places of rows: frames whose rows are not rows of a file are written first."""
+
+from fractions import Fraction
+
+from pyspark.sql import functions as F
+
+from touchline.llm import ngram_join
+from touchline.llm.rows import stored, with_place
+
+SCHEMA = "doc_id BIGINT, text STRING"
+
+
+def written(spark, tmp_path):
+    spark.createDataFrame([(i, f"text number {i}") for i in range(6)], SCHEMA).coalesce(2).write.parquet(f"{tmp_path}/t")
+    return spark.read.parquet(f"{tmp_path}/t")
+
+
+def test_scans_are_not_written_again(spark, tmp_path):
+    df = written(spark, tmp_path)
+    for some in (df, df.where("doc_id > 2"), df.select("text", F.col("doc_id").alias("x")), df.alias("d")):
+        assert stored(some).inputFiles() == df.inputFiles()
+
+
+def test_every_row_has_a_place_of_its_own(spark, tmp_path):
+    df = written(spark, tmp_path)
+    frames = {
+        "exploded": df.select("doc_id", F.explode(F.split("text", " ")).alias("text")),
+        "joined": df.crossJoin(df.select(F.col("doc_id").alias("other"))),
+        "union": df.union(df),
+        "sample": df.sample(0.9, seed=1),
+        "numbered": df.withColumn("n", F.rand()),
+        "made": spark.createDataFrame([(1, "a"), (2, "b")], SCHEMA),
+    }
+    for name, frame in frames.items():
+        placed = with_place(frame)
+        assert placed.select("_file", "_at").distinct().count() == placed.count() > 0, name
+
+
+def test_unique_texts_of_exploded_rows_stay(spark, tmp_path):
+    texts = ["the same words here and there again"] * 3 + ["unique text number one of all", "unique text number two of all"]
+    spark.createDataFrame([(1, texts)], "doc_id BIGINT, texts ARRAY<STRING>").write.parquet(f"{tmp_path}/t")
+    exploded = spark.read.parquet(f"{tmp_path}/t").select("doc_id", F.explode("texts").alias("text"))
+    kept = ngram_join.one_of_each(exploded, 3, Fraction(8, 10))
+    assert sorted(row["text"] for row in kept.collect()) == sorted(set(texts))

@@ -25,12 +25,27 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _is_scan(df: DataFrame) -> bool:
+    """Whether each row of ``df`` is one row of the files it reads, and the same one in every run."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.getClass().getSimpleName() in ("Project", "Filter", "SubqueryAlias"):
+        if not plan.deterministic():
+            return False
+        plan = plan.child()
+    return plan.getClass().getSimpleName() == "LogicalRelation"
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """``df`` if its rows come straight from Parquet files, else its rows written to the shared folder."""
+    """``df`` if its rows are rows of Parquet files, selected at most, else its rows written to the shared folder.
+
+    Joins, unions, exploded or sampled rows are written: several of them could be made of one row of a file.
+    """
     small_batches(df.sparkSession)
+    if not _is_scan(df):
+        return cut_lineage(df)
     try:
         df.select(*_PLACE)
-    except AnalysisException:
+    except AnalysisException:  # files of another kind, or columns in the way
         return cut_lineage(df)
     return df
 
