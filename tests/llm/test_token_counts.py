@@ -3,6 +3,7 @@
 import re
 from collections import Counter
 
+import duckdb
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -75,3 +76,16 @@ def test_tokenizer_of_a_file(spark, frame):
     rows = token_counts.counted_by_file(frame, "word_bpe_49k", path).collect()
     want = Counter((row[0], len(tokenizer.encode(row[3] or "", add_special_tokens=False).ids)) for row in TEXTS)
     assert Counter((row["doc_id"], row["n_tokens"]) for row in rows) == want
+
+
+def test_query_with_null_and_repeated_ids(spark, tmp_path):
+    """As its SQL: documents without an id count, a row that repeats with its id is a copy like any other."""
+    schema = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
+    documents = [
+        (None, "a b", "en", "s"), (None, "c", "en", "s"), (1, "d e#", "en", "s"), (1, "d e#", "en", "s"), (2, "a b", "en", "s"),
+        (None, None, None, None), (3, "", None, None),
+    ]
+    spark.createDataFrame([(*row, 0) for row in documents], schema).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert difference(queries.op4_token_counts(spark, str(tmp_path)), connection, sql.OP4) is None

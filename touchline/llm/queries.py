@@ -49,6 +49,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = F.regexp_replace("text", "[#$%&*]+", "")
     rows = cut_lineage(
         documents.select(
+            F.monotonically_increasing_id().alias("_row"),
             "doc_id",
             "source",
             "lang",
@@ -60,8 +61,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             ),
         )
     )
-    first = rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-    kept, copies = (rows.join(first, ["digest", "doc_id"], how) for how in ("left_semi", "left_anti"))
+    # Rows are told apart by number: ids may be NULL or repeat.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row")).getField("_row").alias("_row")
+    best = rows.groupBy("digest").agg(first).select("_row")
+    kept, copies = (rows.join(best, "_row", how) for how in ("left_semi", "left_anti"))
 
     def counts(some: DataFrame, state: str) -> DataFrame:
         each = [
