@@ -79,6 +79,24 @@ def test_a_repeated_batch_keeps_nothing(spark, index, rows):
     assert [row[:2] for row in again] == [(1, 1), (2, 1), (3, 3)] and not any(row[3] for row in again)
 
 
+def test_a_named_batch_decides_again_as_before(spark, index, rows, monkeypatch):
+    """After a crash behind the append, or before it, and when all went well; other batches still find its digests."""
+    first, second = [(1, "a"), (2, "a"), (3, "b")], [(4, "b"), (5, "c"), (None, "c"), (6, "d")]
+    want = rows(index.ingest(frame(spark, first), "one"), *COLUMNS)
+    assert [row[3] for row in want] == [True, False, True]
+    with monkeypatch.context() as patch:
+        patch.setattr(DigestIndex, "append", lambda self, new, batch: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            index.ingest(frame(spark, second), "two")
+    decided = rows(index.ingest(frame(spark, second), "two"), *COLUMNS)
+    assert sorted(row[0] for row in decided if row[3]) == [5, 6]
+    for batch, name, before in ((first, "one", want), (second, "two", decided), (first, "one", want)):
+        assert rows(index.ingest(frame(spark, batch), name), *COLUMNS) == before
+    assert index.rows().count() == 4
+    grown = rows(index.ingest(frame(spark, [*first, (9, "e")]), "one"), "doc_id", "kept")  # what the crash left out
+    assert grown == [(1, True), (2, False), (3, True), (9, True)] and index.rows().count() == 5
+
+
 OTHER = """
 import sys
 from touchline.llm.exact_dedup import DigestIndex
@@ -104,8 +122,8 @@ def test_query_decides_rows_by_the_index(spark, rows, tmp_path, monkeypatch):
     frame(spark, batch).write.parquet(f"{tmp_path}/documents.parquet")
     unseen, left = DigestIndex.unseen, []
 
-    def counted(self, found):
-        out = unseen(self, found)
+    def counted(self, found, known=None):
+        out = unseen(self, found, known)
         left.append((found.count(), out.count()))
         return out
 

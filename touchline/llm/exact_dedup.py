@@ -92,10 +92,10 @@ class DigestIndex:
         bucket = F.regexp_extract("_metadata.file_name", r"_(\d+)(?:\..*)?$", 1).try_cast("int")
         if found.filter(~bucket.eqNullSafe(F.expr(f"pmod(hash(digest), {self.buckets})"))).take(1):
             raise ValueError(f"the files at {path} are not in {self.buckets} buckets by digest")
-        columns = ", ".join(f"{name} {found.schema[name].dataType.simpleString()}" for name in ("digest", "keep_id"))
+        kinds = [found.schema[name].dataType.simpleString() for name in ("digest", "keep_id")]
         quoted = path.replace("\\", "\\\\").replace("'", "\\'")
         self.spark.sql(
-            f"CREATE TABLE {self.table} ({columns}) USING parquet "
+            f"CREATE TABLE {self.table} (digest {kinds[0]}, keep_id {kinds[1]}, batch STRING) USING parquet "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{quoted}'"
         )
         return True
@@ -103,21 +103,27 @@ class DigestIndex:
     def rows(self) -> DataFrame | None:
         return self.spark.table(self.table) if self.register() else None
 
-    def unseen(self, found: DataFrame) -> DataFrame:
-        """The rows of ``found`` whose digest is not in the index: a sort-merge anti-join, the index side unshuffled."""
-        known = self.rows()
+    def unseen(self, found: DataFrame, known: DataFrame | None = None) -> DataFrame:
+        """The rows of ``found`` whose digest is not in the index: a sort-merge anti-join, the index side unshuffled.
+
+        ``known`` may be some rows of the index instead of all.
+        """
+        known = self.rows() if known is None else known
         if known is None:
             return found
         return found.join(known.select("digest").hint("merge"), "digest", "left_anti")
 
-    def append(self, new: DataFrame) -> None:
-        """Add rows of (digest, keep_id), one file per bucket."""
+    def append(self, new: DataFrame, batch: str | None = None) -> None:
+        """Add rows of (digest, keep_id), one file per bucket, under the name of their batch."""
         self.register()
-        placed = new.select("digest", "keep_id").repartition(self.buckets, "digest")
+        name = F.lit(batch).cast("string").alias("batch")
+        placed = new.select("digest", "keep_id", name).repartition(self.buckets, "digest")
         writer = placed.write.format("parquet").bucketBy(self.buckets, "digest").sortBy("digest").mode("append")
         (writer.option("path", self.path) if self.path else writer).saveAsTable(self.table)
 
-    def ingest(self, documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    def ingest(
+        self, documents: DataFrame, batch: str | None = None, id_column: str = "doc_id", text_column: str = "text"
+    ) -> DataFrame:
         """Dedup a batch within itself and against the index, append what is new and return the decisions.
 
         Returns one row per document of the batch: doc_id, keep_id, group_size (rows of the batch with the digest),
@@ -125,25 +131,28 @@ class DigestIndex:
         ``keep_id`` then is the id of the row kept before. A batch with an id and text that repeat keeps one of the
         repeated rows. An empty batch appends nothing. Extra columns are ignored.
 
-        A batch that is run again after a failure finds its own digests in the index and keeps nothing; the index is
-        right either way, since append adds all rows or none.
+        Append adds all rows or none, and the index remembers the ``batch`` a digest came with: a named batch that is
+        run again, after a crash at any point, decides as it did the first time. One without a name finds its own
+        digests in the index and keeps nothing.
         """
         rows = digests(documents, id_column, text_column)
         best = cut_lineage(winners(rows))
         known = self.rows()
         if known is None:
             decided = best.withColumn("fresh", F.lit(True))
-            self.append(best)
+            self.append(best, batch)
         else:
-            new = cut_lineage(self.unseen(best))
-            old = best.select("digest", "group_size").join(known.hint("merge"), "digest")
+            of_batch = F.lit(False) if batch is None else F.col("batch").eqNullSafe(F.lit(batch))
+            mine, others = known.filter(of_batch), known.filter(~of_batch)
+            new = cut_lineage(self.unseen(best, others))
+            old = best.select("digest", "group_size").join(others.hint("merge"), "digest")
             decided = cut_lineage(
                 new.withColumn("fresh", F.lit(True)).unionByName(
                     old.select("digest", "keep_id", F.lit(None).cast("long").alias("keep_row"), "group_size",
                                F.lit(False).alias("fresh"))
                 )
             )
-            self.append(new)
+            self.append(new if mine.isEmpty() else self.unseen(new, mine), batch)
         return rows.join(decided, "digest").select(
             "doc_id",
             "keep_id",

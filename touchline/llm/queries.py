@@ -26,7 +26,8 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents")
     length = F.char_length(whole())
     middle = documents.agg(F.percentile_approx(length, 0.5)).first()[0] or 0
-    batches = [index.ingest(documents.filter(some)) for some in (length >= middle, length < middle)]
+    halves = {"longer": length >= middle, "shorter": length < middle}
+    batches = [index.ingest(documents.filter(some), name) for name, some in halves.items()]
     decided = cut_lineage(batches[0].unionByName(batches[1]))
     sizes = cut_lineage(decided.groupBy("text_sha256").agg(F.count(F.lit(1)).alias("group_size")))
     columns = decided.columns
