@@ -18,10 +18,12 @@ from collections.abc import Iterator
 
 import numpy as np
 
-# Texts are cut at blanks into segments of about this many bytes; words kept between texts.
+# Texts are cut at blanks into segments of about this many bytes.
 SEGMENT = 1 << 20
-WORDS = 150_000
-PIECES = 180_000
+# Words and pieces kept between texts, in two generations: when the young one is full it becomes the old one, and what
+# the old one held is dropped unless it was met again meanwhile. So frequent words are encoded once.
+WORDS = 600_000
+PIECES = 400_000
 
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
 _PLAIN = re.compile(r"[\x21-\x7e]+")
@@ -66,20 +68,58 @@ def _byte_letters() -> dict[int, str]:
     return {byte: chr(byte) for byte in plain} | {byte: chr(256 + i) for i, byte in enumerate(other)}
 
 
+class _Grown:
+    """An array that grows by doubling."""
+
+    def __init__(self, kind):
+        self.values, self.size = np.zeros(1 << 12, kind), 0
+
+    def extend(self, more: np.ndarray) -> None:
+        end = self.size + len(more)
+        if end > len(self.values):
+            values = np.zeros(max(end, 2 * len(self.values)), self.values.dtype)
+            values[: self.size] = self.values[: self.size]
+            self.values = values
+        self.values[self.size : end] = more
+        self.size = end
+
+
 class _Memo(dict):
     """Folded words to numbers; a new word is encoded and its ids wait in ``flat`` under the next number."""
 
-    def __init__(self, tokenizer, pieces: dict[str, bytes]):
+    def __init__(self, tokenizer, older: "_Memo | None" = None):
         super().__init__()
-        self.tokenizer, self.model, self.pieces = tokenizer, tokenizer.model, pieces
+        self.tokenizer, self.model = tokenizer, tokenizer.model
         self.letters = _byte_letters()
         self.flat: list[bytes] = []
+        self.ids, self.lengths, self.starts = _Grown(np.uint32), _Grown(np.int32), _Grown(np.int64)
+        self.older = older
+        self.pieces: dict[str, bytes] = older.pieces if older else {}
+        self.older_pieces: dict[str, bytes] = older.older_pieces if older else {}
+        if older:
+            older.older = None
+        if len(self.pieces) > PIECES:
+            self.pieces, self.older_pieces = {}, self.pieces
 
     def __missing__(self, word: bytes) -> int:
-        self.flat.append(b"".join([self.pieces.get(piece) or self.piece(piece) for piece in self.split(word)]))
+        known = self.older.get(word) if self.older else None
+        if known is None:
+            self.flat.append(b"".join([self.pieces.get(piece) or self.piece(piece) for piece in self.split(word)]))
+        else:
+            start = self.older.starts.values[known]
+            self.flat.append(self.older.ids.values[start : start + self.older.lengths.values[known]].tobytes())
         number = self[word] = len(self)
         return number
 
+    def sync(self) -> None:
+        """Move the ids of new words from the list to arrays."""
+        flat, self.flat = self.flat, []
+        if flat:
+            lengths = np.fromiter(map(len, flat), np.int64, len(flat)) // 4
+            self.starts.extend(self.ids.size + np.cumsum(lengths) - lengths)
+            self.lengths.extend(lengths)
+            self.ids.extend(np.frombuffer(b"".join(flat), np.uint32))
+
     def split(self, word: bytes) -> list[str]:
         """The pieces that the model gets for a word, as letters for bytes."""
         text = word.decode()
@@ -98,26 +138,13 @@ class _Memo(dict):
         return [piece for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
     def piece(self, piece: str) -> bytes:
-        ids = self.pieces[piece] = array("I", [token.id for token in self.model.tokenize(piece)]).tobytes()
+        ids = self.older_pieces.get(piece)
+        if ids is None:
+            ids = array("I", [token.id for token in self.model.tokenize(piece)]).tobytes()
+        self.pieces[piece] = ids
         return ids
 
 
-class _Grown:
-    """An array that grows by doubling."""
-
-    def __init__(self, kind):
-        self.values, self.size = np.zeros(1 << 12, kind), 0
-
-    def extend(self, more: np.ndarray) -> None:
-        end = self.size + len(more)
-        if end > len(self.values):
-            values = np.zeros(max(end, 2 * len(self.values)), self.values.dtype)
-            values[: self.size] = self.values[: self.size]
-            self.values = values
-        self.values[self.size : end] = more
-        self.size = end
-
-
 class Encoder:
     """Encodes texts with the tokenizer of one file; made inside the task that uses it."""
 
@@ -129,34 +156,20 @@ class Encoder:
         self.split = by_words(path)
         tokens = self.tokenizer.get_added_tokens_decoder().values()
         self.special = tuple(token.content.lower().encode() for token in tokens)
-        self.memo = None
-        self._new()
-
-    def _new(self) -> None:
-        pieces = self.memo.pieces if self.memo is not None and len(self.memo.pieces) < PIECES else {}
-        self.memo = _Memo(self.tokenizer, pieces)
-        self.ids, self.lengths, self.starts = _Grown(np.uint32), _Grown(np.int32), _Grown(np.int32)
-
-    def _sync(self) -> None:
-        """Move the ids of new words from the list to arrays."""
-        flat, self.memo.flat = self.memo.flat, []
-        if flat:
-            lengths = np.fromiter(map(len, flat), np.int64, len(flat)) // 4
-            self.starts.extend(self.ids.size + np.cumsum(lengths) - lengths)
-            self.lengths.extend(lengths)
-            self.ids.extend(np.frombuffer(b"".join(flat), np.uint32))
+        self.memo = _Memo(self.tokenizer)
 
     def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the words, and how many each has."""
         if len(self.memo) > WORDS:
-            self._new()
-        numbers = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
-        self._sync()
-        lengths = self.lengths.values[numbers].astype(np.int64)
+            self.memo = _Memo(self.tokenizer, self.memo)
+        memo = self.memo
+        numbers = np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
+        memo.sync()
+        lengths = memo.lengths.values[numbers].astype(np.int64)
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
-        places = np.arange(total) + np.repeat(self.starts.values[numbers] - (ends - lengths), lengths)
-        return self.ids.values[places], lengths
+        places = np.arange(total) + np.repeat(memo.starts.values[numbers] - (ends - lengths), lengths)
+        return memo.ids.values[places], lengths
 
     def _whole(self, text: bytes) -> bool:
         """Whether the text has to go through the tokenizer in one piece."""
