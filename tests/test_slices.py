@@ -214,3 +214,46 @@ def test_unknown_names_stay_in_the_graph(games):
     assert (found[2].type, found[2].key, found[2].city) == ("place", None, "Town")
     assert found[2].dependencies == [0, 1, 3, 4, 5, 6] and found[2].matches == [1, 2]
     assert 2 in found[0].dependencies
+
+
+@pytest.mark.parametrize("few", [10_000, 2])
+def test_texts_of_games_are_those_of_all_goals(spark, few):
+    """Only the games' goals are put into texts, however many a match has; repeated games, copies and NULLs included."""
+    goals = spark.createDataFrame(
+        [(i % 7, i // 14, None if i % 5 == 0 else f"g{i % 3}") for i in range(98)] + [(None, 1, "x"), (8, 1, None)],
+        "match_id BIGINT, minute INT, text STRING",
+    )
+    ids = spark.createDataFrame([(1,), (1,), (3,), (8,), (9,), (None,)], "match_id BIGINT")
+    games = slices.games_with_counts(ids, goals)
+    assert sorted(map(tuple, games.collect())) == [(1, 14), (1, 14), (3, 14), (8, 1)]
+    every = star.goals_per_match(goals, ["minute"], 4).where("match_id IN (1, 3, 8)")
+    found = star.goal_texts(goals, games, ["minute"], 4, few)
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, every.collect()), key=repr)
+    assert found.columns == every.columns and found.count() == 9
+
+
+def test_blocks_are_made_where_the_lists_are(spark, skewed, tmp_path):
+    """Neither the lists of the slices nor the blocks made of them are moved once more."""
+    base = str(tmp_path / "numbered")
+    slices.number_games(skewed).write.parquet(base)
+    numbered = spark.read.parquet(base)
+    graph_nodes = slices.nodes(numbered)
+    plain = slices.slices(numbered, 16, graph_nodes)
+    together = slices.slices(numbered, 16, graph_nodes, block=8)
+    assert sorted(map(repr, together.drop("block").collect())) == sorted(map(repr, plain.collect()))
+    assert together.where("block != index div 8").isEmpty()
+    matches = numbered.select(
+        "season", "competition", "ord", F.lit(0).cast("bigint").alias("text_part"),
+        *[F.col(name) if name in numbered.columns else F.lit(None).cast("string").alias(name)
+          for name in slices.MATCH_FIELDS],
+    )
+
+    def made(graph):
+        return slices.documents(graph, matches, 8)
+
+    assert sorted(map(repr, made(together).collect())) == sorted(map(repr, made(plain).collect()))
+    blocks = together.select("season", "competition", F.col("type").alias("kind"), "block", "part", F.col("index").alias("at"),
+                             F.col("key").alias("entry"))
+    lists, made_blocks = (plan.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+                          for plan in (together._jdf, slices._blocks(blocks, "slices")._jdf))
+    assert made_blocks == lists

@@ -59,6 +59,12 @@ def games_with_goals(games: DataFrame, goals: DataFrame) -> DataFrame:
     return games.join(scored, games["match_id"] == scored["_scored"], "left_semi")
 
 
+def games_with_counts(games: DataFrame, goals: DataFrame) -> DataFrame:
+    """The rows of :func:`games_with_goals` with ``n_goals``, the number of goals of the match."""
+    counted = goals.groupBy(F.col("match_id").alias("_scored")).agg(F.count(F.lit(1)).alias("n_goals"))
+    return games.join(counted, games["match_id"] == counted["_scored"]).drop("_scored")
+
+
 def number_games(games: DataFrame) -> DataFrame:
     """Games with ``ord``, their position in the document: the base of everything below.
 
@@ -162,30 +168,45 @@ def _sorted_list(condition: Column, entry: Column) -> Column:
     return F.sort_array(F.collect_list(F.when(condition, entry)))
 
 
-def slices(numbered: DataFrame, page: int = PAGE, graph_nodes: DataFrame | None = None) -> DataFrame:
-    """One row per slice and part, with the sorted ``matches`` and ``dependencies`` of that part."""
+def slices(
+    numbered: DataFrame, page: int = PAGE, graph_nodes: DataFrame | None = None, block: int | None = None
+) -> DataFrame:
+    """One row per slice and part, with the sorted ``matches`` and ``dependencies`` of that part.
+
+    With ``block``, the entries of a document block (:func:`documents`) are brought together before they are listed, so
+    that neither the lists nor the blocks made of them are moved; the rows then have their ``block``.
+    """
     graph_nodes = nodes(numbered) if graph_nodes is None else graph_nodes
-    match_entries = occurrences(numbered).select(
-        *_NODE, F.expr(f"ord div {page}").alias("part"), F.col("ord").alias("position"), "match_id"
+    # Lists are moved under the index of their slice, not under its name: nodes are few, and both joins look them up.
+    index_of = graph_nodes.select(*_NODE, "index")
+    match_entries = join_same(occurrences(numbered), index_of, _NODE).select(
+        *DOCUMENT, "type", "index", F.expr(f"ord div {page}").alias("part"), F.col("ord").alias("position"), "match_id"
     )
-    dependency_entries = _with_target_index(_links(numbered), graph_nodes).select(
-        *_NODE,
+    dependency_entries = join_same(_with_target_index(_links(numbered), graph_nodes), index_of, _NODE).select(
+        *DOCUMENT, "type", "index",
         F.expr(f"dependency div {page}").alias("part"),
         F.col("dependency").alias("position"),
         F.lit(None).cast(numbered.schema["match_id"].dataType).alias("match_id"),
     )
+    entries = match_entries.unionByName(dependency_entries)
+    together = [*DOCUMENT, "type", "index", "part"]
+    if block is not None:
+        entries = entries.withColumn("block", F.expr(f"index div {block}"))
+        entries = entries.repartition(*DOCUMENT, "type", "block", "part")
+        together.append("block")
     is_match = F.col("match_id").isNotNull()
     parts = (
-        match_entries.unionByName(dependency_entries)
-        .groupBy(*_NODE, "part")
+        entries.groupBy(*together)
         .agg(
             _sorted_list(is_match, F.struct("position", "match_id")).alias("placed"),
             _sorted_list(~is_match, F.col("position")).alias("dependencies"),
         )
-        .select(*_NODE, "part", F.col("placed.match_id").alias("matches"), "dependencies")
+        .select(*together, F.col("placed.match_id").alias("matches"), "dependencies")
     )
-    return join_same(parts, graph_nodes, _NODE).select(
-        *DOCUMENT, "index", "type", "key", "city", "image_path", "part", "n_matches", "matches", "dependencies"
+    found = join_same(parts, graph_nodes.drop("type"), [*DOCUMENT, "index"])
+    return found.select(
+        *DOCUMENT, "index", "type", "key", "city", "image_path", "part", "n_matches", "matches", "dependencies",
+        *([] if block is None else ["block"]),
     )
 
 
@@ -295,11 +316,10 @@ def documents(graph: DataFrame, matches: DataFrame, block: int = BLOCK) -> DataF
     slice_entries = graph.select(
         *DOCUMENT,
         F.col("type").alias("kind"),
-        F.expr(f"index div {block}").alias("block"),
+        F.col("block") if "block" in graph.columns else F.expr(f"index div {block}").alias("block"),
         "part",
         F.col("index").alias("at"),
-        _slice_json().alias("slice"),
-        F.lit(None).cast("string").alias("match"),
+        _slice_json().alias("entry"),
     )
     match_entries = matches.select(
         *DOCUMENT,
@@ -307,18 +327,19 @@ def documents(graph: DataFrame, matches: DataFrame, block: int = BLOCK) -> DataF
         F.expr(f"ord div {block}").alias("block"),
         F.col("text_part").alias("part"),
         F.col("ord").alias("at"),
-        F.lit(None).cast("string").alias("slice"),
-        _match_json().alias("match"),
-    )
-    grouped = slice_entries.unionByName(match_entries).groupBy(*DOCUMENT, "kind", "block", "part").agg(
-        _sorted_list(F.col("slice").isNotNull(), F.struct("at", F.col("slice").alias("entry"))).alias("slices"),
-        _sorted_list(F.col("match").isNotNull(), F.struct("at", F.col("match").alias("entry"))).alias("matches"),
+        _match_json().alias("entry"),
     )
+    # A block has entries of one kind, so slices and matches are put together apart.
+    return _blocks(slice_entries, "slices").unionByName(_blocks(match_entries, "matches"))
+
+
+def _blocks(entries: DataFrame, field: str) -> DataFrame:
+    """The blocks of (season, competition, kind, block, part, at, entry) rows, whose entries go into ``field``."""
+    listed = F.sort_array(F.collect_list(F.struct("at", "entry"))).alias("_listed")
+    grouped = entries.groupBy(*DOCUMENT, "kind", "block", "part").agg(listed)
     head = F.to_json(F.struct(*DOCUMENT))
-    body = F.concat(
-        F.expr("substring(head, 1, length(head) - 1)"),
-        F.lit(',"slices":['), F.array_join("slices.entry", ","),
-        F.lit('],"matches":['), F.array_join("matches.entry", ","), F.lit("]}"),
-    )
-    n_entries = (F.size("slices") + F.size("matches")).cast("bigint").alias("n_entries")
+    text = F.array_join("_listed.entry", ",")
+    lists = [F.concat(F.lit(f',"{name}":['), text if name == field else F.lit(""), F.lit("]")) for name in ("slices", "matches")]
+    body = F.concat(F.expr("substring(head, 1, length(head) - 1)"), *lists, F.lit("}"))
+    n_entries = F.size("_listed").cast("bigint").alias("n_entries")
     return grouped.withColumn("head", head).select(*DOCUMENT, "kind", "block", "part", n_entries, body.alias("document"))

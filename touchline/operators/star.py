@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions import dates, text
-from touchline.operators.pages import PAGE, ordered_text
+from touchline.operators.pages import PAGE, ordered_text, short_text
 from touchline.schemas import FINISHED
+from touchline.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -70,6 +71,25 @@ def goals_per_match(goals: DataFrame, order: Sequence[str] = ("id",), page: int
     return ordered_text(goals, ["match_id"], order, "text", "text", part="text_part", page=page)
 
 
+def goal_texts(
+    goals: DataFrame, games: DataFrame, order: Sequence[str] = ("id",), page: int = PAGE, few: int = PAGE
+) -> DataFrame:
+    """The rows of :func:`goals_per_match` for the matches of ``games`` (match_id, n_goals).
+
+    Only goals of these matches are ordered. A match with up to ``few`` goals has them in one list; those with more, of
+    which there are few, take the way for lists of any length.
+    """
+    def of(matches: DataFrame) -> DataFrame:
+        wanted = matches.select(F.col("match_id").alias("_wanted"))
+        return goals.join(wanted, goals["match_id"] == wanted["_wanted"], "left_semi")
+
+    texts = short_text(of(games.where(F.col("n_goals") <= few)), ["match_id"], order, "text", "text", "text_part", page=page)
+    many = cut_lineage(games.where(F.col("n_goals") > few).select("match_id").distinct())
+    if many.isEmpty():
+        return texts
+    return texts.unionByName(goals_per_match(of(many), order, page))
+
+
 def results_of(
     played: DataFrame,
     match_status: DataFrame,
@@ -85,8 +105,20 @@ def results_of(
     With the inner join matches without goals drop out. A match with more than ``page`` goals has one row
     per part of its goal text.
     """
+    return results_with(played, match_status, goals_per_match(goals, goal_order, page), how, strict, keep)
+
+
+def results_with(
+    played: DataFrame,
+    match_status: DataFrame,
+    texts: DataFrame,
+    how: str = "inner",
+    strict: bool = False,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """As :func:`results_of`, with the goal texts (match_id, text_part, text) that somebody has made."""
     m, ms = played.alias("m"), match_status.alias("ms")
-    lines = goals_per_match(goals, goal_order, page).withColumnRenamed("match_id", "_goal_match")
+    lines = texts.withColumnRenamed("match_id", "_goal_match")
     score = text.score_text(
         F.col("total_home_goals"), F.col("total_away_goals"),
         F.col("penalty_shootout_home_goals"), F.col("penalty_shootout_away_goals"), strict,

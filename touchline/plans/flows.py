@@ -176,14 +176,14 @@ def season_documents(
 ) -> DataFrame:
     """The slice documents of one season, or of all seasons, over finished matches with goals.
 
-    The schedule is joined once: the numbered games carry what their result rows need. Goals are written once, for the
-    filter and the texts.
+    The schedule is joined once: the numbered games carry what their result rows need. Goals are counted per match
+    first; later only the goals of numbered games are read, moved and put into texts.
     """
-    goals = cut_lineage(tables.goals)
     games = slices.slice_games(star.schedule(tables, season), keep=slices.RESULT_COLUMNS)
-    numbered = slices.number_games(slices.games_with_goals(games, goals))
-    matches = star.results_of(numbered, tables.match_status, goals, goal_order, page=page, keep=("season", "ord"))
-    return slices.documents(slices.slices(numbered, page), matches, block)
+    numbered = slices.number_games(slices.games_with_counts(games, tables.goals))
+    texts = star.goal_texts(tables.goals, numbered.select("match_id", "n_goals"), goal_order, page)
+    matches = star.results_with(numbered, tables.match_status, texts, keep=("season", "ord"))
+    return slices.documents(slices.slices(numbered, page, block=block), matches, block)
 
 
 def schedule_slices(tables: star.Star, season: int | None = None, page: int = slices.PAGE) -> DataFrame:
