@@ -876,11 +876,10 @@ def slice_document_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = flows.season_documents(
         analog.star_tables(spark, sf_dir), goal_order=analog.GOAL_ORDER, page=_LIST, block=_BLOCK
     )
-    entries = [
-        F.size(F.from_json(F.get_json_object("document", f"$.{name}"), "array<string>")).alias(f"n_{name}")
-        for name in ("slices", "matches")
-    ]
-    return documents.select("season", "competition", "kind", "block", "part", *entries)
+    # Both lists come out of one reading of the text; their entries stay text.
+    read = documents.withColumn("d", F.from_json("document", "slices ARRAY<STRING>, matches ARRAY<STRING>"))
+    entries = [F.size(F.col("d").getField(name)).alias(f"n_{name}") for name in ("slices", "matches")]
+    return read.select("season", "competition", "kind", "block", "part", *entries)
 
 
 @register
