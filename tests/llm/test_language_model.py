@@ -121,3 +121,26 @@ def test_query(spark):
     agree(found, expected(rows, 2))
     unseen = [row for row in found if row["held_out"]]
     assert sum(row["score"] for row in unseen) > sum(row["base_score"] for row in unseen)
+
+
+def test_contexts_of_the_unit_before_are_named_without_going_through_all_names(monkeypatch):
+    """Names are made distinct once; the few contexts that only the unit before counts are looked up in them."""
+    import numpy as np
+    import zstandard
+
+    monkeypatch.setattr(np, "setdiff1d", lambda *_: pytest.fail("all names are made distinct once more"))
+    parts = [b"a b a", b" c a b", b""]
+    pieces = [
+        {"size": len(parts[0]), "begins": True, "ends": False, "before": b""},
+        {"size": len(parts[1]), "begins": False, "ends": True, "before": b"x y z"},
+        {"size": 0, "begins": True, "ends": True, "before": b""},
+    ]
+    packed = zstandard.ZstdCompressor().compress(b"".join(parts))
+    for order in (1, 2, 3, 4):
+        tokens = language_model.Tokens(pieces, packed, order, language_model._Hashes())
+        leads = set(np.concatenate([tokens.names[:0], *tokens.lead]).tolist())
+        own = set(np.concatenate([*tokens.keys, *(lead[tokens.fresh] for lead in tokens.lead)]).tolist())
+        assert tokens.names.tolist() == sorted(own | leads)
+        assert [bool(n) for n in tokens.counts] == [name in own for name in tokens.names.tolist()]
+        for n in range(1, order):
+            assert tokens.names[tokens.contexts(n)][tokens.heads].tolist() == tokens.lead[n - 1].tolist()

@@ -97,10 +97,14 @@ def lay_out(documents: DataFrame, role: Column, order: int) -> DataFrame:
 
 
 class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
+    def __init__(self):
         import xxhash
 
-        number = self[word] = xxhash.xxh64_intdigest(word)
+        super().__init__()
+        self.digest = xxhash.xxh64_intdigest
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = self.digest(word)
         return number
 
 
@@ -171,7 +175,11 @@ class Tokens:
         found = np.concatenate([*self.keys, *(lead[self.fresh] for lead in self.lead)])
         self.names, inverse, self.counts = np.unique(found, return_inverse=True, return_counts=True)
         self.at = np.split(inverse[: order * len(place)], order)
-        other = np.setdiff1d(np.concatenate([found[:0], *self.lead]), self.names)
+        # The leads are few and the names sorted: looked up, not made distinct with all names once more.
+        leads = np.unique(np.concatenate([found[:0], *self.lead]))
+        near = np.searchsorted(self.names, leads)
+        near[near == len(self.names)] = 0
+        other = leads[self.names[near] != leads] if len(self.names) else leads
         if len(other):
             # Contexts that only the unit before counts: named here to be looked up.
             names = np.sort(np.concatenate([self.names, other]))
