@@ -1,7 +1,9 @@
 """Token ids, Huffman blocks and token files against the tokenizer itself."""
 
+import gc
 import heapq
 import random
+import weakref
 import zlib
 
 import numpy as np
@@ -11,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from touchline.llm import huffman, queries, token_files
+from touchline.llm import huffman, queries, token_files, token_ids
 from touchline.llm.rows import with_place
 from touchline.llm.token_ids import Encoder, segments
 from touchline.session import scratch_path
@@ -38,6 +40,45 @@ def test_word_by_word_equals_whole(texts, words, tokenizer):
     assert found == [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
 
 
+def test_words_of_a_group_are_looked_up_together(tokenizer, monkeypatch):
+    asked = {"words": [], "pieces": []}
+    numbers = token_ids._Memo.numbers
+
+    def counted(memo, keys, make):
+        asked["words" if make.__name__ == "_encode_words" else "pieces"].extend(keys)
+        return numbers(memo, keys, make)
+
+    monkeypatch.setattr(token_ids._Memo, "numbers", counted)
+    words, texts = Encoder(PATH), ["Word and thing, word 7é."] * 300 + ["", " thing "]
+    found = [ids.tolist() for _, ids, _ in words.encode_all([text.encode() for text in texts])]
+    assert found == [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert sorted(asked["words"]) == sorted({b"", *texts[0].lower().encode().split(), b"thing"})
+    assert len(asked["pieces"]) < 20
+
+
+def test_memos_turn_over(tokenizer, monkeypatch):
+    for name, size in {"WORDS": 20, "PIECES": 10, "GROUP": 100, "GATHERED": 3, "SEGMENT": 50}.items():
+        monkeypatch.setattr(token_ids, name, size)
+    words, draw = Encoder(PATH), random.Random(4)
+    texts = [" ".join("".join(draw.choices("a7é.Bσ,-", k=3)) for _ in range(9)) for _ in range(200)]
+    found = [[] for _ in texts]
+    for number, ids, _ in words.encode_all([text.encode() for text in texts]):
+        found[number].extend(ids.tolist())
+    assert found == [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert len(words.words) < 100
+
+
+def test_forgotten_encoders_are_freed_at_once():
+    kept = weakref.ref(token_ids.encoder(PATH))
+    list(kept().encode_all([b"Word and thing"]))
+    gc.disable()
+    try:
+        token_ids.forget()
+        assert kept() is None
+    finally:
+        gc.enable()
+
+
 def test_special_tokens_and_long_texts(words, tokenizer, monkeypatch):
     monkeypatch.setattr("touchline.llm.token_ids.SEGMENT", 50)
     for text in ("x<|endoftext|>Y", "<|EndOfText|> b", "lorem Ipsum " * 60, "y" * 300, ""):

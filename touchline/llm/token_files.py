@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -17,10 +18,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.llm.huffman import Book, code_lengths
-from touchline.llm.token_ids import encoder, forget
+from touchline.llm.token_ids import GROUP, encoder, forget
 from touchline.session import cut_lineage
 
 BLOCK = 1 << 15  # ids
+ROWS = 1 << 14  # texts encoded together
 END = 1
 # A code book of more ids than this would no longer be a small thing to send to every task.
 MAX_IDS = 1 << 18
@@ -66,6 +68,23 @@ class _Packer:
         return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
 
 
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], list[tuple]]]:
+    """(texts, places) of several batches, which the encoder can look up together."""
+    texts: list[bytes] = []
+    places: list[tuple] = []
+    size = 0
+    for batch in batches:
+        more = [text or b"" for text in batch["text"].to_pylist()]
+        texts += more
+        places += zip(*(batch[name].to_pylist() for name in ("doc_id", "_file", "_at")))
+        size += sum(map(len, more))
+        if size > GROUP or len(texts) > ROWS:
+            yield texts, places
+            texts, places, size = [], [], 0
+    if texts:
+        yield texts, places
+
+
 def token_rows(documents: DataFrame, tokenizer: str, end_id: int | None = END) -> DataFrame:
     """(doc_id, _file, _at, piece, last, ids) per document: its packed ids, in pieces of at most a block if it is long.
 
@@ -90,16 +109,14 @@ def token_rows(documents: DataFrame, tokenizer: str, end_id: int | None = END) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, pack, counts = encoder(tokenizer), _Packer().pack, np.zeros(0, np.int64)
-        for batch in batches:
-            for start in range(0, len(batch), 500):
-                some = batch.slice(start, 500)
-                texts = [text or b"" for text in some["text"].to_pylist()]
-                places = list(zip(*(some[name].to_pylist() for name in ("doc_id", "_file", "_at"))))
-                seen: list[np.ndarray] = []
-                columns = list(zip(*pieces(words, pack, texts, places, seen)))
+        for texts, places in _groups(batches):
+            seen: list[np.ndarray] = []
+            rows = pieces(words, pack, texts, places, seen)
+            while columns := list(zip(*islice(rows, 500))):
                 more = np.bincount(np.concatenate(seen), minlength=len(counts))
                 more[: len(counts)] += counts
                 counts = more
+                seen.clear()
                 arrays = [pa.array(values, field.type) for values, field in zip(columns, _PIECES)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=_PIECES)
         found = np.flatnonzero(counts)

@@ -1,9 +1,10 @@
 """Token ids of whole texts from a tokenizer file, in bounded memory.
 
 Blanks never reach the model of such a tokenizer, so a text's ids are those of its blank-separated words one after
-the other, and each word is encoded once and then looked up. A word of plain lower-case pieces goes to the model
-piece by piece; words with anything else take the tokenizer's own way. Whether a tokenizer file allows this is
-checked when it is loaded; if not, texts are encoded whole.
+the other, and each word is encoded once and then looked up. The different words of a group of texts are looked up
+together; new ones are cut into pieces together, and each piece is encoded once by the model. Words with unusual
+characters are cut the tokenizer's own way. Whether a tokenizer file allows this is checked when it is loaded; if not,
+texts are encoded whole.
 """
 
 from __future__ import annotations
@@ -15,21 +16,28 @@ import sys
 import types
 from array import array
 from collections.abc import Iterator
+from itertools import pairwise, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Texts are cut at blanks into segments of about this many bytes.
 SEGMENT = 1 << 20
+# Short texts are looked up together, about this many bytes of them, and get their ids by about this many words.
+GROUP = 1 << 22
+GATHERED = 1 << 17
 # Words and pieces kept between texts, in two generations: when the young one is full it becomes the old one, and what
 # the old one held is dropped unless it was met again meanwhile. So frequent words are encoded once.
-WORDS = 600_000
-PIECES = 400_000
+WORDS = 400_000
+PIECES = 300_000
 
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
-_PLAIN = re.compile(r"[\x21-\x7e]+")
-# The split rule of the supported files for words of ASCII letters, digits and signs.
-_PIECES = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^a-z0-9]+")
-_SIGNS = ".,;:!?"
+# Words of ASCII letters, digits and signs and of Latin letters that are composed already and fold to one letter each.
+_PLAIN = re.compile("[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]*")
+# The split rule of the supported files for such words, which are folded and end with _END.
+_PIECES = re.compile(rb"'(?:s|t|re|ve|m|ll|d)|[a-z\x80-\xff]+|[0-9]|[^a-z0-9\x80-\xff\n]+|\n")
+_END = b"\n"
 
 
 def segments(text: bytes, size: int = SEGMENT) -> Iterator[bytes]:
@@ -85,64 +93,59 @@ class _Grown:
 
 
 class _Memo(dict):
-    """Folded words to numbers; a new word is encoded and its ids wait in ``flat`` under the next number."""
+    """Byte strings to numbers, and the ids of each number.
 
-    def __init__(self, tokenizer, older: "_Memo | None" = None):
+    New strings wait in ``new`` until ``make`` is given all of them: it yields which of them, their ids one after the
+    other, and how many each has. Strings that the older generation knows are copied from it. No memo refers to what
+    makes its ids, so that all of it is freed as soon as it is dropped.
+    """
+
+    def __init__(self, older: "_Memo | None" = None):
         super().__init__()
-        self.tokenizer, self.model = tokenizer, tokenizer.model
-        self.letters = _byte_letters()
-        self.flat: list[bytes] = []
-        self.ids, self.lengths, self.starts = _Grown(np.uint32), _Grown(np.int32), _Grown(np.int64)
         self.older = older
-        self.pieces: dict[str, bytes] = older.pieces if older else {}
-        self.older_pieces: dict[str, bytes] = older.older_pieces if older else {}
-        if older:
+        self.new: list[bytes] = []
+        self.ids, self.lengths, self.starts = _Grown(np.uint32), _Grown(np.int32), _Grown(np.int64)
+        if older is not None:
             older.older = None
-        if len(self.pieces) > PIECES:
-            self.pieces, self.older_pieces = {}, self.pieces
-
-    def __missing__(self, word: bytes) -> int:
-        known = self.older.get(word) if self.older else None
-        if known is None:
-            self.flat.append(b"".join([self.pieces.get(piece) or self.piece(piece) for piece in self.split(word)]))
-        else:
-            start = self.older.starts.values[known]
-            self.flat.append(self.older.ids.values[start : start + self.older.lengths.values[known]].tobytes())
-        number = self[word] = len(self)
+
+    def __missing__(self, key: bytes) -> int:
+        number = self[key] = len(self)
+        self.new.append(key)
         return number
 
-    def sync(self) -> None:
-        """Move the ids of new words from the list to arrays."""
-        flat, self.flat = self.flat, []
-        if flat:
-            lengths = np.fromiter(map(len, flat), np.int64, len(flat)) // 4
-            self.starts.extend(self.ids.size + np.cumsum(lengths) - lengths)
-            self.lengths.extend(lengths)
-            self.ids.extend(np.frombuffer(b"".join(flat), np.uint32))
-
-    def split(self, word: bytes) -> list[str]:
-        """The pieces that the model gets for a word, as letters for bytes."""
-        text = word.decode()
-        core = text.rstrip(_SIGNS)
-        if core.isalpha():
-            # Letters up to U+024F are composed already, and folding them leaves letters but for those told apart here.
-            if core.isascii():
-                return [core, text[len(core) :]] if len(core) < len(text) else [core]
-            if max(core) < "\u0250" and (core := core.lower()).isalpha():
-                mapped = core.encode().decode("latin-1").translate(self.letters)
-                rest = text.rstrip(_SIGNS)
-                return [mapped, text[len(rest) :]] if len(rest) < len(text) else [mapped]
-        elif _PLAIN.fullmatch(text):
-            return _PIECES.findall(text)
-        text = self.tokenizer.normalizer.normalize_str(text)
-        return [piece for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
-
-    def piece(self, piece: str) -> bytes:
-        ids = self.older_pieces.get(piece)
-        if ids is None:
-            ids = array("I", [token.id for token in self.model.tokenize(piece)]).tobytes()
-        self.pieces[piece] = ids
-        return ids
+    def numbers(self, keys: list[bytes], make) -> np.ndarray:
+        found = np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
+        new, self.new = self.new, []
+        if new:
+            self._add(new, make)
+        return found
+
+    def _add(self, new: list[bytes], make) -> None:
+        starts, lengths = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+
+        def put(at: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+            starts[at] = self.ids.size + np.cumsum(counts) - counts
+            lengths[at] = counts
+            self.ids.extend(ids)
+
+        older = {} if self.older is None else self.older
+        known = np.fromiter(map(older.get, new, repeat(-1)), np.int64, len(new))
+        again, unknown = np.flatnonzero(known >= 0), np.flatnonzero(known < 0)
+        if len(again):
+            put(again, *older.gather(known[again]))
+        if len(unknown):
+            for at, ids, counts in make([new[i] for i in unknown.tolist()]):
+                put(unknown[at], ids, counts)
+        self.starts.extend(starts)
+        self.lengths.extend(lengths)
+
+    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these numbers one after the other, and how many each has."""
+        lengths = self.lengths.values[numbers].astype(np.int64)
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        places = np.arange(total) + np.repeat(self.starts.values[numbers] - (ends - lengths), lengths)
+        return self.ids.values[places], lengths
 
 
 class Encoder:
@@ -156,20 +159,61 @@ class Encoder:
         self.split = by_words(path)
         tokens = self.tokenizer.get_added_tokens_decoder().values()
         self.special = tuple(token.content.lower().encode() for token in tokens)
-        self.memo = _Memo(self.tokenizer)
-
-    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the words, and how many each has."""
-        if len(self.memo) > WORDS:
-            self.memo = _Memo(self.tokenizer, self.memo)
-        memo = self.memo
-        numbers = np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
-        memo.sync()
-        lengths = memo.lengths.values[numbers].astype(np.int64)
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        places = np.arange(total) + np.repeat(memo.starts.values[numbers] - (ends - lengths), lengths)
-        return memo.ids.values[places], lengths
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.bytes = {ord(letter): byte for byte, letter in self.letters.items()}
+        self.words, self.pieces = _Memo(), _Memo()
+
+    def _encode_pieces(self, pieces: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        tokenize, found, counts = self.model.tokenize, array("I"), []
+        for piece in pieces:
+            letters = piece.decode("latin-1")
+            if not (piece.isascii() and letters.isprintable()):
+                letters = letters.translate(self.letters)
+            tokens = tokenize(letters) if piece != _END else []
+            found.extend([token.id for token in tokens])
+            counts.append(len(tokens))
+        yield np.arange(len(pieces)), np.frombuffer(found, np.uint32), np.array(counts, np.int64)
+
+    def _split(self, word: str) -> list[bytes]:
+        """The pieces that the model gets for a word, by the tokenizer's own rules."""
+        text = self.tokenizer.normalizer.normalize_str(word)
+        pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
+        return [piece.translate(self.bytes).encode("latin-1") for piece, _ in pieces]
+
+    def _encode_words(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        if len(self.pieces) > PIECES:
+            self.pieces = _Memo(self.pieces)
+        texts = b"\n".join(words).decode().split("\n")
+        odd = [i for i, text in enumerate(texts) if not _PLAIN.fullmatch(text)]
+        rest = [self._split(texts[i]) for i in odd]
+        for i in odd:
+            texts[i] = ""
+        plain = _PIECES.findall("\n".join([*texts, ""]).lower().encode())
+        for at, pieces in (
+            (np.arange(len(texts)), plain),
+            (np.array(odd, np.int64), [piece for some in rest for piece in (*some, _END)]),
+        ):
+            numbers = self.pieces.numbers(pieces, self._encode_pieces)
+            ids, lengths = self.pieces.gather(numbers)
+            ends = np.cumsum(lengths)[numbers == self.pieces[_END]]
+            yield at, ids, np.diff(ends, prepend=0)
+
+    def _group(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        if len(self.words) > WORDS:
+            self.words = _Memo(self.words)
+        # What is blank to Arrow is what _BLANK matches. Blanks at an end leave an empty word, which has no ids.
+        words = pc.ascii_split_whitespace(pa.array([text.lower() for text in texts], pa.binary()).view(pa.string()))
+        distinct = words.flatten().view(pa.binary()).dictionary_encode()
+        numbers = self.words.numbers(distinct.dictionary.to_pylist(), self._encode_words)
+        indices, ends = distinct.indices.to_numpy(), words.offsets.to_numpy()
+        cuts = np.searchsorted(ends, np.arange(0, ends[-1], GATHERED))
+        for first, last in pairwise(np.unique([0, *cuts.tolist(), len(texts)]).tolist()):
+            at = ends[first : last + 1]
+            ids, lengths = self.words.gather(numbers[indices[at[0] : at[-1]]])
+            places = np.concatenate([[0], np.cumsum(lengths)])[at - at[0]]
+            for start, end in pairwise(places.tolist()):
+                yield ids[start:end]
 
     def _whole(self, text: bytes) -> bool:
         """Whether the text has to go through the tokenizer in one piece."""
@@ -182,7 +226,7 @@ class Encoder:
             yield np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, np.uint32)
             return
         for segment in segments(text):
-            yield self._words(segment.lower().split())[0]
+            yield from self._group([segment])
 
     def encode_all(self, texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, bool]]:
         """(number of the text, ids, whether they end the text) in order; short texts are looked up together."""
@@ -190,15 +234,12 @@ class Encoder:
         size = 0
 
         def flush():
-            words = [texts[i].lower().split() for i in group]
-            ids, lengths = self._words([word for some in words for word in some])
-            ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum([0, *map(len, words)])]
-            for i, start, end in zip(group, ends[:-1].tolist(), ends[1:].tolist()):
-                yield i, ids[start:end], True
+            for i, ids in zip(group, self._group([texts[i] for i in group])):
+                yield i, ids, True
 
         for i, text in enumerate(texts):
             alone = len(text) > SEGMENT or self._whole(text)
-            if group and (alone or size + len(text) > SEGMENT):
+            if group and (alone or size + len(text) > GROUP):
                 yield from flush()
                 group, size = [], 0
             if alone:
@@ -222,4 +263,5 @@ def encoder(path: str) -> Encoder:
 
 def forget() -> None:
     """Drop the encoders of this process, for tasks that need its memory for other things."""
-    sys.modules.pop("_touchline_encoders", None)
+    if sys.modules.pop("_touchline_encoders", None) is not None:
+        pa.default_memory_pool().release_unused()
