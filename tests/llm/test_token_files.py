@@ -40,6 +40,13 @@ def test_word_by_word_equals_whole(texts, words, tokenizer):
     assert found == [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
 
 
+@pytest.mark.parametrize("mark", ["\u0308", "\u030a", "\u030c", "\u0331", "\u0344", "\u0316\u030c", "\u0307", "\u0301"])
+def test_marks_are_composed_before_capitals_are_folded(mark, words, tokenizer):
+    texts = [f"{letter}{mark}x A{letter}{mark}, Be" for letter in "HJTWYhjtwyIA"]
+    found = [ids.tolist() for _, ids, _ in words.encode_all([text.encode() for text in texts])]
+    assert found == [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+
+
 def test_words_of_a_group_are_looked_up_together(tokenizer, monkeypatch):
     asked = {"words": [], "pieces": []}
     numbers = token_ids._Memo.numbers

@@ -33,6 +33,8 @@ WORDS = 400_000
 PIECES = 300_000
 
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
+# Capitals that compose with none of these marks (U+0308, U+030A, U+030C, U+0331, U+0344) while their small letters do.
+_MARKED = re.compile(rb"[HJTWY](?=[\x80-\xff]*(?:\xcc[\x88\x8a\x8c\xb1]|\xcd\x84))")
 # Words of ASCII letters, digits and signs and of Latin letters that are composed already and fold to one letter each.
 _PLAIN = re.compile("[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]*")
 # The split rule of the supported files for such words, which are folded and end with _END.
@@ -52,6 +54,17 @@ def segments(text: bytes, size: int = SEGMENT) -> Iterator[bytes]:
     yield text[start:]
 
 
+def folded(text: bytes) -> bytes:
+    """The text with A-Z in lower case, but for capitals before a mark: marks are composed before letters are folded."""
+    small = text.lower()
+    if b"\xcc" in text or b"\xcd" in text:
+        kept = bytearray(small)
+        for found in _MARKED.finditer(text):
+            kept[found.start()] = text[found.start()]
+        return bytes(kept)
+    return small
+
+
 def by_words(path: str) -> bool:
     """Whether the file splits at blanks, folds case and encodes each piece on its own."""
     with open(path, encoding="utf-8") as file:
@@ -203,7 +216,7 @@ class Encoder:
         if len(self.words) > WORDS:
             self.words = _Memo(self.words)
         # What is blank to Arrow is what _BLANK matches. Blanks at an end leave an empty word, which has no ids.
-        words = pc.ascii_split_whitespace(pa.array([text.lower() for text in texts], pa.binary()).view(pa.string()))
+        words = pc.ascii_split_whitespace(pa.array([folded(text) for text in texts], pa.binary()).view(pa.string()))
         distinct = words.flatten().view(pa.binary()).dictionary_encode()
         numbers = self.words.numbers(distinct.dictionary.to_pylist(), self._encode_words)
         indices, ends = distinct.indices.to_numpy(), words.offsets.to_numpy()
