@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from touchline.functions.cleaning import split_rejects
 from touchline.operators import shaping, slices, staging, star
 from touchline.schemas import MATCHES, as_struct
+from touchline.session import cut_lineage  # noqa: F401  (plan tests watch what each module writes)
 from touchline.sinks import lake as lake_sink
 from touchline.sinks.commits import Files
 from touchline.sinks.tables import in_column_order, stamped
